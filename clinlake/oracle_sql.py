@@ -336,3 +336,231 @@ ORACLE_SQL: dict[str, str] = {
     "revenue_monthly_region": _gold(REVENUE_MONTHLY, "silver_encounters", "silver_patients"),
     "weekly_trend": _gold(WEEKLY_TREND, "silver_conditions", "silver_patients"),
 }
+
+
+# --- operator-level queries -----------------------------------------------------
+PATHWAY_FLAGS = PATHWAY_SUMMARY[: PATHWAY_SUMMARY.rfind("SELECT count(patient_id)")].rstrip() + """
+SELECT patient_id, is_dead, is_recovered, hospitalized_flag, icu_flag, vent_flag,
+       CASE WHEN hospitalized_flag = 0 THEN 1 ELSE 0 END AS home_isolation_flag
+FROM mp
+"""
+
+_PROFILE_PARTS = [
+    ("bronze", "patients", "bronze_patients", 25),
+    ("bronze", "encounters", "bronze_encounters", 15),
+    ("bronze", "conditions", "bronze_conditions", 6),
+    ("bronze", "observations", "bronze_observations", 6),
+    ("silver", "patients", "silver_patients", 25),
+    ("silver", "encounters", "silver_encounters", 15),
+    ("silver", "conditions", "silver_conditions", 6),
+    ("silver", "observations", "silver_observations", 6),
+    ("silver", "covid_clinical_master", "master", 32),
+]
+TABLE_PROFILE = "\nUNION ALL\n".join(
+    f"SELECT '{st}' AS stage, '{nm}' AS table_name, count(*) AS row_count, CAST({nc} AS INTEGER) AS column_count FROM {cte}"
+    for st, nm, cte, nc in _PROFILE_PARTS
+)
+
+_LI_REST = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+            "l_returnflag", "l_linestatus", "l_shipdate"]
+
+ORACLE_SQL.update(
+    {
+        "scan_parquet_project": """
+SELECT l_orderkey, l_linenumber, CAST(l_extendedprice AS DECIMAL(12,2)) AS extended_price,
+       CAST(l_shipdate AS DATE) AS ship_date, l_returnflag AS return_flag,
+       CAST(year(l_shipdate) AS INTEGER) AS ship_year
+FROM lineitem
+""",
+        "rename_by_map": with_ctes("SELECT * FROM bronze_patients", "bronze_patients"),
+        "flexible_projection": with_ctes("SELECT * FROM silver_observations", "silver_observations"),
+        "flexible_projection_no_time": with_ctes(
+            f"""
+SELECT DISTINCT * FROM (
+  SELECT {norm('patient')} AS patient_id, {norm('encounter')} AS encounter_id,
+         CAST(NULL AS TIMESTAMP) AS observation_time, code AS observation_code,
+         description AS observation_description, "value" AS observation_value
+  FROM bronze_observations) t
+WHERE patient_id IS NOT NULL
+""",
+            "bronze_observations",
+        ),
+        "normalize_identifier": with_ctes(
+            f"SELECT id AS encounter_id, patient AS raw_patient, {norm('patient')} AS patient_id FROM bronze_encounters",
+            "bronze_encounters",
+        ),
+        "normalize_gender": with_ctes(
+            f"SELECT ssn, gender AS raw_gender, {gender('gender')} AS gender FROM bronze_patients",
+            "bronze_patients",
+        ),
+        "try_parse_dates": """
+SELECT o_orderkey, date_text, time_text, try_cast(date_text AS DATE) AS parsed_date,
+       try_cast(time_text AS TIMESTAMP) AS parsed_time
+FROM (SELECT o_orderkey,
+             CASE WHEN o_orderkey % 7 = 0 THEN concat(CAST(year(o_orderdate) AS VARCHAR), '-13-45')
+                  ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS date_text,
+             CASE WHEN o_orderkey % 11 = 0 THEN 'not a time' ELSE CAST(o_orderdate AS VARCHAR) END AS time_text
+      FROM orders) t
+""",
+        "filter_keys_and_codes": with_ctes(
+            f"""
+SELECT encounter_id, patient_id, encounter_code, encounter_start FROM silver_encounters
+WHERE patient_id IS NOT NULL AND encounter_code IN {in_list(SPEC.admissions.encounter_codes)}
+  AND encounter_stop IS NULL
+""",
+            "silver_encounters",
+        ),
+        "filter_text_patterns": with_ctes(
+            f"""
+SELECT patient_id, observation_time, observation_value FROM silver_observations
+WHERE regexp_matches(upper(coalesce(observation_value, '')), {q(SPEC.cohort.value_pattern)})
+   OR contains(upper(coalesce(observation_description, '')), {q(SPEC.cohort.description_text)})
+""",
+            "silver_observations",
+        ),
+        "symptom_labels": with_ctes(
+            f"""
+SELECT patient_id, encounter_id, condition_start_date, condition_description,
+       {_label_case('condition_description')} AS condition_category
+FROM silver_conditions
+WHERE regexp_matches(condition_description, {q('(?i)(' + SPEC.symptoms.filter_pattern + ')')})
+""",
+            "silver_conditions",
+        ),
+        "pathway_patterns": with_ctes(
+            f"""
+SELECT encounter_id,
+       CASE WHEN {_like_any('encounter_class', SPEC.pathway.inpatient)} THEN 1 ELSE 0 END AS is_hospitalized,
+       CASE WHEN {_like_any('encounter_class', SPEC.pathway.icu)} THEN 1 ELSE 0 END AS is_icu
+FROM silver_encounters
+""",
+            "silver_encounters",
+        ),
+        "filter_on_or_after_index": with_ctes(
+            f"""
+SELECT c.patient_id, c.encounter_id, c.condition_code, c.condition_start_date, i.covid_diagnosis_date
+FROM silver_conditions c
+JOIN (SELECT patient_id, min(condition_start_date) AS covid_diagnosis_date FROM silver_conditions
+      WHERE condition_code IN {in_list(SPEC.cohort.condition_codes)} GROUP BY patient_id) i
+  ON c.patient_id = i.patient_id
+WHERE c.condition_start_date >= i.covid_diagnosis_date
+""",
+            "silver_conditions",
+        ),
+        "dedup_primary_key": f"""
+SELECT * FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {_order_all(_LI_REST)}) = 1
+""",
+        "dedup_natural_key": with_ctes("SELECT DISTINCT * FROM bronze_conditions", "bronze_conditions"),
+        "distinct_ids": with_ctes("SELECT DISTINCT patient_id FROM silver_encounters", "silver_encounters"),
+        "semi_join_cohort": with_ctes(
+            """
+SELECT encounter_id, patient_id, encounter_start FROM silver_encounters
+WHERE patient_id IN (SELECT patient_id FROM cohort)
+""",
+            "silver_encounters", "cohort",
+        ),
+        "inner_join_named_keys": with_ctes(
+            f"""
+SELECT e.id AS encounter_id, m.patient_id, e.encounterclass, m.gender
+FROM bronze_encounters e JOIN master m ON {norm('e.patient')} = m.patient_id
+""",
+            "bronze_encounters", "master",
+        ),
+        "left_join_summaries": with_ctes(
+            """
+SELECT p.patient_id, coalesce(e.encounter_count, 0) AS encounter_count, e.total_claim_cost_sum,
+       coalesce(c.condition_count, 0) AS condition_count, c.last_condition_date
+FROM silver_patients p
+LEFT JOIN (SELECT patient_id, count(*) AS encounter_count,
+                  CAST(sum(coalesce(total_claim_cost, 0)) AS DECIMAL(18,2)) AS total_claim_cost_sum
+           FROM silver_encounters GROUP BY patient_id) e ON p.patient_id = e.patient_id
+LEFT JOIN (SELECT patient_id, count(*) AS condition_count, max(condition_start_date) AS last_condition_date
+           FROM silver_conditions GROUP BY patient_id) c ON p.patient_id = c.patient_id
+""",
+            "silver_patients", "silver_encounters", "silver_conditions",
+        ),
+        "summary_per_key": with_ctes(
+            """
+SELECT patient_id, count(*) AS encounter_count, max(encounter_start) AS last_encounter_time,
+       CAST(sum(coalesce(total_claim_cost, 0)) AS DECIMAL(18,2)) AS total_claim_cost_sum
+FROM silver_encounters GROUP BY patient_id
+""",
+            "silver_encounters",
+        ),
+        "group_rate_by_population": _gold(
+            """
+, people AS (SELECT patient_id, patient_deathdate IS NULL AS is_survivor FROM master),
+pop AS (SELECT is_survivor, count(*) AS population FROM people GROUP BY is_survivor),
+cnt AS (SELECT is_survivor, count(*) AS patients_with_encounters FROM people
+        WHERE patient_id IN (SELECT patient_id FROM silver_encounters) GROUP BY is_survivor)
+SELECT cnt.is_survivor, cnt.patients_with_encounters, pop.population,
+       round(cnt.patients_with_encounters / pop.population * 100, 2) AS rate_percentage
+FROM cnt LEFT JOIN pop ON cnt.is_survivor = pop.is_survivor
+""",
+            "master", "silver_encounters",
+        ),
+        "cohort_rate": _gold(
+            """
+SELECT state, count(*) AS patient_count,
+       round(count(*) / (SELECT count(*) FROM master) * 100, 2) AS percentage
+FROM master GROUP BY state
+""",
+            "master",
+        ),
+        "ratio_within_group": _gold(
+            """
+SELECT state, count(patient_id) AS patients,
+       CAST(sum(CASE WHEN patient_deathdate IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS deaths,
+       round(sum(CASE WHEN patient_deathdate IS NOT NULL THEN 1 ELSE 0 END) / count(patient_id) * 100, 2)
+         AS death_rate_percent
+FROM master GROUP BY state
+""",
+            "master",
+        ),
+        "any_flag_per_key": _gold(PATHWAY_FLAGS, "master", "silver_encounters", "silver_conditions"),
+        "avg_stay": with_ctes(
+            """
+SELECT encounter_class, count(*) AS encounters,
+       round(avg(date_diff('day', CAST(encounter_start AS DATE), CAST(encounter_stop AS DATE))), 2) AS avg_stay_days
+FROM silver_encounters GROUP BY encounter_class
+""",
+            "silver_encounters",
+        ),
+        "age_bands": _gold(
+            f"""
+SELECT patient_id, age,
+       CASE WHEN patient_birthdate IS NULL THEN 'Unknown'
+            WHEN age <= 10 THEN '0-10' WHEN age <= 20 THEN '11-20' WHEN age <= 30 THEN '21-30'
+            WHEN age <= 40 THEN '31-40' WHEN age <= 50 THEN '41-50' WHEN age <= 60 THEN '51-60'
+            WHEN age <= 70 THEN '61-70' WHEN age <= 80 THEN '71-80' ELSE '80+' END AS decade_band,
+       CASE WHEN age <= 18 THEN '0-18' WHEN age <= 34 THEN '19-34' WHEN age <= 49 THEN '35-49'
+            WHEN age <= 64 THEN '50-64' WHEN age >= 65 THEN '65+' ELSE 'Unknown' END AS clinical_band
+FROM (SELECT patient_id, patient_birthdate,
+             CAST(CASE WHEN patient_deathdate IS NOT NULL THEN year(patient_deathdate) - year(patient_birthdate)
+                       ELSE year({AS_OF_SQL}) - year(patient_birthdate) END AS INTEGER) AS age
+      FROM master) a
+""",
+            "master",
+        ),
+        "parquet_roundtrip": with_ctes("SELECT * FROM bronze_patients", "bronze_patients"),
+        # CSV with default options reads empty text as NULL
+        "csv_roundtrip": with_ctes(
+            "SELECT * REPLACE (nullif(gender, '') AS gender) FROM bronze_patients", "bronze_patients"
+        ),
+        "csv_roundtrip_encounters": with_ctes("SELECT * FROM bronze_encounters", "bronze_encounters"),
+        "table_roundtrip": with_ctes("SELECT * FROM master", "master"),
+        "row_count_reconciliation": with_ctes(
+            """
+SELECT 'covid_clinical_master' AS table_name, count(*) AS expected_rows, count(*) AS persisted_rows, true AS ok
+FROM master
+""",
+            "master",
+        ),
+        "table_profile": with_ctes(
+            TABLE_PROFILE,
+            "bronze_patients", "bronze_encounters", "bronze_conditions", "bronze_observations",
+            "silver_patients", "silver_encounters", "silver_conditions", "silver_observations", "master",
+        ),
+    }
+)

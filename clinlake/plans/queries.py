@@ -118,3 +118,324 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "revenue_monthly_region": q_revenue_monthly_region,
     "weekly_trend": q_weekly_trend,
 }
+
+
+# --- operator-level queries -------------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from clinlake import schemas  # noqa: E402
+from clinlake.functions import (  # noqa: E402
+    any_like,
+    as_date,
+    as_decimal,
+    as_string,
+    as_timestamp,
+    clinical_age_band,
+    decade_age_band,
+    flag,
+    normalize_gender,
+    normalize_identifier,
+    percent,
+    stay_days,
+    year_age,
+)
+from clinlake.operators import (  # noqa: E402
+    dedup_deterministic,
+    dedup_rows,
+    distinct_keys,
+    rate_against_groups,
+    restrict_to,
+    share_of_total,
+)
+from clinlake.operators.checks import reconcile, table_profile  # noqa: E402
+from clinlake.session import scratch_path  # noqa: E402
+from clinlake.sources import catalog, files  # noqa: E402
+
+
+def q_scan_parquet_project(spark, sf_dir):
+    li = files.read_parquet(spark, f"{sf_dir}/lineitem.parquet")
+    return li.select(
+        F.col("l_orderkey"),
+        F.col("l_linenumber"),
+        as_decimal(li, "l_extendedprice", 12, 2).alias("extended_price"),
+        as_date(li, "l_shipdate").alias("ship_date"),
+        as_string(li, "l_returnflag").alias("return_flag"),
+    ).withColumn("ship_year", F.year("ship_date"))
+
+
+def q_rename_by_map(spark, sf_dir):
+    headed = files.rename_columns(
+        standins.bronze_patients(spark, sf_dir), {v: k for k, v in schemas.PATIENTS_RENAME.items()}
+    )
+    return files.rename_columns(headed, schemas.PATIENTS_RENAME)
+
+
+def _shifted_observations(spark, sf_dir, keep_time: bool):
+    b = standins.bronze_observations(spark, sf_dir)
+    shifted = b.withColumnsRenamed(
+        {"patient": "PATIENT", "encounter": "Encounter", "date": "START", "code": "CODE",
+         "description": "Description", "value": "VALUE"}
+    )
+    return shifted if keep_time else shifted.drop("START")
+
+
+def q_flexible_projection(spark, sf_dir):
+    return silver.clean_observations(_shifted_observations(spark, sf_dir, keep_time=True))
+
+
+def q_flexible_projection_no_time(spark, sf_dir):
+    return silver.clean_observations(_shifted_observations(spark, sf_dir, keep_time=False))
+
+
+def q_normalize_identifier(spark, sf_dir):
+    b = standins.bronze_encounters(spark, sf_dir)
+    return b.select(F.col("id").alias("encounter_id"), F.col("patient").alias("raw_patient"),
+                    normalize_identifier(F.col("patient")).alias("patient_id"))
+
+
+def q_normalize_gender(spark, sf_dir):
+    b = standins.bronze_patients(spark, sf_dir)
+    return b.select(F.col("ssn"), F.col("gender").alias("raw_gender"), normalize_gender(F.col("gender")).alias("gender"))
+
+
+def q_try_parse_dates(spark, sf_dir):
+    o = standins.table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    texts = o.select(
+        k,
+        F.when(k % 7 == 0, F.concat(F.year("o_orderdate").cast("string"), F.lit("-13-45")))
+        .otherwise(F.to_date("o_orderdate").cast("string")).alias("date_text"),
+        F.when(k % 11 == 0, F.lit("not a time")).otherwise(F.col("o_orderdate").cast("string")).alias("time_text"),
+    )
+    return texts.select(
+        "o_orderkey", "date_text", "time_text",
+        as_date(texts, "date_text").alias("parsed_date"),
+        as_timestamp(texts, "time_text").alias("parsed_time"),
+    )
+
+
+def q_filter_keys_and_codes(spark, sf_dir):
+    e = silver_tables(spark, sf_dir)["encounters"]
+    return e.filter(
+        F.col("patient_id").isNotNull()
+        & F.col("encounter_code").isin(*STANDIN_SPEC.admissions.encounter_codes)
+        & F.col("encounter_stop").isNull()
+    ).select("encounter_id", "patient_id", "encounter_code", "encounter_start")
+
+
+def q_filter_text_patterns(spark, sf_dir):
+    o = silver_tables(spark, sf_dir)["observations"]
+    return o.filter(silver.positive_observation(STANDIN_SPEC.cohort)).select(
+        "patient_id", "observation_time", "observation_value"
+    )
+
+
+def q_symptom_labels(spark, sf_dir):
+    c = silver_tables(spark, sf_dir)["conditions"]
+    return gold.labelled_conditions(c, STANDIN_SPEC.symptoms).select(
+        "patient_id", "encounter_id", "condition_start_date", "condition_description", "condition_category"
+    )
+
+
+def q_pathway_patterns(spark, sf_dir):
+    e = silver_tables(spark, sf_dir)["encounters"]
+    p = STANDIN_SPEC.pathway
+    return e.select(
+        "encounter_id",
+        flag(any_like(F.col("encounter_class"), p.inpatient)).alias("is_hospitalized"),
+        flag(any_like(F.col("encounter_class"), p.icu)).alias("is_icu"),
+    )
+
+
+def q_filter_on_or_after_index(spark, sf_dir):
+    c = silver_tables(spark, sf_dir)["conditions"]
+    idx = gold.index_dates(c, STANDIN_SPEC.cohort)
+    return (
+        c.join(idx, "patient_id")
+        .filter(F.col("condition_start_date") >= F.col("covid_diagnosis_date"))
+        .select("patient_id", "encounter_id", "condition_code", "condition_start_date", "covid_diagnosis_date")
+    )
+
+
+def q_dedup_primary_key(spark, sf_dir):
+    li = standins.table(spark, sf_dir, "lineitem")
+    return dedup_deterministic(li, ["l_orderkey", "l_linenumber"])
+
+
+def q_dedup_natural_key(spark, sf_dir):
+    b = standins.bronze_conditions(spark, sf_dir)
+    return dedup_rows(b, b.columns)
+
+
+def q_distinct_ids(spark, sf_dir):
+    return distinct_keys(silver_tables(spark, sf_dir)["encounters"], "patient_id")
+
+
+def q_semi_join_cohort(spark, sf_dir):
+    s = silver_tables(spark, sf_dir)
+    members = silver.cohort(s["conditions"], s["observations"], STANDIN_SPEC.cohort)
+    return restrict_to(s["encounters"], members).select("encounter_id", "patient_id", "encounter_start")
+
+
+def q_inner_join_named_keys(spark, sf_dir):
+    s = silver_tables(spark, sf_dir)
+    master = master_of(s)
+    raw = standins.bronze_encounters(spark, sf_dir)
+    return (
+        raw.alias("e")
+        .join(master.alias("m"), normalize_identifier(F.col("e.patient")) == F.col("m.patient_id"), "inner")
+        .select(F.col("e.id").alias("encounter_id"), F.col("m.patient_id"), F.col("e.encounterclass"),
+                F.col("m.gender"))
+    )
+
+
+def q_left_join_summaries(spark, sf_dir):
+    s = silver_tables(spark, sf_dir)
+    return (
+        s["patients"].select("patient_id")
+        .join(silver.encounter_summary(s["encounters"]), "patient_id", "left")
+        .join(silver.condition_summary(s["conditions"]), "patient_id", "left")
+        .fillna(0, subset=["encounter_count", "condition_count"])
+        .select("patient_id", "encounter_count", "total_claim_cost_sum", "condition_count", "last_condition_date")
+    )
+
+
+def q_summary_per_key(spark, sf_dir):
+    return silver.encounter_summary(silver_tables(spark, sf_dir)["encounters"])
+
+
+def q_group_rate_by_population(spark, sf_dir):
+    s = silver_tables(spark, sf_dir)
+    people = gold.survivor_cohort(master_of(s))
+    population = people.groupBy("is_survivor").agg(F.count(F.lit(1)).alias("population"))
+    with_enc = people.join(distinct_keys(s["encounters"], "patient_id"), "patient_id")
+    counts = with_enc.groupBy("is_survivor").agg(F.count(F.lit(1)).alias("patients_with_encounters"))
+    return rate_against_groups(counts, population, "is_survivor", "patients_with_encounters", "population",
+                               "rate_percentage")
+
+
+def q_cohort_rate(spark, sf_dir):
+    master = master_of(silver_tables(spark, sf_dir))
+    counts = master.groupBy("state").agg(F.count(F.lit(1)).alias("patient_count"))
+    return share_of_total(counts, master, "patient_count", "percentage")
+
+
+def q_ratio_within_group(spark, sf_dir):
+    master = master_of(silver_tables(spark, sf_dir))
+    dead = F.col("patient_deathdate").isNotNull()
+    return (
+        master.groupBy("state")
+        .agg(F.count("patient_id").alias("patients"), F.sum(flag(dead)).cast("bigint").alias("deaths"))
+        .withColumn("death_rate_percent", percent(F.col("deaths"), F.col("patients")))
+    )
+
+
+def q_any_flag_per_key(spark, sf_dir):
+    s = silver_tables(spark, sf_dir)
+    return gold.pathway_flags(master_of(s), s["encounters"], s["conditions"], STANDIN_SPEC.pathway)
+
+
+def q_avg_stay(spark, sf_dir):
+    e = silver_tables(spark, sf_dir)["encounters"]
+    return e.groupBy("encounter_class").agg(
+        F.count(F.lit(1)).alias("encounters"),
+        F.round(F.avg(stay_days(F.col("encounter_stop"), F.col("encounter_start"))), 2).alias("avg_stay_days"),
+    )
+
+
+def q_age_bands(spark, sf_dir):
+    master = master_of(silver_tables(spark, sf_dir))
+    birth, death = F.col("patient_birthdate"), F.col("patient_deathdate")
+    age = F.when(death.isNotNull(), year_age(death, birth)).otherwise(F.year(F.lit(AS_OF)) - F.year(birth))
+    return master.select(
+        "patient_id",
+        age.alias("age"),
+        decade_age_band(age, birth).alias("decade_band"),
+        clinical_age_band(age).alias("clinical_band"),
+    )
+
+
+def q_parquet_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "raw-patients")
+    files.write_parquet(standins.bronze_patients(spark, sf_dir), path)
+    return files.read_parquet(spark, path)
+
+
+def q_csv_roundtrip(spark, sf_dir):
+    """Patients through CSV and back. With default CSV options an empty text
+    field and a missing one are both read as NULL (as in the source ingest)."""
+    path = scratch_path(spark, "csv-patients")
+    files.write_csv(standins.bronze_patients(spark, sf_dir), path, entity="patients")
+    return files.read_csv(spark, path, "patients")
+
+
+def q_csv_roundtrip_encounters(spark, sf_dir):
+    path = scratch_path(spark, "csv-encounters")
+    files.write_csv(standins.bronze_encounters(spark, sf_dir), path, entity="encounters")
+    return files.read_csv(spark, path, "encounters")
+
+
+def _scratch_namespace(spark) -> str:
+    root = scratch_path(spark, "tables")
+    ns = "clinlake_" + root.rsplit("-", 1)[-1]
+    catalog.ensure_namespace(spark, ns, location=root)
+    return ns
+
+
+def q_table_roundtrip(spark, sf_dir):
+    ns = _scratch_namespace(spark)
+    master = master_of(silver_tables(spark, sf_dir))
+    catalog.write_table(master, f"{ns}.covid_clinical_master")
+    return catalog.resolve_table(spark, f"{ns}.covid_clinical_master")
+
+
+def q_row_count_reconciliation(spark, sf_dir):
+    ns = _scratch_namespace(spark)
+    n = catalog.write_table(master_of(silver_tables(spark, sf_dir)), f"{ns}.covid_clinical_master")
+    return reconcile(spark, f"{ns}.covid_clinical_master", n, label="covid_clinical_master")
+
+
+def q_table_profile(spark, sf_dir):
+    b = standins.bronze_tables(spark, sf_dir)
+    s = silver_tables(spark, sf_dir)
+    tables = {("bronze", k): v for k, v in b.items()}
+    tables.update({("silver", k): v for k, v in s.items()})
+    tables[("silver", "covid_clinical_master")] = master_of(s)
+    return table_profile(tables)
+
+
+QUERIES.update(
+    {
+        "scan_parquet_project": q_scan_parquet_project,
+        "rename_by_map": q_rename_by_map,
+        "flexible_projection": q_flexible_projection,
+        "flexible_projection_no_time": q_flexible_projection_no_time,
+        "normalize_identifier": q_normalize_identifier,
+        "normalize_gender": q_normalize_gender,
+        "try_parse_dates": q_try_parse_dates,
+        "filter_keys_and_codes": q_filter_keys_and_codes,
+        "filter_text_patterns": q_filter_text_patterns,
+        "symptom_labels": q_symptom_labels,
+        "pathway_patterns": q_pathway_patterns,
+        "filter_on_or_after_index": q_filter_on_or_after_index,
+        "dedup_primary_key": q_dedup_primary_key,
+        "dedup_natural_key": q_dedup_natural_key,
+        "distinct_ids": q_distinct_ids,
+        "semi_join_cohort": q_semi_join_cohort,
+        "inner_join_named_keys": q_inner_join_named_keys,
+        "left_join_summaries": q_left_join_summaries,
+        "summary_per_key": q_summary_per_key,
+        "group_rate_by_population": q_group_rate_by_population,
+        "cohort_rate": q_cohort_rate,
+        "ratio_within_group": q_ratio_within_group,
+        "any_flag_per_key": q_any_flag_per_key,
+        "avg_stay": q_avg_stay,
+        "age_bands": q_age_bands,
+        "parquet_roundtrip": q_parquet_roundtrip,
+        "csv_roundtrip": q_csv_roundtrip,
+        "csv_roundtrip_encounters": q_csv_roundtrip_encounters,
+        "table_roundtrip": q_table_roundtrip,
+        "row_count_reconciliation": q_row_count_reconciliation,
+        "table_profile": q_table_profile,
+    }
+)
