@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from clinlake import schemas
 
@@ -16,20 +17,28 @@ def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, entity: str) -> DataFrame:
-    """Read an entity CSV with its declared schema (no inference), then rename
-    CSV headers to source column names.
+    """Read an entity CSV in source layout, without schema inference.
 
-    Values that do not fit the declared type become NULL (PERMISSIVE mode),
-    matching the tolerant typing of the Silver step.
+    Only the header line is read up front; each present header is typed from
+    the entity's declared schema (unknown headers stay text), then renamed to
+    the source column name. Declared columns absent from the file are added
+    as typed NULLs so the result always has the full source layout. Values
+    that do not fit the declared type become NULL (PERMISSIVE).
     """
-    return rename_columns(
-        spark.read.schema(schemas.csv_schema(entity))
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("enforceSchema", False)
-        .csv(path),
+    header = spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+    declared = {f.name: f.dataType for f in schemas.csv_schema(entity).fields}
+    file_schema = T.StructType([T.StructField(h, declared.get(h, T.StringType())) for h in header])
+    df = rename_columns(
+        spark.read.schema(file_schema).option("header", True).option("mode", "PERMISSIVE").csv(path),
         schemas.RENAME_MAPS[entity],
     )
+    layout = schemas.SOURCE_SCHEMAS[entity]
+    cols = [
+        F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in layout.fields
+    ]
+    extra = [F.col(c) for c in df.columns if c not in layout.fieldNames()]
+    return df.select(*cols, *extra)
 
 
 def write_csv(df: DataFrame, path: str, entity: str | None = None, mode: str = "overwrite") -> None:

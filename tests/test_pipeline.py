@@ -1,0 +1,58 @@
+import re
+
+from pyspark.sql import functions as F
+
+from clinlake.plans.pipeline import PipelineConfig, gold_tables, run_pipeline
+from clinlake.session import scratch_path
+from clinlake.sources import files, standins
+
+from conftest import SF_SMALL
+
+
+def _setup(spark, sf_dir):
+    root = scratch_path(spark, "pipe")
+    tag = re.sub(r"[^a-z0-9]", "", root.rsplit("-", 1)[-1])
+    csv_paths = {}
+    for entity, df in (("patients", standins.bronze_patients(spark, sf_dir)),
+                       ("encounters", standins.bronze_encounters(spark, sf_dir)),
+                       ("conditions", standins.bronze_conditions(spark, sf_dir))):
+        csv_paths[entity] = f"{root}/landing/{entity}"
+        files.write_csv(df, csv_paths[entity], entity=entity)
+    files.write_parquet(standins.bronze_observations(spark, sf_dir), f"{root}/landing/observations")
+    cfg = PipelineConfig(
+        raw_dir=f"{root}/raw", csv_paths=csv_paths, observations_raw=f"{root}/landing/observations",
+        table_root=f"{root}/tables", bronze_ns=f"b_{tag}", silver_ns=f"s_{tag}", gold_ns=f"g_{tag}",
+        spec=standins.STANDIN_SPEC,
+    )
+    for ns in (cfg.bronze_ns, cfg.silver_ns, cfg.gold_ns):
+        spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {ns} LOCATION '{root}/tables/{ns}'")
+    return cfg
+
+
+def _snapshot(spark, cfg):
+    out = {}
+    for name in gold_tables(spark, cfg):
+        df = spark.table(f"{cfg.gold_ns}.{name}")
+        out[name] = sorted((tuple(r) for r in df.collect()), key=repr)
+    out["master"] = sorted((tuple(r) for r in spark.table(f"{cfg.silver_ns}.covid_clinical_master").collect()), key=repr)
+    return out
+
+
+def test_pipeline_invariants_and_idempotence(spark):
+    cfg = _setup(spark, SF_SMALL)
+    counts = {(r["stage"], r["table_name"]): r["rows"] for r in run_pipeline(spark, cfg).collect()}
+    s, g = cfg.silver_ns, cfg.gold_ns
+    master = spark.table(f"{s}.covid_clinical_master")
+    assert counts[("silver", "covid_clinical_master")] == master.count() > 0
+    # master keys unique
+    assert master.select("patient_id").distinct().count() == master.count()
+    # sum of mortality counts = dead master rows
+    dead = master.filter(F.col("patient_deathdate").isNotNull()).count()
+    assert spark.table(f"{g}.mortality_demographics").agg(F.sum("mortality_count")).first()[0] == dead
+    # hospitalized + home isolation = total; recovered + deaths = total
+    row = spark.table(f"{g}.covid_pathway_summary").first()
+    assert row["hospitalized_cases"] + row["home_isolation_cases"] == row["total_covid_cases"] == master.count()
+    assert row["recovered_cases"] + row["death_cases"] == row["total_covid_cases"]
+    first = _snapshot(spark, cfg)
+    run_pipeline(spark, cfg, stages=("raw", "bronze", "silver", "gold"))
+    assert _snapshot(spark, cfg) == first
