@@ -1,0 +1,9 @@
+"""Streaming.
+
+The source system is batch only: it has no stream sources, watermarks,
+windows or stateful operators, and its workflows are triggered manually.
+There is therefore nothing to re-express with Structured Streaming, and this
+package deliberately defines no operators. Incremental arrival of new source
+files is handled by re-running the batch pipeline, whose every step is a full
+refresh of its output tables.
+"""
