@@ -13,11 +13,13 @@ def summarize_per_key(
     count_as: str,
     latest: Mapping[str, str] | None = None,
     sums: Mapping[str, tuple[str, str]] | None = None,
+    flags: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """groupBy(key): row count, max of ``latest`` columns, decimal sums.
+    """groupBy(key): row count, max of ``latest`` columns, decimal sums, any-flags.
 
     latest: {output_name: input_column}
     sums:   {output_name: (input_column, decimal_type)} — NULL inputs count as 0.
+    flags:  {output_name: boolean condition} — true if any row satisfies it.
     All are algebraic aggregates: partial aggregation runs map-side.
     """
     aggs: list[Column] = [F.count(F.lit(1)).alias(count_as)]
@@ -25,6 +27,8 @@ def summarize_per_key(
         aggs.append(F.max(F.col(src)).alias(out))
     for out, (src, dtype) in (sums or {}).items():
         aggs.append(F.sum(F.coalesce(F.col(src), F.lit(0))).cast(dtype).alias(out))
+    for out, cond in (flags or {}).items():
+        aggs.append(F.bool_or(F.coalesce(cond, F.lit(False))).alias(out))
     return df.groupBy(key).agg(*aggs)
 
 
