@@ -32,6 +32,8 @@ class PipelineConfig:
     fmt: str = "parquet"
     spec: AnalysisSpec = field(default_factory=AnalysisSpec)
     as_of: _dt.date | None = None
+    # tables whose row count is re-read after the write and compared
+    reconcile: tuple[str, ...] = ("covid_clinical_master",)
 
 
 def _loc(cfg: PipelineConfig, ns: str, name: str) -> str | None:
@@ -40,7 +42,8 @@ def _loc(cfg: PipelineConfig, ns: str, name: str) -> str | None:
 
 def _write(spark: SparkSession, cfg: PipelineConfig, df: DataFrame, ns: str, name: str) -> int:
     n = catalog.write_table(df, f"{ns}.{name}", fmt=cfg.fmt, path=_loc(cfg, ns, name))
-    assert_reconciled(spark, f"{ns}.{name}", n)
+    if name in cfg.reconcile:
+        assert_reconciled(spark, f"{ns}.{name}", n)
     return n
 
 

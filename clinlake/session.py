@@ -18,6 +18,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split skewed join partitions even when that needs an extra shuffle
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -48,13 +50,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     On a cluster this must be set to shared storage and is only read here.
     When it is unset (local tests) a fresh local folder is created and set.
     """
-    sc = spark.sparkContext
-    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    current = spark.conf.get("spark.checkpoint.dir", None)
+    if not current:
+        try:
+            current = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - no SparkContext under Spark Connect
+            current = None
     if current:
         return current.rstrip("/")
     local = tempfile.mkdtemp(prefix="clinlake-ckpt-")
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir().rstrip("/")
+    try:
+        spark.sparkContext.setCheckpointDir(local)
+    except Exception:  # noqa: BLE001
+        pass
+    return local
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
