@@ -32,12 +32,11 @@ def load_csv_to_db(
         if entity not in csv_paths:
             continue
         df = ingest_csv(spark, csv_paths[entity], entity)
-        jdbc.write_jdbc(
+        counts[entity] = jdbc.write_jdbc(
             df, url, entity, truncate_first=True,
             cascade=bool((cascade or {}).get(entity, entity != "conditions")),
             properties=properties,
         )
-        counts[entity] = spark.read.format("jdbc").options(url=url, dbtable=entity, **properties).load().count()
     return counts
 
 

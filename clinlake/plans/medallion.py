@@ -118,7 +118,7 @@ def stage_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
 STAGES = (("raw", stage_raw), ("bronze", stage_bronze), ("silver", stage_silver), ("gold", stage_gold))
 
 
-def run_pipeline(spark: SparkSession, cfg: PipelineConfig, stages=None) -> DataFrame:
+def run_medallion(spark: SparkSession, cfg: PipelineConfig, stages=None) -> DataFrame:
     """Run the stages in order; returns (stage, table_name, rows) as a DataFrame."""
     rows = []
     for name, fn in STAGES:

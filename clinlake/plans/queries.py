@@ -9,10 +9,36 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from clinlake import schemas
+from clinlake.functions import (
+    any_like,
+    as_date,
+    as_decimal,
+    as_string,
+    as_timestamp,
+    clinical_age_band,
+    decade_age_band,
+    flag,
+    normalize_gender,
+    normalize_identifier,
+    percent,
+    stay_days,
+    year_age,
+)
+from clinlake.operators import (
+    dedup_deterministic,
+    dedup_rows,
+    distinct_keys,
+    rate_against_groups,
+    restrict_to,
+    share_of_total,
+)
+from clinlake.operators.checks import reconcile, table_profile
 from clinlake.plans import gold, silver
-from clinlake.sources import standins
+from clinlake.session import scratch_path
+from clinlake.sources import catalog, files, standins
 from clinlake.sources.standins import STANDIN_SPEC
 
 # Reference day for ages of living patients in the registered query, so that
@@ -121,37 +147,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 # --- operator-level queries -------------------------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
-
-from clinlake import schemas  # noqa: E402
-from clinlake.functions import (  # noqa: E402
-    any_like,
-    as_date,
-    as_decimal,
-    as_string,
-    as_timestamp,
-    clinical_age_band,
-    decade_age_band,
-    flag,
-    normalize_gender,
-    normalize_identifier,
-    percent,
-    stay_days,
-    year_age,
-)
-from clinlake.operators import (  # noqa: E402
-    dedup_deterministic,
-    dedup_rows,
-    distinct_keys,
-    rate_against_groups,
-    restrict_to,
-    share_of_total,
-)
-from clinlake.operators.checks import reconcile, table_profile  # noqa: E402
-from clinlake.session import scratch_path  # noqa: E402
-from clinlake.sources import catalog, files  # noqa: E402
-
-
 def q_scan_parquet_project(spark, sf_dir):
     li = files.read_parquet(spark, f"{sf_dir}/lineitem.parquet")
     return li.select(

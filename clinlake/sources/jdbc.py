@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 DEFAULT_FETCH_SIZE = 10_000
 
@@ -72,15 +72,17 @@ def write_jdbc(
     properties: Mapping[str, str] | None = None,
     batch_size: int = 10_000,
     num_partitions: int | None = None,
-) -> None:
-    """Append rows, or truncate-then-load when ``truncate_first``.
+) -> int:
+    """Append rows, or truncate-then-load when ``truncate_first``; returns rows written.
 
     Truncate-then-load is Spark's overwrite with ``truncate=true``: the table
     (and its definition) stays, its rows are replaced in the same write.
     ``cascade`` asks the database to cascade the truncate where it supports it.
-    ``num_partitions`` caps concurrent database connections.
+    ``num_partitions`` caps concurrent database connections. The row count is
+    observed during the write (no second pass, no read-back).
     """
-    writer = df.write.format("jdbc").option("url", url).option("dbtable", table).option("batchsize", str(batch_size))
+    obs = Observation(f"jdbc_rows:{table}")
+    writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format("jdbc").option("url", url).option("dbtable", table).option("batchsize", str(batch_size))
     for k, v in (properties or {}).items():
         writer = writer.option(k, v)
     if num_partitions:
@@ -92,3 +94,4 @@ def write_jdbc(
     else:
         writer = writer.mode(mode)
     writer.save()
+    return int(obs.get["rows"])

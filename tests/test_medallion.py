@@ -2,7 +2,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from clinlake.plans.pipeline import PipelineConfig, gold_tables, run_pipeline
+from clinlake.plans.medallion import PipelineConfig, gold_tables, run_medallion
 from clinlake.session import scratch_path
 from clinlake.sources import files, standins
 
@@ -38,9 +38,9 @@ def _snapshot(spark, cfg):
     return out
 
 
-def test_pipeline_invariants_and_idempotence(spark):
+def test_medallion_invariants_and_idempotence(spark):
     cfg = _setup(spark, SF_SMALL)
-    counts = {(r["stage"], r["table_name"]): r["rows"] for r in run_pipeline(spark, cfg).collect()}
+    counts = {(r["stage"], r["table_name"]): r["rows"] for r in run_medallion(spark, cfg).collect()}
     s, g = cfg.silver_ns, cfg.gold_ns
     master = spark.table(f"{s}.covid_clinical_master")
     assert counts[("silver", "covid_clinical_master")] == master.count() > 0
@@ -54,5 +54,5 @@ def test_pipeline_invariants_and_idempotence(spark):
     assert row["hospitalized_cases"] + row["home_isolation_cases"] == row["total_covid_cases"] == master.count()
     assert row["recovered_cases"] + row["death_cases"] == row["total_covid_cases"]
     first = _snapshot(spark, cfg)
-    run_pipeline(spark, cfg, stages=("raw", "bronze", "silver", "gold"))
+    run_medallion(spark, cfg, stages=("raw", "bronze", "silver", "gold"))
     assert _snapshot(spark, cfg) == first
