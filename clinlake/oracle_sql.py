@@ -564,3 +564,43 @@ FROM master
         ),
     }
 )
+
+
+# --- ingestion and the whole medallion run --------------------------------------
+def _count_of(sql: str) -> str:
+    return f"(SELECT count(*) FROM ({sql.strip()}) x)"
+
+
+RAW_TO_BRONZE = "\nUNION ALL\n".join(
+    f"SELECT 'bronze' AS stage, '{t}' AS table_name, {_count_of(with_ctes(f'SELECT * FROM bronze_{t}', f'bronze_{t}'))} "
+    f"AS row_count, CAST({n} AS INTEGER) AS column_count"
+    for t, n in (("patients", 25), ("encounters", 15), ("conditions", 6))
+)
+
+_MEDALLION_PARTS = [
+    ("raw", "patients", with_ctes("SELECT * FROM bronze_patients", "bronze_patients")),
+    ("raw", "encounters", with_ctes("SELECT * FROM bronze_encounters", "bronze_encounters")),
+    ("raw", "conditions", with_ctes("SELECT * FROM bronze_conditions", "bronze_conditions")),
+    ("bronze", "patients", with_ctes("SELECT * FROM bronze_patients", "bronze_patients")),
+    ("bronze", "encounters", with_ctes("SELECT * FROM bronze_encounters", "bronze_encounters")),
+    ("bronze", "conditions", with_ctes("SELECT * FROM bronze_conditions", "bronze_conditions")),
+    ("bronze", "observations", with_ctes("SELECT * FROM bronze_observations", "bronze_observations")),
+    ("silver", "patients", ORACLE_SQL["clean_patients"]),
+    ("silver", "encounters", ORACLE_SQL["clean_encounters"]),
+    ("silver", "conditions", ORACLE_SQL["clean_conditions"]),
+    ("silver", "observations", ORACLE_SQL["clean_observations"]),
+    ("silver", "covid_clinical_master", ORACLE_SQL["clinical_master"]),
+    ("gold", "symptoms_outcomes", ORACLE_SQL["symptoms_outcomes"]),
+    ("gold", "mortality_demographics", ORACLE_SQL["mortality_demographics"]),
+    ("gold", "hospitalization_workload", ORACLE_SQL["hospitalization_workload"]),
+    ("gold", "mortality_by_demographics", ORACLE_SQL["mortality_by_demographics"]),
+    ("gold", "covid_pathway_summary", ORACLE_SQL["pathway_summary"]),
+    ("gold", "revenue_analysis", ORACLE_SQL["revenue_monthly_region"]),
+    ("gold", "covid_trends", ORACLE_SQL["weekly_trend"]),
+]
+MEDALLION_RUN = "\nUNION ALL\n".join(
+    f"SELECT '{st}' AS stage, '{nm}' AS table_name, {_count_of(sql)} AS row_count"
+    for st, nm, sql in _MEDALLION_PARTS
+)
+
+ORACLE_SQL.update({"raw_to_bronze": RAW_TO_BRONZE, "medallion_run": MEDALLION_RUN})

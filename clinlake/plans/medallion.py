@@ -9,6 +9,7 @@ independent of each other.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -119,11 +120,24 @@ STAGES = (("raw", stage_raw), ("bronze", stage_bronze), ("silver", stage_silver)
 
 
 def run_medallion(spark: SparkSession, cfg: PipelineConfig, stages=None) -> DataFrame:
-    """Run the stages in order; returns (stage, table_name, rows) as a DataFrame."""
+    """Run the stages in order; returns (stage, table_name, row_count) as a DataFrame."""
     rows = []
     for name, fn in STAGES:
         if stages and name not in stages:
             continue
         for table, n in fn(spark, cfg).items():
             rows.append((name, table, int(n)))
-    return spark.createDataFrame(rows, "stage string, table_name string, rows bigint")
+    return spark.createDataFrame(rows, "stage string, table_name string, row_count bigint")
+
+
+def scratch_config(spark: SparkSession, root: str, **kwargs) -> PipelineConfig:
+    """A config whose namespaces and tables all live under ``root`` (a fresh
+    folder under the shared checkpoint location), for isolated runs."""
+    tag = re.sub(r"[^a-z0-9]", "", root.rstrip("/").rsplit("/", 1)[-1].rsplit("-", 1)[-1])
+    cfg = PipelineConfig(
+        raw_dir=f"{root}/raw", table_root=f"{root}/tables",
+        bronze_ns=f"bronze_{tag}", silver_ns=f"silver_{tag}", gold_ns=f"gold_{tag}", **kwargs,
+    )
+    for ns in (cfg.bronze_ns, cfg.silver_ns, cfg.gold_ns):
+        catalog.ensure_namespace(spark, ns, location=f"{root}/tables/{ns}")
+    return cfg

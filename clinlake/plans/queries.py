@@ -36,7 +36,7 @@ from clinlake.operators import (
     share_of_total,
 )
 from clinlake.operators.checks import reconcile, table_profile
-from clinlake.plans import gold, silver
+from clinlake.plans import gold, ingest, medallion, silver
 from clinlake.session import scratch_path
 from clinlake.sources import catalog, files, standins
 from clinlake.sources.standins import STANDIN_SPEC
@@ -434,3 +434,30 @@ QUERIES.update(
         "table_profile": q_table_profile,
     }
 )
+
+
+# --- ingestion and the whole medallion run ------------------------------------------
+
+
+
+def q_raw_to_bronze(spark, sf_dir):
+    """Raw Parquet landing of the three entities, then Bronze tables (Q3)."""
+    root = scratch_path(spark, "q3")
+    b = standins.bronze_tables(spark, sf_dir)
+    ingest.land_raw({t: b[t] for t in ingest.ENTITIES}, f"{root}/raw")
+    cfg = medallion.scratch_config(spark, root)
+    ingest.raw_to_bronze(spark, f"{root}/raw", cfg.bronze_ns, location=f"{root}/tables/{cfg.bronze_ns}")
+    return table_profile({("bronze", t): spark.table(f"{cfg.bronze_ns}.{t}") for t in ingest.ENTITIES})
+
+
+def q_medallion_run(spark, sf_dir):
+    """CSV landing files -> Raw -> Bronze -> Silver -> Gold; rows per table (Q15)."""
+    root = scratch_path(spark, "q15")
+    csv_paths, obs_path = standins.land_sources(spark, sf_dir, root)
+    cfg = medallion.scratch_config(
+        spark, root, csv_paths=csv_paths, observations_raw=obs_path, spec=STANDIN_SPEC, as_of=AS_OF
+    )
+    return medallion.run_medallion(spark, cfg)
+
+
+QUERIES.update({"raw_to_bronze": q_raw_to_bronze, "medallion_run": q_medallion_run})

@@ -265,3 +265,22 @@ SELECT
 FROM events
 """,
 }
+
+
+def land_sources(spark: SparkSession, sf_dir: str, root: str) -> tuple[dict[str, str], str]:
+    """Write the stand-in entities as source landing files under ``root``:
+    one CSV directory per entity (source header names) and observations as
+    Parquet. Returns (csv_paths by entity, observations path)."""
+    from clinlake.sources import files
+
+    csv_paths = {}
+    for entity, df in (
+        ("patients", bronze_patients(spark, sf_dir)),
+        ("encounters", bronze_encounters(spark, sf_dir)),
+        ("conditions", bronze_conditions(spark, sf_dir)),
+    ):
+        csv_paths[entity] = f"{root}/landing/{entity}"
+        files.write_csv(df, csv_paths[entity], entity=entity)
+    obs_path = f"{root}/landing/observations"
+    files.write_parquet(bronze_observations(spark, sf_dir), obs_path)
+    return csv_paths, obs_path

@@ -1,32 +1,16 @@
-import re
-
 from pyspark.sql import functions as F
 
-from clinlake.plans.medallion import PipelineConfig, gold_tables, run_medallion
+from clinlake.plans.medallion import gold_tables, run_medallion, scratch_config
 from clinlake.session import scratch_path
-from clinlake.sources import files, standins
+from clinlake.sources import standins
 
 from conftest import SF_SMALL
 
 
 def _setup(spark, sf_dir):
     root = scratch_path(spark, "pipe")
-    tag = re.sub(r"[^a-z0-9]", "", root.rsplit("-", 1)[-1])
-    csv_paths = {}
-    for entity, df in (("patients", standins.bronze_patients(spark, sf_dir)),
-                       ("encounters", standins.bronze_encounters(spark, sf_dir)),
-                       ("conditions", standins.bronze_conditions(spark, sf_dir))):
-        csv_paths[entity] = f"{root}/landing/{entity}"
-        files.write_csv(df, csv_paths[entity], entity=entity)
-    files.write_parquet(standins.bronze_observations(spark, sf_dir), f"{root}/landing/observations")
-    cfg = PipelineConfig(
-        raw_dir=f"{root}/raw", csv_paths=csv_paths, observations_raw=f"{root}/landing/observations",
-        table_root=f"{root}/tables", bronze_ns=f"b_{tag}", silver_ns=f"s_{tag}", gold_ns=f"g_{tag}",
-        spec=standins.STANDIN_SPEC,
-    )
-    for ns in (cfg.bronze_ns, cfg.silver_ns, cfg.gold_ns):
-        spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {ns} LOCATION '{root}/tables/{ns}'")
-    return cfg
+    csv_paths, obs_path = standins.land_sources(spark, sf_dir, root)
+    return scratch_config(spark, root, csv_paths=csv_paths, observations_raw=obs_path, spec=standins.STANDIN_SPEC)
 
 
 def _snapshot(spark, cfg):
@@ -40,7 +24,7 @@ def _snapshot(spark, cfg):
 
 def test_medallion_invariants_and_idempotence(spark):
     cfg = _setup(spark, SF_SMALL)
-    counts = {(r["stage"], r["table_name"]): r["rows"] for r in run_medallion(spark, cfg).collect()}
+    counts = {(r["stage"], r["table_name"]): r["row_count"] for r in run_medallion(spark, cfg).collect()}
     s, g = cfg.silver_ns, cfg.gold_ns
     master = spark.table(f"{s}.covid_clinical_master")
     assert counts[("silver", "covid_clinical_master")] == master.count() > 0
