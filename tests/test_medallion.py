@@ -40,3 +40,21 @@ def test_medallion_invariants_and_idempotence(spark):
     first = _snapshot(spark, cfg)
     run_medallion(spark, cfg, stages=("raw", "bronze", "silver", "gold"))
     assert _snapshot(spark, cfg) == first
+
+
+def test_medallion_without_observations(spark):
+    """No Bronze observations table: cohort from coded conditions only, same master schema."""
+    root = scratch_path(spark, "pipe-noobs")
+    csv_paths, _ = standins.land_sources(spark, SF_SMALL, root)
+    cfg = scratch_config(spark, root, csv_paths=csv_paths, spec=standins.STANDIN_SPEC)
+    tables = {r["table_name"] for r in run_medallion(spark, cfg, stages=("raw", "bronze", "silver")).collect()}
+    assert "observations" not in tables and "covid_clinical_master" in tables
+    master = spark.table(f"{cfg.silver_ns}.covid_clinical_master")
+    assert len(master.columns) == 32
+    assert master.filter("observation_count <> 0 OR last_observation_time IS NOT NULL").count() == 0
+    from clinlake.plans import silver
+
+    s = cfg.silver_ns
+    coded = silver.cohort_from_conditions(spark.table(f"{s}.conditions"), standins.STANDIN_SPEC.cohort)
+    expected = spark.table(f"{s}.patients").join(coded, "patient_id", "left_semi").count()
+    assert master.count() == expected

@@ -37,3 +37,10 @@ def test_denominators_stay_in_plan(spark):
     # share-of-total uses a scalar subquery, not a driver-side count
     plan = _plan(entry.queries()["hospitalization_workload"](spark, SF_SMALL))
     assert "Subquery" in plan
+
+
+def test_dedup_and_summaries_combine_before_the_shuffle(spark):
+    # hot keys leave each map task as one partial-aggregate row
+    for name, partial in (("clean_patients", "partial_min"), ("summary_per_key", "partial_count")):
+        plan = _plan(entry.queries()[name](spark, SF_SMALL))
+        assert partial in plan, name
