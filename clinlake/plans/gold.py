@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clinlake.functions.labels import (
     any_like,
@@ -48,6 +48,42 @@ def labelled_conditions(conditions: DataFrame, spec: SymptomSpec = SymptomSpec()
     )
 
 
+def symptom_onsets(
+    conditions: DataFrame,
+    cohort_spec: CohortSpec = CohortSpec(),
+    symptom_spec: SymptomSpec = SymptomSpec(),
+) -> DataFrame:
+    """(patient_id, condition_category, last_start, covid_diagnosis_date) in one pass.
+
+    One aggregate over the conditions that are either coded or match the
+    keyword filter, at (patient, category) grain: the earliest coded start and
+    the latest labelled start. A per-patient window (at most one row per
+    category plus one) then spreads the patient's first coded date over the
+    patient's category rows.
+    """
+    desc = F.col("condition_description")
+    start = F.col("condition_start_date")
+    coded = F.col("condition_code").isin(*cohort_spec.condition_codes)
+    keyword = desc.rlike(f"(?i)({symptom_spec.filter_pattern})")
+    per_group = (
+        conditions.filter(coded | keyword)
+        .groupBy(
+            "patient_id",
+            F.when(keyword, first_match_label(desc, symptom_spec.labels)).alias("condition_category"),
+        )
+        .agg(
+            F.min(F.when(coded, start)).alias("first_coded"),
+            F.max(F.when(keyword, start)).alias("last_start"),
+        )
+    )
+    by_patient = Window.partitionBy("patient_id")
+    return (
+        per_group.withColumn("covid_diagnosis_date", F.min("first_coded").over(by_patient))
+        .filter(F.col("condition_category").isNotNull())
+        .select("patient_id", "condition_category", "last_start", "covid_diagnosis_date")
+    )
+
+
 def symptoms_outcomes(
     master: DataFrame,
     conditions: DataFrame,
@@ -58,22 +94,17 @@ def symptoms_outcomes(
 
     A patient counts for a category when any labelled condition of that
     category starts on or after the patient's first coded diagnosis, i.e.
-    when the latest start date in the category is >= the index date. The
-    latest date per (patient, category) is aggregated before the join.
-    Denominators are whole-master populations per survivor flag, so members
-    admitted only by observation lower the rate.
+    when the latest start date in the category is >= the index date (both
+    come from one aggregate, ``symptom_onsets``). Denominators are
+    whole-master populations per survivor flag, so members admitted only by
+    observation lower the rate.
     """
     people = survivor_cohort(master)
     population = people.groupBy("is_survivor").agg(F.count(F.lit(1)).alias("total_group_population"))
-    latest = (
-        labelled_conditions(conditions, symptom_spec)
-        .groupBy("patient_id", "condition_category")
-        .agg(F.max("condition_start_date").alias("last_start"))
-    )
     qualifying = (
-        people.join(index_dates(conditions, cohort_spec), "patient_id")
-        .join(latest, "patient_id")
+        symptom_onsets(conditions, cohort_spec, symptom_spec)
         .filter(F.col("last_start") >= F.col("covid_diagnosis_date"))
+        .join(people, "patient_id")
     )
     # (patient, category) is unique here, so a row count is a distinct-patient count.
     counts = qualifying.groupBy("condition_category", "is_survivor").agg(
