@@ -519,6 +519,14 @@ FROM master GROUP BY state
             "master",
         ),
         "any_flag_per_key": _gold(PATHWAY_FLAGS, "master", "silver_encounters", "silver_conditions"),
+        "global_summary": with_ctes(
+            """
+SELECT count(*) AS encounter_count, CAST(sum(total_claim_cost) AS DECIMAL(38,2)) AS total_claim_cost,
+       min(encounter_start) AS first_encounter_start, max(encounter_stop) AS last_encounter_stop
+FROM silver_encounters
+""",
+            "silver_encounters",
+        ),
         "avg_stay": with_ctes(
             """
 SELECT encounter_class, count(*) AS encounters,

@@ -330,6 +330,17 @@ def q_any_flag_per_key(spark, sf_dir):
     return gold.pathway_flags(master_of(s), s["encounters"], s["conditions"], STANDIN_SPEC.pathway)
 
 
+def q_global_summary(spark, sf_dir):
+    from clinlake.operators.summaries import global_summary
+
+    return global_summary(
+        silver_tables(spark, sf_dir)["encounters"], "encounter_count",
+        sums={"total_claim_cost": ("total_claim_cost", "decimal(38,2)")},
+        earliest={"first_encounter_start": "encounter_start"},
+        latest={"last_encounter_stop": "encounter_stop"},
+    )
+
+
 def q_avg_stay(spark, sf_dir):
     e = silver_tables(spark, sf_dir)["encounters"]
     return e.groupBy("encounter_class").agg(
@@ -424,6 +435,7 @@ QUERIES.update(
         "cohort_rate": q_cohort_rate,
         "ratio_within_group": q_ratio_within_group,
         "any_flag_per_key": q_any_flag_per_key,
+        "global_summary": q_global_summary,
         "avg_stay": q_avg_stay,
         "age_bands": q_age_bands,
         "parquet_roundtrip": q_parquet_roundtrip,

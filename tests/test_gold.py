@@ -73,3 +73,14 @@ def test_revenue_and_weekly_trend(spark):
         (dt.date(2020, 3, 30), "Male", 1),
         (dt.date(2020, 4, 27), None, 1),
     ]
+
+
+def test_global_summary_on_empty_input(spark):
+    from clinlake.operators.summaries import global_summary
+
+    _, _, ce, _ = _world(spark)
+    row = global_summary(ce.limit(0), "n", sums={"cost": ("total_claim_cost", "decimal(38,2)")},
+                         earliest={"first": "encounter_start"}).collect()
+    assert [tuple(r) for r in row] == [(0, None, None)]
+    full = global_summary(ce, "n", sums={"cost": ("total_claim_cost", "decimal(38,2)")}).collect()[0]
+    assert (full["n"], full["cost"]) == (3, Decimal("120.50"))
