@@ -26,11 +26,16 @@ def as_date(df: DataFrame, name: str) -> Column:
     return F.try_to_date(col.cast("string"))
 
 
+# A time of day followed by an explicit zone offset at the end of the text.
+_OFFSET_SUFFIX = r"(?i)\d{1,2}:\d{2}(:\d{2}(\.\d*)?)?\s*(z|utc|gmt|[+-]\d{1,2}(:?\d{2})?)$"
+
+
 def as_timestamp(df: DataFrame, name: str) -> Column:
     """Column ``name`` as TIMESTAMP_NTZ (session-zone wall clock).
 
-    Text with an explicit offset is first read as an instant and then shown
-    in the session zone; plain text is taken as wall clock directly.
+    Plain text is taken as wall clock directly, so no session zone (or its
+    daylight-saving gaps) can shift it. Text ending in an explicit offset is
+    read as an instant and shown in the session zone.
     """
     dtype = _type_of(df, name)
     col = F.col(name)
@@ -38,7 +43,10 @@ def as_timestamp(df: DataFrame, name: str) -> Column:
         return col
     if isinstance(dtype, (T.TimestampType, T.DateType)):
         return col.cast("timestamp_ntz")
-    return F.try_to_timestamp(col.cast("string")).cast("timestamp_ntz")
+    text = F.trim(col.cast("string"))
+    return F.when(
+        text.rlike(_OFFSET_SUFFIX), F.try_to_timestamp(text).cast("timestamp_ntz")
+    ).otherwise(text.try_cast("timestamp_ntz"))
 
 
 def as_decimal(df: DataFrame, name: str, precision: int, scale: int) -> Column:

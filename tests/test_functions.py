@@ -87,3 +87,24 @@ def test_percent_rounds_and_tolerates_zero(spark):
     df = spark.createDataFrame([(1, 3), (2, 0), (0, 5)], "n long, d long")
     out = [r[0] for r in df.select(percent(F.col("n"), F.col("d"))).collect()]
     assert out == [33.33, None, 0.0]
+
+
+def test_timestamps_keep_wall_clock_in_any_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame(
+            [(0, "2020-03-08 02:30:00"), (1, "2020-03-01 10:00:00+07:00"), (2, "2020-03-01T10:00:00Z"),
+             (3, "2020-03-01"), (4, "bad")],
+            "i int, t string",
+        )
+        out = [r[0] for r in df.orderBy("i").select(as_timestamp(df, "t")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert out == [
+        dt.datetime(2020, 3, 8, 2, 30),  # inside the DST gap: not shifted
+        dt.datetime(2020, 2, 29, 22, 0),  # offset text shown in the session zone
+        dt.datetime(2020, 3, 1, 5, 0),
+        dt.datetime(2020, 3, 1, 0, 0),
+        None,
+    ]

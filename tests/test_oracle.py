@@ -21,6 +21,7 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, name):
     rep = compare(spark, SF_SMALL, [name], verbose=False)[name]
     assert rep["ok"], rep
+    assert not rep["type_diff"], rep["type_diff"]
 
 
 def test_entry_smoke(spark):
