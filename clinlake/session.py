@@ -82,3 +82,25 @@ def local_fs_path(path: str) -> str:
 def ensure_local_dir(path: str) -> None:
     if is_local_path(path):
         os.makedirs(local_fs_path(path), exist_ok=True)
+
+
+def scale_conf(
+    shuffle_bytes: int,
+    total_cores: int,
+    target_partition_bytes: int = 256 * 1024 * 1024,
+    split_bytes: int = 256 * 1024 * 1024,
+) -> dict[str, str]:
+    """Settings sized for a run whose largest shuffle moves ``shuffle_bytes``.
+
+    Shuffle partitions start at shuffle size / target partition size (at
+    least 2 waves of the cluster's cores) so no reducer has to spill a huge
+    partition; AQE then coalesces small ones to the advisory size and splits
+    skewed ones. Input splits stay at ``split_bytes``.
+    """
+    partitions = max(2 * total_cores, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+    }

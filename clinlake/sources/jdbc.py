@@ -57,6 +57,13 @@ def read_jdbc(spark: SparkSession, predicates: Sequence[str] | None = None, **kw
     return spark.read.format("jdbc").options(**opts).load()
 
 
+def hash_bucket_predicates(column: str, buckets: int) -> list[str]:
+    """PostgreSQL WHERE clauses splitting a table into ``buckets`` disjoint parts
+    by a hash of ``column`` (e.g. a UUID key), for parallel reads with ``predicates``."""
+    expr = f"mod(abs(hashtext({column}::text)::bigint), {int(buckets)})"
+    return [f"{expr} = {i}" for i in range(int(buckets))]
+
+
 def extract_tables(spark: SparkSession, tables: Iterable[str], **kwargs) -> dict[str, DataFrame]:
     """One lazy JDBC scan per table name."""
     return {t: read_jdbc(spark, table=t, **kwargs) for t in tables}

@@ -71,3 +71,17 @@ def test_jdbc_options():
     assert o["fetchsize"] == "10000" and o["numPartitions"] == "8" and o["partitionColumn"] == "n"
     with pytest.raises(ValueError):
         jdbc.jdbc_options("jdbc:x://h/db", "t", partition_column="n")
+
+
+def test_hash_bucket_predicates_cover_all_buckets():
+    preds = jdbc.hash_bucket_predicates("id", 4)
+    assert len(preds) == 4 and preds[0].endswith("= 0") and preds[3].endswith("= 3")
+    assert all("hashtext(id::text)" in p for p in preds)
+
+
+def test_scale_conf():
+    from clinlake.session import scale_conf
+
+    conf = scale_conf(shuffle_bytes=100 * 2**40, total_cores=8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600  # 100 TiB / 256 MiB
+    assert int(scale_conf(10 * 2**20, total_cores=8)["spark.sql.shuffle.partitions"]) == 16
