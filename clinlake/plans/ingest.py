@@ -45,9 +45,31 @@ def land_raw(sources: Mapping[str, DataFrame], raw_dir: str) -> dict[str, int]:
     return {name: files.write_parquet(df, f"{raw_dir.rstrip('/')}/{name}") for name, df in sources.items()}
 
 
-def extract_db_to_raw(spark: SparkSession, raw_dir: str, tables=ENTITIES, **jdbc_kwargs) -> dict[str, int]:
-    """DB tables -> Raw Parquet."""
-    return land_raw(jdbc.extract_tables(spark, tables, **jdbc_kwargs), raw_dir)
+# Column each entity table is split on for parallel hash-bucket reads.
+HASH_COLUMNS = {"patients": "id", "encounters": "id", "conditions": "patient"}
+
+
+def extract_db_to_raw(
+    spark: SparkSession,
+    raw_dir: str,
+    tables=ENTITIES,
+    hash_buckets: int = 0,
+    hash_columns: Mapping[str, str] | None = None,
+    **jdbc_kwargs,
+) -> dict[str, int]:
+    """DB tables -> Raw Parquet. With ``hash_buckets`` > 0 each table is read
+    by that many parallel connections, split on a hash of its key column."""
+    cols = {**HASH_COLUMNS, **dict(hash_columns or {})}
+    dfs = {
+        t: jdbc.read_jdbc(
+            spark,
+            predicates=jdbc.hash_bucket_predicates(cols[t], hash_buckets) if hash_buckets else None,
+            table=t,
+            **jdbc_kwargs,
+        )
+        for t in tables
+    }
+    return land_raw(dfs, raw_dir)
 
 
 def raw_to_bronze(

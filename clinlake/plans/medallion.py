@@ -41,6 +41,11 @@ def _loc(cfg: PipelineConfig, ns: str, name: str) -> str | None:
     return f"{cfg.table_root.rstrip('/')}/{ns}/{name}" if cfg.table_root else None
 
 
+def _ns(spark: SparkSession, cfg: PipelineConfig, ns: str) -> None:
+    """Create a namespace; under ``table_root`` when one is configured."""
+    catalog.ensure_namespace(spark, ns, location=f"{cfg.table_root.rstrip('/')}/{ns}" if cfg.table_root else None)
+
+
 def _write(spark: SparkSession, cfg: PipelineConfig, df: DataFrame, ns: str, name: str) -> int:
     n = catalog.write_table(df, f"{ns}.{name}", fmt=cfg.fmt, path=_loc(cfg, ns, name))
     if name in cfg.reconcile:
@@ -60,6 +65,7 @@ def stage_raw(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
 
 
 def stage_bronze(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
+    _ns(spark, cfg, cfg.bronze_ns)
     tables = list(ingest.ENTITIES)
     counts = ingest.raw_to_bronze(
         spark, cfg.raw_dir, cfg.bronze_ns, tables, fmt=cfg.fmt,
@@ -72,7 +78,7 @@ def stage_bronze(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
 
 
 def stage_silver(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
-    catalog.ensure_namespace(spark, cfg.silver_ns)
+    _ns(spark, cfg, cfg.silver_ns)
     b = cfg.bronze_ns
     counts = {
         "patients": _write(spark, cfg, silver.clean_patients(catalog.resolve_table(spark, f"{b}.patients")), cfg.silver_ns, "patients"),
@@ -112,7 +118,7 @@ def gold_tables(spark: SparkSession, cfg: PipelineConfig) -> dict[str, DataFrame
 
 
 def stage_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
-    catalog.ensure_namespace(spark, cfg.gold_ns)
+    _ns(spark, cfg, cfg.gold_ns)
     return {name: _write(spark, cfg, df, cfg.gold_ns, name) for name, df in gold_tables(spark, cfg).items()}
 
 
@@ -139,5 +145,5 @@ def scratch_config(spark: SparkSession, root: str, **kwargs) -> PipelineConfig:
         bronze_ns=f"bronze_{tag}", silver_ns=f"silver_{tag}", gold_ns=f"gold_{tag}", **kwargs,
     )
     for ns in (cfg.bronze_ns, cfg.silver_ns, cfg.gold_ns):
-        catalog.ensure_namespace(spark, ns, location=f"{root}/tables/{ns}")
+        _ns(spark, cfg, ns)
     return cfg

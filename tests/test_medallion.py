@@ -58,3 +58,29 @@ def test_medallion_without_observations(spark):
     coded = silver.cohort_from_conditions(spark.table(f"{s}.conditions"), standins.STANDIN_SPEC.cohort)
     expected = spark.table(f"{s}.patients").join(coded, "patient_id", "left_semi").count()
     assert master.count() == expected
+
+
+def test_cli_arguments_build_the_config():
+    from clinlake.cli import config_from_args, parse_args
+
+    a = parse_args(["run", "--csv", "patients=/p", "--csv", "encounters=/e", "--raw-dir", "/raw",
+                    "--as-of", "2024-12-31", "--stages", "raw,bronze"])
+    cfg = config_from_args(a)
+    assert cfg.csv_paths == {"patients": "/p", "encounters": "/e"} and cfg.raw_dir == "/raw"
+    assert str(cfg.as_of) == "2024-12-31" and cfg.jdbc is None and a.stages == "raw,bronze"
+
+
+def test_cli_runs_the_stages(spark):
+    import subprocess
+    import sys
+
+    root = scratch_path(spark, "cli")
+    csv_paths, _ = standins.land_sources(spark, SF_SMALL, root)
+    repo = __import__("os").path.dirname(__import__("os").path.dirname(__import__("os").path.abspath(__file__)))
+    args = [sys.executable, "-m", "clinlake", "run", "--stages", "raw,bronze", "--raw-dir", f"{root}/raw",
+            "--table-root", f"{root}/tables"]
+    for entity, path in csv_paths.items():
+        args += ["--csv", f"{entity}={path}"]
+    out = subprocess.run(args, cwd=repo, capture_output=True, text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert "bronze" in out.stdout and "encounters" in out.stdout
