@@ -6,7 +6,8 @@ their source (Bronze) layout, with the dirt the cleaning steps exist for:
 padded and missing identifiers, a duplicated patient id, blank and lower-case
 genders, missing birth dates, encounters without a stop time, conditions
 without an encounter. Every stand-in is a plain Spark plan over the given
-tables, so its work grows with them.
+tables, so its work grows with them. No stand-in drops, samples or caps
+rows: the ``%`` expressions below only decide which rows carry dirty values.
 
 | entity       | from                                   |
 | ------------ | -------------------------------------- |
