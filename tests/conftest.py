@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -18,7 +17,6 @@ def spark():
         "local[*]",
         app="clinlake-tests",
         shuffle_partitions=8,
-        conf={"spark.local.dir": tempfile.mkdtemp(prefix="clinlake-test-local-")},
     )
     checkpoint_dir(s)  # unset in tests: a fresh local folder is set
     yield s
