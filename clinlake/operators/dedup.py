@@ -6,7 +6,8 @@ struct, i.e. a plain aggregate: Spark runs a partial aggregate before the
 shuffle, so a key holding a third of the rows leaves each map task as one
 row and never piles up in a single reducer. The result is the same on every
 run and equals SQL ``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY rest
-NULLS FIRST) = 1``.
+NULLS FIRST) = 1``. For large tables whose keys are mostly unique, the
+"split" strategy avoids shuffling whole rows (see ``dedup_deterministic``).
 """
 
 from __future__ import annotations
@@ -18,23 +19,64 @@ from pyspark.sql import DataFrame, functions as F
 _SURVIVOR = "__survivor"
 
 
-def dedup_deterministic(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
-    """One row per ``keys``; survivor = first row ordered by ``order`` (default: all other columns)."""
-    keys = list(keys)
+def _first_per_key(df: DataFrame, keys: list[str], order: list[str] | None) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
-    if not rest:
-        return df.dropDuplicates(keys)
     order = list(order) if order is not None else rest
     tail = [c for c in rest if c not in order]
-    picked = (
-        df.groupBy(*keys)
-        .agg(F.min(F.struct(*[F.col(c) for c in order + tail])).alias(_SURVIVOR))
-    )
+    picked = df.groupBy(*keys).agg(F.min(F.struct(*[F.col(c) for c in order + tail])).alias(_SURVIVOR))
     return picked.select(*[F.col(k) for k in keys], *[F.col(f"{_SURVIVOR}.{c}").alias(c) for c in rest]).select(
         *df.columns
     )
 
 
+# Largest duplicate-key set the "split" strategy broadcasts.
+MAX_BROADCAST_DUPLICATE_KEYS = 1_000_000
+
+
+def dedup_deterministic(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str] | None = None,
+    strategy: str = "sort",
+    max_broadcast_keys: int = MAX_BROADCAST_DUPLICATE_KEYS,
+) -> DataFrame:
+    """One row per ``keys``; survivor = first row ordered by ``order`` (default: all other columns).
+
+    strategy="sort" (lazy): one keyed ``min(struct)`` aggregate over all rows.
+    strategy="split": first counts rows per key (a shuffle of keys only) and
+    checks how many keys are duplicated. None: ``df`` is returned as is, with
+    no shuffle of rows at all. Up to ``max_broadcast_keys``: that key set is
+    broadcast, rows of unique keys pass through map-side (anti join) and only
+    rows of duplicated keys are aggregated. More: falls back to "sort". Every
+    path returns the same rows. "split" runs the count when called.
+    """
+    keys = list(keys)
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.dropDuplicates(keys)
+    if strategy == "sort":
+        return _first_per_key(df, keys, order)
+    if strategy != "split":
+        raise ValueError(f"unknown strategy {strategy!r}")
+    dup_keys = (
+        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1)
+        .select(*[F.col(k).alias(f"__dk{i}") for i, k in enumerate(keys)])
+    )
+    n_dup = dup_keys.count()
+    if n_dup == 0:
+        return df
+    if n_dup > max_broadcast_keys:
+        return _first_per_key(df, keys, order)
+    small = F.broadcast(dup_keys)  # size checked just above
+    cond = None
+    for i, k in enumerate(keys):
+        c = F.col(k).eqNullSafe(F.col(f"__dk{i}"))
+        cond = c if cond is None else cond & c
+    unique_rows = df.join(small, cond, "left_anti")
+    duplicated = df.join(small, cond, "left_semi")
+    return unique_rows.unionByName(_first_per_key(duplicated, keys, order))
+
+
 def dedup_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Drop duplicates over ``keys`` when they cover every column (NULLs equal).
 

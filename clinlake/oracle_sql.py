@@ -450,6 +450,10 @@ WHERE c.condition_start_date >= i.covid_diagnosis_date
         "dedup_primary_key": f"""
 SELECT * FROM lineitem
 QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {_order_all(_LI_REST)}) = 1
+""",
+        "dedup_primary_key_split": f"""
+SELECT * FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {_order_all(_LI_REST)}) = 1
 """,
         "dedup_natural_key": with_ctes("SELECT DISTINCT * FROM bronze_conditions", "bronze_conditions"),
         "distinct_ids": with_ctes("SELECT DISTINCT patient_id FROM silver_encounters", "silver_encounters"),

@@ -35,6 +35,8 @@ class PipelineConfig:
     as_of: _dt.date | None = None
     # tables whose row count is re-read after the write and compared
     reconcile: tuple[str, ...] = ("covid_clinical_master",)
+    # primary-key dedup of patients / encounters (see operators.dedup)
+    dedup_strategy: str = "split"
 
 
 def _loc(cfg: PipelineConfig, ns: str, name: str) -> str | None:
@@ -81,8 +83,8 @@ def stage_silver(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
     _ns(spark, cfg, cfg.silver_ns)
     b = cfg.bronze_ns
     counts = {
-        "patients": _write(spark, cfg, silver.clean_patients(catalog.resolve_table(spark, f"{b}.patients")), cfg.silver_ns, "patients"),
-        "encounters": _write(spark, cfg, silver.clean_encounters(catalog.resolve_table(spark, f"{b}.encounters")), cfg.silver_ns, "encounters"),
+        "patients": _write(spark, cfg, silver.clean_patients(catalog.resolve_table(spark, f"{b}.patients"), cfg.dedup_strategy), cfg.silver_ns, "patients"),
+        "encounters": _write(spark, cfg, silver.clean_encounters(catalog.resolve_table(spark, f"{b}.encounters"), cfg.dedup_strategy), cfg.silver_ns, "encounters"),
         "conditions": _write(spark, cfg, silver.clean_conditions(catalog.resolve_table(spark, f"{b}.conditions")), cfg.silver_ns, "conditions"),
     }
     obs_bronze = catalog.resolve_table(spark, f"{b}.observations", required=False)

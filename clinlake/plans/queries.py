@@ -257,6 +257,12 @@ def q_dedup_primary_key(spark, sf_dir):
     return dedup_deterministic(li, ["l_orderkey", "l_linenumber"])
 
 
+def q_dedup_primary_key_split(spark, sf_dir):
+    """D1 with the checked-broadcast strategy (runs its key count when called)."""
+    li = standins.table(spark, sf_dir, "lineitem")
+    return dedup_deterministic(li, ["l_orderkey", "l_linenumber"], strategy="split")
+
+
 def q_dedup_natural_key(spark, sf_dir):
     b = standins.bronze_conditions(spark, sf_dir)
     return dedup_rows(b, b.columns)
@@ -425,6 +431,7 @@ QUERIES.update(
         "pathway_patterns": q_pathway_patterns,
         "filter_on_or_after_index": q_filter_on_or_after_index,
         "dedup_primary_key": q_dedup_primary_key,
+        "dedup_primary_key_split": q_dedup_primary_key_split,
         "dedup_natural_key": q_dedup_natural_key,
         "distinct_ids": q_distinct_ids,
         "semi_join_cohort": q_semi_join_cohort,
