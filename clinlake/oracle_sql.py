@@ -270,12 +270,12 @@ PATHWAY_SUMMARY = f"""
 , cp AS (SELECT patient_id, CASE WHEN patient_deathdate IS NOT NULL THEN 1 ELSE 0 END AS is_dead,
                CASE WHEN patient_deathdate IS NULL THEN 1 ELSE 0 END AS is_recovered FROM master),
 enc AS (SELECT cp.patient_id,
-               max(CASE WHEN {_like_any('e.encounter_class', SPEC.pathway.inpatient)} THEN 1 ELSE 0 END) AS hospitalized_flag,
-               max(CASE WHEN {_like_any('e.encounter_class', SPEC.pathway.icu)} THEN 1 ELSE 0 END) AS icu_flag
-        FROM silver_encounters e JOIN cp ON e.patient_id = cp.patient_id GROUP BY cp.patient_id),
+               max(CASE WHEN {_like_any('e.encounterclass', SPEC.pathway.inpatient)} THEN 1 ELSE 0 END) AS hospitalized_flag,
+               max(CASE WHEN {_like_any('e.encounterclass', SPEC.pathway.icu)} THEN 1 ELSE 0 END) AS icu_flag
+        FROM bronze_encounters e JOIN cp ON {norm('e.patient')} = cp.patient_id GROUP BY cp.patient_id),
 vent AS (SELECT cp.patient_id,
-                max(CASE WHEN {_like_any('c.condition_description', SPEC.pathway.ventilation)} THEN 1 ELSE 0 END) AS vent_flag
-         FROM silver_conditions c JOIN cp ON c.patient_id = cp.patient_id GROUP BY cp.patient_id),
+                max(CASE WHEN {_like_any('c.description', SPEC.pathway.ventilation)} THEN 1 ELSE 0 END) AS vent_flag
+         FROM bronze_conditions c JOIN cp ON {norm('c.patient')} = cp.patient_id GROUP BY cp.patient_id),
 mp AS (SELECT cp.patient_id, cp.is_dead, cp.is_recovered,
               coalesce(enc.hospitalized_flag, 0) AS hospitalized_flag, coalesce(enc.icu_flag, 0) AS icu_flag,
               coalesce(vent.vent_flag, 0) AS vent_flag
@@ -332,7 +332,7 @@ ORACLE_SQL: dict[str, str] = {
     "mortality_demographics": _gold(MORTALITY_DEMOGRAPHICS, "master"),
     "hospitalization_workload": _gold(HOSPITALIZATION_WORKLOAD, "master", "silver_encounters"),
     "mortality_by_demographics": _gold(MORTALITY_BY_DEMOGRAPHICS, "master"),
-    "pathway_summary": _gold(PATHWAY_SUMMARY, "master", "silver_encounters", "silver_conditions"),
+    "pathway_summary": _gold(PATHWAY_SUMMARY, "master", "bronze_encounters", "bronze_conditions"),
     "revenue_monthly_region": _gold(REVENUE_MONTHLY, "silver_encounters", "silver_patients"),
     "weekly_trend": _gold(WEEKLY_TREND, "silver_conditions", "silver_patients"),
 }
@@ -522,7 +522,7 @@ FROM master GROUP BY state
 """,
             "master",
         ),
-        "any_flag_per_key": _gold(PATHWAY_FLAGS, "master", "silver_encounters", "silver_conditions"),
+        "any_flag_per_key": _gold(PATHWAY_FLAGS, "master", "bronze_encounters", "bronze_conditions"),
         "global_summary": with_ctes(
             """
 SELECT count(*) AS encounter_count, CAST(sum(total_claim_cost) AS DECIMAL(38,2)) AS total_claim_cost,

@@ -20,6 +20,7 @@ from clinlake.functions.labels import (
     flag,
     percent,
 )
+from clinlake.functions.identifiers import normalize_identifier
 from clinlake.functions.temporal import stay_days, year_age
 from clinlake.operators.rates import rate_against_groups, share_of_total
 from clinlake.operators.summaries import any_flags_per_key
@@ -179,13 +180,36 @@ def mortality_by_demographics(master: DataFrame, as_of: _dt.date | Column | None
     )
 
 
+def pathway_inputs_from_bronze(encounters: DataFrame, conditions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Bronze encounters / conditions as pathway inputs.
+
+    The care-pathway counts read the Bronze facts, so rows that Silver drops
+    (e.g. a condition without an encounter) still set a patient's flags. Only
+    the patient key is normalized, so padded ids still match the master.
+    """
+    enc = encounters.select(
+        normalize_identifier(F.col("patient")).alias("patient_id"),
+        F.col("encounterclass").cast("string").alias("encounter_class"),
+    )
+    cond = conditions.select(
+        normalize_identifier(F.col("patient")).alias("patient_id"),
+        F.col("description").cast("string").alias("condition_description"),
+    )
+    return enc, cond
+
+
 def pathway_flags(
     master: DataFrame,
     encounters: DataFrame,
     conditions: DataFrame,
     spec: PathwaySpec = PathwaySpec(),
 ) -> DataFrame:
-    """One row per cohort patient with 0/1 care-pathway flags."""
+    """One row per cohort patient with 0/1 care-pathway flags.
+
+    ``encounters`` needs (patient_id, encounter_class) and ``conditions``
+    (patient_id, condition_description): Silver tables, or Bronze ones via
+    ``pathway_inputs_from_bronze``.
+    """
     enc = any_flags_per_key(
         encounters,
         ["patient_id"],

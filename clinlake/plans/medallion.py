@@ -104,6 +104,9 @@ def stage_silver(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
 def gold_tables(spark: SparkSession, cfg: PipelineConfig) -> dict[str, DataFrame]:
     s = cfg.silver_ns
     master = spark.table(f"{s}.covid_clinical_master")
+    path_enc, path_cond = gold.pathway_inputs_from_bronze(
+        spark.table(f"{cfg.bronze_ns}.encounters"), spark.table(f"{cfg.bronze_ns}.conditions")
+    )
     patients = spark.table(f"{s}.patients")
     encounters = spark.table(f"{s}.encounters")
     conditions = spark.table(f"{s}.conditions")
@@ -113,7 +116,7 @@ def gold_tables(spark: SparkSession, cfg: PipelineConfig) -> dict[str, DataFrame
         "mortality_demographics": gold.mortality_demographics(master),
         "hospitalization_workload": gold.hospitalization_workload(master, encounters, sp.admissions),
         "mortality_by_demographics": gold.mortality_by_demographics(master, cfg.as_of),
-        "covid_pathway_summary": gold.pathway_summary(master, encounters, conditions, sp.pathway),
+        "covid_pathway_summary": gold.pathway_summary(master, path_enc, path_cond, sp.pathway),
         "revenue_analysis": gold.revenue_monthly(encounters, patients),
         "covid_trends": gold.weekly_trend(conditions, patients, sp.cohort),
     }

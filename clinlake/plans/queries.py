@@ -114,8 +114,10 @@ def q_mortality_by_demographics(spark, sf_dir):
 
 
 def q_pathway_summary(spark, sf_dir):
-    s = silver_tables(spark, sf_dir)
-    return gold.pathway_summary(master_of(s), s["encounters"], s["conditions"], STANDIN_SPEC.pathway)
+    enc, cond = gold.pathway_inputs_from_bronze(
+        standins.bronze_encounters(spark, sf_dir), standins.bronze_conditions(spark, sf_dir)
+    )
+    return gold.pathway_summary(master_of(silver_tables(spark, sf_dir)), enc, cond, STANDIN_SPEC.pathway)
 
 
 def q_revenue_monthly_region(spark, sf_dir):
@@ -332,8 +334,10 @@ def q_ratio_within_group(spark, sf_dir):
 
 
 def q_any_flag_per_key(spark, sf_dir):
-    s = silver_tables(spark, sf_dir)
-    return gold.pathway_flags(master_of(s), s["encounters"], s["conditions"], STANDIN_SPEC.pathway)
+    enc, cond = gold.pathway_inputs_from_bronze(
+        standins.bronze_encounters(spark, sf_dir), standins.bronze_conditions(spark, sf_dir)
+    )
+    return gold.pathway_flags(master_of(silver_tables(spark, sf_dir)), enc, cond, STANDIN_SPEC.pathway)
 
 
 def q_global_summary(spark, sf_dir):

@@ -84,3 +84,16 @@ def test_global_summary_on_empty_input(spark):
     assert [tuple(r) for r in row] == [(0, None, None)]
     full = global_summary(ce, "n", sums={"cost": ("total_claim_cost", "decimal(38,2)")}).collect()[0]
     assert (full["n"], full["cost"]) == (3, Decimal("120.50"))
+
+
+def test_pathway_reads_bronze_facts(spark):
+    from fixtures import D, conditions as bronze_conditions, small_world
+
+    m, *_ = _world(spark)
+    _, e, c, _ = small_world(spark)
+    extra = bronze_conditions(spark, [{"patient": " p3 ", "encounter": None, "start_date": D(2020, 5, 2),
+                                       "code": "v", "description": "Mechanical ventilation"}])
+    enc, cond = gold.pathway_inputs_from_bronze(e, c.unionByName(extra))
+    row = gold.pathway_summary(m, enc, cond).collect()[0]
+    # the condition has no encounter (Silver drops it) but still flags p3; the padded id still matches
+    assert row["ventilation_cases"] == 2
