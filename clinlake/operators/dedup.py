@@ -77,17 +77,50 @@ def dedup_deterministic(
     return unique_rows.unionByName(_first_per_key(duplicated, keys, order))
 
 
-def dedup_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def dedup_rows(
+    df: DataFrame,
+    keys: Sequence[str],
+    strategy: str = "aggregate",
+    max_broadcast_keys: int = MAX_BROADCAST_DUPLICATE_KEYS,
+) -> DataFrame:
     """Drop duplicates over ``keys`` when they cover every column (NULLs equal).
 
     With the full row as the key, any survivor is identical, so this is
-    deterministic; it plans as a hash aggregate with map-side combine.
+    deterministic.
+
+    strategy="aggregate" (lazy): one hash aggregate over the rows, combining
+    map-side — every distinct row is shuffled once.
+    strategy="split": hashes each row (xxhash64 over the keys) and counts the
+    hashes (a shuffle of 8-byte hashes only). No repeated hash: ``df`` is
+    returned as is. Up to ``max_broadcast_keys`` repeated hashes: that set is
+    broadcast, rows with a unique hash pass through map-side (a unique hash
+    means a unique row) and only rows sharing a hash take the exact distinct,
+    so hash collisions cannot merge different rows. More: "aggregate".
+    "split" runs the hash count when called.
     """
     keys = list(keys)
     missing = [c for c in df.columns if c not in keys]
     if missing:
         raise ValueError(f"natural key must cover all columns; not covered: {missing}")
-    return df.dropDuplicates(keys)
+    if strategy == "aggregate":
+        return df.dropDuplicates(keys)
+    if strategy != "split":
+        raise ValueError(f"unknown strategy {strategy!r}")
+    hashed = df.withColumn("__h", F.xxhash64(*[F.col(k) for k in keys]))
+    repeated = (
+        hashed.groupBy("__h").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1)
+        .select(F.col("__h").alias("__rh"))
+    )
+    n_repeated = repeated.count()
+    if n_repeated == 0:
+        return df
+    if n_repeated > max_broadcast_keys:
+        return df.dropDuplicates(keys)
+    small = F.broadcast(repeated)  # size checked just above
+    cond = F.col("__h") == F.col("__rh")
+    unique_rows = hashed.join(small, cond, "left_anti").drop("__h")
+    shared = hashed.join(small, cond, "left_semi").drop("__h").dropDuplicates(keys)
+    return unique_rows.unionByName(shared)
 
 
 def distinct_keys(df: DataFrame, *cols: str) -> DataFrame:

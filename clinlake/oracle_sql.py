@@ -456,6 +456,7 @@ SELECT * FROM lineitem
 QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {_order_all(_LI_REST)}) = 1
 """,
         "dedup_natural_key": with_ctes("SELECT DISTINCT * FROM bronze_conditions", "bronze_conditions"),
+        "dedup_natural_key_split": with_ctes("SELECT DISTINCT * FROM bronze_conditions", "bronze_conditions"),
         "distinct_ids": with_ctes("SELECT DISTINCT patient_id FROM silver_encounters", "silver_encounters"),
         "semi_join_cohort": with_ctes(
             """

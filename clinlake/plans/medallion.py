@@ -37,6 +37,8 @@ class PipelineConfig:
     reconcile: tuple[str, ...] = ("covid_clinical_master",)
     # primary-key dedup of patients / encounters (see operators.dedup)
     dedup_strategy: str = "split"
+    # natural-key (full-row) dedup of conditions / observations
+    row_dedup_strategy: str = "split"
 
 
 def _loc(cfg: PipelineConfig, ns: str, name: str) -> str | None:
@@ -85,12 +87,12 @@ def stage_silver(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
     counts = {
         "patients": _write(spark, cfg, silver.clean_patients(catalog.resolve_table(spark, f"{b}.patients"), cfg.dedup_strategy), cfg.silver_ns, "patients"),
         "encounters": _write(spark, cfg, silver.clean_encounters(catalog.resolve_table(spark, f"{b}.encounters"), cfg.dedup_strategy), cfg.silver_ns, "encounters"),
-        "conditions": _write(spark, cfg, silver.clean_conditions(catalog.resolve_table(spark, f"{b}.conditions")), cfg.silver_ns, "conditions"),
+        "conditions": _write(spark, cfg, silver.clean_conditions(catalog.resolve_table(spark, f"{b}.conditions"), cfg.row_dedup_strategy), cfg.silver_ns, "conditions"),
     }
     obs_bronze = catalog.resolve_table(spark, f"{b}.observations", required=False)
     obs = None
     if obs_bronze is not None:
-        counts["observations"] = _write(spark, cfg, silver.clean_observations(obs_bronze), cfg.silver_ns, "observations")
+        counts["observations"] = _write(spark, cfg, silver.clean_observations(obs_bronze, cfg.row_dedup_strategy), cfg.silver_ns, "observations")
         obs = spark.table(f"{cfg.silver_ns}.observations")
     s = cfg.silver_ns
     master = silver.clinical_master(

@@ -270,6 +270,12 @@ def q_dedup_natural_key(spark, sf_dir):
     return dedup_rows(b, b.columns)
 
 
+def q_dedup_natural_key_split(spark, sf_dir):
+    """D2 with the hash-count strategy (runs its hash count when called)."""
+    b = standins.bronze_conditions(spark, sf_dir)
+    return dedup_rows(b, b.columns, strategy="split")
+
+
 def q_distinct_ids(spark, sf_dir):
     return distinct_keys(silver_tables(spark, sf_dir)["encounters"], "patient_id")
 
@@ -437,6 +443,7 @@ QUERIES.update(
         "dedup_primary_key": q_dedup_primary_key,
         "dedup_primary_key_split": q_dedup_primary_key_split,
         "dedup_natural_key": q_dedup_natural_key,
+        "dedup_natural_key_split": q_dedup_natural_key_split,
         "distinct_ids": q_distinct_ids,
         "semi_join_cohort": q_semi_join_cohort,
         "inner_join_named_keys": q_inner_join_named_keys,

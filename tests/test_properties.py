@@ -58,3 +58,11 @@ def test_normalize_identifier_matches_python(spark, values):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
     got = [r[0] for r in df.orderBy("i").select(normalize_identifier(F.col("v"))).collect()]
     assert got == [ref(v) for v in values]
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=ROWS, max_keys=st.sampled_from([0, 1_000_000]))
+def test_split_full_row_dedup_matches(spark, rows, max_keys):
+    df = spark.createDataFrame(rows, "k int, a string, b int")
+    got = sorted((tuple(r) for r in dedup_rows(df, df.columns, strategy="split", max_broadcast_keys=max_keys).collect()), key=repr)
+    assert got == sorted(set(rows), key=repr)
