@@ -24,9 +24,7 @@ def _first_per_key(df: DataFrame, keys: list[str], order: list[str] | None) -> D
     order = list(order) if order is not None else rest
     tail = [c for c in rest if c not in order]
     picked = df.groupBy(*keys).agg(F.min(F.struct(*[F.col(c) for c in order + tail])).alias(_SURVIVOR))
-    return picked.select(*[F.col(k) for k in keys], *[F.col(f"{_SURVIVOR}.{c}").alias(c) for c in rest]).select(
-        *df.columns
-    )
+    return picked.select(*[F.col(c) if c in keys else F.col(f"{_SURVIVOR}.{c}").alias(c) for c in df.columns])
 
 
 # Largest duplicate-key set the "split" strategy broadcasts.
