@@ -42,9 +42,10 @@ def main() -> None:
         "8 shuffle partitions). Regenerate with `python tools/plan_report.py`.",
         "",
         "At this size AQE measures every per-patient aggregate as small and turns the joins "
-        "into broadcast hash joins. At scale the same joins stay sort-merge joins whose inputs "
-        "are already hash-partitioned on `patient_id` by their own aggregates, so they add no "
-        "exchange. Range exchanges come from the final `orderBy` of small results.",
+        "into broadcast hash joins. With broadcasting off (as at scale) the master plans as "
+        "three sort-merge joins over four shuffles: one per summary aggregate (after its "
+        "map-side partial aggregate) and one for the persisted patients table; the joins add "
+        "none. Range exchanges come from the final `orderBy` of small results.",
         "",
     ]
     for name, df in frames.items():
