@@ -44,3 +44,35 @@ def test_dedup_and_summaries_combine_before_the_shuffle(spark):
     for name, partial in (("clean_patients", "partial_min"), ("summary_per_key", "partial_count")):
         plan = _plan(entry.queries()[name](spark, SF_SMALL))
         assert partial in plan, name
+
+
+def test_master_joins_add_no_shuffle_without_broadcast(spark):
+    """At scale the per-patient joins are sort-merge joins; their inputs are
+    already hash-partitioned on patient_id by the aggregates that produce them,
+    so the only shuffles are the aggregates' own (4 cleaning dedups + 3 summaries)."""
+    import sys
+    import os
+
+    sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+    from fixtures import small_world
+
+    from clinlake.plans import silver
+
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        p, e, c, o = small_world(spark)
+        m = silver.clinical_master(silver.clean_patients(p), silver.clean_encounters(e),
+                                   silver.clean_conditions(c), silver.clean_observations(o))
+        m.write.format("noop").mode("overwrite").save()
+        plan = _plan(m)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert plan.count("SortMergeJoin") == 3
+    assert plan.count("Exchange hashpartitioning") == 7, plan
