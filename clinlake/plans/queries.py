@@ -46,14 +46,26 @@ from clinlake.sources.standins import STANDIN_SPEC
 AS_OF = _dt.date(2024, 12, 31)
 
 
+class _LazyTables(dict):
+    """Cleaned stand-in tables, each built on first access (plan building
+    costs driver time, so unused tables are never built)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self._builders = {
+            "patients": lambda: silver.clean_patients(standins.bronze_patients(spark, sf_dir)),
+            "encounters": lambda: silver.clean_encounters(standins.bronze_encounters(spark, sf_dir)),
+            "conditions": lambda: silver.clean_conditions(standins.bronze_conditions(spark, sf_dir)),
+            "observations": lambda: silver.clean_observations(standins.bronze_observations(spark, sf_dir)),
+        }
+
+    def __missing__(self, key: str) -> DataFrame:
+        value = self[key] = self._builders[key]()
+        return value
+
+
 def silver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    b = standins.bronze_tables(spark, sf_dir)
-    return {
-        "patients": silver.clean_patients(b["patients"]),
-        "encounters": silver.clean_encounters(b["encounters"]),
-        "conditions": silver.clean_conditions(b["conditions"]),
-        "observations": silver.clean_observations(b["observations"]),
-    }
+    return _LazyTables(spark, sf_dir)
 
 
 def master_of(s: dict[str, DataFrame], with_observations: bool = True) -> DataFrame:
@@ -421,7 +433,7 @@ def q_table_profile(spark, sf_dir):
     b = standins.bronze_tables(spark, sf_dir)
     s = silver_tables(spark, sf_dir)
     tables = {("bronze", k): v for k, v in b.items()}
-    tables.update({("silver", k): v for k, v in s.items()})
+    tables.update({("silver", k): s[k] for k in ("patients", "encounters", "conditions", "observations")})
     tables[("silver", "covid_clinical_master")] = master_of(s)
     return table_profile(tables)
 
