@@ -85,3 +85,14 @@ def test_scale_conf():
     conf = scale_conf(shuffle_bytes=100 * 2**40, total_cores=8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600  # 100 TiB / 256 MiB
     assert int(scale_conf(10 * 2**20, total_cores=8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_drop_table_and_namespace_reentry(spark):
+    root = scratch_path(spark, "cat-drop")
+    ns = "d_" + uuid.uuid4().hex[:8]
+    catalog.ensure_namespace(spark, ns, location=root)
+    catalog.ensure_namespace(spark, ns, location=root)  # IF NOT EXISTS: second call is a no-op
+    catalog.write_table(spark.range(3), f"{ns}.t")
+    catalog.drop_table(spark, f"{ns}.t")
+    catalog.drop_table(spark, f"{ns}.t")  # IF EXISTS
+    assert not catalog.table_exists(spark, f"{ns}.t")
