@@ -95,12 +95,15 @@ def scale_conf(
     Shuffle partitions start at shuffle size / target partition size (at
     least 2 waves of the cluster's cores) so no reducer has to spill a huge
     partition; AQE then coalesces small ones to the advisory size and splits
-    skewed ones. Input splits stay at ``split_bytes``.
+    skewed ones (coalescing honours the advisory size rather than maximising
+    parallelism, so table writes do not scatter into many tiny files). Input
+    splits stay at ``split_bytes``.
     """
     partitions = max(2 * total_cores, -(-shuffle_bytes // target_partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
         "spark.sql.files.maxPartitionBytes": str(split_bytes),
     }
