@@ -390,6 +390,7 @@ def q_age_bands(spark, sf_dir):
 
 
 def q_parquet_roundtrip(spark, sf_dir):
+    """Patients written as Parquet under the shared checkpoint folder, read back."""
     path = scratch_path(spark, "raw-patients")
     files.write_parquet(standins.bronze_patients(spark, sf_dir), path)
     return files.read_parquet(spark, path)
@@ -404,6 +405,7 @@ def q_csv_roundtrip(spark, sf_dir):
 
 
 def q_csv_roundtrip_encounters(spark, sf_dir):
+    """Encounters through CSV (source header names, declared schema) and back."""
     path = scratch_path(spark, "csv-encounters")
     files.write_csv(standins.bronze_encounters(spark, sf_dir), path, entity="encounters")
     return files.read_csv(spark, path, "encounters")
@@ -417,6 +419,8 @@ def _scratch_namespace(spark) -> str:
 
 
 def q_table_roundtrip(spark, sf_dir):
+    """The master written as a catalog table in a fresh namespace located under
+    the shared checkpoint folder, then resolved and read back."""
     ns = _scratch_namespace(spark)
     master = master_of(silver_tables(spark, sf_dir))
     catalog.write_table(master, f"{ns}.covid_clinical_master")
@@ -424,12 +428,14 @@ def q_table_roundtrip(spark, sf_dir):
 
 
 def q_row_count_reconciliation(spark, sf_dir):
+    """Observed rows of a master table write vs a read-back count."""
     ns = _scratch_namespace(spark)
     n = catalog.write_table(master_of(silver_tables(spark, sf_dir)), f"{ns}.covid_clinical_master")
     return reconcile(spark, f"{ns}.covid_clinical_master", n, label="covid_clinical_master")
 
 
 def q_table_profile(spark, sf_dir):
+    """Rows and columns of every Bronze and Silver stand-in table, one plan."""
     b = standins.bronze_tables(spark, sf_dir)
     s = silver_tables(spark, sf_dir)
     tables = {("bronze", k): v for k, v in b.items()}
