@@ -21,6 +21,9 @@ DEFAULT_CONF = {
     # split skewed join partitions even when that needs an extra shuffle
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Python call-site capture for error messages is a development aid; it
+    # costs driver time on every Column operation while plans are built.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
