@@ -80,7 +80,10 @@ def main(argv: list[str] | None = None) -> int:
 
     a = parse_args(sys.argv[1:] if argv is None else argv)
     cfg = config_from_args(a)
+    from clinlake.session import apply_runtime_defaults
+
     spark = SparkSession.builder.appName("clinlake").getOrCreate()
+    apply_runtime_defaults(spark)
     counts = run_medallion(spark, cfg, stages=tuple(s.strip() for s in a.stages.split(",") if s.strip()))
     counts.show(100, truncate=False)
     return 0

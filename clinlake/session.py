@@ -47,6 +47,24 @@ def get_session(
     return spark
 
 
+# Runtime settings that differ from Spark's defaults and that jobs apply to a
+# session they did not build, unless the submitter set them.
+RUNTIME_DEFAULTS = {
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
+
+def apply_runtime_defaults(spark: SparkSession) -> None:
+    try:
+        submitted = dict(spark.sparkContext.getConf().getAll())
+    except Exception:  # noqa: BLE001 - no SparkContext under Spark Connect
+        submitted = {}
+    for key, value in RUNTIME_DEFAULTS.items():
+        if key not in submitted:
+            spark.conf.set(key, value)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
