@@ -76,14 +76,11 @@ def config_from_args(a: argparse.Namespace) -> PipelineConfig:
 
 
 def main(argv: list[str] | None = None) -> int:
-    from pyspark.sql import SparkSession
-
     a = parse_args(sys.argv[1:] if argv is None else argv)
     cfg = config_from_args(a)
-    from clinlake.session import apply_runtime_defaults
+    from clinlake.session import job_session
 
-    spark = SparkSession.builder.appName("clinlake").getOrCreate()
-    apply_runtime_defaults(spark)
+    spark = job_session("clinlake")
     counts = run_medallion(spark, cfg, stages=tuple(s.strip() for s in a.stages.split(",") if s.strip()))
     counts.show(100, truncate=False)
     return 0

@@ -51,10 +51,28 @@ def get_session(
 # session they did not build, unless the submitter set them.
 RUNTIME_DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+# Static settings a job passes to the builder, unless the submitter set them.
+BUILD_DEFAULTS = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
+def job_session(app: str) -> SparkSession:
+    """Session for a submitted job: the environment's settings plus the
+    defaults above where the submitter left them unset."""
+    from pyspark import SparkConf
+
+    submitted = SparkConf()
+    builder = SparkSession.builder.appName(app)
+    for key, value in BUILD_DEFAULTS.items():
+        if not submitted.contains(key):
+            builder = builder.config(key, value)
+    spark = builder.getOrCreate()
+    apply_runtime_defaults(spark)
+    return spark
+
+
 def apply_runtime_defaults(spark: SparkSession) -> None:
     try:
         submitted = dict(spark.sparkContext.getConf().getAll())
