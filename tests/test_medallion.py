@@ -81,6 +81,7 @@ def test_cli_runs_the_stages(spark):
             "--table-root", f"{root}/tables"]
     for entity, path in csv_paths.items():
         args += ["--csv", f"{entity}={path}"]
-    out = subprocess.run(args, cwd=repo, capture_output=True, text=True, timeout=600)
+    env = dict(__import__("os").environ, PYSPARK_SUBMIT_ARGS="--conf spark.ui.enabled=false pyspark-shell")
+    out = subprocess.run(args, cwd=repo, capture_output=True, text=True, timeout=600, env=env)
     assert out.returncode == 0, out.stderr[-2000:]
     assert "bronze" in out.stdout and "encounters" in out.stdout
