@@ -21,7 +21,7 @@ rows: the ``%`` expressions below only decide which rows carry dirty values.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clinlake.specs import AnalysisSpec, CohortSpec, PathwaySpec, AdmissionSpec, SymptomSpec
 
@@ -74,8 +74,70 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _s(col: Column) -> Column:
-    return col.cast("string")
+# Column derivations as Spark SQL expressions: one call per column keeps
+# plan construction cheap on the driver (Catalyst plans them the same way).
+PATIENT_EXPRS = (
+    "CASE WHEN c_custkey % 211 = 7 THEN 'NULL'"
+    " WHEN c_custkey % 211 = 5 THEN CAST(c_custkey - 1 AS STRING)"  # a second, different row for patient k-1
+    " WHEN c_custkey % 89 = 0 THEN concat('  ', CAST(c_custkey AS STRING), ' ')"
+    " ELSE CAST(c_custkey AS STRING) END AS id",
+    "CASE WHEN c_custkey % 97 = 0 THEN CAST(NULL AS DATE)"
+    " ELSE date_add(DATE'1915-01-01', CAST((c_custkey * 7919) % 32000 AS INT)) END AS birthdate",
+    "CASE WHEN c_acctbal < 1000 THEN date_add(DATE'2002-01-01', CAST(c_custkey % 700 AS INT)) END AS deathdate",
+    "concat('999-', CAST(c_custkey AS STRING)) AS ssn",
+    "concat('S', CAST(c_custkey AS STRING)) AS drivers",
+    "CASE WHEN c_custkey % 3 = 0 THEN CAST(NULL AS STRING) ELSE concat('X', CAST(c_custkey AS STRING), 'X') END AS passport",
+    "CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 'Mr.' END AS prefix",
+    "c_name AS first",
+    "concat('Family', CAST(c_nationkey AS STRING)) AS last",
+    "CAST(NULL AS STRING) AS suffix",
+    "CAST(NULL AS STRING) AS maiden",
+    "CASE WHEN c_custkey % 2 = 0 THEN 'M' ELSE 'S' END AS marital",
+    "r_name AS race",
+    "'nonhispanic' AS ethnicity",
+    "CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'M' WHEN 'BUILDING' THEN 'F' WHEN 'FURNITURE' THEN ' f '"
+    " WHEN 'HOUSEHOLD' THEN '' WHEN 'MACHINERY' THEN 'other' END AS gender",
+    "n_name AS birthplace",
+    "concat(CAST(c_custkey AS STRING), ' Main St') AS address",
+    "concat('City', CAST(c_nationkey AS STRING)) AS city",
+    "n_name AS state",
+    "r_name AS county",
+    "lpad(CAST(c_custkey % 100000 AS STRING), 5, '0') AS zip",
+    "CAST(c_nationkey AS DECIMAL(10,6)) AS lat",
+    "CAST(c_custkey % 180 AS DECIMAL(10,6)) AS lon",
+    "CAST(c_acctbal AS DECIMAL(12,2)) AS healthcare_expenses",
+    "CAST(c_custkey * 10 AS DECIMAL(12,2)) AS healthcare_coverage",
+)
+
+ENCOUNTER_EXPRS = (
+    "CAST(o_orderkey AS STRING) AS id",
+    "o_orderdate AS start_time",
+    "stop_time",
+    "CASE WHEN o_orderkey % 157 = 0 THEN 'null'"
+    " WHEN o_orderkey % 101 = 0 THEN concat(' ', CAST(o_custkey AS STRING), ' ')"
+    " ELSE CAST(o_custkey AS STRING) END AS patient",
+    "concat('org-', CAST(o_orderkey % 20 AS STRING)) AS organization",
+    "concat('prv-', CAST(o_orderkey % 100 AS STRING)) AS provider",
+    "concat('pay-', o_orderstatus) AS payer",
+    "o_orderpriority AS encounterclass",
+    "o_orderpriority AS code",
+    "o_orderpriority AS description",
+    "CAST(o_totalprice AS DECIMAL(12,2)) AS base_encounter_cost",
+    "CAST(o_totalprice AS DECIMAL(12,2)) AS total_claim_cost",
+    "CAST(o_custkey AS DECIMAL(12,2)) AS payer_coverage",
+    "o_orderstatus AS reasoncode",
+    "concat('status ', o_orderstatus) AS reasondescription",
+)
+
+CONDITION_EXPRS = (
+    "to_date(l_shipdate) AS start_date",
+    "CAST(NULL AS DATE) AS stop_date",
+    "CAST(o_custkey AS STRING) AS patient",
+    "CASE WHEN (l_orderkey + l_linenumber) % 113 = 0 THEN CAST(NULL AS STRING)"
+    " ELSE CAST(l_orderkey AS STRING) END AS encounter",
+    "concat(p_brand, ':', p_type) AS code",
+    "p_name AS description",
+)
 
 
 def bronze_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,51 +145,7 @@ def bronze_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
     geo = n.join(r, n.n_regionkey == r.r_regionkey, "left").select("n_nationkey", "n_name", "r_name")
-    k = F.col("c_custkey")
-    pid = (
-        F.when(k % 211 == 7, F.lit("NULL"))
-        .when(k % 211 == 5, _s(k - 1))  # a second, different row for patient k-1
-        .when(k % 89 == 0, F.concat(F.lit("  "), _s(k), F.lit(" ")))
-        .otherwise(_s(k))
-    )
-    gender = (
-        F.when(F.col("c_mktsegment") == "AUTOMOBILE", F.lit("M"))
-        .when(F.col("c_mktsegment") == "BUILDING", F.lit("F"))
-        .when(F.col("c_mktsegment") == "FURNITURE", F.lit(" f "))
-        .when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit(""))
-        .when(F.col("c_mktsegment") == "MACHINERY", F.lit("other"))
-    )
-    null_s = F.lit(None).cast("string")
-    return c.join(geo, c.c_nationkey == geo.n_nationkey, "left").select(
-        pid.alias("id"),
-        F.when(k % 97 == 0, F.lit(None).cast("date"))
-        .otherwise(F.date_add(F.lit("1915-01-01").cast("date"), ((k * 7919) % 32000).cast("int")))
-        .alias("birthdate"),
-        F.when(F.col("c_acctbal") < 1000, F.date_add(F.lit("2002-01-01").cast("date"), (k % 700).cast("int")))
-        .alias("deathdate"),
-        F.concat(F.lit("999-"), _s(k)).alias("ssn"),
-        F.concat(F.lit("S"), _s(k)).alias("drivers"),
-        F.when(k % 3 == 0, null_s).otherwise(F.concat(F.lit("X"), _s(k), F.lit("X"))).alias("passport"),
-        F.when(gender == "M", F.lit("Mr.")).otherwise(null_s).alias("prefix"),
-        F.col("c_name").alias("first"),
-        F.concat(F.lit("Family"), _s(F.col("c_nationkey"))).alias("last"),
-        null_s.alias("suffix"),
-        null_s.alias("maiden"),
-        F.when(k % 2 == 0, F.lit("M")).otherwise(F.lit("S")).alias("marital"),
-        F.col("r_name").alias("race"),
-        F.lit("nonhispanic").alias("ethnicity"),
-        gender.alias("gender"),
-        F.col("n_name").alias("birthplace"),
-        F.concat(_s(k), F.lit(" Main St")).alias("address"),
-        F.concat(F.lit("City"), _s(F.col("c_nationkey"))).alias("city"),
-        F.col("n_name").alias("state"),
-        F.col("r_name").alias("county"),
-        F.lpad(_s(k % 100000), 5, "0").alias("zip"),
-        F.col("c_nationkey").cast("decimal(10,6)").alias("lat"),
-        (k % 180).cast("decimal(10,6)").alias("lon"),
-        F.col("c_acctbal").cast("decimal(12,2)").alias("healthcare_expenses"),
-        (k * 10).cast("decimal(12,2)").alias("healthcare_coverage"),
-    )
+    return c.join(geo, c.c_nationkey == geo.n_nationkey, "left").selectExpr(*PATIENT_EXPRS)
 
 
 def bronze_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,30 +155,7 @@ def bronze_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("l_orderkey")
         .agg(F.max("l_shipdate").alias("stop_time"))
     )
-    k = F.col("o_orderkey")
-    cust = F.col("o_custkey")
-    patient = (
-        F.when(k % 157 == 0, F.lit("null"))
-        .when(k % 101 == 0, F.concat(F.lit(" "), _s(cust), F.lit(" ")))
-        .otherwise(_s(cust))
-    )
-    return o.join(last_ship, o.o_orderkey == last_ship.l_orderkey, "left").select(
-        _s(k).alias("id"),
-        F.col("o_orderdate").alias("start_time"),
-        F.col("stop_time"),
-        patient.alias("patient"),
-        F.concat(F.lit("org-"), _s(k % 20)).alias("organization"),
-        F.concat(F.lit("prv-"), _s(k % 100)).alias("provider"),
-        F.concat(F.lit("pay-"), F.col("o_orderstatus")).alias("payer"),
-        F.col("o_orderpriority").alias("encounterclass"),
-        F.col("o_orderpriority").alias("code"),
-        F.col("o_orderpriority").alias("description"),
-        F.col("o_totalprice").cast("decimal(12,2)").alias("base_encounter_cost"),
-        F.col("o_totalprice").cast("decimal(12,2)").alias("total_claim_cost"),
-        cust.cast("decimal(12,2)").alias("payer_coverage"),
-        F.col("o_orderstatus").alias("reasoncode"),
-        F.concat(F.lit("status "), F.col("o_orderstatus")).alias("reasondescription"),
-    )
+    return o.join(last_ship, o.o_orderkey == last_ship.l_orderkey, "left").selectExpr(*ENCOUNTER_EXPRS)
 
 
 def bronze_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,22 +163,13 @@ def bronze_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
     joined = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
-    return joined.select(
-        F.to_date("l_shipdate").alias("start_date"),
-        F.lit(None).cast("date").alias("stop_date"),
-        _s(F.col("o_custkey")).alias("patient"),
-        F.when((F.col("l_orderkey") + F.col("l_linenumber")) % 113 == 0, F.lit(None).cast("string"))
-        .otherwise(_s(F.col("l_orderkey")))
-        .alias("encounter"),
-        F.concat(F.col("p_brand"), F.lit(":"), F.col("p_type")).alias("code"),
-        F.col("p_name").alias("description"),
-    )
+    return joined.selectExpr(*CONDITION_EXPRS)
 
 
 def bronze_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     return e.select(
-        _s(F.col("user_id")).alias("patient"),
+        F.col("user_id").cast("string").alias("patient"),
         F.lit(None).cast("string").alias("encounter"),
         F.col("ts").alias("date"),
         F.col("event_type").alias("code"),
