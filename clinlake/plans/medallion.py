@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import datetime as _dt
 import re
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +41,8 @@ class PipelineConfig:
     dedup_strategy: str = "split"
     # natural-key (full-row) dedup of conditions / observations
     row_dedup_strategy: str = "split"
+    # independent tables of one stage written by concurrent Spark jobs
+    concurrent_writes: int = 4
 
 
 def _loc(cfg: PipelineConfig, ns: str, name: str) -> str | None:
@@ -57,44 +61,61 @@ def _write(spark: SparkSession, cfg: PipelineConfig, df: DataFrame, ns: str, nam
     return n
 
 
+def _concurrently(cfg: PipelineConfig, jobs: dict[str, Callable[[], int]]) -> dict[str, int]:
+    """Run independent table writes as concurrent Spark jobs (the session is
+    thread-safe; the scheduler interleaves their tasks). Errors propagate."""
+    if cfg.concurrent_writes <= 1 or len(jobs) <= 1:
+        return {name: job() for name, job in jobs.items()}
+    with ThreadPoolExecutor(max_workers=min(cfg.concurrent_writes, len(jobs))) as pool:
+        futures = {name: pool.submit(job) for name, job in jobs.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def stage_raw(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
+    raw = cfg.raw_dir.rstrip("/")
     if cfg.csv_paths:
-        srcs = {e: ingest.ingest_csv(spark, p, e) for e, p in cfg.csv_paths.items()}
-        counts = ingest.land_raw(srcs, cfg.raw_dir)
-    elif cfg.jdbc:
-        counts = ingest.extract_db_to_raw(spark, cfg.raw_dir, **cfg.jdbc)
-    else:
-        raise ValueError("configure csv_paths or jdbc as the source")
-    return counts
+        jobs = {
+            e: (lambda e=e, p=p: files.write_parquet(ingest.ingest_csv(spark, p, e), f"{raw}/{e}"))
+            for e, p in cfg.csv_paths.items()
+        }
+        return _concurrently(cfg, jobs)
+    if cfg.jdbc:
+        return ingest.extract_db_to_raw(spark, cfg.raw_dir, **cfg.jdbc)
+    raise ValueError("configure csv_paths or jdbc as the source")
 
 
 def stage_bronze(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
     _ns(spark, cfg, cfg.bronze_ns)
-    tables = list(ingest.ENTITIES)
-    counts = ingest.raw_to_bronze(
-        spark, cfg.raw_dir, cfg.bronze_ns, tables, fmt=cfg.fmt,
-        location=f"{cfg.table_root.rstrip('/')}/{cfg.bronze_ns}" if cfg.table_root else None,
-    )
+    raw = cfg.raw_dir.rstrip("/")
+    jobs = {
+        t: (lambda t=t: _write(spark, cfg, files.read_parquet(spark, f"{raw}/{t}"), cfg.bronze_ns, t))
+        for t in ingest.ENTITIES
+    }
     if cfg.observations_raw:
-        obs = files.read_parquet(spark, cfg.observations_raw)
-        counts["observations"] = _write(spark, cfg, obs, cfg.bronze_ns, "observations")
-    return counts
+        jobs["observations"] = lambda: _write(
+            spark, cfg, files.read_parquet(spark, cfg.observations_raw), cfg.bronze_ns, "observations"
+        )
+    return _concurrently(cfg, jobs)
 
 
 def stage_silver(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
     _ns(spark, cfg, cfg.silver_ns)
-    b = cfg.bronze_ns
-    counts = {
-        "patients": _write(spark, cfg, silver.clean_patients(catalog.resolve_table(spark, f"{b}.patients"), cfg.dedup_strategy), cfg.silver_ns, "patients"),
-        "encounters": _write(spark, cfg, silver.clean_encounters(catalog.resolve_table(spark, f"{b}.encounters"), cfg.dedup_strategy), cfg.silver_ns, "encounters"),
-        "conditions": _write(spark, cfg, silver.clean_conditions(catalog.resolve_table(spark, f"{b}.conditions"), cfg.row_dedup_strategy), cfg.silver_ns, "conditions"),
+    b, s = cfg.bronze_ns, cfg.silver_ns
+    jobs = {
+        "patients": lambda: _write(spark, cfg, silver.clean_patients(
+            catalog.resolve_table(spark, f"{b}.patients"), cfg.dedup_strategy), s, "patients"),
+        "encounters": lambda: _write(spark, cfg, silver.clean_encounters(
+            catalog.resolve_table(spark, f"{b}.encounters"), cfg.dedup_strategy), s, "encounters"),
+        "conditions": lambda: _write(spark, cfg, silver.clean_conditions(
+            catalog.resolve_table(spark, f"{b}.conditions"), cfg.row_dedup_strategy), s, "conditions"),
     }
     obs_bronze = catalog.resolve_table(spark, f"{b}.observations", required=False)
-    obs = None
     if obs_bronze is not None:
-        counts["observations"] = _write(spark, cfg, silver.clean_observations(obs_bronze, cfg.row_dedup_strategy), cfg.silver_ns, "observations")
-        obs = spark.table(f"{cfg.silver_ns}.observations")
-    s = cfg.silver_ns
+        jobs["observations"] = lambda: _write(
+            spark, cfg, silver.clean_observations(obs_bronze, cfg.row_dedup_strategy), s, "observations"
+        )
+    counts = _concurrently(cfg, jobs)
+    obs = spark.table(f"{s}.observations") if obs_bronze is not None else None
     master = silver.clinical_master(
         spark.table(f"{s}.patients"), spark.table(f"{s}.encounters"), spark.table(f"{s}.conditions"),
         obs, cfg.spec.cohort,
@@ -126,7 +147,11 @@ def gold_tables(spark: SparkSession, cfg: PipelineConfig) -> dict[str, DataFrame
 
 def stage_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
     _ns(spark, cfg, cfg.gold_ns)
-    return {name: _write(spark, cfg, df, cfg.gold_ns, name) for name, df in gold_tables(spark, cfg).items()}
+    jobs = {
+        name: (lambda df=df, name=name: _write(spark, cfg, df, cfg.gold_ns, name))
+        for name, df in gold_tables(spark, cfg).items()
+    }
+    return _concurrently(cfg, jobs)
 
 
 STAGES = (("raw", stage_raw), ("bronze", stage_bronze), ("silver", stage_silver), ("gold", stage_gold))
