@@ -66,3 +66,37 @@ def test_split_full_row_dedup_matches(spark, rows, max_keys):
     df = spark.createDataFrame(rows, "k int, a string, b int")
     got = sorted((tuple(r) for r in dedup_rows(df, df.columns, strategy="split", max_broadcast_keys=max_keys).collect()), key=repr)
     assert got == sorted(set(rows), key=repr)
+
+
+AGES = st.lists(st.one_of(st.none(), st.integers(-5, 120)), max_size=15)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(ages=AGES)
+def test_age_bands_match_python(spark, ages):
+    from pyspark.sql import functions as F
+
+    from clinlake.functions import clinical_age_band, decade_age_band
+
+    def decade(a):  # age at death; a NULL age stands for a missing birth date
+        if a is None:
+            return "Unknown"
+        for upper, label in ((10, "0-10"), (20, "11-20"), (30, "21-30"), (40, "31-40"), (50, "41-50"),
+                             (60, "51-60"), (70, "61-70"), (80, "71-80")):
+            if a <= upper:
+                return label
+        return "80+"
+
+    def clinical(a):
+        if a is None:
+            return "Unknown"
+        for upper, label in ((18, "0-18"), (34, "19-34"), (49, "35-49"), (64, "50-64")):
+            if a <= upper:
+                return label
+        return "65+"
+
+    df = spark.createDataFrame([(i, a) for i, a in enumerate(ages)], "i int, age int")
+    birth = F.when(F.col("age").isNotNull(), F.lit("1950-01-01").cast("date"))
+    got = [tuple(r) for r in df.orderBy("i").select(
+        decade_age_band(F.col("age"), birth), clinical_age_band(F.col("age"))).collect()]
+    assert got == [(decade(a), clinical(a)) for a in ages]
