@@ -96,3 +96,17 @@ def test_drop_table_and_namespace_reentry(spark):
     catalog.drop_table(spark, f"{ns}.t")
     catalog.drop_table(spark, f"{ns}.t")  # IF EXISTS
     assert not catalog.table_exists(spark, f"{ns}.t")
+
+
+def test_scale_conf_keys_are_accepted_by_a_session(spark):
+    from clinlake.session import scale_conf
+
+    conf = scale_conf(shuffle_bytes=2**30, total_cores=8)
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+            assert spark.conf.get(k) == v
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
