@@ -76,3 +76,41 @@ def test_master_joins_add_no_shuffle_without_broadcast(spark):
                 spark.conf.set(k, v)
     assert plan.count("SortMergeJoin") == 3
     assert plan.count("Exchange hashpartitioning") == 7, plan
+
+
+def test_hot_key_in_a_fact_join_is_split_by_aqe(spark):
+    """A key holding most of the rows: AQE splits its partition of the
+    sort-merge semi join (thresholds lowered to fit the test's size)."""
+    from pyspark.sql import functions as F
+
+    from clinlake.operators.cohort import restrict_to
+
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        facts = spark.range(30000).select(
+            F.when(F.col("id") % 3 != 0, F.lit("hot")).otherwise(F.concat(F.lit("p"), (F.col("id") % 50).cast("string")))
+            .alias("patient_id"),
+            F.col("id").alias("fact"),
+        )
+        keys = spark.range(50).select(F.concat(F.lit("p"), F.col("id").cast("string")).alias("patient_id")) \
+            .unionByName(spark.createDataFrame([("hot",)], "patient_id string"))
+        out = restrict_to(facts, keys)
+        assert out._jdf.queryExecution().toRdd().count() == 30000  # runs this plan: AQE finalizes it
+        plan = _plan(out)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert "SortMergeJoin(skew=true)" in plan, plan

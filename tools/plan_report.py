@@ -49,10 +49,10 @@ def main() -> None:
         "",
     ]
     for name, df in frames.items():
-        df.write.format("noop").mode("overwrite").save()
+        df._jdf.queryExecution().toRdd().count()  # run this plan so AQE finalizes it
         text = df._jdf.queryExecution().explainString(mode)
         text = re.sub(r"file:/[^\]\s,]*", "<path>", text)
-        tree = text.split("\n\n")[0]
+        tree = text.split("\n\n")[0].split("== Initial Plan ==")[0]  # final plan section only
         ex = tree.count("Exchange") - tree.count("BroadcastExchange")
         out += [f"## {name}", "", f"shuffle exchanges: {ex}, broadcast exchanges: {tree.count('BroadcastExchange')}, "
                 f"sort-merge joins: {tree.count('SortMergeJoin')}, broadcast hash joins: {tree.count('BroadcastHashJoin')}",
