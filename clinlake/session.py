@@ -7,6 +7,7 @@ exists for tests, the bench and command-line runs.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -83,25 +84,31 @@ def apply_runtime_defaults(spark: SparkSession) -> None:
             spark.conf.set(key, value)
 
 
+def _context_checkpoint_dir(spark: SparkSession) -> str | None:
+    from pyspark.errors import PySparkException
+
+    try:
+        return spark.sparkContext.getCheckpointDir()
+    except (AttributeError, PySparkException):  # no SparkContext under Spark Connect
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    On a cluster this must be set to shared storage and is only read here.
-    When it is unset (local tests) a fresh local folder is created and set.
+    The setting is read from the session and never replaced. Where it is unset
+    a fresh folder is made only for a local master (tests, bench), whose
+    executors see the driver's disk; on a cluster an unset folder is an error,
+    since executors would write scratch tables to disks nobody else can read.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        try:
-            current = spark.sparkContext.getCheckpointDir()
-        except Exception:  # noqa: BLE001 - no SparkContext under Spark Connect
-            current = None
+    current = spark.conf.get("spark.checkpoint.dir", None) or _context_checkpoint_dir(spark)
     if current:
         return current.rstrip("/")
+    master = spark.conf.get("spark.master", "")
+    if not re.match(r"local(\[|$)", master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the driver and all executors")
     local = tempfile.mkdtemp(prefix="clinlake-ckpt-")
-    try:
-        spark.sparkContext.setCheckpointDir(local)
-    except Exception:  # noqa: BLE001
-        pass
+    spark.sparkContext.setCheckpointDir(local)
     return local
 
 
