@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from clinlake.llm import url_filter
+from clinlake.llm import fingerprint, url_filter
 
 LLM_QUERIES = {
+    "op3_syncmer_fingerprints": fingerprint.op3_syncmer_fingerprints,
     "op9_url_filters": url_filter.op9_url_filters,
 }
 
