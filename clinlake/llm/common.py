@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
 from clinlake.session import scratch_path
@@ -9,9 +11,20 @@ from clinlake.session import scratch_path
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables, by Spark's own reader (any path Spark can read)."""
+    show_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def show_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver found it
+    (on a cluster it is installed there or shipped with ``--py-files``)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back.
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from clinlake.llm import fingerprint, url_filter
+from clinlake.llm import fingerprint, token_store, url_filter
 
 LLM_QUERIES = {
     "op3_syncmer_fingerprints": fingerprint.op3_syncmer_fingerprints,
     "op9_url_filters": url_filter.op9_url_filters,
+    "op10_token_store": token_store.op10_token_store,
 }
 
 LLM_ORACLE_SQL = {
