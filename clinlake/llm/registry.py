@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from clinlake.llm import fingerprint, language_id, token_store, url_filter
+from clinlake.llm import fingerprint, language_id, sentencepiece_viterbi, token_store, url_filter
 
 LLM_QUERIES = {
     "op3_syncmer_fingerprints": fingerprint.op3_syncmer_fingerprints,
+    "op5_sentencepiece_round_trip": sentencepiece_viterbi.op5_sentencepiece_round_trip,
     "op6_language_id": language_id.op6_language_id,
     "op9_url_filters": url_filter.op9_url_filters,
     "op10_token_store": token_store.op10_token_store,
