@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from clinlake.llm import fingerprint, language_id, sentencepiece_viterbi, token_store, url_filter
+from clinlake.llm import fingerprint, language_id, mixing, sentencepiece_viterbi, token_store, url_filter
 
 LLM_QUERIES = {
+    "op1_mix_sources": mixing.op1_mix_sources,
     "op3_syncmer_fingerprints": fingerprint.op3_syncmer_fingerprints,
     "op5_sentencepiece_round_trip": sentencepiece_viterbi.op5_sentencepiece_round_trip,
     "op6_language_id": language_id.op6_language_id,
@@ -13,5 +14,6 @@ LLM_QUERIES = {
 }
 
 LLM_ORACLE_SQL = {
+    "op1_mix_sources": mixing.OP1_SQL,
     "op9_url_filters": url_filter.OP9_SQL,
 }
