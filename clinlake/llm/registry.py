@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from clinlake.llm import fingerprint, language_id, mixing, sentencepiece_viterbi, token_store, url_filter
+from clinlake.llm import fingerprint, language_id, mixing, sentencepiece_viterbi, token_store, url_filter, voronoi_topk
 
 LLM_QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op2_voronoi_topk": voronoi_topk.op2_voronoi_topk,
     "op3_syncmer_fingerprints": fingerprint.op3_syncmer_fingerprints,
     "op5_sentencepiece_round_trip": sentencepiece_viterbi.op5_sentencepiece_round_trip,
     "op6_language_id": language_id.op6_language_id,
@@ -15,5 +16,6 @@ LLM_QUERIES = {
 
 LLM_ORACLE_SQL = {
     "op1_mix_sources": mixing.OP1_SQL,
+    "op2_voronoi_topk": voronoi_topk.OP2_SQL,
     "op9_url_filters": url_filter.OP9_SQL,
 }
