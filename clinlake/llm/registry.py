@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clinlake.llm import fingerprint, language_id, mixing, sentencepiece_viterbi, token_store, url_filter, voronoi_topk
+from clinlake.llm import fingerprint, jaccard_join, language_id, mixing, sentencepiece_viterbi, token_store, url_filter, voronoi_topk
 
 LLM_QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -10,6 +10,7 @@ LLM_QUERIES = {
     "op3_syncmer_fingerprints": fingerprint.op3_syncmer_fingerprints,
     "op5_sentencepiece_round_trip": sentencepiece_viterbi.op5_sentencepiece_round_trip,
     "op6_language_id": language_id.op6_language_id,
+    "op7_ngram_jaccard_join": jaccard_join.op7_ngram_jaccard_join,
     "op9_url_filters": url_filter.op9_url_filters,
     "op10_token_store": token_store.op10_token_store,
 }
@@ -17,5 +18,6 @@ LLM_QUERIES = {
 LLM_ORACLE_SQL = {
     "op1_mix_sources": mixing.OP1_SQL,
     "op2_voronoi_topk": voronoi_topk.OP2_SQL,
+    "op7_ngram_jaccard_join": jaccard_join.OP7_SQL,
     "op9_url_filters": url_filter.OP9_SQL,
 }
