@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from clinlake.llm import fingerprint, jaccard_join, language_id, mixing, sentencepiece_viterbi, token_store, url_filter, voronoi_topk
+from clinlake.llm import fingerprint, jaccard_join, language_id, mixing, sentencepiece_viterbi, suffix_dedup, token_store, url_filter, voronoi_topk
 
 LLM_QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op2_voronoi_topk": voronoi_topk.op2_voronoi_topk,
     "op3_syncmer_fingerprints": fingerprint.op3_syncmer_fingerprints,
+    "op4_suffix_dedup": suffix_dedup.op4_suffix_dedup,
     "op5_sentencepiece_round_trip": sentencepiece_viterbi.op5_sentencepiece_round_trip,
     "op6_language_id": language_id.op6_language_id,
     "op7_ngram_jaccard_join": jaccard_join.op7_ngram_jaccard_join,
