@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clinlake.llm import fingerprint, jaccard_join, language_id, mixing, sentencepiece_viterbi, suffix_dedup, token_store, url_filter, voronoi_topk
+from clinlake.llm import fingerprint, html_extract, jaccard_join, language_id, mixing, sentencepiece_viterbi, suffix_dedup, token_store, url_filter, voronoi_topk
 
 LLM_QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -12,6 +12,7 @@ LLM_QUERIES = {
     "op5_sentencepiece_round_trip": sentencepiece_viterbi.op5_sentencepiece_round_trip,
     "op6_language_id": language_id.op6_language_id,
     "op7_ngram_jaccard_join": jaccard_join.op7_ngram_jaccard_join,
+    "op8_html_extraction": html_extract.op8_html_extraction,
     "op9_url_filters": url_filter.op9_url_filters,
     "op10_token_store": token_store.op10_token_store,
 }
