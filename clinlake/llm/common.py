@@ -25,17 +25,28 @@ def show_package(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, scratch: list[str] | None = None) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back.
 
     Cuts the lineage with a table all executors can read, so a lost executor
-    costs no recomputation of what came before.
+    costs no recomputation of what came before. ``scratch`` notes the table
+    for ``discard``.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if scratch is not None:
+        scratch.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, scratch: list[str]) -> None:
+    """Delete scratch tables that nothing reads any more."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while scratch:
+        path = jvm.org.apache.hadoop.fs.Path(scratch.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -43,7 +43,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clinlake.llm.common import materialize, table
+from clinlake.llm.common import discard, materialize, table
 from clinlake.llm.components import components
 from clinlake.llm.shingles import shingle_set
 
@@ -303,18 +303,18 @@ def _parts(count: str, shingles: str):
     return F.greatest(F.ceil(F.col(count) / F.lit(BLOCK)), F.ceil(F.col(shingles) / F.lit(PART_SHINGLES))).cast("long")
 
 
-def class_links(sets: DataFrame) -> DataFrame:
+def class_links(sets: DataFrame, scratch: list[str]) -> DataFrame:
     """Links (a, b) that connect exactly the classes that links connect.
 
     ``sets`` is the written table of ``_prefixes`` (a class may come from several tasks)."""
     postings = sets.select("class", F.explode("prefix").alias("token"))
     shared = postings.groupBy("token").agg(F.min("class").alias("hub"), F.max("class").alias("last")).filter("hub < last")
-    shared = materialize(shared.select("token", "hub"), "join-shared")
-    member = materialize(postings.join(shared, "token").select("hub", "class").distinct(), "join-members")
-    one = materialize(sets.groupBy("class").agg(F.first("n").alias("n"), F.first("bits").alias("bits")), "join-bits")
-    member = materialize(member.join(one, "class"), "join-members-bits")
+    shared = materialize(shared.select("token", "hub"), "join-shared", scratch)
+    member = materialize(postings.join(shared, "token").select("hub", "class").distinct(), "join-members", scratch)
+    one = materialize(sets.groupBy("class").agg(F.first("n").alias("n"), F.first("bits").alias("bits")), "join-bits", scratch)
+    member = materialize(member.join(one, "class"), "join-members-bits", scratch)
     blocks = materialize(member.groupBy("hub").agg(F.count(F.lit(1)).alias("classes"), F.sum("n").alias("shingles"))
-                         .withColumn("parts", _parts("classes", "shingles")), "join-blocks")
+                         .withColumn("parts", _parts("classes", "shingles")), "join-blocks", scratch)
     zero = F.lit(0).cast("long")
     sized = member.join(blocks.select("hub", "parts"), "hub")
     small = sized.filter("parts = 1").select("hub", zero.alias("part"), zero.alias("other"), "class", "n", "bits", F.lit(True).alias("probe"))
@@ -326,17 +326,17 @@ def class_links(sets: DataFrame) -> DataFrame:
         "hub", F.explode(F.sequence(zero, F.col("parts") - 1)).alias("part"), F.lit(-1).cast("long").alias("other"),
         "class", "n", "bits", F.lit(True).alias("probe"))
     texts = sets.select("class", "packed")
-    first = materialize(_with_partner(small.unionByName(large).unionByName(hubs)), "join-first")
-    links = materialize(_join_texts(first, texts), "join-links")
+    first = materialize(_with_partner(small.unionByName(large).unionByName(hubs)), "join-first", scratch)
+    links = materialize(_join_texts(first, texts, scratch), "join-links")
     # classes of large blocks that their hub does not link to meet all others
     apart = sized.filter("parts > 1").filter("class != hub")
     on_hub = links.select(F.col("a").alias("hub"), F.col("b").alias("class")).unionByName(
         links.select(F.col("b").alias("hub"), F.col("a").alias("class"))).distinct()
-    apart = materialize(apart.join(on_hub, ["hub", "class"], "left_anti"), "join-apart")
+    apart = materialize(apart.join(on_hub, ["hub", "class"], "left_anti"), "join-apart", scratch)
     if apart.isEmpty():
         return links
     counts = apart.groupBy("hub").agg(F.count(F.lit(1)).alias("classes"), F.sum("n").alias("shingles")).withColumn("apart_parts", _parts("classes", "shingles"))
-    counts = materialize(counts.select("hub", "apart_parts"), "join-apart-parts")
+    counts = materialize(counts.select("hub", "apart_parts"), "join-apart-parts", scratch)
     probes = apart.join(counts, "hub").select(
         "hub", F.pmod(F.xxhash64("class"), F.col("apart_parts")).alias("part"),
         F.explode(F.sequence(zero, F.col("parts") - 1)).alias("other"), "class", "n", "bits", F.lit(True).alias("probe"))
@@ -345,14 +345,14 @@ def class_links(sets: DataFrame) -> DataFrame:
         F.pmod(F.xxhash64("class"), F.col("parts")).alias("other"), "class", "n", "bits", F.lit(False).alias("probe"))
     both = probes.unionByName(others).groupBy(*BLOCK_KEYS, "class").agg(
         F.max("probe").alias("probe"), F.first("n").alias("n"), F.first("bits").alias("bits"))
-    second = materialize(_with_partner(both), "join-second")
-    return links.unionByName(materialize(_join_texts(second, texts), "join-more-links"))
+    second = materialize(_with_partner(both), "join-second", scratch)
+    return links.unionByName(materialize(_join_texts(second, texts, scratch), "join-more-links"))
 
 
-def _join_texts(members: DataFrame, texts: DataFrame) -> DataFrame:
+def _join_texts(members: DataFrame, texts: DataFrame, scratch: list[str]) -> DataFrame:
     # a class may have texts from several tasks: any of them gives its set
     wanted = members.select("class").distinct()
-    packed = materialize(texts.join(wanted, "class", "left_semi").groupBy("class").agg(F.min("packed").alias("packed")), "join-texts")
+    packed = materialize(texts.join(wanted, "class", "left_semi").groupBy("class").agg(F.min("packed").alias("packed")), "join-texts", scratch)
     return _tree_join(members.join(packed, "class"))
 
 
@@ -362,8 +362,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = materialize(profile(docs), "join-profile")
     heavy_rows = rows.filter("token is not null").groupBy("token").agg(F.sum("count").alias("count"))
     heavy = heavy_rows.orderBy(F.desc("count"), "token").limit(MAX_HEAVY).select("token").collect()  # MAX_HEAVY longs at most
-    sets = materialize(_prefixes(docs, np.sort(np.array([r["token"] for r in heavy], "int64").view("uint64"))), "join-sets")
-    found = components(class_links(sets))
+    scratch: list[str] = []
+    sets = _prefixes(docs, np.sort(np.array([r["token"] for r in heavy], "int64").view("uint64")))
+    links = class_links(materialize(sets, "join-sets", scratch), scratch)
+    discard(docs.sparkSession, scratch)
+    found = components(links)
     documents = rows.filter("n is not null").select("doc_id", "n", "class")
     out = documents.join(materialize(found, "join-components"), F.col("class") == F.col("node"), "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), "class", F.coalesce("root", "class").alias("component"))

@@ -167,6 +167,19 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str,
     return out
 
 
+def _some_texts(texts) -> Iterator[list[np.ndarray]]:
+    """The texts' n-grams, some texts of about ``PIECE`` n-grams at a time."""
+    held, size = [], 0
+    for t in texts:
+        held.append(gram_codes(t))
+        size += len(held[-1])
+        if size >= PIECE:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def _joined(texts) -> Iterator[np.ndarray]:
     """The n-grams of many texts in arrays of about ``PIECE``."""
     held, size = [], 0
@@ -187,7 +200,7 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text: str = "tex
     against = np.stack([prototypes[n] for n in names], axis=1) if names else np.zeros((DIMENSIONS, 0))
 
     def judge(texts: pd.Series) -> pd.DataFrame:
-        vectors = bundle([gram_codes(t) for t in texts])
+        vectors = np.concatenate([np.zeros((0, DIMENSIONS)), *[bundle(part) for part in _some_texts(texts)]])
         norms = np.sqrt((vectors * vectors).sum(axis=1))
         known = (norms > 0) & bool(names)
         cosines = vectors @ against / np.where(norms > 0, norms, 1)[:, None]

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from clinlake.llm import fingerprint, html_extract, jaccard_join, language_id, mixing, sentencepiece_viterbi, suffix_dedup, token_store, url_filter, voronoi_topk
 
 LLM_QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_mix_sources": mixing.op1_mix_sources,
     "op2_voronoi_topk": voronoi_topk.op2_voronoi_topk,
     "op3_syncmer_fingerprints": fingerprint.op3_syncmer_fingerprints,
@@ -23,3 +25,5 @@ LLM_ORACLE_SQL = {
     "op7_ngram_jaccard_join": jaccard_join.OP7_SQL,
     "op9_url_filters": url_filter.OP9_SQL,
 }
+if corpus_pipeline.ORACLE_SQL:
+    LLM_ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

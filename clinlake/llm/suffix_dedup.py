@@ -39,17 +39,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from clinlake.llm import suffix_runs as sr
-from clinlake.llm.common import materialize, shuffle_partitions, table
+from clinlake.llm.common import discard, materialize, shuffle_partitions, table
 from clinlake.session import scratch_path
 
 PORTION_BYTES = 8 << 20
 HOT_ELEMENTS = 20_000
 NO_ID = -(2**63)
 
-PORTION_SCHEMA = "portion long, row int, doc_id long, packed binary, bucket int, seeds binary, counts binary"
+LONG, INT, BYTES, LONGS = T.LongType(), T.IntegerType(), T.BinaryType(), T.ArrayType(T.LongType())
+PORTION_FIELDS = [T.StructField(n, t) for n, t in (
+    ("portion", LONG), ("row", INT), ("doc_id", LONG), ("packed", BYTES), ("bucket", INT), ("seeds", BYTES), ("counts", BYTES))]
 PORTION_ARROW = pa.schema([("portion", pa.int64()), ("row", pa.int32()), ("doc_id", pa.int64()), ("packed", pa.binary()),
                            ("bucket", pa.int32()), ("seeds", pa.binary()), ("counts", pa.binary())])
 RUN_SCHEMA = "portion long, row int, first long, last long, bucket int, run binary"
@@ -62,8 +64,9 @@ def _table(schema: pa.Schema, **columns) -> pa.Table:
     return pa.table({f.name: pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in schema})
 
 
-def _portions(docs: DataFrame, buckets: int) -> DataFrame:
-    """Steps 1: text rows and seed rows of every portion."""
+def _portions(docs: DataFrame, buckets: int, keep: list[str]) -> DataFrame:
+    """Step 1: text rows (with the ``keep`` columns, as k0, k1, ...) and seed rows of every portion."""
+    kept = [T.StructField(f"k{i}", docs.schema[c].dataType) for i, c in enumerate(keep)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -72,33 +75,40 @@ def _portions(docs: DataFrame, buckets: int) -> DataFrame:
 
         squeeze = zstandard.ZstdCompressor(level=3)
         task = TaskContext.get().partitionId()
-        number, ids, texts, size = 0, [], [], 0
+        number, ids, texts, size, schema = 0, [], [], 0, PORTION_ARROW
+        others: list[list] = [[] for _ in kept]
 
         def emit() -> Iterator[pa.RecordBatch]:
             portion = [(task << 32) | number] * len(ids)
             for at in range(0, len(ids), 512):
                 part = slice(at, at + 512)
-                yield from _table(PORTION_ARROW, portion=portion[part], row=list(range(len(ids)))[part], doc_id=ids[part],
-                                  packed=[squeeze.compress(t) for t in texts[part]]).to_batches()
+                yield from _table(schema, portion=portion[part], row=list(range(len(ids)))[part], doc_id=ids[part],
+                                  packed=[squeeze.compress(t) for t in texts[part]],
+                                  **{f"k{i}": c[part] for i, c in enumerate(others)}).to_batches()
             found, counts = np.unique(sr.windows(texts).seed, return_counts=True)
             owner = (found % np.uint64(buckets)).astype(int)
             rows = [(b, found[owner == b], np.minimum(counts[owner == b], 65535).astype("<u2")) for b in np.unique(owner)]
             if rows:
-                yield from _table(PORTION_ARROW, portion=portion[:1] * len(rows), bucket=[b for b, _, _ in rows],
+                yield from _table(schema, portion=portion[:1] * len(rows), bucket=[b for b, _, _ in rows],
                                   seeds=[s.astype("<u8").tobytes() for _, s, _ in rows], counts=[c.tobytes() for _, _, c in rows]).to_batches()
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            schema = pa.schema([*PORTION_ARROW, *[pa.field(f"k{i}", f.type) for i, f in enumerate(list(batch.schema)[2:])]])
+            for at, (doc_id, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1))):
                 ids.append(doc_id)
                 texts.append(text.as_buffer().to_pybytes() if text.is_valid else b"")
+                for own, column in zip(others, batch.columns[2:]):
+                    own.append(column[at].as_py())
                 size += len(texts[-1])
                 if size >= PORTION_BYTES:
                     yield from emit()
                     number, ids, texts, size = number + 1, [], [], 0
+                    others = [[] for _ in kept]
         if ids:
             yield from emit()
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, PORTION_SCHEMA)
+    chosen = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)])
+    return chosen.mapInArrow(run, T.StructType([*PORTION_FIELDS, *kept]))
 
 
 def _bucketed(spark: SparkSession, df: DataFrame, buckets: int) -> DataFrame:
@@ -221,42 +231,58 @@ def merged_spans(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.nd
     return first[new], np.append(last[np.flatnonzero(new)[1:] - 1], last[-1:])
 
 
-def _removed(texts: pa.Table, repeats: pa.Table) -> pa.Table:
+def _removed(n_kept: int):
     """Step 5 for one portion: spans and kept bytes of its documents."""
-    rows, data = _texts(texts)
-    owner = repeats.column("row").to_numpy()
-    order = np.argsort(owner, kind="stable")
-    owner, first, last = owner[order], repeats.column("first").to_numpy()[order], repeats.column("last").to_numpy()[order]
-    out: list[tuple] = []
-    for doc_id, row, text in zip(rows.column("doc_id").to_pylist(), rows.column("row").to_pylist(), data):
-        a, b = np.searchsorted(owner, [row, row + 1])
-        starts, ends = merged_spans(first[a:b], last[a:b]) if b > a else (first[:0], last[:0])
-        kept, at = [], 0
-        for s, e in zip(starts.tolist(), ends.tolist()):
-            kept.append(text[at:s])
-            at = e
-        kept.append(text[at:])
-        out.append((doc_id, len(text), starts, ends, b"".join(kept)))
-    names = ["doc_id", "n_bytes", "span_starts", "span_ends", "kept"]
-    types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
-    return pa.table([pa.array(c, t) for c, t in zip(zip(*out), types)] if out else [pa.array([], t) for t in types], names=names)
-
-
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_bytes, span_starts, span_ends, kept) of every document: the
-    removed spans and the bytes that remain."""
-    spark = docs.sparkSession
+
+    def run(texts: pa.Table, repeats: pa.Table) -> pa.Table:
+        rows, data = _texts(texts)
+        owner = repeats.column("row").to_numpy()
+        order = np.argsort(owner, kind="stable")
+        owner, first, last = owner[order], repeats.column("first").to_numpy()[order], repeats.column("last").to_numpy()[order]
+        spans, rest = [], []
+        for row, text in zip(rows.column("row").to_pylist(), data):
+            a, b = np.searchsorted(owner, [row, row + 1])
+            starts, ends = merged_spans(first[a:b], last[a:b]) if b > a else (first[:0], last[:0])
+            kept, at = [], 0
+            for s, e in zip(starts.tolist(), ends.tolist()):
+                kept.append(text[at:s])
+                at = e
+            kept.append(text[at:])
+            spans.append((starts, ends))
+            rest.append(b"".join(kept))
+        longs = pa.list_(pa.int64())
+        columns = [rows.column("doc_id"), pa.array([len(t) for t in data], pa.int64()), pa.array([s for s, _ in spans], longs),
+                   pa.array([e for _, e in spans], longs), pa.array(rest, pa.binary()),
+                   pa.array([r.decode("utf-8", "ignore") for r in rest], pa.string()),
+                   *[rows.column(f"k{i}") for i in range(n_kept)]]
+        return pa.table(columns, names=[f.name for f in RESULT_FIELDS] + [f"k{i}" for i in range(n_kept)])
+
+    return run
+
+
+RESULT_FIELDS = [T.StructField(n, t) for n, t in (
+    ("doc_id", LONG), ("n_bytes", LONG), ("span_starts", LONGS), ("span_ends", LONGS), ("kept", BYTES), ("kept_text", T.StringType()))]
+
+
+def remove_repeats(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """(doc_id, n_bytes, span_starts, span_ends, kept, kept_text) of every
+    document, and its ``keep`` columns: the removed spans, the bytes that
+    remain, and these as text (without the rest of characters cut through)."""
+    spark, keep, scratch = docs.sparkSession, keep or [], []
     buckets = shuffle_partitions(spark)
-    portions = _bucketed(spark, _portions(docs, buckets), buckets)
-    texts = portions.filter("row is not null").select("portion", "row", "doc_id", "packed")
-    repeated = materialize(_repeated_seeds(portions.filter("bucket is not null"), buckets), "suffix-seeds")
+    portions = _bucketed(spark, _portions(docs, buckets, keep), buckets)
+    others = [f"k{i}" for i in range(len(keep))]
+    texts = portions.filter("row is not null").select("portion", "row", "doc_id", "packed", *others)
+    repeated = materialize(_repeated_seeds(portions.filter("bucket is not null"), buckets), "suffix-seeds", scratch)
     runs = texts.groupBy("portion").cogroup(repeated.groupBy("portion")).applyInArrow(_sort_runs(buckets), RUN_SCHEMA)
-    runs = materialize(runs, "suffix-runs")
-    settled = runs.filter("bucket is null").select("portion", "row", "first", "last")
+    runs = materialize(runs, "suffix-runs", scratch)
+    settled = materialize(runs.filter("bucket is null").select("portion", "row", "first", "last"), "suffix-settled")
     found = materialize(_merge(runs.filter("bucket is not null"), buckets), "suffix-repeats")
+    discard(spark, scratch)
     repeats = settled.unionByName(found)
-    return texts.groupBy("portion").cogroup(repeats.groupBy("portion")).applyInArrow(
-        _removed, "doc_id long, n_bytes long, span_starts array<long>, span_ends array<long>, kept binary")
+    schema = T.StructType([*RESULT_FIELDS, *[T.StructField(o, docs.schema[c].dataType) for o, c in zip(others, keep)]])
+    out = texts.groupBy("portion").cogroup(repeats.groupBy("portion")).applyInArrow(_removed(len(keep)), schema)
+    return out.withColumnsRenamed(dict(zip(others, keep)))
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
