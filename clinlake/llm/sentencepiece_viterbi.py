@@ -29,19 +29,19 @@ from __future__ import annotations
 import re
 import sys
 from array import array
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from clinlake.llm.common import table
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 #: Distinct words in a worker's newer cache before it becomes the older one.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 #: Added to the lowest score for a character without a piece, as in the library.
 UNKNOWN_PENALTY = 10
 
@@ -77,7 +77,9 @@ class PieceModel:
                 self.ids[piece] = i
                 self.scores[piece] = model.get_score(i)
                 self.surface.append(piece.replace(MARK, " ").encode())
-        self.longest = max(map(len, self.ids))
+        #: Every end of a piece, with the piece's score if it is one itself.
+        self.ends: dict[str, float | None] = {p[i:]: None for p in self.ids for i in range(len(p))}
+        self.ends.update(self.scores)
         self.unknown = min(self.scores.values()) - UNKNOWN_PENALTY
         known = "".join(sorted({c for p in self.ids for c in p} - {MARK, " "}))
         inside = f"[{re.escape(known)}]"
@@ -91,8 +93,8 @@ class PieceModel:
 
     def segment(self, words: Iterable[str]) -> dict[str, bytes]:
         """Packed ids of each distinct word, by one walk over their sorted trie."""
-        out, scores, unknown, longest = {}, self.scores, self.unknown, self.longest
-        best, start, before = [0.0], [0], ""
+        out, ends, unknown, ids_of = {}, self.ends, self.unknown, self.ids
+        best, start, before, missing = [0.0], [0], "", object()
         for word in sorted(words):
             marked = word.replace(" ", MARK)
             shared, most = 0, min(len(marked), len(before))
@@ -100,13 +102,19 @@ class PieceModel:
                 shared += 1
             del best[shared + 1:], start[shared + 1:]
             for end in range(shared + 1, len(marked) + 1):
-                top, where = None, end - 1
-                for at in range(max(0, end - longest), end):
-                    score = scores.get(marked[at:end])
-                    if score is not None and (top is None or best[at] + score > top):
-                        top, where = best[at] + score, at
+                # the pieces that end here, shortest first, while some piece ends alike
+                top, where, at = None, end - 1, end - 1
+                while at >= 0:
+                    score = ends.get(marked[at:end], missing)
+                    if score is not None:
+                        if score is missing:
+                            break
+                        score += best[at]
+                        if top is None or score >= top:
+                            top, where = score, at
+                    at -= 1
                 # a character that is no piece by itself may also be passed as unknown
-                if marked[end - 1:end] not in scores and (top is None or best[end - 1] + unknown > top):
+                if ends.get(marked[end - 1]) is None and (top is None or best[end - 1] + unknown >= top):
                     top, where = best[end - 1] + unknown, end - 1
                 best.append(top)
                 start.append(where)
@@ -115,12 +123,14 @@ class PieceModel:
             while end:
                 at = start[end]
                 piece = marked[at:end]
-                if piece in self.ids:
-                    ids.append(self.ids[piece])
+                number = ids_of.get(piece)
+                if number is not None:
+                    ids.append(number)
                 else:  # bytes, in reverse as the rest
                     ids += [self.byte_ids[b] for b in reversed(piece.encode())]
                 end = at
-            out[word] = self._pack(reversed(ids))
+            ids.reverse()
+            out[word] = self._pack(ids)
         if MARK in out:  # the character itself, not a blank
             out[MARK] = self._pack(self.byte_ids[b] for b in MARK.encode())
         return out
@@ -135,15 +145,20 @@ class PieceModel:
         if len(self.new) > CACHE_WORDS:
             self.old, self.new = self.new, {}
         split = [self.marked_words(t or "") for t in texts]
-        fresh: set[str] = set()
+        met: set[str] = set()
         for words in split:
-            fresh.update(words)
-        fresh.difference_update(self.new)
-        again = {w: self.old[w] for w in fresh if w in self.old}
-        self.new.update(again)
-        self.new.update(self.segment(fresh - again.keys()))
+            met.update(words)
+        new, old, fresh = self.new, self.old, []
+        for w in met:
+            if w not in new:
+                if w in old:
+                    new[w] = old[w]
+                else:
+                    fresh.append(w)
+        new.update(self.segment(fresh))
         known = self.new
-        return [np.frombuffer(b"".join([known[w] for w in words]), f"<u{array(self.code).itemsize}") for words in split]
+        kind = f"<u{array(self.code).itemsize}"
+        return [np.frombuffer(b"".join([known[w] for w in words]), kind).astype("int32") for words in split]
 
     def decode(self, ids: Iterable[int]) -> str:
         surface = self.surface
@@ -156,30 +171,38 @@ def piece_model(path: str) -> PieceModel:
     return PieceModel(path)
 
 
-#: Texts segmented together; keeps a batch's words within memory.
-TEXTS_AT_ONCE = 256
+#: Texts segmented together; keeps a batch's words and ids within memory.
+ROWS_AT_ONCE = 256
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` with the array column ``ids``."""
+def _with_column(df: DataFrame, source: str, name: str, kind: T.DataType, arrow: pa.DataType,
+                 convert: Callable[[PieceModel, list], list], path: str) -> DataFrame:
+    """``df`` with ``name`` computed from ``source`` in small slices of its Arrow batches."""
+    kept = [c for c in df.columns if c.lower() != name.lower()]
+    schema = T.StructType([*df.select(*kept).schema.fields, T.StructField(name, kind)])
+    at = len(kept)
 
-    def run(texts: pd.Series) -> pd.Series:
-        model, out = piece_model(path), []
-        for at in range(0, len(texts), TEXTS_AT_ONCE):
-            out += [x.astype("int32") for x in model.encode_batch(texts.iloc[at:at + TEXTS_AT_ONCE])]
-        return pd.Series(out, dtype=object)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = piece_model(path)
+        for batch in batches:
+            for first in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(first, ROWS_AT_ONCE)
+                column = pa.array(convert(model, part.column(at).to_pylist()), arrow)
+                yield pa.RecordBatch.from_arrays([*part.columns[:at], column], [*kept, name])
 
-    return docs.withColumn(ids, F.pandas_udf(run, "array<int>")(F.col(text)))
+    return df.select(*kept, F.col(source).alias("__source")).mapInArrow(run, schema)
 
 
-def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """``df`` with the text of the ids (null ids: the empty text)."""
+def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
+    """``docs`` with the array column ``ids``."""
+    return _with_column(docs, text, ids, T.ArrayType(T.IntegerType()), pa.list_(pa.int32()),
+                        lambda model, texts: model.encode_batch(texts), path)
 
-    def run(rows: pd.Series) -> pd.Series:
-        model = piece_model(path)
-        return pd.Series([model.decode(() if r is None else r.tolist()) for r in rows], dtype=object)
 
-    return df.withColumn(text, F.pandas_udf(run, "string")(F.col(ids)))
+def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
+    """``df`` with the text of the ids (null ids: the empty text)."""
+    return _with_column(df, ids, text, T.StringType(), pa.string(),
+                        lambda model, rows: [model.decode(r or ()) for r in rows], path)
 
 
 def op5_sentencepiece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
