@@ -53,10 +53,6 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     r.add_argument("--jdbc-driver")
     r.add_argument("--jdbc-partitions", type=int, default=0, help="hash-bucket reads per table (PostgreSQL)")
     r.add_argument("--concurrent-writes", type=int, default=4, help="independent tables written at once")
-    r.add_argument("--dedup-strategy", choices=("split", "sort"), default="split",
-                   help="primary-key dedup of patients / encounters")
-    r.add_argument("--row-dedup-strategy", choices=("split", "aggregate"), default="split",
-                   help="full-row dedup of conditions / observations")
     return p.parse_args(argv)
 
 
@@ -78,8 +74,6 @@ def config_from_args(a: argparse.Namespace) -> PipelineConfig:
         fmt=a.format,
         as_of=_dt.date.fromisoformat(a.as_of) if a.as_of else None,
         concurrent_writes=a.concurrent_writes,
-        dedup_strategy=a.dedup_strategy,
-        row_dedup_strategy=a.row_dedup_strategy,
     )
 
 

@@ -1,28 +1,37 @@
-"""Identifier and gender normalization."""
+"""Normalization of coded text: identifiers and gender."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, functions as F
 
-# --- fixed values: texts treated as a missing identifier after trimming ------
-# (case-sensitive: 'Null' survives as an identifier)
+# --- fixed values ------------------------------------------------------------
+# Texts that mean "no identifier" once padding is gone ('Null' is a value), and
+# the labels of gender codes (upper case; blank means unknown).
 MISSING_ID_TOKENS = ("", "NULL", "null")
-# --- end of fixed values ---------------------------------------------------------
+GENDER_LABELS = {"M": "Male", "F": "Female", "": None}
+# --- end of fixed values -----------------------------------------------------
+
+
+def mapped(value: Column, labels: Mapping[str, str | None], default: Column) -> Column:
+    """The label of ``value``; ``default`` for values without one (NULL stays NULL)."""
+    by_label: dict[str | None, list[str]] = {}
+    for code, label in labels.items():
+        by_label.setdefault(label, []).append(code)
+    out = default
+    for label, codes in by_label.items():
+        out = F.when(value.isin(codes), F.lit(label).cast("string")).otherwise(out)
+    return out
 
 
 def normalize_identifier(col: Column) -> Column:
-    """Trim spaces; '', 'NULL' and 'null' become NULL."""
-    trimmed = F.trim(col)
-    return F.when(trimmed.isin(*MISSING_ID_TOKENS), F.lit(None).cast("string")).otherwise(trimmed)
+    """Padding removed; a missing-value token becomes NULL."""
+    value = F.trim(col)
+    return mapped(value, dict.fromkeys(MISSING_ID_TOKENS), value)
 
 
 def normalize_gender(col: Column) -> Column:
-    """M -> Male, F -> Female (any case/padding), blank -> NULL, else initcap."""
-    trimmed = F.trim(col)
-    code = F.upper(trimmed)
-    return (
-        F.when(code == "M", F.lit("Male"))
-        .when(code == "F", F.lit("Female"))
-        .when(trimmed.isNull() | (trimmed == ""), F.lit(None).cast("string"))
-        .otherwise(F.initcap(F.lower(trimmed)))
-    )
+    """Label of the code, whatever its case and padding; other texts with capital initials."""
+    value = F.trim(col)
+    return mapped(F.upper(value), GENDER_LABELS, F.initcap(value))

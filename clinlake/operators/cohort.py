@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 
 def union_keys(*key_sets: DataFrame) -> DataFrame:
@@ -14,12 +14,26 @@ def union_keys(*key_sets: DataFrame) -> DataFrame:
     return out.distinct()
 
 
-def restrict_to(df: DataFrame, keys: DataFrame, on: str = "patient_id") -> DataFrame:
-    """Rows of ``df`` whose ``on`` appears in ``keys`` (left semi join).
+#: Parts a hot key's facts are dealt into; the key side is repeated as often.
+FACT_SALTS = 8
 
-    The key set is small relative to the facts in practice; Spark broadcasts
-    it when its measured size (file stats, or the AQE shuffle statistics of
-    the distinct that produced it) is under the broadcast threshold, and
-    otherwise runs a sort-merge semi join whose skewed partitions AQE splits.
+
+def join_facts(facts: DataFrame, per_key: DataFrame, on: str = "patient_id", how: str = "inner",
+               salts: int = FACT_SALTS) -> DataFrame:
+    """Join raw facts with a table of at most one row per key.
+
+    Where the key side is itself an aggregate, Spark's skew handling leaves its
+    join alone, so a key holding a third of the facts would land in one task.
+    Facts are therefore dealt over ``salts`` parts by a hash of the row and the
+    key side is repeated once for each part. If the key side turns out small
+    enough, Spark broadcasts it and shuffles no fact.
     """
-    return df.join(keys, on=on, how="left_semi")
+    part = F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(salts)).cast("int")
+    dealt = facts.withColumn("__part", part)
+    repeated = per_key.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return dealt.join(repeated, [on, "__part"], how).drop("__part")
+
+
+def restrict_to(df: DataFrame, keys: DataFrame, on: str = "patient_id", salts: int = FACT_SALTS) -> DataFrame:
+    """Rows of ``df`` whose ``on`` appears in ``keys`` (left semi join of facts)."""
+    return join_facts(df, keys.select(on), on, "left_semi", salts)

@@ -1,13 +1,14 @@
-"""Deduplication.
+"""Deduplication, as lazy plans without actions or size limits.
 
 ``dedup_deterministic`` keeps, per key, the row that sorts first over the
-remaining columns (ascending, NULLs first). It is a keyed ``min`` over a
-struct, i.e. a plain aggregate: Spark runs a partial aggregate before the
-shuffle, so a key holding a third of the rows leaves each map task as one
-row and never piles up in a single reducer. The result is the same on every
-run and equals SQL ``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY rest
-NULLS FIRST) = 1``. For large tables whose keys are mostly unique, the
-"split" strategy avoids shuffling whole rows (see ``dedup_deterministic``).
+remaining columns (ascending, NULLs first): SQL ``ROW_NUMBER() OVER (PARTITION
+BY keys ORDER BY rest NULLS FIRST) = 1``. Keys are mostly unique in practice,
+so rows are not all sent through an aggregate of whole rows: a fixed-width
+aggregate (a hash of the key and a count) finds the hashes that occur more than
+once, rows of other hashes pass by an anti join, and only the rest are reduced
+by a keyed ``min`` over a struct. Partial aggregates run before each shuffle,
+so a key holding a third of the rows leaves each map task as one row; Spark
+picks the joins by the measured size of the repeated hashes.
 """
 
 from __future__ import annotations
@@ -17,9 +18,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 _SURVIVOR = "__survivor"
+_HASH = "__hash"
 
 
-def _first_per_key(df: DataFrame, keys: list[str], order: list[str] | None) -> DataFrame:
+def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
+    """The first row of each key by one keyed ``min`` over all rows."""
     rest = [c for c in df.columns if c not in keys]
     order = list(order) if order is not None else rest
     tail = [c for c in rest if c not in order]
@@ -27,98 +30,32 @@ def _first_per_key(df: DataFrame, keys: list[str], order: list[str] | None) -> D
     return picked.select(*[F.col(c) if c in keys else F.col(f"{_SURVIVOR}.{c}").alias(c) for c in df.columns])
 
 
-# Largest duplicate-key set the "split" strategy broadcasts.
-MAX_BROADCAST_DUPLICATE_KEYS = 1_000_000
+def split_repeated(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key hash occurs once, the others). Equal keys are always in
+    the same part; a hash shared by different keys only sends them to the second."""
+    hashed = df.withColumn(_HASH, F.xxhash64(*[F.col(k) for k in keys]))
+    repeated = hashed.groupBy(_HASH).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select(_HASH)
+    return hashed.join(repeated, _HASH, "left_anti").drop(_HASH), hashed.join(repeated, _HASH, "left_semi").drop(_HASH)
 
 
-def dedup_deterministic(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str] | None = None,
-    strategy: str = "sort",
-    max_broadcast_keys: int = MAX_BROADCAST_DUPLICATE_KEYS,
-) -> DataFrame:
-    """One row per ``keys``; survivor = first row ordered by ``order`` (default: all other columns).
-
-    strategy="sort" (lazy): one keyed ``min(struct)`` aggregate over all rows.
-    strategy="split": first counts rows per key (a shuffle of keys only) and
-    checks how many keys are duplicated. None: ``df`` is returned as is, with
-    no shuffle of rows at all. Up to ``max_broadcast_keys``: that key set is
-    broadcast, rows of unique keys pass through map-side (anti join) and only
-    rows of duplicated keys are aggregated. More: falls back to "sort". Every
-    path returns the same rows. "split" runs the count when called.
-    """
+def dedup_deterministic(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
+    """One row per ``keys``; survivor = first row ordered by ``order`` (default: all other columns)."""
     keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    if not rest:
-        return df.dropDuplicates(keys)
-    if strategy == "sort":
-        return _first_per_key(df, keys, order)
-    if strategy != "split":
-        raise ValueError(f"unknown strategy {strategy!r}")
-    dup_keys = (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1)
-        .select(*[F.col(k).alias(f"__dk{i}") for i, k in enumerate(keys)])
-    )
-    n_dup = dup_keys.count()
-    if n_dup == 0:
-        return df
-    if n_dup > max_broadcast_keys:
-        return _first_per_key(df, keys, order)
-    small = F.broadcast(dup_keys)  # size checked just above
-    cond = None
-    for i, k in enumerate(keys):
-        c = F.col(k).eqNullSafe(F.col(f"__dk{i}"))
-        cond = c if cond is None else cond & c
-    unique_rows = df.join(small, cond, "left_anti")
-    duplicated = df.join(small, cond, "left_semi")
-    return unique_rows.unionByName(_first_per_key(duplicated, keys, order))
-
-
-def dedup_rows(
-    df: DataFrame,
-    keys: Sequence[str],
-    strategy: str = "aggregate",
-    max_broadcast_keys: int = MAX_BROADCAST_DUPLICATE_KEYS,
-) -> DataFrame:
-    """Drop duplicates over ``keys`` when they cover every column (NULLs equal).
-
-    With the full row as the key, any survivor is identical, so this is
-    deterministic.
-
-    strategy="aggregate" (lazy): one hash aggregate over the rows, combining
-    map-side — every distinct row is shuffled once.
-    strategy="split": hashes each row (xxhash64 over the keys) and counts the
-    hashes (a shuffle of 8-byte hashes only). No repeated hash: ``df`` is
-    returned as is. Up to ``max_broadcast_keys`` repeated hashes: that set is
-    broadcast, rows with a unique hash pass through map-side (a unique hash
-    means a unique row) and only rows sharing a hash take the exact distinct,
-    so hash collisions cannot merge different rows. More: "aggregate".
-    "split" runs the hash count when called.
-    """
-    keys = list(keys)
-    missing = [c for c in df.columns if c not in keys]
-    if missing:
-        raise ValueError(f"natural key must cover all columns; not covered: {missing}")
-    if strategy == "aggregate":
-        return df.dropDuplicates(keys)
-    if strategy != "split":
-        raise ValueError(f"unknown strategy {strategy!r}")
-    hashed = df.withColumn("__h", F.xxhash64(*[F.col(k) for k in keys]))
-    repeated = (
-        hashed.groupBy("__h").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1)
-        .select(F.col("__h").alias("__rh"))
-    )
-    n_repeated = repeated.count()
-    if n_repeated == 0:
-        return df
-    if n_repeated > max_broadcast_keys:
+    if len(keys) == len(df.columns):
         return df.dropDuplicates(keys)
-    small = F.broadcast(repeated)  # size checked just above
-    cond = F.col("__h") == F.col("__rh")
-    unique_rows = hashed.join(small, cond, "left_anti").drop("__h")
-    shared = hashed.join(small, cond, "left_semi").drop("__h").dropDuplicates(keys)
-    return unique_rows.unionByName(shared)
+    once, repeated = split_repeated(df, keys)
+    return once.unionByName(first_per_key(repeated, keys, order))
+
+
+def dedup_rows(df: DataFrame) -> DataFrame:
+    """Distinct rows (NULLs equal): one hash aggregate that combines map-side."""
+    return df.dropDuplicates()
+
+
+def dedup_rows_split(df: DataFrame) -> DataFrame:
+    """Distinct rows; rows of a hash of their own pass without an aggregate."""
+    once, repeated = split_repeated(df, df.columns)
+    return once.unionByName(repeated.dropDuplicates())
 
 
 def distinct_keys(df: DataFrame, *cols: str) -> DataFrame:

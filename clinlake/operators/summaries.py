@@ -26,7 +26,7 @@ def summarize_per_key(
     for out, src in (latest or {}).items():
         aggs.append(F.max(F.col(src)).alias(out))
     for out, (src, dtype) in (sums or {}).items():
-        aggs.append(F.sum(F.coalesce(F.col(src), F.lit(0))).cast(dtype).alias(out))
+        aggs.append(F.sum(F.coalesce(F.col(src), F.lit(0))).try_cast(dtype).alias(out))
     for out, cond in (flags or {}).items():
         aggs.append(F.bool_or(F.coalesce(cond, F.lit(False))).alias(out))
     return df.groupBy(key).agg(*aggs)

@@ -313,8 +313,6 @@ def _gold(body: str, *needs: str) -> str:
     # bodies starting with ", name AS (...)" extend the CTE list
     text = with_ctes("SELECT 1", *needs)
     head = text[: text.rfind("SELECT 1")].rstrip()
-    if body.lstrip().startswith(","):
-        return head + "\n" + body.strip()
     return head + "\n" + body.strip()
 
 
@@ -372,8 +370,27 @@ SELECT l_orderkey, l_linenumber, CAST(l_extendedprice AS DECIMAL(12,2)) AS exten
        CAST(year(l_shipdate) AS INTEGER) AS ship_year
 FROM lineitem
 """,
-        "rename_by_map": with_ctes("SELECT * FROM bronze_patients", "bronze_patients"),
-        "flexible_projection": with_ctes("SELECT * FROM silver_observations", "silver_observations"),
+        "rename_by_map": with_ctes(
+            """
+SELECT id AS "Id", start_time AS "START", stop_time AS "STOP", patient AS "PATIENT", organization AS "ORGANIZATION",
+       provider AS "PROVIDER", payer AS "PAYER", encounterclass AS "ENCOUNTERCLASS", code AS "CODE",
+       description AS "DESCRIPTION", base_encounter_cost AS "BASE_ENCOUNTER_COST", total_claim_cost AS "TOTAL_CLAIM_COST",
+       payer_coverage AS "PAYER_COVERAGE", reasoncode AS "REASONCODE", reasondescription AS "REASONDESCRIPTION"
+FROM bronze_encounters
+""",
+            "bronze_encounters",
+        ),
+        "flexible_projection": with_ctes(
+            f"""
+SELECT DISTINCT * FROM (
+  SELECT {norm('patient')} AS patient_id, {norm('encounter')} AS encounter_id,
+         CAST(CAST("date" AS DATE) + 1 AS TIMESTAMP) AS observation_time, code AS observation_code,
+         description AS observation_description, "value" AS observation_value
+  FROM bronze_observations) t
+WHERE patient_id IS NOT NULL
+""",
+            "bronze_observations",
+        ),
         "flexible_projection_no_time": with_ctes(
             f"""
 SELECT DISTINCT * FROM (

@@ -37,10 +37,6 @@ class PipelineConfig:
     as_of: _dt.date | None = None
     # tables whose row count is re-read after the write and compared
     reconcile: tuple[str, ...] = ("covid_clinical_master",)
-    # primary-key dedup of patients / encounters (see operators.dedup)
-    dedup_strategy: str = "split"
-    # natural-key (full-row) dedup of conditions / observations
-    row_dedup_strategy: str = "split"
     # independent tables of one stage written by concurrent Spark jobs
     concurrent_writes: int = 4
 
@@ -103,16 +99,16 @@ def stage_silver(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
     b, s = cfg.bronze_ns, cfg.silver_ns
     jobs = {
         "patients": lambda: _write(spark, cfg, silver.clean_patients(
-            catalog.resolve_table(spark, f"{b}.patients"), cfg.dedup_strategy), s, "patients"),
+            catalog.resolve_table(spark, f"{b}.patients")), s, "patients"),
         "encounters": lambda: _write(spark, cfg, silver.clean_encounters(
-            catalog.resolve_table(spark, f"{b}.encounters"), cfg.dedup_strategy), s, "encounters"),
+            catalog.resolve_table(spark, f"{b}.encounters")), s, "encounters"),
         "conditions": lambda: _write(spark, cfg, silver.clean_conditions(
-            catalog.resolve_table(spark, f"{b}.conditions"), cfg.row_dedup_strategy), s, "conditions"),
+            catalog.resolve_table(spark, f"{b}.conditions")), s, "conditions"),
     }
     obs_bronze = catalog.resolve_table(spark, f"{b}.observations", required=False)
     if obs_bronze is not None:
         jobs["observations"] = lambda: _write(
-            spark, cfg, silver.clean_observations(obs_bronze, cfg.row_dedup_strategy), s, "observations"
+            spark, cfg, silver.clean_observations(obs_bronze), s, "observations"
         )
     counts = _concurrently(cfg, jobs)
     obs = spark.table(f"{s}.observations") if obs_bronze is not None else None

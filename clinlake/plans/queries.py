@@ -30,7 +30,10 @@ from clinlake.functions import (
 from clinlake.operators import (
     dedup_deterministic,
     dedup_rows,
+    dedup_rows_split,
     distinct_keys,
+    first_per_key,
+    join_facts,
     rate_against_groups,
     restrict_to,
     share_of_total,
@@ -173,27 +176,26 @@ def q_scan_parquet_project(spark, sf_dir):
 
 
 def q_rename_by_map(spark, sf_dir):
-    headed = files.rename_columns(
-        standins.bronze_patients(spark, sf_dir), {v: k for k, v in schemas.PATIENTS_RENAME.items()}
-    )
-    return files.rename_columns(headed, schemas.PATIENTS_RENAME)
+    """Source columns under their CSV header names (literal names in the oracle)."""
+    to_headers = {name: header for header, name in schemas.ENCOUNTERS_RENAME.items()}
+    return files.rename_columns(standins.bronze_encounters(spark, sf_dir), {**to_headers, "not_there": "X"})
 
 
-def _shifted_observations(spark, sf_dir, keep_time: bool):
+def _shifted_observations(spark, sf_dir, time_names: dict[str, str]):
+    """Observations with names in other cases, and other time columns."""
     b = standins.bronze_observations(spark, sf_dir)
-    shifted = b.withColumnsRenamed(
-        {"patient": "PATIENT", "encounter": "Encounter", "date": "START", "code": "CODE",
-         "description": "Description", "value": "VALUE"}
-    )
-    return shifted if keep_time else shifted.drop("START")
+    times = [F.date_add(F.to_date("date"), days).alias(name) for name, days in time_names.items()]
+    return b.select(F.col("patient").alias("PATIENT"), F.col("encounter").alias("Encounter"), *times, F.col("code").alias("CODE"),
+                    F.col("description").alias("Description"), F.col("value").alias("VALUE"))
 
 
 def q_flexible_projection(spark, sf_dir):
-    return silver.clean_observations(_shifted_observations(spark, sf_dir, keep_time=True))
+    """No ``date``: the time comes from START, not from Start_Date."""
+    return silver.clean_observations(_shifted_observations(spark, sf_dir, {"Start_Date": 9, "START": 1}))
 
 
 def q_flexible_projection_no_time(spark, sf_dir):
-    return silver.clean_observations(_shifted_observations(spark, sf_dir, keep_time=False))
+    return silver.clean_observations(_shifted_observations(spark, sf_dir, {}))
 
 
 def q_normalize_identifier(spark, sf_dir):
@@ -260,32 +262,29 @@ def q_filter_on_or_after_index(spark, sf_dir):
     c = silver_tables(spark, sf_dir)["conditions"]
     idx = gold.index_dates(c, STANDIN_SPEC.cohort)
     return (
-        c.join(idx, "patient_id")
+        join_facts(c, idx)
         .filter(F.col("condition_start_date") >= F.col("covid_diagnosis_date"))
         .select("patient_id", "encounter_id", "condition_code", "condition_start_date", "covid_diagnosis_date")
     )
 
 
 def q_dedup_primary_key(spark, sf_dir):
-    li = standins.table(spark, sf_dir, "lineitem")
-    return dedup_deterministic(li, ["l_orderkey", "l_linenumber"])
+    """D1 as one keyed minimum over all rows."""
+    return first_per_key(standins.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
 def q_dedup_primary_key_split(spark, sf_dir):
-    """D1 with the checked-broadcast strategy (runs its key count when called)."""
-    li = standins.table(spark, sf_dir, "lineitem")
-    return dedup_deterministic(li, ["l_orderkey", "l_linenumber"], strategy="split")
+    """D1 as the Silver tables use it: only repeated keys are reduced."""
+    return dedup_deterministic(standins.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
 def q_dedup_natural_key(spark, sf_dir):
-    b = standins.bronze_conditions(spark, sf_dir)
-    return dedup_rows(b, b.columns)
+    return dedup_rows(standins.bronze_conditions(spark, sf_dir))
 
 
 def q_dedup_natural_key_split(spark, sf_dir):
-    """D2 with the hash-count strategy (runs its hash count when called)."""
-    b = standins.bronze_conditions(spark, sf_dir)
-    return dedup_rows(b, b.columns, strategy="split")
+    """D2 with unique rows passing by an anti join on their hash."""
+    return dedup_rows_split(standins.bronze_conditions(spark, sf_dir))
 
 
 def q_distinct_ids(spark, sf_dir):
@@ -299,15 +298,11 @@ def q_semi_join_cohort(spark, sf_dir):
 
 
 def q_inner_join_named_keys(spark, sf_dir):
-    s = silver_tables(spark, sf_dir)
-    master = master_of(s)
     raw = standins.bronze_encounters(spark, sf_dir)
-    return (
-        raw.alias("e")
-        .join(master.alias("m"), normalize_identifier(F.col("e.patient")) == F.col("m.patient_id"), "inner")
-        .select(F.col("e.id").alias("encounter_id"), F.col("m.patient_id"), F.col("e.encounterclass"),
-                F.col("m.gender"))
-    )
+    master = master_of(silver_tables(spark, sf_dir)).select("patient_id", "gender")
+    facts = raw.select(normalize_identifier(F.col("patient")).alias("patient_id"),
+                       F.col("id").alias("encounter_id"), "encounterclass", "start_time")
+    return join_facts(facts, master).select("encounter_id", "patient_id", "encounterclass", "gender")
 
 
 def q_left_join_summaries(spark, sf_dir):

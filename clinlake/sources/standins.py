@@ -4,8 +4,9 @@ The test data is a TPC-H-like star schema, not hospital data. These
 projections turn it into the three source entities (plus observations) in
 their source (Bronze) layout, with the dirt the cleaning steps exist for:
 padded and missing identifiers, a duplicated patient id, blank and lower-case
-genders, missing birth dates, encounters without a stop time, conditions
-without an encounter. Every stand-in is a plain Spark plan over the given
+genders, missing birth dates, encounters without a stop time, amended
+encounters under the same id, conditions without an encounter, conditions and
+observations that come twice, positive findings in descriptions. Every stand-in is a plain Spark plan over the given
 tables, so its work grows with them. No stand-in drops, samples or caps
 rows: the ``%`` expressions below only decide which rows carry dirty values.
 
@@ -111,7 +112,8 @@ PATIENT_EXPRS = (
 
 ENCOUNTER_EXPRS = (
     "CAST(o_orderkey AS STRING) AS id",
-    "o_orderdate AS start_time",
+    # every 31st encounter comes twice, the second time amended
+    "o_orderdate + make_dt_interval(version) AS start_time",
     "stop_time",
     "CASE WHEN o_orderkey % 157 = 0 THEN 'null'"
     " WHEN o_orderkey % 101 = 0 THEN concat(' ', CAST(o_custkey AS STRING), ' ')"
@@ -125,7 +127,7 @@ ENCOUNTER_EXPRS = (
     "CAST(o_totalprice AS DECIMAL(12,2)) AS base_encounter_cost",
     "CAST(o_totalprice AS DECIMAL(12,2)) AS total_claim_cost",
     "CAST(o_custkey AS DECIMAL(12,2)) AS payer_coverage",
-    "o_orderstatus AS reasoncode",
+    "CASE WHEN version = 1 THEN 'amended' ELSE o_orderstatus END AS reasoncode",
     "concat('status ', o_orderstatus) AS reasondescription",
 )
 
@@ -155,26 +157,30 @@ def bronze_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("l_orderkey")
         .agg(F.max("l_shipdate").alias("stop_time"))
     )
-    return o.join(last_ship, o.o_orderkey == last_ship.l_orderkey, "left").selectExpr(*ENCOUNTER_EXPRS)
+    versions = o.withColumn("version", F.explode(F.expr("sequence(0, IF(o_orderkey % 31 = 0, 1, 0))")))
+    return versions.join(last_ship, versions.o_orderkey == last_ship.l_orderkey, "left").selectExpr(*ENCOUNTER_EXPRS)
 
 
 def bronze_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
+    # every 17th order's lines come twice, as they are
+    li = li.withColumn("copy", F.explode(F.expr("sequence(0, IF(l_orderkey % 17 = 0, 1, 0))")))
     joined = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
     return joined.selectExpr(*CONDITION_EXPRS)
 
 
 def bronze_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+    # every 19th event comes twice, as it is
+    e = table(spark, sf_dir, "events").withColumn("copy", F.explode(F.expr("sequence(0, IF(event_id % 19 = 0, 1, 0))")))
     return e.select(
         F.col("user_id").cast("string").alias("patient"),
         F.lit(None).cast("string").alias("encounter"),
         F.col("ts").alias("date"),
         F.col("event_type").alias("code"),
-        F.col("props").alias("description"),
-        F.col("event_type").alias("value"),
+        F.expr("CASE WHEN event_id % 23 = 0 THEN concat(props, ' test positive') ELSE props END AS description"),
+        F.expr("CASE WHEN event_id % 29 = 0 THEN 'Refunded' ELSE event_type END AS value"),
     )
 
 
@@ -230,7 +236,7 @@ LEFT JOIN (SELECT n.n_nationkey, n.n_name, r.r_name FROM nation n LEFT JOIN regi
     "bronze_encounters": """
 SELECT
   CAST(o.o_orderkey AS VARCHAR) AS id,
-  o.o_orderdate AS start_time,
+  o.o_orderdate + to_days(o.version) AS start_time,
   s.stop_time,
   CASE WHEN o.o_orderkey % 157 = 0 THEN 'null'
        WHEN o.o_orderkey % 101 = 0 THEN concat(' ', CAST(o.o_custkey AS VARCHAR), ' ')
@@ -244,9 +250,9 @@ SELECT
   CAST(o.o_totalprice AS DECIMAL(12,2)) AS base_encounter_cost,
   CAST(o.o_totalprice AS DECIMAL(12,2)) AS total_claim_cost,
   CAST(o.o_custkey AS DECIMAL(12,2)) AS payer_coverage,
-  o.o_orderstatus AS reasoncode,
+  CASE WHEN o.version = 1 THEN 'amended' ELSE o.o_orderstatus END AS reasoncode,
   concat('status ', o.o_orderstatus) AS reasondescription
-FROM orders o
+FROM (SELECT *, 0 AS version FROM orders UNION ALL SELECT *, 1 FROM orders WHERE o_orderkey % 31 = 0) o
 LEFT JOIN (SELECT l_orderkey, max(l_shipdate) AS stop_time FROM lineitem GROUP BY l_orderkey) s
   ON o.o_orderkey = s.l_orderkey
 """,
@@ -258,7 +264,7 @@ SELECT
   CASE WHEN (l.l_orderkey + l.l_linenumber) % 113 = 0 THEN NULL ELSE CAST(l.l_orderkey AS VARCHAR) END AS encounter,
   concat(p.p_brand, ':', p.p_type) AS code,
   p.p_name AS description
-FROM lineitem l
+FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_orderkey % 17 = 0) l
 JOIN orders o ON l.l_orderkey = o.o_orderkey
 JOIN part p ON l.l_partkey = p.p_partkey
 """,
@@ -268,9 +274,9 @@ SELECT
   CAST(NULL AS VARCHAR) AS encounter,
   ts AS "date",
   event_type AS code,
-  props AS description,
-  event_type AS "value"
-FROM events
+  CASE WHEN event_id % 23 = 0 THEN concat(props, ' test positive') ELSE props END AS description,
+  CASE WHEN event_id % 29 = 0 THEN 'Refunded' ELSE event_type END AS "value"
+FROM (SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_id % 19 = 0) e
 """,
 }
 

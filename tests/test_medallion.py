@@ -68,10 +68,8 @@ def test_cli_arguments_build_the_config():
     cfg = config_from_args(a)
     assert cfg.csv_paths == {"patients": "/p", "encounters": "/e"} and cfg.raw_dir == "/raw"
     assert str(cfg.as_of) == "2024-12-31" and cfg.jdbc is None and a.stages == "raw,bronze"
-    assert (cfg.concurrent_writes, cfg.dedup_strategy, cfg.row_dedup_strategy) == (4, "split", "split")
-    b = config_from_args(parse_args(["run", "--raw-dir", "/r", "--concurrent-writes", "1",
-                                     "--dedup-strategy", "sort", "--row-dedup-strategy", "aggregate"]))
-    assert (b.concurrent_writes, b.dedup_strategy, b.row_dedup_strategy) == (1, "sort", "aggregate")
+    assert cfg.concurrent_writes == 4
+    assert config_from_args(parse_args(["run", "--raw-dir", "/r", "--concurrent-writes", "1"])).concurrent_writes == 1
 
 
 def test_cli_runs_the_stages(spark):

@@ -2,7 +2,7 @@
 
 from hypothesis import HealthCheck, given, settings, strategies as st
 
-from clinlake.operators.dedup import dedup_deterministic, dedup_rows
+from clinlake.operators.dedup import dedup_deterministic, dedup_rows, dedup_rows_split, first_per_key
 
 KEYS = st.one_of(st.none(), st.integers(0, 3))
 VALS = st.one_of(st.none(), st.sampled_from(["", "a", "b", "ab", "B"]))
@@ -24,10 +24,10 @@ def _expected_first(rows):
 
 
 @settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(rows=ROWS, strategy=st.sampled_from(["sort", "split"]))
-def test_dedup_keeps_first_row_per_key(spark, rows, strategy):
+@given(rows=ROWS, dedup=st.sampled_from([first_per_key, dedup_deterministic]))
+def test_dedup_keeps_first_row_per_key(spark, rows, dedup):
     df = spark.createDataFrame(rows, "k int, a string, b int")
-    got = sorted((tuple(r) for r in dedup_deterministic(df, ["k"], strategy=strategy).collect()), key=repr)
+    got = sorted((tuple(r) for r in dedup(df, ["k"]).collect()), key=repr)
     assert got == _expected_first(rows)
 
 
@@ -35,7 +35,7 @@ def test_dedup_keeps_first_row_per_key(spark, rows, strategy):
 @given(rows=ROWS)
 def test_full_row_dedup_is_set_semantics(spark, rows):
     df = spark.createDataFrame(rows, "k int, a string, b int")
-    got = sorted((tuple(r) for r in dedup_rows(df, df.columns).collect()), key=repr)
+    got = sorted((tuple(r) for r in dedup_rows(df).collect()), key=repr)
     assert got == sorted(set(rows), key=repr)
 
 
@@ -61,10 +61,10 @@ def test_normalize_identifier_matches_python(spark, values):
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(rows=ROWS, max_keys=st.sampled_from([0, 1_000_000]))
-def test_split_full_row_dedup_matches(spark, rows, max_keys):
+@given(rows=ROWS)
+def test_split_full_row_dedup_matches(spark, rows):
     df = spark.createDataFrame(rows, "k int, a string, b int")
-    got = sorted((tuple(r) for r in dedup_rows(df, df.columns, strategy="split", max_broadcast_keys=max_keys).collect()), key=repr)
+    got = sorted((tuple(r) for r in dedup_rows_split(df).collect()), key=repr)
     assert got == sorted(set(rows), key=repr)
 
 

@@ -116,20 +116,19 @@ def test_master_keys_unique_on_skewed_input(spark):
     assert got == {"hot": (4990, Decimal("4990.00")), "cold": (10, Decimal("10.00"))}
 
 
-def test_dedup_strategies_agree(spark):
-    from clinlake.operators.dedup import dedup_deterministic
+def test_dedup_plans_agree_and_run_nothing_when_built(spark):
+    from clinlake.operators.dedup import dedup_deterministic, first_per_key
     from clinlake.sources import standins
 
     from conftest import SF_SMALL
 
     li = standins.table(spark, SF_SMALL, "lineitem")
     keys = ["l_orderkey", "l_linenumber"]
-    want = sorted(tuple(r) for r in dedup_deterministic(li, keys).collect())
-    for kwargs in ({"strategy": "split"}, {"strategy": "split", "max_broadcast_keys": 1}):
-        got = sorted(tuple(r) for r in dedup_deterministic(li, keys, **kwargs).collect())
-        assert got == want, kwargs
-    unique = li.select("l_orderkey", "l_linenumber", "l_partkey").dropDuplicates(keys)
-    assert dedup_deterministic(unique, keys, strategy="split") is unique  # no duplicates: returned as is
+    tracker = spark.sparkContext.statusTracker()
+    before = tracker.getJobIdsForGroup(None)
+    split, whole = dedup_deterministic(li, keys), first_per_key(li, keys)
+    assert tracker.getJobIdsForGroup(None) == before
+    assert sorted(tuple(r) for r in split.collect()) == sorted(tuple(r) for r in whole.collect())
     with_null = spark.createDataFrame([(None, "b"), (None, "a"), (1, "z")], "k int, v string")
-    assert sorted(dedup_deterministic(with_null, ["k"], strategy="split").collect(), key=repr) == \
-        sorted(dedup_deterministic(with_null, ["k"]).collect(), key=repr)
+    assert sorted(dedup_deterministic(with_null, ["k"]).collect(), key=repr) == \
+        sorted(first_per_key(with_null, ["k"]).collect(), key=repr)
