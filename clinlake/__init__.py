@@ -10,7 +10,6 @@ Layers:
   plans/      the named datasets: Silver cleaning + clinical master, Gold
               analytic tables, ingestion steps and the whole medallion run
               (also as ``python -m clinlake run``), plus the registered queries
-  streaming/  intentionally empty of operators (the source system is batch only)
   oracle_sql  DuckDB SQL twins of the registered queries (verification only)
 
 Every public function takes DataFrames (and explicit parameters) and returns a

@@ -21,6 +21,7 @@ import os
 import sys
 
 from clinlake.plans.medallion import STAGES, PipelineConfig, run_medallion
+from clinlake.sources.jdbc import DEFAULT_BUCKETS
 
 
 def _kv(items: list[str]) -> dict[str, str]:
@@ -51,7 +52,9 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     r.add_argument("--jdbc-user")
     r.add_argument("--jdbc-password-env", help="name of the environment variable holding the password")
     r.add_argument("--jdbc-driver")
-    r.add_argument("--jdbc-partitions", type=int, default=0, help="hash-bucket reads per table (PostgreSQL)")
+    r.add_argument("--jdbc-partitions", type=int, default=DEFAULT_BUCKETS,
+                   help="parallel hash-bucket reads per table (PostgreSQL; 0: one connection)")
+    r.add_argument("--shuffle-gb", type=int, help="size shuffles for about this many GB of facts")
     r.add_argument("--concurrent-writes", type=int, default=4, help="independent tables written at once")
     return p.parse_args(argv)
 
@@ -80,9 +83,12 @@ def config_from_args(a: argparse.Namespace) -> PipelineConfig:
 def main(argv: list[str] | None = None) -> int:
     a = parse_args(sys.argv[1:] if argv is None else argv)
     cfg = config_from_args(a)
-    from clinlake.session import job_session
+    from clinlake.session import job_session, scale_conf
 
     spark = job_session("clinlake")
+    if a.shuffle_gb:
+        for key, value in scale_conf(a.shuffle_gb << 30, spark.sparkContext.defaultParallelism).items():
+            spark.conf.set(key, value)
     counts = run_medallion(spark, cfg, stages=tuple(s.strip() for s in a.stages.split(",") if s.strip()))
     counts.show(100, truncate=False)
     return 0

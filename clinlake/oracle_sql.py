@@ -579,6 +579,17 @@ FROM (SELECT patient_id, patient_birthdate,
             "SELECT * REPLACE (nullif(gender, '') AS gender) FROM bronze_patients", "bronze_patients"
         ),
         "csv_roundtrip_encounters": with_ctes("SELECT * FROM bronze_encounters", "bronze_encounters"),
+        "csv_mixed_headers": with_ctes("SELECT * FROM bronze_conditions", "bronze_conditions"),
+        "table_lifecycle": with_ctes(
+            """
+SELECT step, table_name, 'MANAGED' AS type, 'parquet' AS provider, n AS rows
+FROM (SELECT 'patients' AS table_name, count(*) AS n FROM bronze_patients
+      UNION ALL SELECT 'conditions', count(*) FROM bronze_conditions) t,
+     (VALUES ('written'), ('dropped')) s(step)
+WHERE step = 'written' OR table_name = 'patients'
+""",
+            "bronze_patients", "bronze_conditions",
+        ),
         "table_roundtrip": with_ctes("SELECT * FROM master", "master"),
         "row_count_reconciliation": with_ctes(
             """
@@ -634,3 +645,12 @@ MEDALLION_RUN = "\nUNION ALL\n".join(
 )
 
 ORACLE_SQL.update({"raw_to_bronze": RAW_TO_BRONZE, "medallion_run": MEDALLION_RUN})
+ORACLE_SQL.update({
+    "run_bronze_encounters": with_ctes("SELECT * FROM bronze_encounters", "bronze_encounters"),
+    "run_silver_conditions": ORACLE_SQL["clean_conditions"],
+    "run_master": ORACLE_SQL["clinical_master"],
+    "run_master_no_observations": ORACLE_SQL["clinical_master_no_observations"],
+    "run_symptoms_outcomes": ORACLE_SQL["symptoms_outcomes"],
+    "run_pathway_summary": ORACLE_SQL["pathway_summary"],
+    "run_revenue": ORACLE_SQL["revenue_monthly_region"],
+})

@@ -2,20 +2,35 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from clinlake.sources import catalog, files, jdbc
 
 ENTITIES = ("patients", "encounters", "conditions")
 
 
+log = logging.getLogger(__name__)
+
+
 def ingest_csv(spark: SparkSession, path: str, entity: str) -> DataFrame:
     """An entity CSV in source (database) layout."""
     return files.read_csv(spark, path, entity)
 
 
+def csv_to_raw(spark: SparkSession, path: str, entity: str, raw_path: str) -> int:
+    """An entity CSV as Raw Parquet; returns the rows. Values that did not fit
+    their column's type are counted in the same pass and reported."""
+    seen = Observation(f"csv:{entity}")
+    rows = files.write_parquet(files.read_csv(spark, path, entity, seen), raw_path)
+    lost = {k: v for k, v in seen.get.items() if k.startswith("nullified_") and v}
+    if lost:
+        log.warning("%s: values that became NULL: %s", path, lost)
+    return rows
+
+
 def load_csv_to_db(
     spark: SparkSession,
     csv_paths: Mapping[str, str],
@@ -32,6 +47,8 @@ def load_csv_to_db(
         if entity not in csv_paths:
             continue
         df = ingest_csv(spark, csv_paths[entity], entity)
+        if url.startswith("jdbc:postgresql:"):  # text goes into uuid, date and numeric columns
+            properties = {"stringtype": "unspecified", **properties}
         counts[entity] = jdbc.write_jdbc(
             df, url, entity, truncate_first=True,
             cascade=bool((cascade or {}).get(entity, entity != "conditions")),
@@ -53,12 +70,12 @@ def extract_db_to_raw(
     spark: SparkSession,
     raw_dir: str,
     tables=ENTITIES,
-    hash_buckets: int = 0,
+    hash_buckets: int = jdbc.DEFAULT_BUCKETS,
     hash_columns: Mapping[str, str] | None = None,
     **jdbc_kwargs,
 ) -> dict[str, int]:
-    """DB tables -> Raw Parquet. With ``hash_buckets`` > 0 each table is read
-    by that many parallel connections, split on a hash of its key column."""
+    """DB tables -> Raw Parquet. Each table is read by ``hash_buckets`` parallel
+    connections, split on a hash of its key column (PostgreSQL; 0: one connection)."""
     cols = {**HASH_COLUMNS, **dict(hash_columns or {})}
     dfs = {
         t: jdbc.read_jdbc(
@@ -70,21 +87,3 @@ def extract_db_to_raw(
         for t in tables
     }
     return land_raw(dfs, raw_dir)
-
-
-def raw_to_bronze(
-    spark: SparkSession,
-    raw_dir: str,
-    namespace: str,
-    tables=ENTITIES,
-    fmt: str = "parquet",
-    location: str | None = None,
-) -> dict[str, int]:
-    """Raw Parquet directories -> Bronze tables (full refresh each)."""
-    catalog.ensure_namespace(spark, namespace)
-    counts = {}
-    for t in tables:
-        df = files.read_parquet(spark, f"{raw_dir.rstrip('/')}/{t}")
-        path = f"{location.rstrip('/')}/{t}" if location else None
-        counts[t] = catalog.write_table(df, f"{namespace}.{t}", fmt=fmt, path=path)
-    return counts

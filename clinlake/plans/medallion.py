@@ -71,7 +71,7 @@ def stage_raw(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
     raw = cfg.raw_dir.rstrip("/")
     if cfg.csv_paths:
         jobs = {
-            e: (lambda e=e, p=p: files.write_parquet(ingest.ingest_csv(spark, p, e), f"{raw}/{e}"))
+            e: (lambda e=e, p=p: ingest.csv_to_raw(spark, p, e, f"{raw}/{e}"))
             for e, p in cfg.csv_paths.items()
         }
         return _concurrently(cfg, jobs)
@@ -164,6 +164,12 @@ def run_medallion(spark: SparkSession, cfg: PipelineConfig, stages=None) -> Data
     return spark.createDataFrame(rows, "stage string, table_name string, row_count bigint")
 
 
+def drop_scratch(spark: SparkSession, cfg: PipelineConfig) -> None:
+    """Drop the tables and namespaces of a scratch configuration."""
+    for ns in (cfg.bronze_ns, cfg.silver_ns, cfg.gold_ns):
+        spark.sql(f"DROP NAMESPACE IF EXISTS {ns} CASCADE")
+
+
 def scratch_config(spark: SparkSession, root: str, **kwargs) -> PipelineConfig:
     """A config whose namespaces and tables all live under ``root`` (a fresh
     folder under the shared checkpoint location), for isolated runs."""

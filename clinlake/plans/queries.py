@@ -399,13 +399,34 @@ def q_csv_roundtrip(spark, sf_dir):
     return files.read_csv(spark, path, "patients")
 
 
+def _zoned(name: str, key: str) -> str:
+    """A time as text: with ``Z``, with an offset of two hours, or plain, by key."""
+    local = "date_format({}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")"
+    return (f"CASE CAST({key} AS BIGINT) % 3 WHEN 0 THEN concat({local.format(name)}, 'Z')"
+            f" WHEN 1 THEN concat({local.format(f'{name} + INTERVAL 2 HOURS')}, '+02:00') ELSE {local.format(name)} END")
+
+
 def q_csv_roundtrip_encounters(spark, sf_dir):
-    """Encounters through CSV (source header names, declared schema) and back."""
+    """Encounters through CSV and back, their times written with and without offsets
+    (converted to the session zone, UTC here)."""
     path = scratch_path(spark, "csv-encounters")
-    files.write_csv(standins.bronze_encounters(spark, sf_dir), path, entity="encounters")
+    b = standins.bronze_encounters(spark, sf_dir)
+    files.write_csv(b.withColumns({c: F.expr(_zoned(c, "id")) for c in ("start_time", "stop_time")}), path, entity="encounters")
     return files.read_csv(spark, path, "encounters")
 
 
+def q_csv_mixed_headers(spark, sf_dir):
+    """Conditions from files of two headers: one in other order and case, without STOP."""
+    path = scratch_path(spark, "csv-conditions")
+    b = standins.bronze_conditions(spark, sf_dir)
+    own = F.pmod(F.length("description"), F.lit(2)) == 0
+    files.write_csv(b.filter(own), path, entity="conditions")
+    other = b.filter(~own).select(F.col("description").alias("Description"), F.col("code").alias("code"), F.col("encounter").alias("Encounter"),
+                                  F.col("start_date").alias("Start"), F.col("patient").alias("PATIENT"))
+    files.write_csv(other, path, mode="append")
+    return files.read_csv(spark, path, "conditions")
+
+
 def _scratch_namespace(spark) -> str:
     root = scratch_path(spark, "tables")
     ns = "clinlake_" + root.rsplit("-", 1)[-1]
@@ -413,6 +434,14 @@ def _scratch_namespace(spark) -> str:
     return ns
 
 
+def _kept(spark, few_rows: DataFrame, *namespaces: str) -> DataFrame:
+    """A result of a few rows, after which its scratch namespaces go."""
+    out = spark.createDataFrame(few_rows.collect(), few_rows.schema)
+    for ns in namespaces:
+        spark.sql(f"DROP NAMESPACE IF EXISTS {ns} CASCADE")
+    return out
+
+
 def q_table_roundtrip(spark, sf_dir):
     """The master written as a catalog table in a fresh namespace located under
     the shared checkpoint folder, then resolved and read back."""
@@ -426,7 +455,27 @@ def q_row_count_reconciliation(spark, sf_dir):
     """Observed rows of a master table write vs a read-back count."""
     ns = _scratch_namespace(spark)
     n = catalog.write_table(master_of(silver_tables(spark, sf_dir)), f"{ns}.covid_clinical_master")
-    return reconcile(spark, f"{ns}.covid_clinical_master", n, label="covid_clinical_master")
+    return _kept(spark, reconcile(spark, f"{ns}.covid_clinical_master", n, label="covid_clinical_master"), ns)
+
+
+def q_table_lifecycle(spark, sf_dir):
+    """Tables listed before and after one is dropped, with their type and provider (C2, C3/F12, K7)."""
+    ns = _scratch_namespace(spark)
+    for name, df in (("patients", standins.bronze_patients(spark, sf_dir)), ("conditions", standins.bronze_conditions(spark, sf_dir))):
+        catalog.write_table(df, f"{ns}.{name}")
+
+    def state(step: str) -> DataFrame:
+        parts = []
+        for r in catalog.list_tables(spark, ns).collect():
+            facts = {d["col_name"]: d["data_type"] for d in catalog.describe_table(spark, f"{ns}.{r['tableName']}", ("Type", "Provider")).collect()}
+            rows = spark.table(f"{ns}.{r['tableName']}").agg(F.count(F.lit(1)).alias("rows"))
+            parts.append(rows.select(F.lit(step).alias("step"), F.lit(r["tableName"]).alias("table_name"), F.lit(facts["Type"]).alias("type"),
+                                     F.lower(F.lit(facts["Provider"])).alias("provider"), "rows"))
+        return spark.createDataFrame([row for p in parts for row in p.collect()], "step string, table_name string, type string, provider string, rows long")
+
+    before = state("written")
+    catalog.drop_table(spark, f"{ns}.conditions")
+    return _kept(spark, before.unionByName(state("dropped")), ns)
 
 
 def q_table_profile(spark, sf_dir):
@@ -472,6 +521,8 @@ QUERIES.update(
         "parquet_roundtrip": q_parquet_roundtrip,
         "csv_roundtrip": q_csv_roundtrip,
         "csv_roundtrip_encounters": q_csv_roundtrip_encounters,
+        "csv_mixed_headers": q_csv_mixed_headers,
+        "table_lifecycle": q_table_lifecycle,
         "table_roundtrip": q_table_roundtrip,
         "row_count_reconciliation": q_row_count_reconciliation,
         "table_profile": q_table_profile,
@@ -480,27 +531,47 @@ QUERIES.update(
 
 
 # --- ingestion and the whole medallion run ------------------------------------------
-
+def _medallion(spark, sf_dir, stages: tuple[str, ...], observations: bool = True):
+    """Land the stand-ins and run the given stages in a scratch configuration."""
+    root = scratch_path(spark, "q15")
+    csv_paths, obs_path = standins.land_sources(spark, sf_dir, root)
+    cfg = medallion.scratch_config(spark, root, csv_paths=csv_paths, observations_raw=obs_path if observations else None,
+                                   spec=STANDIN_SPEC, as_of=AS_OF)
+    return cfg, medallion.run_medallion(spark, cfg, stages)
 
 
 def q_raw_to_bronze(spark, sf_dir):
-    """Raw Parquet landing of the three entities, then Bronze tables (Q3)."""
-    root = scratch_path(spark, "q3")
-    b = standins.bronze_tables(spark, sf_dir)
-    ingest.land_raw({t: b[t] for t in ingest.ENTITIES}, f"{root}/raw")
-    cfg = medallion.scratch_config(spark, root)
-    ingest.raw_to_bronze(spark, f"{root}/raw", cfg.bronze_ns, location=f"{root}/tables/{cfg.bronze_ns}")
-    return table_profile({("bronze", t): spark.table(f"{cfg.bronze_ns}.{t}") for t in ingest.ENTITIES})
+    """CSV landing of the three entities, Raw Parquet, then Bronze tables (Q3)."""
+    cfg, _ = _medallion(spark, sf_dir, ("raw", "bronze"), observations=False)
+    profile = table_profile({("bronze", t): spark.table(f"{cfg.bronze_ns}.{t}") for t in ingest.ENTITIES})
+    return _kept(spark, profile, cfg.bronze_ns, cfg.silver_ns, cfg.gold_ns)
 
 
 def q_medallion_run(spark, sf_dir):
     """CSV landing files -> Raw -> Bronze -> Silver -> Gold; rows per table (Q15)."""
-    root = scratch_path(spark, "q15")
-    csv_paths, obs_path = standins.land_sources(spark, sf_dir, root)
-    cfg = medallion.scratch_config(
-        spark, root, csv_paths=csv_paths, observations_raw=obs_path, spec=STANDIN_SPEC, as_of=AS_OF
-    )
-    return medallion.run_medallion(spark, cfg)
+    cfg, counts = _medallion(spark, sf_dir, ("raw", "bronze", "silver", "gold"))
+    return _kept(spark, counts, cfg.bronze_ns, cfg.silver_ns, cfg.gold_ns)
+
+
+def _table_of_run(layer: str, name: str, observations: bool = True) -> Callable[[SparkSession, str], DataFrame]:
+    """A query for the rows of one table as a medallion run wrote it."""
+    last = ("raw", "bronze", "silver", "gold").index(layer) + 1
+
+    def query(spark, sf_dir):
+        cfg, _ = _medallion(spark, sf_dir, ("raw", "bronze", "silver", "gold")[:last], observations)
+        return spark.table(f"{getattr(cfg, f'{layer}_ns')}.{name}")
+
+    return query
 
 
-QUERIES.update({"raw_to_bronze": q_raw_to_bronze, "medallion_run": q_medallion_run})
+QUERIES.update({
+    "raw_to_bronze": q_raw_to_bronze,
+    "medallion_run": q_medallion_run,
+    "run_bronze_encounters": _table_of_run("bronze", "encounters"),
+    "run_silver_conditions": _table_of_run("silver", "conditions"),
+    "run_master": _table_of_run("silver", "covid_clinical_master"),
+    "run_master_no_observations": _table_of_run("silver", "covid_clinical_master", observations=False),
+    "run_symptoms_outcomes": _table_of_run("gold", "symptoms_outcomes"),
+    "run_pathway_summary": _table_of_run("gold", "covid_pathway_summary"),
+    "run_revenue": _table_of_run("gold", "revenue_analysis"),
+})

@@ -130,26 +130,27 @@ def ensure_local_dir(path: str) -> None:
         os.makedirs(local_fs_path(path), exist_ok=True)
 
 
-def scale_conf(
-    shuffle_bytes: int,
-    total_cores: int,
-    target_partition_bytes: int = 256 * 1024 * 1024,
-    split_bytes: int = 256 * 1024 * 1024,
-) -> dict[str, str]:
+#: Reducers above this many cost more in shuffle blocks than they gain.
+MAX_REDUCERS = 20_000
+
+
+def scale_conf(shuffle_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20,
+               split_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings sized for a run whose largest shuffle moves ``shuffle_bytes``.
 
-    Shuffle partitions start at shuffle size / target partition size (at
-    least 2 waves of the cluster's cores) so no reducer has to spill a huge
-    partition; AQE then coalesces small ones to the advisory size and splits
-    skewed ones (coalescing honours the advisory size rather than maximising
-    parallelism, so table writes do not scatter into many tiny files). Input
-    splits stay at ``split_bytes``.
+    Shuffle partitions aim at ``target_partition_bytes`` each, two waves of the
+    cores at least and ``MAX_REDUCERS`` at most: mappers times reducers is the
+    number of shuffle blocks, so very large shuffles take multi-GB partitions,
+    which sort and aggregate by spilling. AQE coalesces small partitions to the
+    advisory size (rather than maximising parallelism, so table writes do not
+    scatter) and splits skewed ones. Input splits grow with the input likewise.
     """
-    partitions = max(2 * total_cores, -(-shuffle_bytes // target_partition_bytes))
+    partitions = min(MAX_REDUCERS, max(2 * total_cores, -(-shuffle_bytes // target_partition_bytes)))
+    target = max(target_partition_bytes, -(-shuffle_bytes // partitions) if partitions == MAX_REDUCERS else 0)
     return {
         "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
-        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target),
+        "spark.sql.files.maxPartitionBytes": str(max(split_bytes, min(target, 2 << 30))),
     }

@@ -36,7 +36,7 @@ def _is_session_catalog(spark: SparkSession, name: str) -> bool:
     parts = name.split(".")
     if len(parts) >= 3:
         return parts[0] == "spark_catalog"
-    return spark.conf.get("spark.sql.defaultCatalog", "spark_catalog") == "spark_catalog"
+    return spark.catalog.currentCatalog() == "spark_catalog"
 
 
 def write_table(
@@ -51,7 +51,8 @@ def write_table(
     On a V2 catalog (e.g. a table-format catalog) this is an atomic
     CREATE OR REPLACE. The built-in session catalog has no REPLACE for file
     tables, so there the table is overwritten with ``saveAsTable`` (which also
-    replaces the schema). ``path`` makes it an external table at that location.
+    replaces the schema). ``path`` makes it an external table at that location;
+    on a V2 catalog the catalog places its tables, so a path is an error there.
     The row count is observed during the write.
     """
     obs = Observation(f"rows:{name}")
@@ -64,6 +65,8 @@ def write_table(
             writer = writer.partitionBy(*partition_by)
         writer.saveAsTable(name)
     else:
+        if path:
+            raise ValueError(f"{name}: its catalog decides where the table lies, not {path}")
         writer = observed.writeTo(name).using(fmt)
         if partition_by:
             writer = writer.partitionedBy(*[F.col(c) for c in partition_by])

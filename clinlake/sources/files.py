@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from clinlake import schemas
+from clinlake.functions.temporal import as_date, as_decimal, as_string, as_timestamp
 
 
 def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -16,29 +19,78 @@ def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed(present) if present else df
 
 
-def read_csv(spark: SparkSession, path: str, entity: str) -> DataFrame:
-    """Read an entity CSV in source layout, without schema inference.
+def _headers(spark: SparkSession, path: str) -> dict[str, tuple[str, ...]]:
+    """The header of every file under ``path`` (one small read each, a few at a time)."""
+    listed = [r["path"] for r in spark.read.format("binaryFile").load(path).select("path").collect()]
 
-    Only the header line is read up front; each present header is typed from
-    the entity's declared schema (unknown headers stay text), then renamed to
-    the source column name. Declared columns absent from the file are added
-    as typed NULLs so the result always has the full source layout. Values
-    that do not fit the declared type become NULL (PERMISSIVE).
+    def header(file: str) -> tuple[str, ...]:
+        first = spark.read.csv(file).first()  # as a row: Spark would rename doubled headers
+        return tuple(name or f"_c{i}" for i, name in enumerate(first)) if first else ()
+
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        return {f: h for f, h in zip(listed, pool.map(header, listed)) if h}
+
+
+def _read_text_columns(spark: SparkSession, path: str, names: Mapping[str, str]) -> DataFrame:
+    """All files as text columns under source names.
+
+    Files of equal headers are read together, files of other headers (other
+    order, other columns) on their own, and united by name. Headers are matched
+    without regard to case; of two that mean the same column the first counts.
     """
-    header = spark.read.option("header", True).option("inferSchema", False).csv(path).columns
-    declared = {f.name: f.dataType for f in schemas.csv_schema(entity).fields}
-    file_schema = T.StructType([T.StructField(h, declared.get(h, T.StringType())) for h in header])
-    df = rename_columns(
-        spark.read.schema(file_schema).option("header", True).option("mode", "PERMISSIVE").csv(path),
-        schemas.RENAME_MAPS[entity],
-    )
+    by_lower = {header.lower(): name for header, name in names.items()}
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, header in _headers(spark, path).items():
+        groups.setdefault(header, []).append(file)
+    parts = []
+    for header, paths in groups.items():
+        schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))])
+        df = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(paths)
+        kept: dict[str, str] = {}
+        for i, h in enumerate(header):
+            kept.setdefault(by_lower.get(h.lower(), h), f"c{i}")
+        lowered: dict[str, str] = {}
+        for name in kept:  # Spark's own names are case-insensitive
+            lowered.setdefault(name.lower(), name)
+        parts.append(df.select(*[F.col(kept[n]).alias(n) for n in lowered.values()]))
+    if not parts:
+        return spark.createDataFrame([], T.StructType([T.StructField(n, T.StringType()) for n in names.values()]))
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+
+
+_TYPERS = {T.DateType: as_date, T.TimestampNTZType: as_timestamp, T.StringType: as_string}
+
+
+def _typed(df: DataFrame, field: T.StructField) -> Column:
+    if isinstance(field.dataType, T.DecimalType):
+        return as_decimal(df, field.name, field.dataType.precision, field.dataType.scale)
+    return _TYPERS[type(field.dataType)](df, field.name)
+
+
+def read_csv(spark: SparkSession, path: str, entity: str, observation: Observation | None = None) -> DataFrame:
+    """Read an entity CSV (a file or a folder of files) in source layout.
+
+    Every column is read as text and typed here, so no schema is inferred and
+    text with an explicit zone offset is converted instead of lost. Declared
+    columns that no file has are typed NULLs; unknown headers stay text. Values
+    that do not fit the declared type become NULL; ``observation`` counts them
+    per column while the result is written (``nullified_<column>``).
+    """
+    text = _read_text_columns(spark, path, schemas.RENAME_MAPS[entity])
     layout = schemas.SOURCE_SCHEMAS[entity]
-    cols = [
-        F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
-        for f in layout.fields
+    present = {c.lower(): c for c in text.columns}
+    text = text.withColumnsRenamed({present[f.name]: f.name for f in layout.fields if f.name in present and present[f.name] != f.name})
+    typed = [
+        (_typed(text, f) if f.name in present else F.lit(None).cast(f.dataType)).alias(f.name) for f in layout.fields
     ]
-    extra = [F.col(c) for c in df.columns if c not in layout.fieldNames()]
-    return df.select(*cols, *extra)
+    extra = [F.col(c) for c in text.columns if c.lower() not in layout.fieldNames()]
+    if observation is None:
+        return text.select(*typed, *extra)
+    checked = [f for f in layout.fields if f.name in present and not isinstance(f.dataType, T.StringType)]
+    lost = [F.count_if(F.col(f.name).isNull() & F.col(f"__text_{f.name}").isNotNull()).alias(f"nullified_{f.name}") for f in checked]
+    both = text.select(*typed, *extra, *[F.col(f.name).alias(f"__text_{f.name}") for f in checked])
+    both = both.observe(observation, F.count(F.lit(1)).alias("rows"), *lost)
+    return both.drop(*[f"__text_{f.name}" for f in checked])
 
 
 def write_csv(df: DataFrame, path: str, entity: str | None = None, mode: str = "overwrite") -> None:

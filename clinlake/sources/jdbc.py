@@ -7,11 +7,13 @@ is only acceptable for small tables. Credentials come only from the caller.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 DEFAULT_FETCH_SIZE = 10_000
+#: Parallel connections of an extract.
+DEFAULT_BUCKETS = 8
 
 
 def jdbc_options(
@@ -59,14 +61,10 @@ def read_jdbc(spark: SparkSession, predicates: Sequence[str] | None = None, **kw
 
 def hash_bucket_predicates(column: str, buckets: int) -> list[str]:
     """PostgreSQL WHERE clauses splitting a table into ``buckets`` disjoint parts
-    by a hash of ``column`` (e.g. a UUID key), for parallel reads with ``predicates``."""
+    by a hash of ``column`` (e.g. a UUID key), for parallel reads with
+    ``predicates``. Rows without a key are in the first part."""
     expr = f"mod(abs(hashtext({column}::text)::bigint), {int(buckets)})"
-    return [f"{expr} = {i}" for i in range(int(buckets))]
-
-
-def extract_tables(spark: SparkSession, tables: Iterable[str], **kwargs) -> dict[str, DataFrame]:
-    """One lazy JDBC scan per table name."""
-    return {t: read_jdbc(spark, table=t, **kwargs) for t in tables}
+    return [f"{expr} = {i}" + f" OR {column} IS NULL" * (i == 0) for i in range(int(buckets))]
 
 
 def write_jdbc(

@@ -73,18 +73,78 @@ def test_jdbc_options():
         jdbc.jdbc_options("jdbc:x://h/db", "t", partition_column="n")
 
 
-def test_hash_bucket_predicates_cover_all_buckets():
+def test_hash_bucket_predicates_cover_all_rows():
     preds = jdbc.hash_bucket_predicates("id", 4)
-    assert len(preds) == 4 and preds[0].endswith("= 0") and preds[3].endswith("= 3")
+    assert len(preds) == 4 and preds[0].endswith("= 0 OR id IS NULL") and preds[3].endswith("= 3")
     assert all("hashtext(id::text)" in p for p in preds)
 
 
+def test_extracts_read_in_parallel_by_default(monkeypatch, spark):
+    asked = []
+    monkeypatch.setattr(jdbc, "read_jdbc", lambda spark, **kw: asked.append(kw) or spark.range(1))
+    ingest.extract_db_to_raw(spark, scratch_path(spark, "jdbc-raw"), url="jdbc:postgresql://h/db")
+    assert [len(kw["predicates"]) for kw in asked] == [jdbc.DEFAULT_BUCKETS] * 3
+
+
+@pytest.mark.parametrize("url,given,want", [
+    ("jdbc:postgresql://h/db", {}, "unspecified"), ("jdbc:postgresql://h/db", {"stringtype": "varchar"}, "varchar"), ("jdbc:mysql://h/db", {}, None)])
+def test_load_into_postgresql_leaves_text_untyped(monkeypatch, spark, url, given, want):
+    seen = []
+    monkeypatch.setattr(jdbc, "write_jdbc", lambda df, url, table, properties, **kw: seen.append(properties.get("stringtype")) or 0)
+    monkeypatch.setattr(ingest, "ingest_csv", lambda spark, path, entity: None)
+    ingest.load_csv_to_db(spark, {"patients": "/p"}, url, given)
+    assert seen == [want]
+
+
+def _csv(path, name, text):
+    os.makedirs(path, exist_ok=True)
+    with open(f"{path}/{name}", "w") as fh:
+        fh.write(text)
+
+
+def test_csv_times_with_offsets_are_kept(spark):
+    path = scratch_path(spark, "csv-offsets")
+    _csv(path, "e.csv", "Id,START,STOP,PATIENT,TOTAL_CLAIM_COST\n"
+         "e1,2020-03-01T10:00:00Z,2020-03-01 12:30:00+02:00,p1,12.345\ne2,2020-03-01 10:00:00,soon,p1,abc\n")
+    got = {r["id"]: r for r in files.read_csv(spark, path, "encounters").collect()}
+    assert got["e1"]["start_time"] == got["e2"]["start_time"] == dt.datetime(2020, 3, 1, 10)
+    assert got["e1"]["stop_time"] == dt.datetime(2020, 3, 1, 10, 30) and got["e2"]["stop_time"] is None
+    assert str(got["e1"]["total_claim_cost"]) == "12.35" and got["e2"]["total_claim_cost"] is None
+
+
+def test_csv_files_of_different_headers(spark):
+    path = scratch_path(spark, "csv-headers")
+    _csv(path, "a.csv", "START,STOP,PATIENT,ENCOUNTER,CODE,DESCRIPTION\n2020-01-01,,p1,e1,c,d one\n")
+    _csv(path, "b.csv", "patient,Code,START,extra,DESCRIPTION,description\np2,c2,2020-01-02,x,d two,other\n")
+    got = {r["patient"]: r for r in files.read_csv(spark, path, "conditions").collect()}
+    assert got["p1"]["encounter"] == "e1" and got["p1"]["extra"] is None and got["p1"]["description"] == "d one"
+    assert got["p2"]["start_date"] == dt.date(2020, 1, 2) and got["p2"]["code"] == "c2" and got["p2"]["encounter"] is None
+    assert got["p2"]["description"] == "d two" and got["p2"]["extra"] == "x"
+
+
+def test_csv_counts_values_that_became_null(spark, caplog):
+    path = scratch_path(spark, "csv-lost")
+    _csv(path, "p.csv", "ID,BirthDate,LAT\nu1,2000-01-02,1\nu2,not-a-date,x\nu3,,2\n")
+    with caplog.at_level("WARNING"):
+        assert ingest.csv_to_raw(spark, path, "patients", scratch_path(spark, "raw-lost")) == 3
+    assert "'nullified_birthdate': 1" in caplog.text and "'nullified_lat': 1" in caplog.text
+    assert "deathdate" not in caplog.text
+
+
+def test_tables_of_a_v2_catalog_take_no_path(monkeypatch, spark):
+    monkeypatch.setattr(catalog, "_is_session_catalog", lambda spark, name: False)
+    with pytest.raises(ValueError):
+        catalog.write_table(spark.range(1), "cat.ns.t", path="/somewhere")
+
+
 def test_scale_conf():
-    from clinlake.session import scale_conf
+    from clinlake.session import MAX_REDUCERS, scale_conf
 
     conf = scale_conf(shuffle_bytes=100 * 2**40, total_cores=8000)
-    assert int(conf["spark.sql.shuffle.partitions"]) == 409600  # 100 TiB / 256 MiB
+    assert int(conf["spark.sql.shuffle.partitions"]) == MAX_REDUCERS
+    assert int(conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"]) == -(-100 * 2**40 // MAX_REDUCERS)
     assert int(scale_conf(10 * 2**20, total_cores=8)["spark.sql.shuffle.partitions"]) == 16
+    assert int(scale_conf(2**40, total_cores=100)["spark.sql.shuffle.partitions"]) == 4096
 
 
 def test_drop_table_and_namespace_reentry(spark):
