@@ -223,13 +223,17 @@ def pathway_flags(
         ["patient_id"],
         {"vent_flag": flag(any_like(F.col("condition_description"), spec.ventilation))},
     )
-    death = F.col("patient_deathdate")
-    return (
-        master.select("patient_id", flag(death.isNotNull()).alias("is_dead"), flag(death.isNull()).alias("is_recovered"))
-        .join(enc, "patient_id", "left")
-        .join(vent, "patient_id", "left")
-        .fillna(0, subset=["hospitalized_flag", "icu_flag", "vent_flag"])
-        .withColumn("home_isolation_flag", flag(F.col("hospitalized_flag") == 0))
+    died = F.col("patient_deathdate").isNotNull()
+    seen = {c: F.coalesce(F.col(c), F.lit(0)) for c in ("hospitalized_flag", "icu_flag", "vent_flag")}
+    patients = master.select("patient_id", "patient_deathdate")
+    for flags in (enc, vent):
+        patients = patients.join(flags, "patient_id", "left")
+    return patients.select(
+        "patient_id",
+        flag(died).alias("is_dead"),
+        flag(~died).alias("is_recovered"),
+        *[value.alias(c) for c, value in seen.items()],
+        flag(seen["hospitalized_flag"] == 0).alias("home_isolation_flag"),
     )
 
 

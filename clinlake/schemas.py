@@ -65,7 +65,6 @@ CONDITIONS_RENAME = {
     "CODE": "code",
     "DESCRIPTION": "description",
 }
-# --- end of fixed values -----------------------------------------------------
 
 RENAME_MAPS = {
     "patients": PATIENTS_RENAME,
@@ -83,7 +82,7 @@ def _dec(p: int, s: int) -> T.DecimalType:
     return T.DecimalType(p, s)
 
 
-# Source (Bronze) column layout, in the source table's physical order.
+# Source (Bronze) column layout, in the source table's physical order (fixed values as well).
 PATIENTS_SCHEMA = T.StructType(
     [
         T.StructField("id", _S),
@@ -129,6 +128,8 @@ CONDITIONS_SCHEMA = T.StructType(
     ]
 )
 
+# --- end of fixed values -----------------------------------------------------
+
 SOURCE_SCHEMAS = {
     "patients": PATIENTS_SCHEMA,
     "encounters": ENCOUNTERS_SCHEMA,
