@@ -48,7 +48,7 @@ from clinlake.llm.components import components
 from clinlake.llm.shingles import shingle_set
 
 #: A task's shingles are counted in portions of this many.
-PORTION = 2_000_000
+PORTION = 1_000_000
 #: A shingle is named by a portion that has it in this share of its documents (4 at least).
 NAMED_SHARE = 0.001
 #: Most frequent named shingles that are ordered last.
@@ -56,6 +56,9 @@ MAX_HEAVY = 200_000
 #: Classes of a block that one task compares, and shingles that one part of a block holds.
 BLOCK = 512
 PART_SHINGLES = 1_000_000
+#: Classes with a possible partner up to this many (8 bytes each) are broadcast
+#: to pick their texts; beyond it all texts are shuffled to them.
+MAX_BROADCAST_CLASSES = 1_000_000
 
 
 def linked(overlap: int, n: int, m: int) -> bool:
@@ -351,7 +354,9 @@ def class_links(sets: DataFrame, scratch: list[str]) -> DataFrame:
 
 def _join_texts(members: DataFrame, texts: DataFrame, scratch: list[str]) -> DataFrame:
     # a class may have texts from several tasks: any of them gives its set
-    wanted = members.select("class").distinct()
+    wanted = materialize(members.select("class").distinct(), "join-wanted", scratch)
+    if wanted.count() <= MAX_BROADCAST_CLASSES:
+        wanted = F.broadcast(wanted)
     packed = materialize(texts.join(wanted, "class", "left_semi").groupBy("class").agg(F.min("packed").alias("packed")), "join-texts", scratch)
     return _tree_join(members.join(packed, "class"))
 
