@@ -15,14 +15,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows that Spark hands to Python at once, where the session does not say:
+#: documents are long, and every running task holds a few batches of them.
+ARROW_ROWS = "1000"
+
+
 def show_package(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver found it
-    (on a cluster it is installed there or shipped with ``--py-files``)."""
+    (on a cluster it is installed there or shipped with ``--py-files``), and
+    keep their batches small."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
 
 
 def materialize(df: DataFrame, name: str, scratch: list[str] | None = None) -> DataFrame:

@@ -38,8 +38,10 @@ DIMENSIONS = 512
 GRAM = 3
 SEED = 20_24
 MAX_LANGUAGES = 2_000
-#: Characters handled at once; longer texts are taken in pieces.
+#: N-grams, and texts, whose counts are held at once.
 PIECE = 1 << 18
+PIECE_TEXTS = 256
+GRAMS_AT_ONCE = 4096
 UNKNOWN = "und"
 BLANK = 0x20
 
@@ -59,7 +61,7 @@ def letter_vector(point: int) -> np.ndarray:
     return (2 * bits - 1).astype("float32")
 
 
-@lru_cache(maxsize=60_000)
+@lru_cache(maxsize=16_000)
 def gram_vector(a: int, b: int, c: int) -> np.ndarray:
     """The bound vector of a letter n-gram."""
     return (np.roll(letter_vector(a), 2) * np.roll(letter_vector(b), 1) * letter_vector(c)).astype("int8")
@@ -91,7 +93,7 @@ def _groups(codes: list[np.ndarray]) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``PIECE`` n-grams together."""
     first, held = 0, 0
     for i, c in enumerate(codes):
-        if held and held + len(c) > PIECE:
+        if held and held + len(c) > PIECE or i - first >= PIECE_TEXTS:
             yield first, i
             first, held = i, 0
         held += len(c)
@@ -132,9 +134,9 @@ def bundle(codes: list[np.ndarray]) -> np.ndarray:
         if not len(joined):
             continue
         grams, place = _distinct(joined)
-        for at in range(0, len(grams), 8192):
-            inside = (place >= at) & (place < at + 8192) if len(grams) > 8192 else slice(None)
-            width = min(8192, len(grams) - at)
+        for at in range(0, len(grams), GRAMS_AT_ONCE):
+            inside = (place >= at) & (place < at + GRAMS_AT_ONCE) if len(grams) > GRAMS_AT_ONCE else slice(None)
+            width = min(GRAMS_AT_ONCE, len(grams) - at)
             counts = np.bincount(owner[inside] * width + (place[inside] - at), minlength=len(part) * width)
             out[first:last] += counts.reshape(len(part), width).astype("float32") @ _vectors(grams[at:at + width])
     return out

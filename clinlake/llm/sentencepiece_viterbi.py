@@ -160,6 +160,10 @@ class PieceModel:
         kind = f"<u{array(self.code).itemsize}"
         return [np.frombuffer(b"".join([known[w] for w in words]), kind).astype("int32") for words in split]
 
+    def forget(self) -> None:
+        """Drop the remembered words."""
+        self.new, self.old = {}, {}
+
     def decode(self, ids: Iterable[int]) -> str:
         surface = self.surface
         return b"".join([surface[i] for i in ids])[1:].decode("utf-8", "replace")
@@ -189,6 +193,7 @@ def _with_column(df: DataFrame, source: str, name: str, kind: T.DataType, arrow:
                 part = batch.slice(first, ROWS_AT_ONCE)
                 column = pa.array(convert(model, part.column(at).to_pylist()), arrow)
                 yield pa.RecordBatch.from_arrays([*part.columns[:at], column], [*kept, name])
+        model.forget()  # the worker may serve other stages next
 
     return df.select(*kept, F.col(source).alias("__source")).mapInArrow(run, schema)
 
