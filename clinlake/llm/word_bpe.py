@@ -5,7 +5,9 @@
 once for each distinct word a worker meets: the vocabulary's normalizer and
 splitter never look across white space, so a chunk between white space always
 has the same ids. Texts with characters outside a range where Python's lower
-case and white space agree with the library's go through the library whole.
+case and white space agree with the library's go through the library whole, as
+do texts that hold the content of an added token (``<|endoftext|>``), which the
+library gives that token's id.
 """
 
 from __future__ import annotations
@@ -55,7 +57,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
+        self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.model = self.whole.model
         self.code = "H" if self.whole.get_vocab_size() <= 1 << 16 else "I"
         self.plain, self.word = _plain_patterns()
@@ -87,7 +89,7 @@ class WordEncoder:
         return ids
 
     def encode(self, text: str) -> bytes:
-        if not self.plain.fullmatch(text):
+        if not self.plain.fullmatch(text) or any(a in text for a in self.added):
             return self.pack(self.whole.encode(text, add_special_tokens=False).ids)
         if len(self.new) > CACHE_ENTRIES:
             self.old, self.new = self.new, {}

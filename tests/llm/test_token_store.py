@@ -30,6 +30,32 @@ def test_word_encoder_equals_the_library(library):
         assert np.frombuffer(own.encode(t), own.code).tolist() == library.encode(t, add_special_tokens=False).ids, t
 
 
+def test_added_tokens_as_in_an_untouched_library():
+    from tokenizers import Tokenizer
+
+    own, untouched = encoder(ts.vocabulary_path()), Tokenizer.from_file(ts.vocabulary_path())
+    assert np.frombuffer(own.encode("Hello <|endoftext|> world"), own.code).tolist() == [3306, 49407, 1002]
+    rnd = random.Random(8)
+    pieces = ["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|endoftext", "|>", " ", "\n", "it's", "É", "日本", "e\u0301", "x9", "<"]
+    for _ in range(2000):
+        text = "".join(rnd.choices(pieces, k=rnd.randint(1, 8)))
+        assert np.frombuffer(own.encode(text), own.code).tolist() == untouched.encode(text, add_special_tokens=False).ids, text
+
+
+def test_store_of_texts_with_added_tokens(spark):
+    from tokenizers import Tokenizer
+
+    untouched = Tokenizer.from_file(ts.vocabulary_path())
+    texts = ["first <|endoftext|> text", "<|startoftext|>second", "third"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    root = scratch_path(spark, "tokens-test")
+    ts.write_store(docs, root, ts.vocabulary_path())
+    want = [untouched.encode(t, add_special_tokens=False).ids + [ts.END_ID] for t in texts]
+    got = sorted(ts.read_store(spark, root).collect())
+    assert [r["ids"] for r in got] == want
+    assert [r["start"] for r in got] == [0, len(want[0]), len(want[0]) + len(want[1])]
+
+
 def expected(docs, library):
     out, start = [], 0
     library.encode_special_tokens = True
