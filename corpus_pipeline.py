@@ -4,8 +4,10 @@
 in the shared checkpoint folder and read again as the next stage's documents,
 so a lost executor never costs more than the stage it was lost in.
 
-1. language_id      operator 6: documents without letters go (their language
-                    is undetermined); a null label gets the predicted language.
+1. language_id      operator 6: documents it calls ``und`` go (without letters,
+                    or any where no document has a label), all others stay
+                    whatever their cosine; a null label gets the predicted
+                    language.
 2. near_duplicates  operator 7: of each group of near duplicates the document
                     of smallest doc_id stays.
 3. repeated_text    operator 4: bytes covered by a 100-byte string that starts
@@ -27,7 +29,7 @@ from clinlake.llm import jaccard_join, language_id, mixing, sentencepiece_viterb
 from clinlake.llm.common import materialize, show_package, table
 
 
-#: Cosine below which a text is like none of the languages (noise of the random vectors).
+#: No document goes by its cosine; the tests use this as a bound their texts are above.
 LEAST_COSINE = 0.08
 #: Leaving documents up to this many are broadcast (8 bytes each); beyond it they are joined by a shuffle.
 MAX_BROADCAST_IDS = 1_000_000
@@ -38,10 +40,10 @@ def _few(ids: DataFrame) -> DataFrame:
 
 
 def detect_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents in a language that can be told; learned from all labelled ones."""
+    """Keep documents the operator gives a language; learned from all labelled ones."""
     show_package(spark)
     judged = language_id.predict(docs, language_id.train(docs))
-    kept = judged.filter((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_COSINE))
+    kept = judged.filter(F.col("lang_pred") != language_id.UNKNOWN)
     return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
 
 

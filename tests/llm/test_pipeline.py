@@ -64,6 +64,16 @@ def test_stages_match_brute_force(spark):
     assert {d: model.decode(r["ids"]) for d, r in steps["token_ids"].items()} == {d: r["text"] for d, r in mixed.items()}
 
 
+def test_short_texts_with_letters_stay(spark):
+    docs = table(spark, SF_SMALL, "documents")
+    short = ["A.", "Avec.", "Osrañ.", "qzx", "Ж", "A.\nAll rights reserved."]
+    data = [(-1 - i, t, "en" if i % 2 else None) for i, t in enumerate(short)] + [(-100, "12 345 !", "en"), (-101, "", None)]
+    added = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    out = cp.detect_language(spark, docs.unionByName(added, allowMissingColumns=True), "").filter("doc_id < 0").collect()
+    assert {r["doc_id"] for r in out} == {-1 - i for i in range(len(short))}
+    assert all(r["lang"] for r in out)
+
+
 def test_edge_rows_pass(spark):
     text = "Words of a document that is long enough to be told apart from others in the language at hand. " * 3
     data = [(1, text, "en", "a", 1), (1, text, "en", "a", 1), (2, text + "x", "en", "a", 1), (3, None, "en", "a", 1), (4, "", None, None, None),
