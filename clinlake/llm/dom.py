@@ -17,7 +17,12 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 NEVER = frozenset(
     "script style textarea title xmp iframe noembed noframes head noscript template svg math canvas object video audio "
-    "select option button form fieldset dialog map datalist".split())
+    "select option button map datalist".split())
+#: Elements that hold either controls or a whole article; their control density tells.
+FORMS = frozenset("form fieldset dialog".split())
+CONTROLS = frozenset("input label select button textarea".split())
+#: Forms of at most this many characters a control are boilerplate to ``teacher``.
+CONTROL_CHARS = 100
 ENDS_PARAGRAPH = frozenset(
     "address article aside blockquote body details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header "
     "hr li main menu nav ol p pre section table tr td th tbody thead tfoot ul dd dt".split())
@@ -31,6 +36,8 @@ TAG_KINDS = {
     "header": "header".split(),
     "footer": "footer address".split(),
     "aside": "aside".split(),
+    "form": "form".split(),
+    "fieldset": "fieldset dialog".split(),
 }
 WORD_KINDS = {
     "advert": "ad ads adv advert adverts advertisement advertising adbox adslot banner sponsor sponsored promo promotion".split(),
@@ -53,6 +60,7 @@ _BOILERPLATE_TAGS = [list(TAG_KINDS).index(k) for k in ("navigation", "header",
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
 _NAMING = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_HIDDEN = re.compile(r"""\btype\s*=\s*["']?hidden\b""", re.I)
 _WORDS = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -62,6 +70,7 @@ class Page(NamedTuple):
     words: list[frozenset]  # kinds of the words in naming attributes
     parents: list[int]
     runs: list[tuple[int, str, int]]  # node, text, characters inside links
+    controls: list[int]  # visible form controls directly in the node
 
 
 def parse(source: str | None) -> Page:
@@ -71,7 +80,7 @@ def parse(source: str | None) -> Page:
     blanks, character references are decoded, and runs without text are left out.
     """
     source = source or ""
-    tags, words, parents = ["#page"], [frozenset()], [-1]
+    tags, words, parents, controls = ["#page"], [frozenset()], [-1], [0]
     runs: list[tuple[int, str, int]] = []
     open_nodes = [0]
     pieces: list[str] = []
@@ -111,6 +120,8 @@ def parse(source: str | None) -> Page:
         if name is None:
             continue
         name = name.lower()
+        if name in CONTROLS and not m.group(1) and not (name == "input" and _HIDDEN.search(m.group(3))):
+            controls[open_nodes[-1]] += 1
         if name in INLINE:
             if name == "a":
                 in_link = not m.group(1)
@@ -135,6 +146,7 @@ def parse(source: str | None) -> Page:
             kinds = frozenset(_KIND_OF_WORD[w] for w in _WORDS.findall(_CAMEL.sub(" ", named).lower()) if w in _KIND_OF_WORD)
         tags.append(name)
         words.append(kinds)
+        controls.append(0)
         parents.append(open_nodes[-1])
         if name in RAW:
             end = re.compile(f"</{name}", re.I).search(source, at)
@@ -142,11 +154,12 @@ def parse(source: str | None) -> Page:
         if not m.group(3).endswith("/") or name in RAW:
             open_nodes.append(len(tags) - 1)
     boundary()
-    return Page(tags, words, parents, runs)
+    return Page(tags, words, parents, runs, controls)
 
 
 FEATURES = (
     "depth children own_length length link_share nodes_per_char page_share place sibling_place siblings sibling_length sentence_share "
+    + "controls_per_char form_controls_per_char "
     + " ".join(f"tag_{k}" for k in TAG_KINDS) + " " + " ".join(f"word_{k}" for k in WORD_KINDS)
     + " under_boilerplate_tag under_boilerplate_word under_article_tag under_content_word"
 ).split()
@@ -167,6 +180,7 @@ def features(page: Page) -> np.ndarray:
             first_at[node] = seen
         seen += len(run)
     total, total_links, total_marks, nodes = own.copy(), links.copy(), marks.copy(), np.ones(n)
+    controls = np.array(page.controls, float)
     children = np.zeros(n)
     begin = first_at.copy()
     for i in range(n - 1, 0, -1):
@@ -175,12 +189,14 @@ def features(page: Page) -> np.ndarray:
         total_links[p] += total_links[i]
         total_marks[p] += total_marks[i]
         nodes[p] += nodes[i]
+        controls[p] += controls[i]
         children[p] += 1
         if begin[i] >= 0 and (begin[p] < 0 or begin[i] < begin[p]):
             begin[p] = begin[i]
     out = np.zeros((n, len(FEATURES)))
     n_tags, n_words = len(TAG_KINDS), len(WORD_KINDS)
-    tag_at, word_at = 12, 12 + n_tags
+    tag_at, word_at = 14, 14 + n_tags
+    out[:, 12] = controls / (total + 1)
     under_at = word_at + n_words
     child_number, depth = np.zeros(n), np.zeros(n)
     counted = np.zeros(n)
@@ -196,6 +212,9 @@ def features(page: Page) -> np.ndarray:
             out[i, under_at + 1] = max(out[i, under_at + 1], any(k != _CONTENT_WORD for k in kinds))
             out[i, under_at + 2] = max(out[i, under_at + 2], tag == _ARTICLE_TAG)
             out[i, under_at + 3] = max(out[i, under_at + 3], _CONTENT_WORD in kinds)
+            out[i, 13] = out[p, 13]
+        if page.tags[i] in FORMS:
+            out[i, 13] = out[i, 12]
         kind = _KIND_OF_TAG.get(page.tags[i])
         if kind is not None:
             out[i, tag_at + kind] = 1
@@ -227,13 +246,31 @@ def never_content(page: Page) -> np.ndarray:
     return out
 
 
+def _control_forms(page: Page) -> np.ndarray:
+    """Forms that are there for their controls: dense in them, and no article is named inside."""
+    n = len(page.tags)
+    length, controls, article = np.zeros(n), np.array(page.controls, float), np.zeros(n, bool)
+    for node, run, _ in page.runs:
+        length[node] += len(run)
+    for i in range(n - 1, -1, -1):
+        article[i] |= _KIND_OF_TAG.get(page.tags[i]) == _ARTICLE_TAG or _CONTENT_WORD in page.words[i]
+        if i:
+            p = page.parents[i]
+            length[p] += length[i]
+            controls[p] += controls[i]
+            article[p] |= article[i]
+    is_form = np.array([t in FORMS for t in page.tags], bool)
+    return is_form & ~article & (controls > 0) & (length <= CONTROL_CHARS * controls)
+
+
 def teacher(page: Page) -> np.ndarray:
     """Labels by the page's own words: 1 article, 0 boilerplate, -1 not said."""
     out = np.full(len(page.tags), -1)
+    forms = _control_forms(page)
     for i, tag in enumerate(page.tags):
         above = out[page.parents[i]] if i else -1
         kind = _KIND_OF_TAG.get(tag)
-        if above == 0 or tag in NEVER or kind in _BOILERPLATE_TAGS or any(k != _CONTENT_WORD for k in page.words[i]):
+        if above == 0 or tag in NEVER or forms[i] or kind in _BOILERPLATE_TAGS or any(k != _CONTENT_WORD for k in page.words[i]):
             out[i] = 0
         elif above == 1 or kind == _ARTICLE_TAG or _CONTENT_WORD in page.words[i]:
             out[i] = 1

@@ -13,10 +13,12 @@ are labelled by what pages say about themselves (article and main against nav,
 header, footer, aside and naming words such as ad or comments), and each
 sampled page is joined by variants of known labels: its parts renamed to plain
 ``div`` elements with naming words, with sidebars, notices, forms and reader
-comments of its own paragraphs put in. Every page is extracted from its whole
-html.
+comments of its own paragraphs put in, and with the body or the article inside
+a form, fieldset or dialog. Every page is extracted from its whole html.
 
-Defined results: null or empty html gives an empty text; text outside any
+Defined results: null or empty html gives an empty text; scripts, styles,
+templates, controls and the like (``dom.NEVER``) give no text, whereas what a
+form, fieldset or dialog holds is judged by the trees; text outside any
 element is judged like that of an element; unclosed and misnested elements are
 closed as browsers do it for paragraphs and list items; repeated rows get equal
 texts; where the sample says nothing of one class, what pages say of themselves
@@ -42,6 +44,8 @@ TRAIN_PAGES = 400
 #: Nodes taken of one training page; longer pages give their first ones.
 TRAIN_NODES = 400
 VARIANTS = 4
+#: Further variants, with forms around the page or the article.
+FORM_VARIANTS = 2
 TREES = 16
 DEPTH = 4
 STEP = 0.4
@@ -51,11 +55,25 @@ PRIOR = 5.0
 Tree = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
-def variant(source: str, seed: int) -> str:
+def _in_form(source: str, rnd: random.Random) -> str:
+    """The page with its whole body in a form, or its article in or around a form, fieldset or dialog."""
+    where = rnd.choice(["body", "around", "inside"])
+    if where == "body":
+        put_in = '<form method="post"><input type="hidden" name="state">' + rnd.choice(["", '<input name="q"><button>Go</button>'])
+        source = re.sub(r"(<body[^>]*>)", lambda m: m.group(1) + put_in, source, count=1)
+        return re.sub(r"(</body>|\Z)", lambda m: "</form>" + m.group(1), source, count=1)
+    name = rnd.choice(["form", "fieldset", "dialog"])
+    first, last = (f"<{name}><article>", f"</article></{name}>") if where == "around" else (f"<article><{name}>", f"</{name}></article>")
+    return source.replace("<article>", first).replace("</article>", last)
+
+
+def variant(source: str, seed: int, in_form: bool = False) -> str:
     """The page with its parts renamed and boilerplate of its own paragraphs put in."""
     rnd = random.Random(seed)
     texts = [t for t in re.findall(r"<p>([^<]+)", source)] or ["Some words, as they stand on pages."]
     said = lambda n=1: " ".join(rnd.choice(texts) for _ in range(n))
+    if in_form:
+        source = _in_form(source, random.Random(f"form {seed}"))
     name = rnd.choice(['div class="post-content"', 'div id="content"', "main", 'section class="entry"', 'div class="article-body"', "article"])
     if name != "article":
         source = source.replace("<article>", f"<{name}>").replace("</article>", f"</{name.split()[0]}>")
@@ -91,8 +109,8 @@ def training_nodes(pages: DataFrame, n_pages: int = TRAIN_PAGES) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for page_id, source in zip(pdf["page_id"], pdf["html"]):
-                for v in range(1 + VARIANTS):
-                    page = dom.parse(variant(source, int(page_id) * 31 + v) if v else source)
+                for v in range(1 + VARIANTS + FORM_VARIANTS):
+                    page = dom.parse(variant(source, int(page_id) * 31 + v, v > VARIANTS) if v else source)
                     labels, x = dom.teacher(page), dom.features(page)
                     own = np.flatnonzero((labels >= 0) & ~dom.never_content(page))[:TRAIN_NODES]
                     if len(own):

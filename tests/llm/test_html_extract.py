@@ -53,6 +53,22 @@ def test_other_templates(trees, body):
     assert got == "\n\n".join(["The heading of it", *[html.unescape(t).strip() for t in own]])
 
 
+@pytest.mark.parametrize("body", [
+    "<form method='post' action='x.aspx'><input type='hidden' name='__VIEWSTATE'><div class='menu'><a href='/'>Home</a><input name='q'><button>Go</button></div>"
+    "<div class='post-content'>{a}</div><fieldset><label>{s}</label><input></fieldset></form>",
+    "<form method='post'><nav><a href='/'>Home</a></nav><article>{a}</article><footer>&copy; x</footer></form>",
+    "<nav><a href='/'>Home</a></nav><article><fieldset>{a}</fieldset></article><form><label>{s}</label><input></form>",
+    "<nav><a href='/'>Home</a></nav><dialog open><article>{a}</article></dialog><form><label>{s}</label><input></form>",
+])
+def test_articles_inside_forms(trees, body):
+    own = [SENTENCE * 3, SENTENCE * 5, SENTENCE * 2]
+    article = "<h1>The heading of it</h1>" + "".join(f"<p>{t}</p>" for t in own)
+    source = page(body.format(a=article, s="Your name, as it is to be shown."))
+    want = "\n\n".join(["The heading of it", *[t.strip() for t in own]])
+    assert hx.extract_text(source, trees) == want
+    assert hx.extract_text(source, None) == want
+
+
 def test_parsing_odd_pages(trees):
     assert [hx.extract_text(s, trees) for s in (None, "", "   ", "<", "<p", "<!-- only")] [:3] == ["", "", ""]
     parsed = dom.parse("<div>one<p>two<p>three <b>bold<br>line</div>four<ul><li>a<li>b</ul><script>x</p>y</script>&lt;z&gt;")
