@@ -1,7 +1,11 @@
 """Document fingerprints by closed syncmers (operator 3, DataFrame functions only).
 
-A text is cut into tokens (runs without ASCII white space, longer runs in
-pieces of ``TOKEN_CHARS`` code points). Of its k-mers of ``K`` consecutive
+A text is cut into tokens: runs without ASCII white space, in pieces of
+``TOKEN_CHARS`` code points. Runs of more than ``WORD_CHARS`` code points (text
+without blanks, long urls, base64) give the overlapping piece at every code
+point instead, so that a passage inside them has the same tokens wherever it
+starts; shorter runs count as words, one or two tokens that an edit inside may
+change. Of its k-mers of ``K`` consecutive
 tokens the closed syncmers are kept: those whose minimal inner s-mer
 (``S`` = 2 consecutive tokens, ordered by hash) is the first or the last one.
 Whether a k-mer is chosen depends on its own tokens alone, so equal passages
@@ -26,6 +30,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from clinlake.llm.common import shuffle_partitions, table
 
 TOKEN_CHARS = 8
+#: Longer runs are no words: their pieces overlap.
+WORD_CHARS = 16
 K = 5
 S = 2
 SKETCH = 64
@@ -39,8 +45,13 @@ SEATS = "array<struct<b:int,ghost:int>>"
 
 def _token_columns(df: DataFrame, text: str) -> DataFrame:
     """Adds ``__tok`` (tokens) and ``__smer`` (hash of each S = 2 consecutive tokens)."""
-    pattern = "[^\\x20\\x09-\\x0D]{1,%d}" % TOKEN_CHARS
+    run = "[^\\x20\\x09-\\x0D]"
+    pattern = f"{run}{{{WORD_CHARS + 1},}}|{run}{{1,{TOKEN_CHARS}}}"  # long runs whole, others in pieces
     df = df.withColumn("__tok", F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0)))
+    long = lambda t: F.char_length(t) > TOKEN_CHARS
+    overlapping = lambda t: F.regexp_extract_all(t, F.lit(f"(?s)(?=(.{{{TOKEN_CHARS}}}))."), F.lit(1))
+    cut = F.flatten(F.transform("__tok", lambda t: F.when(long(t), overlapping(t)).otherwise(F.array(t))))
+    df = df.withColumn("__tok", F.when(F.exists("__tok", long), cut).otherwise(F.col("__tok")))
     return df.withColumn("__smer", F.expr(
         "transform(slice(__tok, 2, greatest(size(__tok) - 1, 0)), (x, i) -> xxhash64(__tok[i], x))"))
 

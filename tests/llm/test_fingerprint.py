@@ -1,6 +1,7 @@
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from clinlake.llm import fingerprint as fp
 from clinlake.llm.common import table
@@ -66,6 +67,26 @@ def test_syncmers_are_context_free(spark):
     assert 3 in shifts
 
 
+@pytest.mark.parametrize("alphabet", ["的一是不了人我在有他这中大来上国个到说们", "กขคงจฉชซญดตถทนบปผพมย", "abcdefghijklmnopqrstuvwxyz0123456789", "😀😁😂🤣😃𠀀𠀁𠀂𠀃"])
+def test_unspaced_texts_are_context_free(spark, alphabet):
+    import random
+
+    rnd = random.Random(3)
+    text = "".join(rnd.choices(alphabet, k=400))
+    other = "".join(rnd.choices(alphabet, k=400))
+    texts = [text, alphabet[0] + text, text[:200] + text[201:], other[:37] + text[3:] + other[:50], other]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: {a["hash"] for a in r["anchors"]} for r in fp.syncmers(docs).collect()}
+    assert len(found[0]) > 50
+    for i in (1, 2, 3):
+        assert len(found[0] & found[i]) > 0.85 * len(found[0])
+    assert not found[0] & found[4]
+    sketches = fp.add_sketch(docs, "text", "sketch")
+    pairs = sketches.alias("a").join(sketches.alias("b")).filter("a.doc_id = 0")
+    alike = {r["d"]: r["n"] for r in pairs.select(F.col("b.doc_id").alias("d"), fp.likeness(F.col("a.sketch"), F.col("b.sketch")).alias("n")).collect()}
+    assert min(alike[1], alike[2], alike[3]) > 0.6 and alike[4] < 0.1
+
+
 def brute_sketch(spark, text):
     """The definition, token by token."""
     import re
