@@ -25,7 +25,6 @@ def test_word_encoder_equals_the_library(library):
     letters = [chr(c) for c in range(0x180)] + list("'s'tréve  \n\n019 <|endoftext|> ΣσςÀé̀日本😀İẞ \x85\xa0")
     texts = ["", " ", "it's   the DOG's 2nd!!'s", "ÀÉÎ'LL'll ''s ...'re", "<|endoftext|> x"]
     texts += ["".join(rnd.choices(letters, k=rnd.randint(0, 20))) for _ in range(4000)]
-    library.encode_special_tokens = True
     for t in texts:
         assert np.frombuffer(own.encode(t), own.code).tolist() == library.encode(t, add_special_tokens=False).ids, t
 
@@ -58,7 +57,6 @@ def test_store_of_texts_with_added_tokens(spark):
 
 def expected(docs, library):
     out, start = [], 0
-    library.encode_special_tokens = True
     for doc_id, text in docs:
         ids = library.encode(text or "", add_special_tokens=False).ids + [ts.END_ID]
         out.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
