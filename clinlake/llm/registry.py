@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from clinlake.llm import fingerprint, html_extract, jaccard_join, language_id, merkle, mixing, packing, sentencepiece_viterbi, suffix_dedup, token_store, url_filter, voronoi_topk
+from clinlake.llm import fingerprint, html_extract, jaccard_join, language_id, merkle, mixing, packing, sentencepiece_viterbi, suffix_dedup, token_store, url_filter, voronoi_topk, whitening
 
 LLM_QUERIES = {
     "pipeline": corpus_pipeline.run,
@@ -17,6 +17,7 @@ LLM_QUERIES = {
     "op8_html_extraction": html_extract.op8_html_extraction,
     "op9_url_filters": url_filter.op9_url_filters,
     "op10_token_store": token_store.op10_token_store,
+    "op11_embedding_whitening": whitening.op11_embedding_whitening,
     "op12_merkle_manifest": merkle.op12_merkle_manifest,
     "op13_best_fit_packing": packing.op13_best_fit_packing,
 }
