@@ -2,23 +2,23 @@
 
 ``dedup_deterministic`` keeps, per key, the row that sorts first over the
 remaining columns (ascending, NULLs first): SQL ``ROW_NUMBER() OVER (PARTITION
-BY keys ORDER BY rest NULLS FIRST) = 1``. Keys are mostly unique in practice,
-so rows are not all sent through an aggregate of whole rows: a fixed-width
-aggregate (a hash of the key and a count) finds the hashes that occur more than
-once, rows of other hashes pass by an anti join, and only the rest are reduced
-by a keyed ``min`` over a struct. Partial aggregates run before each shuffle,
-so a key holding a third of the rows leaves each map task as one row; Spark
-picks the joins by the measured size of the repeated hashes.
+BY keys ORDER BY rest NULLS FIRST) = 1``. Spark limits each key to its first row
+inside every map task before the one shuffle (``WindowGroupLimit``), so the
+input is scanned once, and a key holding a third of the rows leaves each task as
+one row. ``dedup_split`` is another plan for the same result, for wide rows whose
+keys hardly ever repeat: it scans its input more than once, but only rows of
+repeated keys are sorted.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 _SURVIVOR = "__survivor"
 _HASH = "__hash"
+_RANK = "__rank"
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
@@ -41,10 +41,20 @@ def split_repeated(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataF
 def dedup_deterministic(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
     """One row per ``keys``; survivor = first row ordered by ``order`` (default: all other columns)."""
     keys = list(keys)
-    if len(keys) == len(df.columns):
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
         return df.dropDuplicates(keys)
-    once, repeated = split_repeated(df, keys)
-    return once.unionByName(first_per_key(repeated, keys, order))
+    order = list(order) if order is not None else rest
+    order += [c for c in rest if c not in order]  # equal in every column: any of them is the survivor
+    first = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    return df.withColumn(_RANK, F.row_number().over(first)).filter(F.col(_RANK) == 1).drop(_RANK)
+
+
+def dedup_split(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
+    """The same rows: unique keys pass by an anti join on a counted hash of the
+    key, repeated ones are reduced by a keyed ``min`` over a struct."""
+    once, repeated = split_repeated(df, list(keys))
+    return once.unionByName(first_per_key(repeated, list(keys), order))
 
 
 def dedup_rows(df: DataFrame) -> DataFrame:

@@ -35,6 +35,16 @@ def gender(x: str) -> str:
     )
 
 
+def id_number(x: str) -> str:
+    return f"coalesce(CAST({x} AS BIGINT), 0)"
+
+
+def row_text(columns) -> str:
+    """All values of a row as text, each with its length; NULL is ``-``."""
+    parts = [f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in sorted(columns)]
+    return " || ".join(parts)
+
+
 def _order_all(cols) -> str:
     return ", ".join(f"{c} ASC NULLS FIRST" for c in cols)
 
@@ -51,6 +61,12 @@ ENCOUNTER_REST = [
     "total_claim_cost", "payer_coverage", "reason_code", "reason_description",
 ]
 
+MASTER_COLUMNS = [
+    "patient_id", "patient_birthdate", "patient_deathdate", *PATIENT_REST[2:],
+    "encounter_count", "last_encounter_time", "total_claim_cost_sum", "condition_count", "last_condition_date",
+    "observation_count", "last_observation_time",
+]
+
 CTES: dict[str, tuple[str, tuple[str, ...]]] = {
     "bronze_patients": (STANDIN_SQL["bronze_patients"], ()),
     "bronze_encounters": (STANDIN_SQL["bronze_encounters"], ()),
@@ -598,6 +614,59 @@ FROM master
 """,
             "master",
         ),
+        "content_reconciliation": with_ctes(
+            f"""
+SELECT 'covid_clinical_master' AS table_name, n AS written_rows, c AS written_checksum, n AS persisted_rows, c AS persisted_checksum, true AS ok
+FROM (SELECT count(*) AS n, CAST(coalesce(sum(CAST('0x' || left(md5({row_text(MASTER_COLUMNS)}), 15) AS BIGINT)), 0) AS DECIMAL(38,0)) AS c
+      FROM master) t
+""",
+            "master",
+        ),
+        "table_refresh": with_ctes(
+            """
+SELECT city, count(*) AS rows, max(ssn) AS last_ssn, 'first' AS step, 4 AS columns FROM bronze_patients GROUP BY city
+UNION ALL SELECT city, count(*), max(ssn), 'other rows', 4 FROM bronze_patients WHERE zip < '01000' GROUP BY city
+UNION ALL SELECT city, count(*), max(ssn), 'other columns', 2 FROM bronze_patients WHERE city <> 'City1' GROUP BY city
+""",
+            "bronze_patients",
+        ),
+        "partition_overwrite": with_ctes(
+            """
+SELECT id, start_time, CAST(total_claim_cost + CASE WHEN year(start_time) IN (1994, 1996) THEN 100 ELSE 0 END AS DECIMAL(12,2)) AS total_claim_cost,
+       CAST(year(start_time) AS INTEGER) AS start_year
+FROM bronze_encounters WHERE year(start_time) NOT IN (1994, 1996) OR CAST(id AS BIGINT) % 10 <> 0
+""",
+            "bronze_encounters",
+        ),
+        "bronze_as_of": with_ctes(
+            f"""
+SELECT *, CAST(1 AS BIGINT) AS load FROM bronze_conditions WHERE {id_number('encounter')} % 5 <> 0
+UNION ALL SELECT * REPLACE (CASE WHEN {id_number('encounter')} % 3 = 0 THEN upper(description) ELSE description END AS description), 2
+FROM bronze_conditions WHERE {id_number('encounter')} % 7 <> 0
+UNION ALL SELECT *, 3 FROM bronze_conditions
+UNION ALL SELECT *, 3 FROM bronze_conditions WHERE {id_number('encounter')} % 11 = 0
+""",
+            "bronze_conditions",
+        ),
+        "bronze_changes": with_ctes(
+            f"""
+, loads AS (
+  SELECT *, 1 AS load FROM bronze_encounters WHERE {id_number('id')} % 5 <> 0
+  UNION ALL SELECT * REPLACE (CASE WHEN {id_number('id')} % 3 = 0 THEN CAST(total_claim_cost + 10 AS DECIMAL(12,2)) ELSE total_claim_cost END
+                              AS total_claim_cost), 2 FROM bronze_encounters WHERE {id_number('id')} % 7 <> 0
+  UNION ALL SELECT *, 3 FROM bronze_encounters),
+sides AS (SELECT *, 2 AS step FROM loads WHERE load <= 2 UNION ALL SELECT *, 3 FROM loads WHERE load >= 2),
+counted AS (SELECT step, id, count(*) FILTER (load < step) AS before, count(*) FILTER (load = step) AS now
+            FROM sides GROUP BY step, id, start_time, stop_time, patient, organization, provider, payer, encounterclass, code, description,
+                       base_encounter_cost, total_claim_cost, payer_coverage, reasoncode, reasondescription),
+keyed AS (SELECT step, id, sum(before) FILTER (before <> now) AS ended, sum(now) FILTER (before <> now) AS begun,
+                 sum(before) AS all_before, sum(now) AS all_now FROM counted GROUP BY step, id)
+SELECT id, CASE WHEN all_before = 0 THEN 'insert' WHEN all_now = 0 THEN 'delete' ELSE 'update' END AS change,
+       CAST(ended AS BIGINT) AS rows_ended, CAST(begun AS BIGINT) AS rows_begun, CAST(step AS BIGINT) AS load
+FROM keyed WHERE ended + begun > 0
+""",
+            "bronze_encounters",
+        ),
         "table_profile": with_ctes(
             TABLE_PROFILE,
             "bronze_patients", "bronze_encounters", "bronze_conditions", "bronze_observations",

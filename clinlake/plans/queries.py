@@ -28,9 +28,9 @@ from clinlake.functions import (
     year_age,
 )
 from clinlake.operators import (
-    dedup_deterministic,
     dedup_rows,
     dedup_rows_split,
+    dedup_split,
     distinct_keys,
     first_per_key,
     join_facts,
@@ -38,7 +38,8 @@ from clinlake.operators import (
     restrict_to,
     share_of_total,
 )
-from clinlake.operators.checks import reconcile, table_profile
+from clinlake.operators import history
+from clinlake.operators.checks import ContentCheck, reconcile, table_profile
 from clinlake.plans import gold, ingest, medallion, silver
 from clinlake.session import scratch_path
 from clinlake.sources import catalog, files, standins
@@ -274,8 +275,8 @@ def q_dedup_primary_key(spark, sf_dir):
 
 
 def q_dedup_primary_key_split(spark, sf_dir):
-    """D1 as the Silver tables use it: only repeated keys are reduced."""
-    return dedup_deterministic(standins.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+    """D1 with unique keys passing by an anti join on their hash."""
+    return dedup_split(standins.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
 def q_dedup_natural_key(spark, sf_dir):
@@ -458,6 +459,69 @@ def q_row_count_reconciliation(spark, sf_dir):
     return _kept(spark, reconcile(spark, f"{ns}.covid_clinical_master", n, label="covid_clinical_master"), ns)
 
 
+def q_content_reconciliation(spark, sf_dir):
+    """The master's content as observed on the way out and as read back (C4)."""
+    ns = _scratch_namespace(spark)
+    master = master_of(silver_tables(spark, sf_dir))
+    content = ContentCheck("covid_clinical_master", master.columns)
+    catalog.write_table(content.observed(master), f"{ns}.covid_clinical_master", check=content.check)
+    return _kept(spark, content.compare(spark.table(f"{ns}.covid_clinical_master")), ns)
+
+
+def _id_number(column: str):
+    return F.coalesce(F.col(column).cast("bigint"), F.lit(0))
+
+
+def q_table_refresh(spark, sf_dir):
+    """Patients written, refreshed with other rows and then with other columns; what each reader sees (K4)."""
+    ns = _scratch_namespace(spark)
+    patients = standins.bronze_patients(spark, sf_dir).select("id", "ssn", "city", "zip")
+    name, seen = f"{ns}.patients", []
+    for step, df in (("first", patients), ("other rows", patients.filter("zip < '01000'")),
+                     ("other columns", patients.select("city", "ssn").filter("city != 'City1'"))):
+        catalog.write_table(df, name)
+        seen.append(spark.table(name).groupBy("city").agg(F.count(F.lit(1)).alias("rows"), F.max("ssn").alias("last_ssn"))
+                    .withColumns({"step": F.lit(step), "columns": F.lit(len(spark.table(name).columns))}).collect())
+    return _kept(spark, spark.createDataFrame([r for rows in seen for r in rows], "city string, rows long, last_ssn string, step string, columns int"), ns)
+
+
+def q_partition_overwrite(spark, sf_dir):
+    """Encounters partitioned by year; a second load replaces two years and leaves the others (K5)."""
+    ns = _scratch_namespace(spark)
+    encounters = standins.bronze_encounters(spark, sf_dir).select("id", "start_time", "total_claim_cost", F.year("start_time").alias("start_year"))
+    catalog.overwrite_partitions(encounters, f"{ns}.encounters", ["start_year"])
+    again = encounters.filter(F.col("start_year").isin(1994, 1996) & (_id_number("id") % 10 != 0))
+    amended = (F.col("total_claim_cost") + 100).cast("decimal(12,2)")
+    catalog.overwrite_partitions(again.withColumn("total_claim_cost", amended), f"{ns}.encounters", ["start_year"])
+    return spark.table(f"{ns}.encounters")
+
+
+def _recorded(spark, ns: str, snapshots: list[DataFrame]) -> str:
+    for load, snapshot in enumerate(snapshots, 1):
+        history.record_load(snapshot, f"{ns}.bronze", load)
+    return f"{ns}.bronze"
+
+
+def q_bronze_as_of(spark, sf_dir):
+    """Three loads of conditions, each snapshot as it was (E3): rows leave, change, return and repeat."""
+    c = standins.bronze_conditions(spark, sf_dir)
+    number = _id_number("encounter")
+    second = c.filter(number % 7 != 0).withColumn("description", F.when(number % 3 == 0, F.upper("description")).otherwise(F.col("description")))
+    name = _recorded(spark, _scratch_namespace(spark), [c.filter(number % 5 != 0), second, c.unionByName(c.filter(number % 11 == 0))])
+    loads = [history.as_of(spark, name, n).withColumn("load", F.lit(n).cast("bigint")) for n in (1, 2, 3)]
+    return loads[0].unionByName(loads[1]).unionByName(loads[2])
+
+
+def q_bronze_changes(spark, sf_dir):
+    """The keyed change sets of the second and third of three loads of encounters (E3)."""
+    e = standins.bronze_encounters(spark, sf_dir)
+    number = _id_number("id")
+    cost = F.when(number % 3 == 0, (F.col("total_claim_cost") + 10).cast("decimal(12,2)")).otherwise(F.col("total_claim_cost"))
+    name = _recorded(spark, _scratch_namespace(spark), [e.filter(number % 5 != 0), e.filter(number % 7 != 0).withColumn("total_claim_cost", cost), e])
+    found = [history.changes(spark, name, n, ["id"]).withColumn("load", F.lit(n).cast("bigint")) for n in (2, 3)]
+    return found[0].unionByName(found[1])
+
+
 def q_table_lifecycle(spark, sf_dir):
     """Tables listed before and after one is dropped, with their type and provider (C2, C3/F12, K7)."""
     ns = _scratch_namespace(spark)
@@ -525,6 +589,11 @@ QUERIES.update(
         "table_lifecycle": q_table_lifecycle,
         "table_roundtrip": q_table_roundtrip,
         "row_count_reconciliation": q_row_count_reconciliation,
+        "content_reconciliation": q_content_reconciliation,
+        "table_refresh": q_table_refresh,
+        "partition_overwrite": q_partition_overwrite,
+        "bronze_as_of": q_bronze_as_of,
+        "bronze_changes": q_bronze_changes,
         "table_profile": q_table_profile,
     }
 )

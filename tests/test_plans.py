@@ -42,11 +42,45 @@ def test_denominators_stay_in_plan(spark):
 
 def test_dedup_and_summaries_combine_before_the_shuffle(spark):
     # hot keys leave each map task as one partial-aggregate row
-    for name, partial in (("clean_patients", "partial_min"), ("summary_per_key", "partial_count")):
+    for name, partial in (("dedup_primary_key", "partial_min"), ("summary_per_key", "partial_count")):
         plan = _plan(entry.queries()[name](spark, SF_SMALL))
         assert partial in plan, name
 
 
+@pytest.mark.parametrize("name,scans", [("clean_patients", 3), ("clean_encounters", 2)])
+def test_keyed_dedup_reads_each_source_once(spark, name, scans):
+    plan = entry.queries()[name](spark, SF_SMALL)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan") == scans
+    assert plan.count("WindowGroupLimit") == 2 and plan.count("Window [") == 1
+
+
+def test_hot_key_leaves_each_task_as_one_row(spark):
+    """A key with two thirds of the rows: the limit before the shuffle keeps one row of it in each task."""
+    from pyspark.sql import functions as F
+
+    from clinlake.operators.dedup import dedup_deterministic
+
+    rows = spark.range(0, 40_000, 1, 4).select(
+        F.when(F.col("id") % 3 != 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), (F.col("id") % 300).cast("string"))).alias("k"),
+        (F.col("id") * 7919 % 40_009).alias("v"))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # a plan that can be walked
+    try:
+        out = dedup_deterministic(rows, ["k"])
+        got = {r["k"]: r["v"] for r in out.collect()}
+        todo, written = [out._jdf.queryExecution().executedPlan()], []
+        while todo:
+            node = todo.pop()
+            if node.nodeName() == "Exchange":
+                written.append(node.metrics().apply("shuffleRecordsWritten").value())
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert got == {r["k"]: r["v"] for r in rows.groupBy("k").agg(F.min("v").alias("v")).collect()}
+    assert len(written) == 1
+    assert 0 < written[0] <= 4 * 101
+
+
 def test_master_joins_add_no_shuffle_without_broadcast(spark):
     """At scale the per-patient joins are sort-merge joins; their inputs are
     already hash-partitioned on patient_id by the summaries that produce them;
