@@ -596,6 +596,21 @@ FROM (SELECT patient_id, patient_birthdate,
         ),
         "csv_roundtrip_encounters": with_ctes("SELECT * FROM bronze_encounters", "bronze_encounters"),
         "csv_mixed_headers": with_ctes("SELECT * FROM bronze_conditions", "bronze_conditions"),
+        "csv_dirty_values": with_ctes(
+            f"""
+SELECT * REPLACE (CASE WHEN {id_number('id')} % 13 <> 0 THEN start_time END AS start_time, CASE WHEN {id_number('id')} % 19 <> 0 THEN stop_time END AS stop_time,
+                  CASE WHEN {id_number('id')} % 17 <> 0 THEN total_claim_cost END AS total_claim_cost) FROM bronze_encounters
+""",
+            "bronze_encounters",
+        ),
+        "csv_rejected_values": with_ctes(
+            f"""
+SELECT id, reasoncode, 'start_time' AS column_name, 'soon' AS value, 'timestamp_ntz' AS wanted FROM bronze_encounters WHERE {id_number('id')} % 13 = 0
+UNION ALL SELECT id, reasoncode, 'stop_time', '2024-02-30T10:00:00', 'timestamp_ntz' FROM bronze_encounters WHERE {id_number('id')} % 19 = 0
+UNION ALL SELECT id, reasoncode, 'total_claim_cost', 'n/a, see "note"', 'decimal(12,2)' FROM bronze_encounters WHERE {id_number('id')} % 17 = 0
+""",
+            "bronze_encounters",
+        ),
         "table_lifecycle": with_ctes(
             """
 SELECT step, table_name, 'MANAGED' AS type, 'parquet' AS provider, n AS rows

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
+from clinlake.session import delete_path
 from clinlake.sources import catalog, files, jdbc
 
 ENTITIES = ("patients", "encounters", "conditions")
@@ -20,14 +21,26 @@ def ingest_csv(spark: SparkSession, path: str, entity: str) -> DataFrame:
     return files.read_csv(spark, path, entity)
 
 
+def rejected_path(raw_path: str) -> str:
+    """Where values that did not fit are kept: ``_rejected/<entity>`` beside the Raw folder."""
+    folder, _, entity = raw_path.rstrip("/").rpartition("/")
+    return f"{folder}/_rejected/{entity}"
+
+
 def csv_to_raw(spark: SparkSession, path: str, entity: str, raw_path: str) -> int:
     """An entity CSV as Raw Parquet; returns the rows. Values that did not fit
-    their column's type are counted in the same pass and reported."""
+    their column's type become NULL and are counted in the same pass. Only if
+    there are any, the files are read again for their rows, which go to
+    ``rejected_path`` as Parquet; what an earlier run left there goes."""
     seen = Observation(f"csv:{entity}")
     rows = files.write_parquet(files.read_csv(spark, path, entity, seen), raw_path)
     lost = {k: v for k, v in seen.get.items() if k.startswith("nullified_") and v}
+    kept = rejected_path(raw_path)
     if lost:
-        log.warning("%s: values that became NULL: %s", path, lost)
+        files.write_parquet(files.rejected_values(spark, path, entity), kept)
+        log.warning("%s: values that became NULL: %s, kept in %s", path, lost, kept)
+    else:
+        delete_path(spark, kept)
     return rows
 
 

@@ -428,6 +428,32 @@ def q_csv_mixed_headers(spark, sf_dir):
     return files.read_csv(spark, path, "conditions")
 
 
+def _dirty_encounters(spark, sf_dir) -> str:
+    """Encounters as CSV with times and amounts that are none; the folder."""
+    path = scratch_path(spark, "csv-dirty")
+    b = standins.bronze_encounters(spark, sf_dir)
+    number = F.col("id").cast("bigint")
+    dirty = {
+        "start_time": F.when(number % 13 == 0, "soon").otherwise(F.col("start_time").cast("string")),
+        "stop_time": F.when(number % 19 == 0, "2024-02-30T10:00:00").otherwise(F.col("stop_time").cast("string")),
+        "total_claim_cost": F.when(number % 17 == 0, "n/a, see \"note\"").otherwise(F.col("total_claim_cost").cast("string")),
+    }
+    files.write_csv(b.withColumns(dirty), path, entity="encounters")
+    return path
+
+
+def q_csv_dirty_values(spark, sf_dir):
+    """What is left of a dirty CSV: values that do not fit are NULL."""
+    return files.read_csv(spark, _dirty_encounters(spark, sf_dir), "encounters")
+
+
+def q_csv_rejected_values(spark, sf_dir):
+    """The values of a dirty CSV that did not fit, with their rows (S1, Q1)."""
+    lost = files.rejected_values(spark, _dirty_encounters(spark, sf_dir), "encounters")
+    return lost.select(F.get_json_object("record", "$.id").alias("id"), F.get_json_object("record", "$.reasoncode").alias("reasoncode"),
+                       "column_name", "value", "wanted")
+
+
 def _scratch_namespace(spark) -> str:
     root = scratch_path(spark, "tables")
     ns = "clinlake_" + root.rsplit("-", 1)[-1]
@@ -594,6 +620,8 @@ QUERIES.update(
         "partition_overwrite": q_partition_overwrite,
         "bronze_as_of": q_bronze_as_of,
         "bronze_changes": q_bronze_changes,
+        "csv_dirty_values": q_csv_dirty_values,
+        "csv_rejected_values": q_csv_rejected_values,
         "table_profile": q_table_profile,
     }
 )

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor
+import csv
+from collections.abc import Iterator, Mapping
 from functools import reduce
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -19,20 +21,41 @@ def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed(present) if present else df
 
 
+#: Larger than any file: a file is one split and a split one file.
+_WHOLE_FILE = str(1 << 59)
+
+
 def _headers(spark: SparkSession, path: str) -> dict[str, tuple[str, ...]]:
-    """The header of every file under ``path`` (one small read each, a few at a time)."""
-    listed = [r["path"] for r in spark.read.format("binaryFile").load(path).select("path").collect()]
+    """The header of every file under ``path``, in one job: a task for each file
+    takes its first line that is not blank and leaves the rest unread."""
+    own = spark.newSession()  # these settings are for this read only
+    for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+        own.conf.set(key, _WHOLE_FILE)
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+
+    def first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, line in enumerate(batch.column(0).to_pylist()):
+                if line.strip("\ufeff \t\r"):
+                    yield batch.slice(i, 1)
+                    return
+
+    lines = own.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    found = lines.mapInArrow(first_line, "value string, file string").collect()  # a line for each file
 
-    def header(file: str) -> tuple[str, ...]:
-        first = spark.read.csv(file).first()  # as a row: Spark would rename doubled headers
-        return tuple(name or f"_c{i}" for i, name in enumerate(first)) if first else ()
+    def names(line: str) -> tuple[str, ...]:
+        row = next(csv.reader([line.removeprefix("\ufeff")], escapechar="\\"))
+        return tuple(name or f"_c{i}" for i, name in enumerate(row))  # by position: Spark would rename doubled headers
 
-    with ThreadPoolExecutor(max_workers=8) as pool:
-        return {f: h for f, h in zip(listed, pool.map(header, listed)) if h}
+    return {unquote(r["file"]): names(r["value"]) for r in sorted(found, key=lambda r: r["file"])}
 
 
-def _read_text_columns(spark: SparkSession, path: str, names: Mapping[str, str]) -> DataFrame:
-    """All files as text columns under source names.
+#: The column that tells a row's file, where it is asked for.
+_FILE = "__file"
+
+
+def _read_text_columns(spark: SparkSession, path: str, names: Mapping[str, str], with_file: bool = False) -> DataFrame:
+    """All files as text columns under source names (and the name of the row's file).
 
     Files of equal headers are read together, files of other headers (other
     order, other columns) on their own, and united by name. Headers are matched
@@ -52,9 +75,10 @@ def _read_text_columns(spark: SparkSession, path: str, names: Mapping[str, str])
         lowered: dict[str, str] = {}
         for name in kept:  # Spark's own names are case-insensitive
             lowered.setdefault(name.lower(), name)
-        parts.append(df.select(*[F.col(kept[n]).alias(n) for n in lowered.values()]))
+        file = [F.col("_metadata.file_name").alias(_FILE)] if with_file else []
+        parts.append(df.select(*[F.col(kept[n]).alias(n) for n in lowered.values()], *file))
     if not parts:
-        return spark.createDataFrame([], T.StructType([T.StructField(n, T.StringType()) for n in names.values()]))
+        return spark.createDataFrame([], T.StructType([T.StructField(n, T.StringType()) for n in [*names.values(), *[_FILE] * with_file]]))
     return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
 
 
@@ -67,6 +91,31 @@ def _typed(df: DataFrame, field: T.StructField) -> Column:
     return _TYPERS[type(field.dataType)](df, field.name)
 
 
+def _source_text(spark: SparkSession, path: str, entity: str, with_file: bool = False) -> tuple[DataFrame, list[T.StructField]]:
+    """The text of all files under the layout's names, and the layout's fields they have."""
+    text = _read_text_columns(spark, path, schemas.RENAME_MAPS[entity], with_file)
+    layout = schemas.SOURCE_SCHEMAS[entity]
+    present = {c.lower(): c for c in text.columns}
+    text = text.withColumnsRenamed({present[f.name]: f.name for f in layout.fields if f.name in present and present[f.name] != f.name})
+    return text, [f for f in layout.fields if f.name in present]
+
+
+def rejected_values(spark: SparkSession, path: str, entity: str) -> DataFrame:
+    """Every value of an entity CSV that does not fit its column's type (``read_csv``
+    makes it NULL): file, record (the row's text columns as JSON), column_name,
+    value and wanted (the declared type)."""
+    text, present = _source_text(spark, path, entity, with_file=True)
+    checked = [f for f in present if not isinstance(f.dataType, T.StringType)]
+    if not checked:
+        none = F.lit(None).cast("string")
+        return text.filter(F.lit(False)).select(*[none.alias(c) for c in ("file", "record", "column_name", "value", "wanted")])
+    values = [F.when(_typed(text, f).isNull() & F.col(f.name).isNotNull(), F.struct(
+        F.lit(f.name).alias("column_name"), F.col(f.name).alias("value"), F.lit(f.dataType.simpleString()).alias("wanted"))) for f in checked]
+    record = F.to_json(F.struct(*[c for c in text.columns if c != _FILE]))
+    lost = text.select(F.col(_FILE).alias("file"), record.alias("record"), F.array_compact(F.array(*values)).alias("lost"))
+    return lost.select("file", "record", F.explode("lost").alias("lost")).select("file", "record", "lost.*")
+
+
 def read_csv(spark: SparkSession, path: str, entity: str, observation: Observation | None = None) -> DataFrame:
     """Read an entity CSV (a file or a folder of files) in source layout.
 
@@ -76,17 +125,13 @@ def read_csv(spark: SparkSession, path: str, entity: str, observation: Observati
     that do not fit the declared type become NULL; ``observation`` counts them
     per column while the result is written (``nullified_<column>``).
     """
-    text = _read_text_columns(spark, path, schemas.RENAME_MAPS[entity])
-    layout = schemas.SOURCE_SCHEMAS[entity]
-    present = {c.lower(): c for c in text.columns}
-    text = text.withColumnsRenamed({present[f.name]: f.name for f in layout.fields if f.name in present and present[f.name] != f.name})
-    typed = [
-        (_typed(text, f) if f.name in present else F.lit(None).cast(f.dataType)).alias(f.name) for f in layout.fields
-    ]
+    text, present = _source_text(spark, path, entity)
+    layout, names = schemas.SOURCE_SCHEMAS[entity], {f.name for f in present}
+    typed = [(_typed(text, f) if f.name in names else F.lit(None).cast(f.dataType)).alias(f.name) for f in layout.fields]
     extra = [F.col(c) for c in text.columns if c.lower() not in layout.fieldNames()]
     if observation is None:
         return text.select(*typed, *extra)
-    checked = [f for f in layout.fields if f.name in present and not isinstance(f.dataType, T.StringType)]
+    checked = [f for f in present if not isinstance(f.dataType, T.StringType)]
     lost = [F.count_if(F.col(f.name).isNull() & F.col(f"__text_{f.name}").isNotNull()).alias(f"nullified_{f.name}") for f in checked]
     both = text.select(*typed, *extra, *[F.col(f.name).alias(f"__text_{f.name}") for f in checked])
     both = both.observe(observation, F.count(F.lit(1)).alias("rows"), *lost)

@@ -170,3 +170,42 @@ def test_scale_conf_keys_are_accepted_by_a_session(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_headers_come_from_one_job_and_any_file(spark):
+    import os
+
+    from clinlake.sources.files import _headers
+
+    path = scratch_path(spark, "odd headers")
+    os.makedirs(path)
+    files_ = {"a b.csv": '﻿Id,"START, at",x\n1,2,3\n', "b%20.csv": "\n\nid,,y\n", "c.csv": "", "d.csv": 'id,"q ""x"""\n' + "1,2\n" * 50_000, "e.csv": "only"}
+    for name, text in files_.items():
+        with open(f"{path}/{name}", "w", encoding="utf-8") as f:
+            f.write(text)
+    found = {p.rsplit("/", 1)[-1]: h for p, h in _headers(spark, path).items()}
+    assert found == {"a b.csv": ("Id", "START, at", "x"), "b%20.csv": ("id", "_c1", "y"), "d.csv": ("id", 'q "x"'), "e.csv": ("only",)}
+
+
+def test_rejected_values_are_kept_with_their_rows(spark):
+    import json
+    import os
+
+    from clinlake.plans import ingest
+
+    root = scratch_path(spark, "rejected")
+    for name, text in (("one", "START,STOP,PATIENT,ENCOUNTER,CODE,DESCRIPTION\n2024-01-02,never,p1,e1,1,a\n2024-13-01,,p2,e2,2,b\n"),
+                       ("two", "PATIENT,START\np3,2024-02-30\np4,2024-02-28\n")):
+        os.makedirs(f"{root}/landing/{name}", exist_ok=True)
+        with open(f"{root}/landing/{name}/part.csv", "w") as f:
+            f.write(text)
+    assert ingest.csv_to_raw(spark, f"{root}/landing/*", "conditions", f"{root}/raw/conditions") == 4
+    kept = spark.read.parquet(ingest.rejected_path(f"{root}/raw/conditions")).collect()
+    assert sorted((r["column_name"], r["value"], r["wanted"], json.loads(r["record"])["patient"]) for r in kept) == [
+        ("start_date", "2024-02-30", "date", "p3"), ("start_date", "2024-13-01", "date", "p2"), ("stop_date", "never", "date", "p1")]
+    assert {r["file"] for r in kept} == {"part.csv"}
+    assert ingest.csv_to_raw(spark, f"{root}/landing/two", "conditions", f"{root}/raw/conditions") == 2
+    with open(f"{root}/landing/two/part.csv", "w") as f:
+        f.write("PATIENT,START\np4,2024-02-28\n")
+    assert ingest.csv_to_raw(spark, f"{root}/landing/two", "conditions", f"{root}/raw/conditions") == 1
+    assert not os.path.exists(ingest.rejected_path(f"{root}/raw/conditions").removeprefix("file:"))
