@@ -56,5 +56,19 @@ def discard(spark: SparkSession, scratch: list[str]) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def release_memory() -> None:
+    """Give a Python worker's free memory back at the end of a task, for the worker
+    lives on and may run another operator next (glibc keeps it otherwise)."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -36,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from clinlake.llm.common import table
+from clinlake.llm.common import release_memory, table
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
@@ -77,6 +77,8 @@ class PieceModel:
                 self.ids[piece] = i
                 self.scores[piece] = model.get_score(i)
                 self.surface.append(piece.replace(MARK, " ").encode())
+        self.pieces = np.array(self.surface, object)
+        self.piece_bytes = np.array([len(p) for p in self.surface])
         #: Every end of a piece, with the piece's score if it is one itself.
         self.ends: dict[str, float | None] = {p[i:]: None for p in self.ids for i in range(len(p))}
         self.ends.update(self.scores)
@@ -142,6 +144,11 @@ class PieceModel:
         return packed.tobytes()
 
     def encode_batch(self, texts: Iterable[str | None]) -> list[np.ndarray]:
+        """The ids of each text."""
+        return [ids.values.to_numpy() for ids in self.encode_lists(texts)]
+
+    def encode_lists(self, texts: Iterable[str | None]) -> pa.ListArray:
+        """The ids of each text, as an Arrow column."""
         if len(self.new) > CACHE_WORDS:
             self.old, self.new = self.new, {}
         split = [self.marked_words(t or "") for t in texts]
@@ -149,24 +156,28 @@ class PieceModel:
         for words in split:
             met.update(words)
         new, old, fresh = self.new, self.old, []
-        for w in met:
-            if w not in new:
-                if w in old:
-                    new[w] = old[w]
-                else:
-                    fresh.append(w)
+        for w in met.difference(new):
+            if w in old:
+                new[w] = old[w]
+            else:
+                fresh.append(w)
         new.update(self.segment(fresh))
-        known = self.new
-        kind = f"<u{array(self.code).itemsize}"
-        return [np.frombuffer(b"".join([known[w] for w in words]), kind).astype("int32") for words in split]
-
-    def forget(self) -> None:
-        """Drop the remembered words."""
-        self.new, self.old = {}, {}
+        rows = [b"".join(map(new.__getitem__, words)) for words in split]
+        width = array(self.code).itemsize
+        ids = np.frombuffer(b"".join(rows), f"<u{width}").astype("int32")
+        ends = np.cumsum([0, *map(len, rows)]) // width
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))
 
     def decode(self, ids: Iterable[int]) -> str:
-        surface = self.surface
-        return b"".join([surface[i] for i in ids])[1:].decode("utf-8", "replace")
+        return self.decode_lists(pa.array([list(ids)], pa.list_(pa.int32())))[0]
+
+    def decode_lists(self, ids: pa.ListArray) -> list[str]:
+        """The text of each list of ids, by one gather over the pieces' bytes (null: empty)."""
+        numbers = ids.flatten().to_numpy(zero_copy_only=False)
+        counts = ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        whole = b"".join(self.pieces[numbers].tolist())
+        ends = np.concatenate([[0], np.cumsum(self.piece_bytes[numbers])])[np.concatenate([[0], np.cumsum(counts)])].tolist()
+        return [whole[a + 1:b].decode("utf-8", "replace") for a, b in zip(ends, ends[1:])]  # without the blank put before the text
 
 
 @lru_cache(maxsize=2)
@@ -179,41 +190,52 @@ def piece_model(path: str) -> PieceModel:
 ROWS_AT_ONCE = 256
 
 
-def _with_column(df: DataFrame, source: str, name: str, kind: T.DataType, arrow: pa.DataType,
-                 convert: Callable[[PieceModel, list], list], path: str) -> DataFrame:
-    """``df`` with ``name`` computed from ``source`` in small slices of its Arrow batches."""
-    kept = [c for c in df.columns if c.lower() != name.lower()]
-    schema = T.StructType([*df.select(*kept).schema.fields, T.StructField(name, kind)])
-    at = len(kept)
+def _with_columns(df: DataFrame, source: str, names: list[tuple[str, T.DataType]],
+                  convert: Callable[[PieceModel, pa.Array], list[pa.Array]], path: str) -> DataFrame:
+    """``df`` with the columns of ``names`` (and types) computed from ``source`` in small slices of its Arrow batches."""
+    new = {n.lower() for n, _ in names}
+    kept = [c for c in df.columns if c.lower() not in new]
+    schema = T.StructType([*df.select(*kept).schema.fields, *[T.StructField(n, kind) for n, kind in names]])
+    at, labels = len(kept), [*kept, *[n for n, _ in names]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = piece_model(path)
         for batch in batches:
             for first in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part = batch.slice(first, ROWS_AT_ONCE)
-                column = pa.array(convert(model, part.column(at).to_pylist()), arrow)
-                yield pa.RecordBatch.from_arrays([*part.columns[:at], column], [*kept, name])
-        model.forget()  # the worker may serve other stages next
+                yield pa.RecordBatch.from_arrays([*part.columns[:at], *convert(model, part.column(at))], labels)
+        release_memory()  # the worker may serve other stages next
 
     return df.select(*kept, F.col(source).alias("__source")).mapInArrow(run, schema)
 
 
+_IDS, _TEXT = T.ArrayType(T.IntegerType()), T.StringType()
+
+
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """``docs`` with the array column ``ids``."""
-    return _with_column(docs, text, ids, T.ArrayType(T.IntegerType()), pa.list_(pa.int32()),
-                        lambda model, texts: model.encode_batch(texts), path)
+    return _with_columns(docs, text, [(ids, _IDS)], lambda model, texts: [model.encode_lists(texts.to_pylist())], path)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``df`` with the text of the ids (null ids: the empty text)."""
-    return _with_column(df, ids, text, T.StringType(), pa.string(),
-                        lambda model, rows: [model.decode(r or ()) for r in rows], path)
+    return _with_columns(df, ids, [(text, _TEXT)], lambda model, rows: [pa.array(model.decode_lists(rows), pa.string())], path)
+
+
+def round_trip(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``docs`` with the ids of a text and the text decoded from these ids, in one pass."""
+
+    def both(model: PieceModel, texts: pa.Array) -> list[pa.Array]:
+        numbers = model.encode_lists(texts.to_pylist())
+        return [numbers, pa.array(model.decode_lists(numbers), pa.string())]
+
+    return _with_columns(docs, text, [(ids, _IDS), (decoded, _TEXT)], both, path)
 
 
 def op5_sentencepiece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents, and the texts decoded from them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    df = decode(encode(docs, model_path()), model_path())
+    df = round_trip(docs, model_path())
     return df.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_ids"),
