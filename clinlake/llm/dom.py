@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from typing import NamedTuple
 
 import numpy as np
@@ -20,6 +21,7 @@ NEVER = frozenset(
     "select option button map datalist".split())
 #: Elements that hold either controls or a whole article; their control density tells.
 FORMS = frozenset("form fieldset dialog".split())
+LISTS = frozenset("ul ol menu li".split())
 CONTROLS = frozenset("input label select button textarea".split())
 #: Forms of at most this many characters a control are boilerplate to ``teacher``.
 CONTROL_CHARS = 100
@@ -56,12 +58,18 @@ _KIND_OF_TAG = {t: i for i, names in enumerate(TAG_KINDS.values()) for t in name
 _KIND_OF_WORD = {w: i for i, names in enumerate(WORD_KINDS.values()) for w in names}
 _CONTENT_WORD = list(WORD_KINDS).index("content")
 _ARTICLE_TAG = list(TAG_KINDS).index("article")
+_OUTERMOST = frozenset(["#page", "html", "body"])
 _BOILERPLATE_TAGS = [list(TAG_KINDS).index(k) for k in ("navigation", "header", "footer", "aside")]
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
+_NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+#: What ends a tag, or starts a quoted value in which nothing does.
+_TAG_END = re.compile(r"""=\s*(["'])|>""")
 _NAMING = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _HIDDEN = re.compile(r"""\btype\s*=\s*["']?hidden\b""", re.I)
 _WORDS = re.compile(r"[a-z]+")
+# Words that make a class token tell a state or a layout of the page, not the part the element is.
+STATE_FIRST = frozenset("has have no not with without is are hide show js enable disable".split())
+STATE_ANY = frozenset("layout template open opened closed collapsed expanded fixed sticky static enabled disabled visible hidden shown toggled loaded ready".split())
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
@@ -73,6 +81,17 @@ class Page(NamedTuple):
     controls: list[int]  # visible form controls directly in the node
 
 
+def _kinds(named: str) -> frozenset:
+    """The kinds of the words in naming attributes; tokens that tell a state or a
+    layout (``has-sidebar``, ``menu-open``) name no part."""
+    out = set()
+    for token in named.split():
+        words = _WORDS.findall(_CAMEL.sub(" ", token).lower())
+        if words and words[0] not in STATE_FIRST and not STATE_ANY.intersection(words):
+            out.update(_KIND_OF_WORD[w] for w in words if w in _KIND_OF_WORD)
+    return frozenset(out)
+
+
 def parse(source: str | None) -> Page:
     """The page's block elements in order (node 0 is the page) and its text runs.
 
@@ -83,8 +102,10 @@ def parse(source: str | None) -> Page:
     tags, words, parents, controls = ["#page"], [frozenset()], [-1], [0]
     runs: list[tuple[int, str, int]] = []
     open_nodes = [0]
+    open_names: Counter = Counter()
+    lists: list[int] = []  # depths of the open list elements and items
     pieces: list[str] = []
-    linked, in_link, at = 0, False, 0
+    linked, in_link, at, quotes_close = 0, False, 0, True
 
     def text(piece: str) -> None:
         nonlocal linked
@@ -103,24 +124,62 @@ def parse(source: str | None) -> Page:
             pieces.clear()
         linked, in_link = 0, False
 
-    def close(names) -> None:
-        for i in range(len(open_nodes) - 1, 0, -1):
-            if tags[open_nodes[i]] in names:
-                del open_nodes[i:]
-                return
+    def leave(depth: int) -> None:
+        for node in open_nodes[depth:]:
+            open_names[tags[node]] -= 1
+        del open_nodes[depth:]
+        while lists and lists[-1] >= depth:
+            lists.pop()
+
+    def close(name: str) -> None:
+        if open_names[name]:
+            depth = len(open_nodes) - 1
+            while tags[open_nodes[depth]] != name:
+                depth -= 1
+            leave(depth)
+
+    def tag_end(start: int) -> int:
+        """Where the tag's > is. A quoted value that nothing closes is bounded by the next >,
+        and from there on every tag is, so that a page is read once; -1 if there is none."""
+        nonlocal quotes_close
+        at = start
+        while quotes_close:
+            m = _TAG_END.search(source, at)
+            if m is None:
+                break
+            if m.group(1) is None:
+                return m.start()
+            at = source.find(m.group(1), m.end()) + 1
+            quotes_close = at > 0
+        quotes_close = False
+        return source.find(">", start)
 
     while True:
-        m = _TAG.search(source, at)
-        if m is None:
+        less = source.find("<", at)
+        if less < 0:
+            text(source[at:])
+            break
+        if source.startswith("<!--", less):
+            text(source[at:less])
+            end = source.find("-->", less + 4)
+            at = end + 3 if end >= 0 else len(source)
+            continue
+        m = _NAME.match(source, less + 1)
+        if m is None and source[less + 1:less + 2] not in ("!", "?"):
+            text(source[at:less + 1])
+            at = less + 1
+            continue
+        end = tag_end(m.end()) if m else source.find(">", less)
+        if end < 0:  # no tag ends from here on
             text(source[at:])
             break
-        text(source[at:m.start()])
-        at = m.end()
-        name = m.group(2)
-        if name is None:
+        text(source[at:less])
+        at = end + 1
+        if m is None:
             continue
+        name, attributes = m.group(2), source[m.end():end]
         name = name.lower()
-        if name in CONTROLS and not m.group(1) and not (name == "input" and _HIDDEN.search(m.group(3))):
+        if name in CONTROLS and not m.group(1) and not (name == "input" and _HIDDEN.search(attributes)):
             controls[open_nodes[-1]] += 1
         if name in INLINE:
             if name == "a":
@@ -130,20 +189,17 @@ def parse(source: str | None) -> Page:
             continue
         boundary()
         if m.group(1):
-            close((name,))
+            close(name)
             continue
         if name in ENDS_PARAGRAPH and tags[open_nodes[-1]] == "p":
-            open_nodes.pop()
-        if name == "li" and "li" in (tags[i] for i in open_nodes):
-            depth = max(i for i, n in enumerate(open_nodes) if tags[n] == "li")
-            if not any(tags[n] in ("ul", "ol", "menu") for n in open_nodes[depth:]):
-                del open_nodes[depth:]
+            leave(len(open_nodes) - 1)
+        if name == "li" and lists and tags[open_nodes[lists[-1]]] == "li":
+            leave(lists[-1])
         if name in VOID:
             continue
         kinds = frozenset()
-        if m.group(3):
-            named = " ".join(a or b or c for a, b, c in _NAMING.findall(m.group(3)))
-            kinds = frozenset(_KIND_OF_WORD[w] for w in _WORDS.findall(_CAMEL.sub(" ", named).lower()) if w in _KIND_OF_WORD)
+        if attributes and name not in ("html", "body"):  # words there tell of the whole page
+            kinds = _kinds(" ".join(a or b or c for a, b, c in _NAMING.findall(attributes)))
         tags.append(name)
         words.append(kinds)
         controls.append(0)
@@ -151,12 +207,42 @@ def parse(source: str | None) -> Page:
         if name in RAW:
             end = re.compile(f"</{name}", re.I).search(source, at)
             at = end.start() if end else len(source)
-        if not m.group(3).endswith("/") or name in RAW:
+        if not attributes.endswith("/") or name in RAW:
+            if name in LISTS:
+                lists.append(len(open_nodes))
             open_nodes.append(len(tags) - 1)
+            open_names[name] += 1
     boundary()
     return Page(tags, words, parents, runs, controls)
 
 
+def text_lengths(page: Page) -> np.ndarray:
+    """Characters of every node's own and lower text."""
+    total = np.zeros(len(page.tags))
+    for node, run, _ in page.runs:
+        total[node] += len(run)
+    for i in range(len(total) - 1, 0, -1):
+        total[page.parents[i]] += total[i]
+    return total
+
+
+def naming(page: Page, total: np.ndarray) -> list[frozenset]:
+    """The kinds of every node's naming words, without boilerplate words on wrappers:
+    nodes that hold most of the page's text, most of which is a named article's
+    (or that are one)."""
+    article = np.zeros(len(total))  # the longest text of a purely named article in the node
+    for i in range(len(total) - 1, -1, -1):
+        if _KIND_OF_TAG.get(page.tags[i]) == _ARTICLE_TAG or page.words[i] == {_CONTENT_WORD}:
+            article[i] = total[i]
+        if i:
+            article[page.parents[i]] = max(article[page.parents[i]], article[i])
+    out = list(page.words)
+    for i, kinds in enumerate(page.words):
+        if kinds and 2 * total[i] > total[0] and 2 * article[i] > total[i]:
+            out[i] = kinds & {_CONTENT_WORD}
+    return out
+
+
 FEATURES = (
     "depth children own_length length link_share nodes_per_char page_share place sibling_place siblings sibling_length sentence_share "
     + "controls_per_char form_controls_per_char "
@@ -193,6 +279,7 @@ def features(page: Page) -> np.ndarray:
         children[p] += 1
         if begin[i] >= 0 and (begin[p] < 0 or begin[i] < begin[p]):
             begin[p] = begin[i]
+    words, whole = naming(page, total), max(seen, 1)
     out = np.zeros((n, len(FEATURES)))
     n_tags, n_words = len(TAG_KINDS), len(WORD_KINDS)
     tag_at, word_at = 14, 14 + n_tags
@@ -207,9 +294,10 @@ def features(page: Page) -> np.ndarray:
             child_number[i] = counted[p]
             counted[p] += 1
             out[i, under_at:] = out[p, under_at:]
-            tag, kinds = _KIND_OF_TAG.get(page.tags[p]), page.words[p]
+            tag, kinds = _KIND_OF_TAG.get(page.tags[p]), words[p]
             out[i, under_at] = max(out[i, under_at], tag in _BOILERPLATE_TAGS)
-            out[i, under_at + 1] = max(out[i, under_at + 1], any(k != _CONTENT_WORD for k in kinds))
+            if any(k != _CONTENT_WORD for k in kinds):  # the more of the page it holds, the less that says
+                out[i, under_at + 1] = max(out[i, under_at + 1], 1 - total[p] / whole)
             out[i, under_at + 2] = max(out[i, under_at + 2], tag == _ARTICLE_TAG)
             out[i, under_at + 3] = max(out[i, under_at + 3], _CONTENT_WORD in kinds)
             out[i, 13] = out[p, 13]
@@ -218,11 +306,10 @@ def features(page: Page) -> np.ndarray:
         kind = _KIND_OF_TAG.get(page.tags[i])
         if kind is not None:
             out[i, tag_at + kind] = 1
-        for k in page.words[i]:
+        for k in words[i]:
             out[i, word_at + k] = 1
     p = np.maximum(parents, 0)
     siblings = np.where(parents >= 0, children[p], 1)
-    whole = max(seen, 1)
     out[:, 0] = depth
     out[:, 1] = children
     out[:, 2] = np.log1p(own)
@@ -266,13 +353,16 @@ def _control_forms(page: Page) -> np.ndarray:
 def teacher(page: Page) -> np.ndarray:
     """Labels by the page's own words: 1 article, 0 boilerplate, -1 not said."""
     out = np.full(len(page.tags), -1)
-    forms = _control_forms(page)
+    forms, words = _control_forms(page), naming(page, text_lengths(page))
+    bare = all(page.tags[node] in _OUTERMOST for node, _, _ in page.runs)  # text without elements is the page's text
     for i, tag in enumerate(page.tags):
         above = out[page.parents[i]] if i else -1
         kind = _KIND_OF_TAG.get(tag)
-        if above == 0 or tag in NEVER or forms[i] or kind in _BOILERPLATE_TAGS or any(k != _CONTENT_WORD for k in page.words[i]):
+        if bare and tag in _OUTERMOST:
+            out[i] = 1
+        elif above == 0 or tag in NEVER or forms[i] or kind in _BOILERPLATE_TAGS or any(k != _CONTENT_WORD for k in words[i]):
             out[i] = 0
-        elif above == 1 or kind == _ARTICLE_TAG or _CONTENT_WORD in page.words[i]:
+        elif above == 1 or kind == _ARTICLE_TAG or _CONTENT_WORD in words[i]:
             out[i] = 1
     return out
 

@@ -13,8 +13,9 @@ are labelled by what pages say about themselves (article and main against nav,
 header, footer, aside and naming words such as ad or comments), and each
 sampled page is joined by variants of known labels: its parts renamed to plain
 ``div`` elements with naming words, with sidebars, notices, forms and reader
-comments of its own paragraphs put in, and with the body or the article inside
-a form, fieldset or dialog. Every page is extracted from its whole html.
+comments of its own paragraphs put in, wrapped in elements whose class words
+tell a state or layout, with the body or the article inside a form, fieldset or
+dialog, and as bare text. Every page is extracted from its whole html.
 
 Defined results: null or empty html gives an empty text; scripts, styles,
 templates, controls and the like (``dom.NEVER``) give no text, whereas what a
@@ -41,7 +42,7 @@ from clinlake.llm import dom
 from clinlake.llm.common import materialize, table
 
 TRAIN_PAGES = 400
-#: Nodes taken of one training page; longer pages give their first ones.
+#: Nodes taken of one training page; longer pages give some from all over the page, drawn by its id.
 TRAIN_NODES = 400
 VARIANTS = 4
 #: Further variants, with forms around the page or the article.
@@ -64,25 +65,44 @@ def _in_form(source: str, rnd: random.Random) -> str:
         return re.sub(r"(</body>|\Z)", lambda m: "</form>" + m.group(1), source, count=1)
     name = rnd.choice(["form", "fieldset", "dialog"])
     first, last = (f"<{name}><article>", f"</article></{name}>") if where == "around" else (f"<article><{name}>", f"</{name}></article>")
-    return source.replace("<article>", first).replace("</article>", last)
+    return _renamed(source, "article", first, last)
+
+
+def _renamed(source: str, name: str, first: str, last: str) -> str:
+    """The page with other tags in place of an element's (whatever its attributes)."""
+    source = re.sub(rf"<{name}\b[^>]*>", lambda m: first, source, flags=re.I)
+    return re.sub(rf"</{name}\s*>", lambda m: last, source, flags=re.I)
+
+
+#: Words of page states and layouts, as themes put them on the body or a wrapper.
+_STATES = ("has-sidebar", "no-sidebar", "header-fixed", "menu-open", "with-comments", "sidebar-layout", "page", "home blog", "no-js", "nav-collapsed", "single-post")
+
+
+def _bare(source: str, rnd: random.Random) -> str:
+    """The article's paragraphs as text without elements, or right in the body."""
+    texts = re.findall(r"<p\b[^>]*>([^<]+)", source) or ["Some words, as they stand on pages."]
+    text = rnd.choice(["\n", "<br>", "<br><br>", " "]).join(texts)
+    return rnd.choice([text, f"<html><body>{text}</body></html>", f'<body class="{rnd.choice(_STATES)}">{text}'])
 
 
 def variant(source: str, seed: int, in_form: bool = False) -> str:
     """The page with its parts renamed and boilerplate of its own paragraphs put in."""
     rnd = random.Random(seed)
-    texts = [t for t in re.findall(r"<p>([^<]+)", source)] or ["Some words, as they stand on pages."]
+    texts = [t for t in re.findall(r"<p\b[^>]*>([^<]+)", source)] or ["Some words, as they stand on pages."]
     said = lambda n=1: " ".join(rnd.choice(texts) for _ in range(n))
     if in_form:
         source = _in_form(source, random.Random(f"form {seed}"))
     name = rnd.choice(['div class="post-content"', 'div id="content"', "main", 'section class="entry"', 'div class="article-body"', "article"])
     if name != "article":
-        source = source.replace("<article>", f"<{name}>").replace("</article>", f"</{name.split()[0]}>")
+        source = _renamed(source, "article", f"<{name}>", f"</{name.split()[0]}>")
+    elif rnd.random() < 0.5:
+        source = _renamed(source, "article", f'<article class="{rnd.choice(_STATES)}">', "</article>")
     if rnd.random() < 0.5:
         name = rnd.choice(['div class="menu"', 'div id="navbar"', 'div class="breadcrumbs"'])
-        source = source.replace("<nav>", f"<{name}>").replace("</nav>", "</div>")
+        source = _renamed(source, "nav", f"<{name}>", "</div>")
     if rnd.random() < 0.5:
         name = rnd.choice(['div class="footer"', 'div id="copyright"'])
-        source = source.replace("<footer>", f"<{name}>").replace("</footer>", "</div>")
+        source = _renamed(source, "footer", f"<{name}>", "</div>")
     paragraphs = lambda: "".join(f"<p>{said()}</p>" for _ in range(rnd.randint(1, 4)))
     before = [f'<header><h2>{said()[:40]}</h2></header>', f'<div class="masthead">{said()[:60]}</div>',
               f'<div class="cookie-notice"><p>{said()}</p></div>', f'<div class="alert">{said()[:90]}</div>', f'<div id="banner">{said()}</div>']
@@ -92,6 +112,10 @@ def variant(source: str, seed: int, in_form: bool = False) -> str:
              f'<div class="related"><a href="/x">{said()[:60]}</a><a href="/y">{said()[:60]}</a></div>',
              f'<div class="newsletter"><p>{said()}</p></div>', f'<div class="share">{said()[:40]}</div>']
     source = re.sub(r"(<body[^>]*>)", lambda m: m.group(1) + "".join(rnd.sample(before, rnd.randint(0, 2))), source, count=1)
+    if rnd.random() < 0.5:  # a wrapper of everything whose words name no part
+        wrapper = f'<div class="{" ".join(rnd.sample(_STATES, rnd.randint(1, 3)))}">'
+        source = re.sub(r"(<body[^>]*>)", lambda m: m.group(1) + wrapper, source, count=1)
+        source = re.sub(r"(</body>|\Z)", lambda m: "</div>" + m.group(1), source, count=1)
     put_in = "".join(rnd.sample(after, rnd.randint(0, 3)))
     if rnd.random() < 0.5:  # inside the article, between its paragraphs or at its end
         at = [m.end() for m in re.finditer("</p>", source)]
@@ -109,10 +133,16 @@ def training_nodes(pages: DataFrame, n_pages: int = TRAIN_PAGES) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for page_id, source in zip(pdf["page_id"], pdf["html"]):
-                for v in range(1 + VARIANTS + FORM_VARIANTS):
-                    page = dom.parse(variant(source, int(page_id) * 31 + v, v > VARIANTS) if v else source)
+                for v in range(2 + VARIANTS + FORM_VARIANTS):
+                    seed = int(page_id) * 31 + v
+                    if v > VARIANTS + FORM_VARIANTS:
+                        page = dom.parse(_bare(source, random.Random(f"bare {seed}")))
+                    else:
+                        page = dom.parse(variant(source, seed, v > VARIANTS) if v else source)
                     labels, x = dom.teacher(page), dom.features(page)
-                    own = np.flatnonzero((labels >= 0) & ~dom.never_content(page))[:TRAIN_NODES]
+                    own = np.flatnonzero((labels >= 0) & ~dom.never_content(page))
+                    if len(own) > TRAIN_NODES:
+                        own = np.sort(np.random.Generator(np.random.PCG64(abs(seed))).choice(own, TRAIN_NODES, replace=False))
                     if len(own):
                         yield pd.DataFrame({"page_id": int(page_id), "v": v, "node": own, "label": labels[own].astype(float), "x": list(x[own])})
 

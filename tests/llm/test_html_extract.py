@@ -100,3 +100,68 @@ def test_edge_tables(spark, trees):
     assert hx.extract(pages.limit(0), trees).collect() == []
     assert hx.fit(pages.limit(0)) is None
     assert hx.extract_text("<nav><p>a</p></nav><article><p>b</p></article>", None) == "b"
+
+
+@pytest.mark.parametrize("template", [
+    '<html><body class="page has-sidebar header-fixed single-post"><article>{a}</article></body></html>',
+    '<html><body class="menu-open"><nav><a href="/">Home</a></nav><article>{a}</article><footer>&copy; x</footer></body></html>',
+    '<html><body><article class="no-sidebar">{a}</article></body></html>',
+    '<html class="no-js sidebar"><body id="menu"><div class="with-sidebar layout-nav"><div class="post-content">{a}</div></div></body></html>',
+    '<html><body><div class="sidebar-page"><main>{a}</main><aside><p>{s}</p></aside></div></body></html>',
+    '<html><body><div id="header-wrap" class="hasMenu"><article>{a}</article></div></body></html>',
+])
+def test_state_words_on_wrappers_keep_the_article(trees, template):
+    own = [SENTENCE * 3 + str(i) for i in range(4)]
+    got = hx.extract_text(template.format(a="".join(f"<p>{t}</p>" for t in own), s="Something else, said aside."), trees)
+    assert got == "\n\n".join(" ".join(t.split()) for t in own)
+
+
+@pytest.mark.parametrize("source", ["{t}", "<body>{t}", "<html><body>{t}</body></html>", "{t}<br>{t}"])
+def test_text_without_elements_is_judged(trees, source):
+    text = (SENTENCE * 10).strip()
+    assert hx.extract_text(source.format(t=text), trees) == " ".join(source.format(t=text).replace("<br>", " ").replace("<body>", "")
+                                                                      .replace("<html>", "").replace("</body></html>", "").split())
+
+
+def test_naming_words_still_name_parts():
+    assert dom._kinds("sidebar-left main-nav") and dom._kinds("comment-list") and dom._kinds("adBox")
+    for state in ("has-sidebar", "no-sidebar", "menu-open", "is-sticky-header", "hasMenu", "layout-sidebar", "header--fixed", "js-nav"):
+        assert not dom._kinds(state), state
+
+
+@pytest.mark.parametrize("unit", ['<a "', "<a '>", '<a b="', '<a b=">" ', "<!", "<", "</div>", "<div>", "<li>", "<ul><li>", "<p>", "<a b = ", "&", "&amp", "<x/", "<!-- ", "<a class=", "<div id='x'", "</", "<b c='>"])
+def test_hostile_pages_are_read_once(unit):
+    import time
+
+    def seconds(n):
+        source = "start " + unit * (n // len(unit)) + " end"
+        began = time.process_time()
+        page = dom.parse(source)
+        took = time.process_time() - began
+        assert page.runs and page.runs[0][1].startswith("start")
+        return took
+
+    assert seconds(1_000_000) < 6 * max(seconds(250_000), 0.05) and seconds(1_000_000) < 4
+
+
+def test_quotes_end_where_browsers_end_them():
+    texts = lambda source: [run for _, run, _ in dom.parse(source).runs]
+    assert texts('<p title="a > b">one</p><p title=don\'t>two</p>') == ["one", "two"]
+    assert texts("<p title='x>three</p><p>four</p>") == ["three", "four"]  # nothing closes the quote
+
+
+def test_log_odds_equal_the_fitted_model(spark):
+    """The arrays the tasks use against Spark's own model on the same rows."""
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.functions import array_to_vector
+
+    nodes = hx.training_nodes(table(spark, SF_SMALL, "pages"), 20).sort("page_id", "v", "node").select("label", array_to_vector("x").alias("features"))
+    nodes = nodes.cache()
+    model = GBTClassifier(maxIter=4, maxDepth=hx.DEPTH, stepSize=hx.STEP, seed=5, maxBins=64).fit(nodes)
+    trees = [(w, hx._arrays(t._call_java("rootNode"))) for w, t in zip(model.treeWeights, model.trees)]
+    scored = model.transform(nodes).select("features", "rawPrediction").collect()
+    want = np.array([2 * r["rawPrediction"][1] for r in scored])
+    got = hx.log_odds(trees, np.array([r["features"].toArray() for r in scored]))
+    # Spark's raw prediction is the trees' sum, its log-odds twice that
+    assert np.allclose(got, want) and len(got) > 200
+    nodes.unpersist()
