@@ -12,6 +12,7 @@ class; the join runs on classes, so copies cost nothing beyond their hashing.
    order (prefix filter). Shingles in the prefixes of two or more classes make
    blocks; a block is named by the smallest class (its hub), so shingles that
    bring together the same classes make one block.
+   Members that no other member of their block is near enough to in size leave.
 3. Within a block, bitmaps of the sets (a bit for each hash, about n bits)
    give a lower bound of the symmetric difference; classes without a possible
    partner leave before any text is moved.
@@ -24,8 +25,8 @@ class; the join runs on classes, so copies cost nothing beyond their hashing.
    copies; components come from alternating star joins.
 
 Blocks above ``BLOCK`` classes are never taken into one task: first every
-class is compared with the hub in parts; classes the hub does not link to then
-meet all classes of the block in pairs of parts (exact, and small where the
+class is compared with the smallest class left in parts; classes that one does
+not link to then meet all classes of the block in pairs of parts (exact, and small where the
 block is a group of near copies).
 
 Defined results: null texts and texts without words have an empty set and are
@@ -41,9 +42,9 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from clinlake.llm.common import discard, materialize, table
+from clinlake.llm.common import discard, materialize, release_memory, table
 from clinlake.llm.components import components
 from clinlake.llm.shingles import shingle_set
 
@@ -74,9 +75,11 @@ def prefix_length(n: int) -> int:
     return n + (-4 * n // 5) + 1 if n else 0
 
 
-def class_key(hashes: np.ndarray) -> int:
-    """The class of a set: a 64-bit hash of its shingle hashes."""
-    return xxhash.xxh3_64_intdigest(hashes.tobytes()) - (1 << 63)
+def class_key(hashes: np.ndarray) -> tuple[int, int]:
+    """The two halves of a 128-bit hash of a set's shingle hashes; the first names
+    its class, the second tells sets apart whose first halves are equal."""
+    whole = xxhash.xxh3_128_intdigest(hashes.tobytes())
+    return (whole >> 64) - (1 << 63), (whole & ((1 << 64) - 1)) - (1 << 63)
 
 
 def bitmap(hashes: np.ndarray) -> bytes:
@@ -179,6 +182,8 @@ def _portions(batches: Iterator[pd.DataFrame]) -> Iterator[list[tuple]]:
                 held, size = [], 0
     if held:
         yield held
+    held = []
+    release_memory()
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -191,11 +196,12 @@ def profile(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in _portions(batches):
-            keys = [class_key(s) if len(s) else None for _, _, s in part]
+            keys = [class_key(s) if len(s) else (None, None) for _, _, s in part]
+            none = pd.array([None] * len(part), "Int64")
             yield pd.DataFrame({"doc_id": pd.array([d for d, _, _ in part], "Int64"), "n": pd.array([len(s) for _, _, s in part], "Int64"),
-                                "class": pd.array(keys, "Int64"), "token": pd.array([None] * len(part), "Int64"),
-                                "count": pd.array([None] * len(part), "Int64")})
-            distinct = {k: s for k, (_, _, s) in zip(keys, part) if k is not None}
+                                "class": pd.array([k for k, _ in keys], "Int64"), "twin": pd.array([t for _, t in keys], "Int64"),
+                                "token": none, "count": none})
+            distinct = {k: s for k, (_, _, s) in zip(keys, part) if k[0] is not None}
             if not distinct:
                 continue
             pooled = np.sort(np.concatenate(list(distinct.values())))
@@ -205,10 +211,10 @@ def profile(docs: DataFrame) -> DataFrame:
             if named.any():
                 n = int(named.sum())
                 none = pd.array([None] * n, "Int64")
-                yield pd.DataFrame({"doc_id": none, "n": none, "class": none, "token": pd.array(pooled[first[named]].view("int64"), "Int64"),
+                yield pd.DataFrame({"doc_id": none, "n": none, "class": none, "twin": none, "token": pd.array(pooled[first[named]].view("int64"), "Int64"),
                                     "count": pd.array(counts[named], "Int64")})
 
-    return _texts(docs).mapInPandas(run, "doc_id long, n long, class long, token long, count long")
+    return _texts(docs).mapInPandas(run, "doc_id long, n long, class long, twin long, token long, count long")
 
 
 def _prefixes(docs: DataFrame, heavy: np.ndarray) -> DataFrame:
@@ -227,11 +233,19 @@ def _prefixes(docs: DataFrame, heavy: np.ndarray) -> DataFrame:
                 front = s[~last][:p]
                 if len(front) < p:
                     front = np.concatenate([front, s[last][:p - len(front)]])
-                out.append((key, len(s), front.view("int64"), bitmap(s), squeeze.compress(text.encode("utf-8", "surrogatepass"))))
+                out.append((*key, len(s), front.view("int64"), bitmap(s), squeeze.compress(text.encode("utf-8", "surrogatepass"))))
             if out:
-                yield pd.DataFrame(out, columns=["class", "n", "prefix", "bits", "packed"])
+                yield pd.DataFrame(out, columns=["class", "twin", "n", "prefix", "bits", "packed"])
 
-    return _texts(docs).mapInPandas(run, "class long, n long, prefix array<long>, bits binary, packed binary")
+    return _texts(docs).mapInPandas(run, "class long, twin long, n long, prefix array<long>, bits binary, packed binary")
+
+
+def _told_apart(rows: DataFrame, shared_names: DataFrame) -> DataFrame:
+    """``rows`` whose class name stands for one set only: where sets of different
+    second halves share a name (``shared_names``: class, keeper), all but one are renamed."""
+    met = rows.join(shared_names, "class", "left")
+    own = F.when(F.col("twin") != F.col("keeper"), F.xxhash64("class", "twin")).otherwise(F.col("class"))
+    return met.withColumn("class", own).drop("twin", "keeper").select(*[c for c in rows.columns if c != "twin"])
 
 
 def _grouped(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[tuple[tuple, pd.DataFrame]]:
@@ -248,6 +262,8 @@ def _grouped(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[tuple
         rest = pdf.iloc[starts[-1]:]
     if rest is not None and len(rest):
         yield tuple(rest[keys].iloc[0]), rest
+    rest = None
+    release_memory()
 
 
 BLOCK_KEYS = ["hub", "part", "other"]
@@ -313,66 +329,80 @@ def class_links(sets: DataFrame, scratch: list[str]) -> DataFrame:
     postings = sets.select("class", F.explode("prefix").alias("token"))
     shared = postings.groupBy("token").agg(F.min("class").alias("hub"), F.max("class").alias("last")).filter("hub < last")
     shared = materialize(shared.select("token", "hub"), "join-shared", scratch)
-    member = materialize(postings.join(shared, "token").select("hub", "class").distinct(), "join-members", scratch)
-    one = materialize(sets.groupBy("class").agg(F.first("n").alias("n"), F.first("bits").alias("bits")), "join-bits", scratch)
-    member = materialize(member.join(one, "class"), "join-members-bits", scratch)
-    blocks = materialize(member.groupBy("hub").agg(F.count(F.lit(1)).alias("classes"), F.sum("n").alias("shingles"))
-                         .withColumn("parts", _parts("classes", "shingles")), "join-blocks", scratch)
+    member = postings.join(shared, "token").select("hub", "class").distinct()
+    sizes = sets.groupBy("class").agg(F.first("n").alias("n"))
+    member = materialize(_near_in_size(materialize(member.join(sizes, "class"), "join-members", scratch)), "join-near", scratch)
+    blocks = member.groupBy("hub").agg(F.count(F.lit(1)).alias("classes"), F.sum("n").alias("shingles"), F.min("class").alias("lead"))
+    sized = member.join(blocks.withColumn("parts", _parts("classes", "shingles")).select("hub", "lead", "parts"), "hub")
+    sized = materialize(sized, "join-blocks", scratch)
+    bits = sets.groupBy("class").agg(F.first("bits").alias("bits"))
+    bits = materialize(bits.join(member.select("class").distinct(), "class", "left_semi"), "join-bits", scratch)
     zero = F.lit(0).cast("long")
-    sized = member.join(blocks.select("hub", "parts"), "hub")
-    small = sized.filter("parts = 1").select("hub", zero.alias("part"), zero.alias("other"), "class", "n", "bits", F.lit(True).alias("probe"))
-    # a large block: its classes in parts, the hub as the probe in each of them
-    large = sized.filter("parts > 1").filter("class != hub").select(
+    small = sized.filter("parts = 1").select("hub", zero.alias("part"), zero.alias("other"), "class", "n", F.lit(True).alias("probe"))
+    # a large block: its classes in parts, the smallest (its lead) as the probe in each of them
+    large = sized.filter("parts > 1").filter("class != lead").select(
         "hub", F.pmod(F.xxhash64("class"), F.col("parts")).alias("part"), F.lit(-1).cast("long").alias("other"),
-        "class", "n", "bits", F.lit(False).alias("probe"))
-    hubs = sized.filter("parts > 1").filter("class = hub").select(
+        "class", "n", F.lit(False).alias("probe"))
+    leads = sized.filter("parts > 1").filter("class = lead").select(
         "hub", F.explode(F.sequence(zero, F.col("parts") - 1)).alias("part"), F.lit(-1).cast("long").alias("other"),
-        "class", "n", "bits", F.lit(True).alias("probe"))
+        "class", "n", F.lit(True).alias("probe"))
     texts = sets.select("class", "packed")
-    first = materialize(_with_partner(small.unionByName(large).unionByName(hubs)), "join-first", scratch)
+    first = materialize(_with_partner(small.unionByName(large).unionByName(leads).join(bits, "class")), "join-first", scratch)
     links = materialize(_join_texts(first, texts, scratch), "join-links")
-    # classes of large blocks that their hub does not link to meet all others
-    apart = sized.filter("parts > 1").filter("class != hub")
-    on_hub = links.select(F.col("a").alias("hub"), F.col("b").alias("class")).unionByName(
-        links.select(F.col("b").alias("hub"), F.col("a").alias("class"))).distinct()
-    apart = materialize(apart.join(on_hub, ["hub", "class"], "left_anti"), "join-apart", scratch)
+    # classes of large blocks that their lead does not link to meet all others
+    apart = sized.filter("parts > 1").filter("class != lead")
+    on_lead = links.select(F.col("a").alias("lead"), F.col("b").alias("class")).unionByName(
+        links.select(F.col("b").alias("lead"), F.col("a").alias("class"))).distinct()
+    apart = materialize(apart.join(on_lead, ["lead", "class"], "left_anti"), "join-apart", scratch)
     if apart.isEmpty():
         return links
     counts = apart.groupBy("hub").agg(F.count(F.lit(1)).alias("classes"), F.sum("n").alias("shingles")).withColumn("apart_parts", _parts("classes", "shingles"))
     counts = materialize(counts.select("hub", "apart_parts"), "join-apart-parts", scratch)
     probes = apart.join(counts, "hub").select(
         "hub", F.pmod(F.xxhash64("class"), F.col("apart_parts")).alias("part"),
-        F.explode(F.sequence(zero, F.col("parts") - 1)).alias("other"), "class", "n", "bits", F.lit(True).alias("probe"))
-    others = sized.filter("class != hub").join(counts, "hub").select(
+        F.explode(F.sequence(zero, F.col("parts") - 1)).alias("other"), "class", "n", F.lit(True).alias("probe"))
+    others = sized.filter("class != lead").join(counts, "hub").select(
         "hub", F.explode(F.sequence(zero, F.col("apart_parts") - 1)).alias("part"),
-        F.pmod(F.xxhash64("class"), F.col("parts")).alias("other"), "class", "n", "bits", F.lit(False).alias("probe"))
-    both = probes.unionByName(others).groupBy(*BLOCK_KEYS, "class").agg(
-        F.max("probe").alias("probe"), F.first("n").alias("n"), F.first("bits").alias("bits"))
-    second = materialize(_with_partner(both), "join-second", scratch)
+        F.pmod(F.xxhash64("class"), F.col("parts")).alias("other"), "class", "n", F.lit(False).alias("probe"))
+    both = probes.unionByName(others).groupBy(*BLOCK_KEYS, "class").agg(F.max("probe").alias("probe"), F.first("n").alias("n"))
+    second = materialize(_with_partner(both.join(bits, "class")), "join-second", scratch)
     return links.unionByName(materialize(_join_texts(second, texts, scratch), "join-more-links"))
 
 
+def _near_in_size(member: DataFrame) -> DataFrame:
+    """The members (hub, class, n) of blocks in which another member is near enough
+    in size to link: seen from the block's sizes, one row for each size."""
+    of_block = Window.partitionBy("hub").orderBy("n")
+    sizes = member.groupBy("hub", "n").agg(F.count(F.lit(1)).alias("same"))
+    below, above = F.lag("n").over(of_block), F.lead("n").over(of_block)
+    near = (F.col("same") > 1) | F.coalesce(5 * below >= 4 * F.col("n"), F.lit(False)) | F.coalesce(5 * F.col("n") >= 4 * above, F.lit(False))
+    kept = sizes.withColumn("near", near).filter("near").select("hub", "n")
+    return member.join(kept, ["hub", "n"], "left_semi")
+
+
 def _join_texts(members: DataFrame, texts: DataFrame, scratch: list[str]) -> DataFrame:
     # a class may have texts from several tasks: any of them gives its set
     wanted = materialize(members.select("class").distinct(), "join-wanted", scratch)
     if wanted.count() <= MAX_BROADCAST_CLASSES:
         wanted = F.broadcast(wanted)
-    packed = materialize(texts.join(wanted, "class", "left_semi").groupBy("class").agg(F.min("packed").alias("packed")), "join-texts", scratch)
-    return _tree_join(members.join(packed, "class"))
+    packed = texts.join(wanted, "class", "left_semi").groupBy("class").agg(F.min("packed").alias("packed"))
+    return _tree_join(members.join(packed, "class"))  # by class already: the texts are not dealt again
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, class, component) of every row; ``component`` names
     the group by its smallest class, null for empty sets."""
     rows = materialize(profile(docs), "join-profile")
+    names = rows.filter("class is not null").groupBy("class").agg(F.min("twin").alias("keeper"), F.max("twin").alias("last"))
+    shared_names = materialize(names.filter("keeper < last").select("class", "keeper"), "join-shared-names")
     heavy_rows = rows.filter("token is not null").groupBy("token").agg(F.sum("count").alias("count"))
     heavy = heavy_rows.orderBy(F.desc("count"), "token").limit(MAX_HEAVY).select("token").collect()  # MAX_HEAVY longs at most
     scratch: list[str] = []
     sets = _prefixes(docs, np.sort(np.array([r["token"] for r in heavy], "int64").view("uint64")))
-    links = class_links(materialize(sets, "join-sets", scratch), scratch)
+    links = class_links(materialize(_told_apart(sets, shared_names), "join-sets", scratch), scratch)
     discard(docs.sparkSession, scratch)
     found = components(links)
-    documents = rows.filter("n is not null").select("doc_id", "n", "class")
+    documents = _told_apart(rows.filter("n is not null").select("doc_id", "n", "class", "twin"), shared_names)
     out = documents.join(materialize(found, "join-components"), F.col("class") == F.col("node"), "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), "class", F.coalesce("root", "class").alias("component"))
 
@@ -392,8 +422,6 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
-
-
 OP7_SQL = """
 WITH RECURSIVE words AS MATERIALIZED (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

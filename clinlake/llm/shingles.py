@@ -1,9 +1,10 @@
 """Hashed word shingles of whole texts (numpy, inside tasks).
 
-Words are runs without ASCII white space, with A-Z lower-cased. A word's hash
-is a sum of random 64-bit numbers of its bytes times a power for the byte's
-place, finished by a bit mixer; a shingle's hash combines the hashes of its
-words the same way.
+Words are runs without ASCII white space, with A-Z lower-cased. A word is read
+eight bytes at a time; each eight are mixed with a key of their place by a
+bit mixer (not a linear function, so no pair of words cancels by its form), and
+the mixed numbers are summed and mixed with the word's length. A shingle's hash
+combines the hashes of its words by random odd factors and the mixer.
 """
 
 from __future__ import annotations
@@ -18,23 +19,14 @@ WORDS = 5
 PIECE = 1 << 20
 
 _RNG = np.random.Generator(np.random.PCG64(77))
-_BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _WORD_PLACE = _RNG.integers(1, 1 << 63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_KEY, _STEP = (_RNG.integers(1, 1 << 63, 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)).tolist()
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _SPACES = re.compile(rb"[\x20\x09-\x0D]")
-_POWERS = np.ones(1 << 12, np.uint64)
-
-
-def _powers(n: int) -> np.ndarray:
-    """Successive powers of an odd multiplier, grown when longer words come."""
-    global _POWERS
-    if len(_POWERS) < n or _POWERS[1] == 1:
-        grown = np.full(max(n, len(_POWERS)), 0x9E3779B97F4A7C15, np.uint64)
-        grown[0] = 1
-        _POWERS = np.multiply.accumulate(grown)
-    return _POWERS
+#: Masks that keep the first 0 ... 8 of eight bytes.
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -43,6 +35,16 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _eights(data: bytes) -> np.ndarray:
+    """The eight bytes from every position on, as little-endian numbers (zeros beyond the end)."""
+    raw = data + bytes(15 - (len(data) + 7) % 8)
+    out = np.empty(len(raw) - 7, np.uint64)
+    for k in range(8):
+        part = np.frombuffer(raw, "<u8", count=(len(raw) - k) // 8, offset=k)
+        out[k::8] = part[:len(out[k::8])]
+    return out
+
+
 def _hash_piece(data: bytes) -> np.ndarray:
     b = np.frombuffer(data, np.uint8)
     edge = np.diff(np.concatenate([[True], _SPACE[b], [True]]).astype(np.int8))
@@ -50,11 +52,13 @@ def _hash_piece(data: bytes) -> np.ndarray:
     if not len(starts):
         return np.zeros(0, np.uint64)
     sizes = ends - starts
-    inside = ~_SPACE[b]
-    place = np.flatnonzero(inside) - np.repeat(starts, sizes)
-    terms = _BYTE[b[inside]] * _powers(int(sizes.max()))[place]
-    sums = np.add.reduceat(terms, np.cumsum(sizes) - sizes)
-    return _mix(sums ^ sizes.astype(np.uint64))
+    lanes = (sizes + 7) // 8
+    first = np.cumsum(lanes) - lanes
+    lane = np.arange(int(lanes.sum())) - np.repeat(first, lanes)
+    read = _eights(data)[np.repeat(starts, lanes) + 8 * lane] & _FIRST[np.minimum(np.repeat(sizes, lanes) - 8 * lane, 8)]
+    key = _mix(lane.astype(np.uint64) * np.uint64(_STEP) + np.uint64(_KEY))
+    sums = np.add.reduceat(_mix(read ^ key), first)
+    return _mix(sums ^ (sizes.astype(np.uint64) * np.uint64(_STEP)))
 
 
 def word_hashes(text: str | None) -> np.ndarray:
