@@ -20,7 +20,8 @@ bound; the groups keep the copies of a vector to one for each
 ``GROUP_QUERIES`` queries then.
 
 Defined results: vectors that are null or hold null or non-finite components
-take no part, nor do rows without id. Only vectors of equal length are
+take no part, nor do rows without id. Scores beyond 64 bits are held to the
+largest (smallest) long, and rank as such. Only vectors of equal length are
 compared. Equal scores go to the smaller id. Rows with the query's id are its
 own; other repeated rows are candidates as often as they appear; repeated
 query rows are answered once. With fewer than k candidates all are returned.
@@ -47,23 +48,35 @@ SLACK = 1e-9
 EXACT = float(1 << 53)
 
 
+#: Larger components are held to this, so that no square of theirs overflows.
+LARGEST = 2.0**300
+
+
 def whole_vector(vector: Column) -> Column:
     """Components floor(1024 x) as doubles; null unless all are finite."""
-    scaled = F.transform(vector, lambda x: F.floor(x.cast("double") * 1024.0))
-    finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float(1 << 43)))
-    return F.when(F.coalesce(finite, F.lit(False)), scaled.cast("array<double>"))
+    def whole(x: Column) -> Column:
+        scaled = F.greatest(F.least(x.cast("double") * 1024.0, F.lit(LARGEST)), F.lit(-LARGEST))
+        # doubles from 2**53 on are whole numbers, which need not fit a long
+        return F.when(F.abs(scaled) < EXACT, F.floor(scaled).cast("double")).otherwise(scaled)
+
+    finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
+    return F.when(F.coalesce(finite, F.lit(False)), F.transform(vector, whole))
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
     return np.stack(vectors.to_numpy()) if len(vectors) else np.zeros((0, 0))
 
 
+def _whole_numbers(m: np.ndarray) -> np.ndarray:
+    return np.array([[int(x) for x in row] for row in m.tolist()], object).reshape(m.shape)
+
+
 def _scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """All inner products, exact whole numbers (clipped to 64 bits)."""
     most = np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * max(1, a.shape[1])
     if most < EXACT:
         return (a @ b.T).astype("int64")
-    exact = a.astype("int64").astype(object) @ b.astype("int64").astype(object).T
+    exact = _whole_numbers(a) @ _whole_numbers(b).T
     return np.clip(exact, -(2**63), 2**63 - 1).astype("int64")
 
 
@@ -148,7 +161,7 @@ def _replicate(data: DataFrame, pivots: dict, cells: list, groups: dict[int, lis
                 floor = np.array([r["floor"] for r in needed])
                 reach = radius[None, :] * np.linalg.norm(m, axis=1)[:, None]
                 bound = m @ p.T + reach
-                slack = SLACK * (np.abs(bound) + reach + 1)
+                slack = SLACK * (np.abs(bound) + reach + np.linalg.norm(m, axis=1)[:, None] * np.linalg.norm(p, axis=1)[None, :] + 1)
                 reached = bound + slack >= floor[None, :]
                 for g in sorted({g for r in needed for g in groups[r["cell"]]}):
                     own_cells = [i for i, r in enumerate(needed) if g in groups[r["cell"]]]

@@ -43,3 +43,20 @@ def test_empty_and_no_queries(spark):
     assert search(spark, []) == []
     assert search(spark, [(1, [1.0]), (2, [2.0])]) == []
     assert search(spark, [(100, [1.0])]) == []
+
+
+def test_large_finite_values_and_clashing_columns(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.standard_normal(3).astype("float32").tolist()) for i in range(1, 40)]
+    rows += [(0, [1.0, 2.0, -1.0]), (100, [1e13, 0.0, 0.0]), (41, [1e13, 1.0, 0.0]), (42, [-3e38, 0.0, 1.0]), (43, [3e38, 3e38, 3e38]), (200, [0.0, 0.0, 0.0]),
+             (300, [1e9, -1e9, 5.0]), (44, [1e9, 1e9, 0.0])]
+    held = [(q, r, v, max(-(2**63), min(2**63 - 1, s))) for q, r, v, s in brute(rows, 50)]
+    want = []
+    for q in sorted({h[0] for h in held}):
+        own = sorted((-s, v) for a, _, v, s in held if a == q)[:10]
+        want += [(q, n + 1, v, -s) for n, (s, v) in enumerate(own)]
+    df = spark.createDataFrame([(*r, 1, "x", True) for r in rows], "vec_id long, embedding array<float>, score int, cell string, is_query boolean")
+    vectors = df.select(F.col("vec_id").alias("id"), vt.whole_vector(F.col("embedding")).alias("v"), (F.col("vec_id") % 100 == 0).alias("is_query"))
+    got = sorted(tuple(r) for r in vt.top_k(vectors.filter("v is not null"), k=10, group_queries=2, block_rows=7).collect())
+    assert got == want
+    assert {v for q, _, v, _ in got if q == 0} >= {41, 100}
