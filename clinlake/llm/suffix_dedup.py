@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from clinlake.llm import suffix_runs as sr
-from clinlake.llm.common import discard, materialize, shuffle_partitions, table
+from clinlake.llm.common import discard, materialize, release_memory, shuffle_partitions, table
 from clinlake.session import scratch_path
 
 PORTION_BYTES = 8 << 20
@@ -106,16 +106,24 @@ def _portions(docs: DataFrame, buckets: int, keep: list[str]) -> DataFrame:
                     others = [[] for _ in kept]
         if ids:
             yield from emit()
+        ids, texts, others = [], [], []
+        release_memory()
 
     chosen = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)])
     return chosen.mapInArrow(run, T.StructType([*PORTION_FIELDS, *kept]))
 
 
 def _bucketed(spark: SparkSession, df: DataFrame, buckets: int) -> DataFrame:
-    """``df`` as an external table bucketed by portion, so that later joins by portion move no text."""
+    """``df`` written bucketed by portion, so that later joins by portion move no text.
+
+    Only a catalog table can be written in buckets; its entry goes at once, the
+    files (external) and the table read here, which knows its buckets, stay."""
     name = f"suffix_portions_{uuid.uuid4().hex}"
     df.write.bucketBy(buckets, "portion").option("path", scratch_path(spark, "suffix-portions")).saveAsTable(name)
-    return spark.table(name)
+    written = spark.table(name)
+    written.schema  # resolved now
+    spark.sql(f"DROP TABLE {name}")
+    return written
 
 
 def _repeated_seeds(seeds: DataFrame, buckets: int) -> DataFrame:
@@ -194,6 +202,8 @@ def _sort_runs(buckets: int):
             elements = sorted(sr.Element(r, left, where) for (r, left), where in own.items())
             runs.append((bucket, sr.encode_run(elements)))
         out.append(_table(RUN_ARROW, portion=[portion] * len(runs), bucket=[b for b, _ in runs], run=[r for _, r in runs]))
+        del found, settled, runs, w, data
+        release_memory()
         return pa.concat_tables(out)
 
     return run
@@ -217,6 +227,8 @@ def _merge(runs: DataFrame, buckets: int) -> DataFrame:
                     out = []
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+        held, out = {}, []
+        release_memory()
 
     dealt = runs.select("bucket", "run").repartitionById(buckets, F.col("bucket"))
     return dealt.mapInArrow(run, "portion long, row int, first long, last long")

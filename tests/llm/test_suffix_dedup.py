@@ -97,3 +97,12 @@ def test_query_on_the_given_documents(spark):
     docs = sorted((r["doc_id"], (r["text"] or "").encode()) for r in table(spark, SF_SMALL, "documents").select("doc_id", "text").collect())
     rows = sorted((tuple(r) for r in sd.op4_suffix_dedup(spark, SF_SMALL).collect()), key=str)
     assert rows == brute(docs)
+
+
+def test_no_catalog_table_is_left(spark):
+    docs = spark.createDataFrame([(i, "some passage that comes again and again, " * 5) for i in range(5)], "doc_id long, text string")
+    out = sd.remove_repeats(docs)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("suffix_portions")]
+    assert out.count() == 5
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan  # its texts are still read in their buckets
