@@ -389,9 +389,25 @@ def _join_texts(members: DataFrame, texts: DataFrame, scratch: list[str]) -> Dat
     return _tree_join(members.join(packed, "class"))  # by class already: the texts are not dealt again
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+#: Columns that name a row's set by its 128-bit hash (null: empty set).
+SET_KEY = ["set_high", "set_low"]
+
+
+def with_set_key(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``SET_KEY``, the hash of each text's shingle set."""
+
+    def run(texts: pd.Series) -> pd.DataFrame:
+        sets = (shingle_set(t) for t in texts)
+        keys = [class_key(s) if len(s) else (None, None) for s in sets]
+        return pd.DataFrame({c: pd.array([k[i] for k in keys], "Int64") for i, c in enumerate(SET_KEY)})
+
+    key = F.pandas_udf(run, "set_high long, set_low long")(F.col("text"))
+    return docs.withColumn("__key", key).select(*docs.columns, *[F.col(f"__key.{c}").alias(c) for c in SET_KEY])
+
+
+def near_duplicates(docs: DataFrame, with_key: bool = False) -> DataFrame:
     """(doc_id, n_shingles, class, component) of every row; ``component`` names
-    the group by its smallest class, null for empty sets."""
+    the group by its smallest class, null for empty sets; ``with_key`` adds ``SET_KEY``."""
     rows = materialize(profile(docs), "join-profile")
     names = rows.filter("class is not null").groupBy("class").agg(F.min("twin").alias("keeper"), F.max("twin").alias("last"))
     shared_names = materialize(names.filter("keeper < last").select("class", "keeper"), "join-shared-names")
@@ -402,9 +418,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = class_links(materialize(_told_apart(sets, shared_names), "join-sets", scratch), scratch)
     discard(docs.sparkSession, scratch)
     found = components(links)
-    documents = _told_apart(rows.filter("n is not null").select("doc_id", "n", "class", "twin"), shared_names)
+    key = [F.col("class").alias(SET_KEY[0]), F.col("twin").alias(SET_KEY[1])] if with_key else []
+    documents = _told_apart(rows.filter("n is not null").select("doc_id", "n", "class", "twin", *key), shared_names)
     out = documents.join(materialize(found, "join-components"), F.col("class") == F.col("node"), "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), "class", F.coalesce("root", "class").alias("component"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), "class", F.coalesce("root", "class").alias("component"), *SET_KEY[:2 * with_key])
 
 
 def with_smallest_id(rows: DataFrame) -> DataFrame:

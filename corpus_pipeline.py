@@ -29,8 +29,6 @@ from clinlake.llm import jaccard_join, language_id, mixing, sentencepiece_viterb
 from clinlake.llm.common import materialize, show_package, table
 
 
-#: No document goes by its cosine; the tests use this as a bound their texts are above.
-LEAST_COSINE = 0.08
 #: Leaving documents up to this many are broadcast (8 bytes each); beyond it they are joined by a shuffle.
 MAX_BROADCAST_IDS = 1_000_000
 
@@ -50,19 +48,30 @@ def detect_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays, that of smallest doc_id.
 
-    Of repeated rows (same doc_id and text) one stays; documents without words
-    are in no group and stay, as do rows without doc_id."""
+    Rows that share a doc_id are judged by their own texts: such a row goes only
+    if its own group has a smaller doc_id, and of several that stand for one
+    group one stays, as does one of several equal rows without words. Documents
+    without words are in no group and stay, as do rows without doc_id."""
     show_package(spark)
-    groups = jaccard_join.with_smallest_id(jaccard_join.near_duplicates(docs))
+    groups = jaccard_join.with_smallest_id(jaccard_join.near_duplicates(docs, with_key=True)).filter("doc_id is not null")
+    repeated = materialize(groups.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "pipeline-repeated")
     leaving = groups.filter("component is not null and doc_id != component_id").select("doc_id").distinct()
-    repeated = groups.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    staying = docs.join(_few(materialize(leaving, "pipeline-leaving")), "doc_id", "left_anti")
-    repeated = materialize(repeated, "pipeline-repeated")
-    if not repeated.isEmpty():
-        repeated = _few(repeated)
-        once = staying.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-        staying = staying.join(repeated, "doc_id", "left_anti").unionByName(once)
-    return staying.select(*docs.columns)
+    leaving = materialize(leaving.join(repeated, "doc_id", "left_anti"), "pipeline-leaving")
+    staying = docs.join(_few(leaving), "doc_id", "left_anti")
+    if repeated.isEmpty():
+        return staying.select(*docs.columns)
+    repeated = _few(repeated)
+    own = jaccard_join.with_set_key(docs.select("doc_id", "text").join(repeated, "doc_id", "left_semi"))
+    standing = groups.filter("doc_id = component_id and component is not null").join(repeated, "doc_id", "left_semi")
+    standing = standing.select("doc_id", *jaccard_join.SET_KEY, "component").distinct()
+    # of the rows that stand for a group, the least text stays
+    kept = own.join(standing, ["doc_id", *jaccard_join.SET_KEY]).groupBy("doc_id", "component").agg(F.min("text").alias("text"))
+    kept = kept.select("doc_id", "text").unionByName(own.filter("set_high is null").select("doc_id", "text").distinct())
+    kept = materialize(kept, "pipeline-kept")
+    rows = docs.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    again = kept.select(F.col("doc_id").alias("__id"), F.col("text").alias("__text"))
+    rows = rows.join(again, (F.col("doc_id") == F.col("__id")) & F.col("text").eqNullSafe(F.col("__text")), "left_semi")
+    return staying.join(repeated, "doc_id", "left_anti").unionByName(rows).select(*docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
