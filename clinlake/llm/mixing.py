@@ -12,7 +12,11 @@ probability proportional to its cell's raked weight per token.
 * Raking works on the cells, one row for each combination that occurs. Each
   step scales the cells of a dimension by target over current sum (a window
   sum over cells, not documents); the cells are written to the shared folder
-  every few rounds.
+  every few rounds, and raking ends when all shares are within ``TOLERANCE``.
+* Targets can conflict (if each source has one language, say): no weights meet
+  them all, and raking stalls. The weights are then those of least summed
+  divergence of the targets from the shares; ``remaining_errors`` gives what is
+  left, for each category of each dimension.
 * Drawing: probability = min(1, kappa * weight / tokens) with kappa chosen so
   that the expected tokens are ``budget`` of all tokens. Cells that reach 1
   are taken whole and kappa is solved for the others, so the budget stays
@@ -35,6 +39,8 @@ replaced.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from clinlake.llm.common import materialize, table
@@ -42,8 +48,14 @@ from clinlake.llm.common import materialize, table
 DIMENSIONS = ("source", "lang", "topic")
 ALPHA = 0.5
 BUDGET = 0.5
-ROUNDS = 24
+#: Raking ends when every share is this near its target, at the latest after ROUNDS rounds ...
+TOLERANCE = 1e-10
+ROUNDS = 400
 ROUNDS_PER_WRITE = 4
+#: ... or when the rounds between two writes leave more than this part of the error: then the targets conflict.
+STALLED = 0.9
+#: Rounds of the SQL twin, enough for the given tables to converge far below its six decimals.
+SQL_ROUNDS = 24
 KAPPA_STEPS = 32
 SEED = "mix-1:"
 #: Cells are broadcast to the documents up to this many; beyond it they are joined by a shuffle.
@@ -95,15 +107,65 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
         present = cells.groupBy(d).agg(F.first(f"__{d}").alias("s")).agg(F.sum("s").alias("s")).first()["s"] or 1.0
         cells = cells.withColumn(f"__{d}", F.col(f"__{d}") / F.lit(present))
     weighted = cells.withColumn("weight", F.col("tokens") / F.sum("tokens").over(_all()))
+    before = float("inf")
     for done in range(0, rounds, ROUNDS_PER_WRITE):
         for _ in range(min(ROUNDS_PER_WRITE, rounds - done)):
             for d in dims:
                 now = F.sum("weight").over(Window.partitionBy(d))
                 weighted = weighted.withColumn("weight", F.col("weight") * F.col(f"__{d}") / now)
         weighted = materialize(weighted, "mix-raked")
+        error = _largest_error(weighted, dims)
+        if error <= TOLERANCE:
+            break
+        if error > STALLED * before:
+            weighted = _compromise(weighted, dims, rounds)
+            break
+        before = error
     return weighted.drop(*[f"__{d}" for d in dims])
 
 
+def _largest_error(weighted: DataFrame, dims: list[str]) -> float:
+    """The largest distance of a category's share from its target, over all dimensions."""
+    parts = [weighted.groupBy(d).agg(F.abs(F.sum("weight") - F.first(f"__{d}")).alias("error")).agg(F.max("error").alias("error")) for d in dims]
+    return reduce(DataFrame.unionByName, parts).agg(F.max("error")).first()[0] or 0.0
+
+
+def _compromise(weighted: DataFrame, dims: list[str], rounds: int) -> DataFrame:
+    """Weights for targets that no weights meet together: cells are scaled by the mean of
+    what their dimensions ask for, which lowers the summed divergence of the targets
+    from the shares in every round and ends where it is least."""
+    divergence, before = F.lit(0.0), float("inf")
+    for d in dims:
+        now = F.sum("weight").over(Window.partitionBy(d))
+        # a category's term once for each of its cells, weighted to count once
+        divergence = divergence + F.col("weight") / now * F.col(f"__{d}") * F.log(F.col(f"__{d}") / now)
+    for done in range(0, rounds, ROUNDS_PER_WRITE):
+        for _ in range(min(ROUNDS_PER_WRITE, rounds - done)):
+            factor = F.lit(0.0)
+            for d in dims:
+                factor = factor + F.col(f"__{d}") / F.sum("weight").over(Window.partitionBy(d)) / len(dims)
+            weighted = weighted.withColumn("weight", F.col("weight") * factor)  # they still sum to 1
+        weighted = materialize(weighted, "mix-raked")
+        left = weighted.select(divergence.alias("left")).agg(F.sum("left")).first()[0] or 0.0
+        if before - left <= TOLERANCE:
+            break
+        before = left
+    return weighted
+
+
+def remaining_errors(raked: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
+    """(dimension, category, target, share, error) of every category that has tokens:
+    how far the raked shares are from the targets (scaled to these categories)."""
+    parts = []
+    for d, given in targets.items():
+        share = given.select(F.col(d).alias("__d"), F.col("share").cast("double").alias("target"))
+        sums = raked.groupBy(d).agg(F.sum("weight").alias("share")).join(share, F.col(d).eqNullSafe(F.col("__d")))
+        target = F.col("target") / F.sum("target").over(_all())
+        parts.append(sums.select(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("category"), target.alias("target"), "share",
+                                 (F.col("share") - target).alias("error")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def calibrate(raked: DataFrame, budget: float = BUDGET) -> DataFrame:
     """``raked`` with ``probability`` and ``factor`` of every cell.
 
@@ -165,7 +227,7 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _oracle_sql() -> str:
     steps, last = [], "w0"
-    for r in range(ROUNDS):
+    for r in range(SQL_ROUNDS):
         for d in DIMENSIONS:
             name = f"w{r + 1}_{d}"
             steps.append(f"""{name} AS MATERIALIZED (

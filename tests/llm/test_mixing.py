@@ -1,4 +1,6 @@
 import hashlib
+import math
+import random
 
 import pytest
 
@@ -48,3 +50,53 @@ def test_uniform_is_the_md5(spark):
     got = spark.range(5).select(mx.uniform(F.col("id")).alias("u")).collect()
     want = [int(hashlib.md5(f"{mx.SEED}{i}".encode()).hexdigest()[:13], 16) / 2**52 for i in range(5)]
     assert [r["u"] for r in got] == want
+
+
+def shares(rows, dim):
+    out = {}
+    for r in rows:
+        out[r[dim]] = out.get(r[dim], 0) + r["weight"]
+    return out
+
+
+def test_conflicting_targets_give_the_least_divergence(spark):
+    """Each source has one language: source and language targets cannot both be met."""
+    cells = spark.createDataFrame([("a", "en", "prose", 900.0), ("b", "en", "prose", 100.0), ("c", "en", "short", 100.0), ("d", "de", "prose", 400.0)],
+                                  "source string, lang string, topic string, tokens double")
+    targets = {d: mx.target_shares(cells, d, 0.5) for d in mx.DIMENSIONS}
+    raked = mx.rake(cells, targets)
+    rows = raked.collect()
+    want = {d: {r[d]: r["share"] for r in targets[d].collect()} for d in mx.DIMENSIONS}
+
+    def divergence(weights):
+        total = 0.0
+        for i, d in enumerate(mx.DIMENSIONS):
+            sums = {}
+            for key, w in weights.items():
+                sums[key[i]] = sums.get(key[i], 0) + w
+            total += sum(t * math.log(t / sums[k]) for k, t in want[d].items())
+        return total
+
+    found = {(r["source"], r["lang"], r["topic"]): r["weight"] for r in rows}
+    assert sum(found.values()) == pytest.approx(1)
+    least = divergence(found)
+    rnd = random.Random(2)
+    for _ in range(2000):  # no weights near by are better
+        moved = {k: w * math.exp(rnd.gauss(0, 0.02)) for k, w in found.items()}
+        scale = sum(moved.values())
+        assert divergence({k: w / scale for k, w in moved.items()}) >= least - 1e-9
+    left = {(r["dimension"], r["category"]): r for r in mx.remaining_errors(raked, targets).collect()}
+    assert len(left) == 4 + 2 + 2
+    for (d, k), r in left.items():
+        assert r["target"] == pytest.approx(want[d][k]) and r["share"] == pytest.approx(shares(rows, d)[k])
+        assert r["error"] == pytest.approx(r["share"] - r["target"])
+    assert max(abs(r["error"]) for r in left.values()) > 0.01  # the conflict shows
+
+
+def test_slow_targets_are_raked_to_the_tolerance(spark):
+    cells = spark.createDataFrame([("a", "en", "p", 1000.0), ("a", "de", "p", 1.0), ("b", "en", "p", 1.0), ("b", "de", "p", 900.0), ("b", "de", "q", 5.0)],
+                                  "source string, lang string, topic string, tokens double")
+    given = {"source": [("a", 0.7), ("b", 0.3)], "lang": [("en", 0.35), ("de", 0.65)], "topic": [("p", 0.9), ("q", 0.1)]}
+    targets = {d: spark.createDataFrame(rows, f"{d} string, share double") for d, rows in given.items()}
+    left = mx.remaining_errors(mx.rake(cells, targets), targets).collect()
+    assert max(abs(r["error"]) for r in left) < 1e-8
