@@ -55,7 +55,7 @@ ROUNDS_PER_WRITE = 4
 #: ... or when the rounds between two writes leave more than this part of the error: then the targets conflict.
 STALLED = 0.9
 #: Rounds of the SQL twin, enough for the given tables to converge far below its six decimals.
-SQL_ROUNDS = 24
+SQL_ROUNDS = 80
 KAPPA_STEPS = 32
 SEED = "mix-1:"
 #: Cells are broadcast to the documents up to this many; beyond it they are joined by a shuffle.
