@@ -629,6 +629,30 @@ FROM master
 """,
             "master",
         ),
+        "ranked_members": with_ctes(
+            """
+SELECT patient_id, state, total_claim_cost_sum, row_number() OVER (ORDER BY total_claim_cost_sum DESC, patient_id) AS cost_rank FROM master
+""",
+            "master",
+        ),
+        "encounters_near_diagnosis": with_ctes(
+            f"""
+SELECT encounter_id, patient_id, encounter_start FROM silver_encounters e
+WHERE EXISTS (SELECT 1 FROM silver_conditions c WHERE c.patient_id = e.patient_id
+              AND c.condition_code IN {in_list(SPEC.cohort.condition_codes)}
+              AND abs(date_diff('day', CAST(c.condition_start_date AS DATE), CAST(e.encounter_start AS DATE))) <= 30)
+""",
+            "silver_encounters", "silver_conditions",
+        ),
+        "distinct_patients_rollup": with_ctes(
+            """
+SELECT encounter_description, CAST(year(encounter_start) AS INTEGER) AS year, CAST(month(encounter_start) AS INTEGER) AS month,
+       count(DISTINCT patient_id) AS patients FROM silver_encounters GROUP BY ALL
+UNION ALL SELECT encounter_description, CAST(year(encounter_start) AS INTEGER), NULL, count(DISTINCT patient_id) FROM silver_encounters GROUP BY ALL
+UNION ALL SELECT NULL, CAST(year(encounter_start) AS INTEGER), NULL, count(DISTINCT patient_id) FROM silver_encounters GROUP BY ALL
+""",
+            "silver_encounters",
+        ),
         "content_reconciliation": with_ctes(
             f"""
 SELECT 'covid_clinical_master' AS table_name, n AS written_rows, c AS written_checksum, n AS persisted_rows, c AS persisted_checksum, true AS ok

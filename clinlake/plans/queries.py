@@ -39,6 +39,9 @@ from clinlake.operators import (
     share_of_total,
 )
 from clinlake.operators import history
+from clinlake.operators.distinct import distinct_from_bitmaps, key_bitmaps, numbered_keys
+from clinlake.operators.intervals import within_days
+from clinlake.operators.ordering import globally_ranked
 from clinlake.operators.checks import ContentCheck, reconcile, table_profile
 from clinlake.plans import gold, ingest, medallion, silver
 from clinlake.session import scratch_path
@@ -485,6 +488,38 @@ def q_row_count_reconciliation(spark, sf_dir):
     return _kept(spark, reconcile(spark, f"{ns}.covid_clinical_master", n, label="covid_clinical_master"), ns)
 
 
+def q_ranked_members(spark, sf_dir):
+    """Members by claimed cost, highest first, with their place in the whole order (O1)."""
+    members = master_of(silver_tables(spark, sf_dir)).select("patient_id", "state", "total_claim_cost_sum")
+    return globally_ranked(members, [F.desc("total_claim_cost_sum"), F.asc("patient_id")], "cost_rank")
+
+
+def q_encounters_near_diagnosis(spark, sf_dir):
+    """Encounters that start at most 30 days before or after any coded diagnosis of their patient (J4)."""
+    s = silver_tables(spark, sf_dir)
+    coded = s["conditions"].filter(F.col("condition_code").isin(*STANDIN_SPEC.cohort.condition_codes))
+    events = s["encounters"].select("encounter_id", "patient_id", "encounter_start")
+    return within_days(events, coded, "patient_id", "encounter_start", "condition_start_date", 30, salt_by=["encounter_id"])
+
+
+def q_distinct_patients_rollup(spark, sf_dir):
+    """Distinct patients by description and month, by description and year, and by year,
+    from one state of bitmaps (A5)."""
+    s = silver_tables(spark, sf_dir)
+    facts = s["encounters"].select("encounter_id", "patient_id", "encounter_description", F.year("encounter_start").alias("year"),
+                                   F.month("encounter_start").alias("month"))
+    numbers = numbered_keys(s["encounters"].select("patient_id"), "patient_id")
+    state = key_bitmaps(facts, numbers, "patient_id", ["encounter_description", "year", "month"], salt_by=["encounter_id"])
+    path = scratch_path(spark, "bitmaps")
+    files.write_parquet(state, path)
+    state = files.read_parquet(spark, path)
+    none = {"encounter_description": F.lit(None).cast("string"), "month": F.lit(None).cast("int")}
+    monthly = distinct_from_bitmaps(state, ["encounter_description", "year", "month"], "patients")
+    yearly = distinct_from_bitmaps(state, ["encounter_description", "year"], "patients").withColumn("month", none["month"])
+    total = distinct_from_bitmaps(state, ["year"], "patients").withColumns(none)
+    return monthly.unionByName(yearly).unionByName(total)
+
+
 def q_content_reconciliation(spark, sf_dir):
     """The master's content as observed on the way out and as read back (C4)."""
     ns = _scratch_namespace(spark)
@@ -615,6 +650,9 @@ QUERIES.update(
         "table_lifecycle": q_table_lifecycle,
         "table_roundtrip": q_table_roundtrip,
         "row_count_reconciliation": q_row_count_reconciliation,
+        "ranked_members": q_ranked_members,
+        "encounters_near_diagnosis": q_encounters_near_diagnosis,
+        "distinct_patients_rollup": q_distinct_patients_rollup,
         "content_reconciliation": q_content_reconciliation,
         "table_refresh": q_table_refresh,
         "partition_overwrite": q_partition_overwrite,
