@@ -294,3 +294,59 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     shown = proofs(manifest, claimed="claimed")
     return shown.select("doc_id", F.col("digest").alias("leaf"), "subroot", "root", "proof_sha256", "folded_root",
                         (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def _sql_leaf(text: str) -> str:
+    shown = [f"{c if c != 'text' else text}::VARCHAR" for c in LEAF_FIELDS]
+    return "sha256(" + " || ".join(f"coalesce(strlen({s})::VARCHAR || ':' || {s}, '-')" for s in shown) + ")"
+
+
+#: The twin builds every level, joins each row with the runs on its way, and folds step by step.
+#: DuckDB has no CRC-32: it is computed from the polynomial's table of 256 numbers.
+OP12_SQL = f"""
+WITH RECURSIVE crc_table AS MATERIALIZED (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i))),
+hashed AS MATERIALIZED (
+  SELECT doc_id, coalesce('=' || lang, '') AS tree, {_sql_leaf('text')} AS leaf,
+         {_sql_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS lowered,
+         xor(list_reduce([4294967295] || list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT),
+                         lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS crc
+  FROM documents, crc_table),
+leaves AS MATERIALIZED (
+  SELECT *, row_number() OVER () AS doc, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY tree) AS n FROM hashed),
+nodes AS (
+  SELECT tree, 0 AS level, pos, leaf AS digest, n FROM leaves
+  UNION ALL
+  SELECT tree, level + 1, pos // {ARITY}, sha256(string_agg(digest, '' ORDER BY pos)), (n + {ARITY - 1}) // {ARITY}
+  FROM nodes WHERE n > 1 GROUP BY tree, level, pos // {ARITY}, n),
+subroots AS MATERIALIZED (
+  SELECT tree, digest AS subroot, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+top AS (
+  SELECT 0 AS level, pos, subroot AS digest, n FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // {ARITY}, sha256(string_agg(digest, '' ORDER BY pos)), (n + {ARITY - 1}) // {ARITY}
+  FROM top WHERE n > 1 GROUP BY level, pos // {ARITY}, n),
+ways AS MATERIALIZED (
+  SELECT l.doc, x.level AS step, l.pos // ({ARITY} ** x.level)::BIGINT AS own, x.pos, x.digest FROM leaves l
+  JOIN nodes x ON x.tree = l.tree AND x.n > 1 AND x.pos // {ARITY} = l.pos // ({ARITY} ** (x.level + 1))::BIGINT
+  UNION ALL
+  SELECT l.doc, 100 + x.level, s.pos // ({ARITY} ** x.level)::BIGINT, x.pos, x.digest FROM leaves l
+  JOIN subroots s ON s.tree = l.tree JOIN top x ON x.n > 1 AND x.pos // {ARITY} = s.pos // ({ARITY} ** (x.level + 1))::BIGINT),
+steps AS MATERIALIZED (
+  SELECT doc, row_number() OVER (PARTITION BY doc ORDER BY step) - 1 AS nth,
+         coalesce(string_agg(digest, '' ORDER BY pos) FILTER (pos < own), '') AS before,
+         coalesce(string_agg(digest, '' ORDER BY pos) FILTER (pos > own), '') AS after
+  FROM ways GROUP BY doc, step),
+folded AS (
+  SELECT doc, 0 AS nth, CASE WHEN crc % 3 = 0 THEN lowered ELSE leaf END AS digest FROM leaves
+  UNION ALL
+  SELECT f.doc, f.nth + 1, sha256(before || digest || after) FROM folded f JOIN steps s ON s.doc = f.doc AND s.nth = f.nth),
+proofs AS (SELECT doc, sha256(string_agg(before || after, '' ORDER BY nth)) AS proof_sha256 FROM steps GROUP BY doc)
+SELECT l.doc_id, l.leaf, s.subroot, t.digest AS root, coalesce(p.proof_sha256, sha256('')) AS proof_sha256, f.digest AS folded_root,
+       f.digest = t.digest AS verified
+FROM leaves l JOIN subroots s ON s.tree = l.tree JOIN (SELECT digest FROM top WHERE n = 1) t ON true
+LEFT JOIN proofs p ON p.doc = l.doc
+JOIN (SELECT doc, digest FROM folded QUALIFY nth = max(nth) OVER (PARTITION BY doc)) f ON f.doc = l.doc
+"""

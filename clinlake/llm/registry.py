@@ -27,6 +27,7 @@ LLM_ORACLE_SQL = {
     "op2_voronoi_topk": voronoi_topk.OP2_SQL,
     "op7_ngram_jaccard_join": jaccard_join.OP7_SQL,
     "op9_url_filters": url_filter.OP9_SQL,
+    "op12_merkle_manifest": merkle.OP12_SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     LLM_ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
