@@ -18,6 +18,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 #: Rows that Spark hands to Python at once, where the session does not say:
 #: documents are long, and every running task holds a few batches of them.
 ARROW_ROWS = "1000"
+#: Rows of a Parquet batch, where the session does not say: with texts, Spark's
+#: 4,096 rows are arrays of many MB, which fragment an executor's heap.
+READER_ROWS = "512"
 
 
 def show_package(spark: SparkSession) -> None:
@@ -29,8 +32,9 @@ def show_package(spark: SparkSession) -> None:
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([*paths, root])
-    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None) is None:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    for key, rows in (("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS), ("spark.sql.parquet.columnarReaderBatchSize", READER_ROWS)):
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, rows)
 
 
 def materialize(df: DataFrame, name: str, scratch: list[str] | None = None) -> DataFrame:

@@ -49,7 +49,7 @@ from clinlake.llm.components import components
 from clinlake.llm.shingles import shingle_set
 
 #: A task's shingles are counted in portions of this many.
-PORTION = 1_000_000
+PORTION = 400_000
 #: A shingle is named by a portion that has it in this share of its documents (4 at least).
 NAMED_SHARE = 0.001
 #: Most frequent named shingles that are ordered last.
