@@ -25,6 +25,8 @@ empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from clinlake.llm.common import shuffle_partitions, table
@@ -109,35 +111,38 @@ def with_next_row(df: DataFrame, order: str, tie: str, carry: list[str]) -> Data
     heads = df.groupBy(bucket.alias("b")).agg(F.min(order).alias("head")).sort("b").collect()
     if not heads:
         return df.withColumn("next", F.struct(*carry))
-    # the row after bucket b's last one has the smallest value of the next bucket
-    seats: dict = {}
+    # the row after bucket b's last one has the smallest value of the next bucket; bucket -1 comes first in these lists
+    head_of, before = [None] * (len(bounds) + 2), [None] * (len(bounds) + 2)
     for here, after in zip(heads, [*heads[1:], heads[0]]):
-        seats.setdefault(after["head"], []).append(F.struct(F.lit(here["b"]), F.lit(1 + (after is heads[0]))))
-    value, places = F.col(order), F.array(F.struct(bucket, F.lit(0))).cast(SEATS)
-    if known := {head: F.array(*own).cast(SEATS) for head, own in seats.items() if head is not None}:
-        by_head = F.create_map(*[x for head, own in known.items() for x in (F.lit(head).cast("long"), own)])
-        places = F.when(value.isin(list(known)), F.concat(places, by_head[value.cast("long")])).otherwise(places)
-    if None in seats:
-        places = F.when(value.isNull(), F.concat(places, F.array(*seats[None]).cast(SEATS))).otherwise(places)
+        head_of[after["b"] + 1], before[after["b"] + 1] = after["head"], here["b"]
+    df = df.withColumn("__bucket", bucket)
+    own = F.col("__bucket")
+    is_head = F.col(order).eqNullSafe(F.get(_longs(head_of), own + 1))
+    ghost = F.struct(F.get(_longs(before), own + 1).cast("int").alias("b"), F.when(own == heads[0]["b"], 2).otherwise(1).alias("ghost"))
+    seat = F.struct(own.alias("b"), F.lit(0).alias("ghost"))
+    places = F.when(is_head, F.array(seat, ghost)).otherwise(F.array(seat)).cast(SEATS)
     dealt = df.withColumn("__place", F.explode(places))
     # ghosts of the next bucket sort after all own rows; a wrapped head last of all
     ordered = Window.partitionBy(F.col("__place.b")).orderBy(F.col("__place.ghost"), F.col(order), F.col(tie))
     followed = dealt.withColumn("next", F.lead(F.struct(*carry)).over(ordered))
-    return followed.filter(F.col("__place.ghost") == 0).drop("__place")
+    return followed.filter(F.col("__place.ghost") == 0).drop("__place", "__bucket")
+
+
+def _longs(values: list[int | None]) -> Column:
+    """The numbers as one literal, however many they are (an element each would take
+    a call to the JVM each)."""
+    return F.from_json(F.lit(json.dumps(values)), "array<bigint>")
 
 
 def _bucket(value: Column, bounds: list[int]) -> Column:
-    """Number of bounds at or below the value (-1 for null), found in two steps."""
-    if not bounds:
-        return F.when(value.isNull(), -1).otherwise(0)
-    array = F.array(*[F.lit(b).cast("long") for b in bounds])
-    coarse = F.array(*[F.lit(b).cast("long") for b in bounds[FINE - 1::FINE]]) if len(bounds) >= FINE else None
+    """Number of bounds at or below the value (-1 for null), found in steps of ``FINE``."""
+    levels = [bounds]
+    while len(levels[-1]) >= FINE:
+        levels.append(levels[-1][FINE - 1::FINE])
     below = lambda a: F.size(F.filter(a, lambda x: x <= value))
-    if coarse is None:
-        found = below(array)
-    else:
-        skip = below(coarse) * FINE
-        found = skip + below(F.slice(array, skip + 1, F.lit(FINE)))
+    found = F.lit(0)
+    for level in reversed(levels):
+        found = below(_longs(level)) if level is levels[-1] else found * FINE + below(F.slice(_longs(level), found * FINE + 1, F.lit(FINE)))
     return F.when(value.isNull(), -1).otherwise(found)
 
 

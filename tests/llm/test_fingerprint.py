@@ -106,3 +106,18 @@ def test_closed_syncmers_match_the_definition(spark):
 
     tokens = re.findall(r"[^\x20\x09-\x0D]{1,8}", text)
     assert [tuple(tokens[a["position"]:a["position"] + 5]) for a in anchors] == want
+
+
+def test_plan_of_many_buckets_is_built_quickly(spark, monkeypatch):
+    """Bounds of 12,000 buckets are a few literals."""
+    import time
+
+    rows = spark.range(60_000).select((F.col("id") * 7 % 60_013).alias("doc_id"), F.lit("x").alias("text"))
+    monkeypatch.setattr(fp, "shuffle_partitions", lambda s: 3_000)
+    began = time.time()
+    out = fp.with_next_row(rows, "doc_id", "text", ["doc_id"])
+    plan_only = time.time() - began
+    assert plan_only < 30  # two aggregates over the rows included
+    keys = {r["doc_id"]: r["next"]["doc_id"] for r in out.select("doc_id", "next").collect()}
+    order = sorted(keys)
+    assert [keys[d] for d in order] == [*order[1:], order[0]]
