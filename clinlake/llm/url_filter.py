@@ -20,6 +20,10 @@ The filters are sized from the number of listed keys (``BITS_PER_KEY``) and go
 into the scan as scalar subqueries. Beyond ``max_filter_bytes`` no filter is
 shipped: the candidate keys then meet the rules in shuffle joins.
 
+Rules come as a table of any size; only their shapes and numbers pass the
+driver. Repeated rules count once, rules with a null are left out, and of two
+verdicts for one rule the later in the alphabet holds.
+
 Null, empty or malformed urls (no ``://``) have an empty host and path and fit
 no rule; a url that fits none is not listed, and the verdict is ``default``.
 Rows are kept as they are: repeated rows stay repeated, extra columns are
@@ -166,38 +170,44 @@ def build_cascade(listed: DataFrame, universe: DataFrame) -> Cascade:
 
 def judge_urls(
     pages: DataFrame,
-    rules: Sequence[Rule] = RULES,
+    rules: Sequence[Rule] | DataFrame = RULES,
     default: str = "allow",
     url: str = "url",
     max_filter_bytes: int = MAX_FILTER_BYTES,
 ) -> DataFrame:
-    """``pages`` with the columns host, path, rule and verdict added (or replaced)."""
-    spark = pages.sparkSession
+    """``pages`` with the columns host, path, rule and verdict added (or replaced).
+
+    ``rules`` are a few ``Rule``s, or a DataFrame (host, path, verdict) of any size."""
     kept = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
     parts = pages.select(*kept, url_host(F.col(url)).alias("host"), url_path(F.col(url)).alias("path"))
-    shapes = sorted({r.shape for r in rules})
+    listed = _listed(pages.sparkSession, rules)
+    # a row for each verdict and shape: few, however many rules there are
+    groups = listed.groupBy("verdict", "labels", "length").agg(F.count(F.lit(1)).alias("n")).collect()
+    shapes = sorted({(r["labels"], r["length"]) for r in groups})
+    if _filter_bits(sum(r["n"] for r in groups)) // 8 > max_filter_bytes:
+        return _judge_by_joins(parts, listed, shapes, default)
     host, path = F.col("host"), F.col("path")
-    by_verdict: dict[str, list[Rule]] = {}
-    for r in rules:
-        by_verdict.setdefault(r.verdict, []).append(r)
-    if _filter_bits(len(rules)) // 8 > max_filter_bytes:
-        return _judge_by_joins(parts, rules, shapes, default)
-    universe = parts.select(F.explode(F.array(*[candidate_key(host, path, s) for s in shapes])).alias("key"))
-    universe = universe.filter(F.col("key").isNotNull())
+    universe = parts.select(F.explode(F.array(*[candidate_key(host, path, s) for s in shapes])).alias("key")) if shapes else None
     parts = parts.select("*", *[candidate_key(host, path, s).alias(f"__key{n}") for n, s in enumerate(shapes)])
     found = []
-    for verdict, own in by_verdict.items():
-        cascade = build_cascade(_rows(spark, own).select("key"), universe)
-        for n in sorted({shapes.index(r.shape) for r in own}):
+    for verdict in sorted({r["verdict"] for r in groups}):
+        cascade = build_cascade(listed.filter(F.col("verdict") == verdict).select("key"), universe.filter("key is not null"))
+        for n in sorted({shapes.index((r["labels"], r["length"])) for r in groups if r["verdict"] == verdict}):
             key = F.col(f"__key{n}")
             found.append(F.when(cascade.contains(key), _match(key, F.lit(shapes[n][1]), F.lit(verdict))))
     return _decide(parts, kept, found, default)
 
 
-def _rows(spark: SparkSession, rules: Sequence[Rule]) -> DataFrame:
-    """The rules as rows (key, verdict)."""
-    return spark.range(1).select(F.inline(F.array(*[
-        F.struct(F.lit(r.key).alias("key"), F.lit(r.verdict).alias("verdict")) for r in rules])))
+def _listed(spark: SparkSession, rules: Sequence[Rule] | DataFrame) -> DataFrame:
+    """The rules as a written table (key, verdict, labels, length)."""
+    if not isinstance(rules, DataFrame):
+        given = F.array(*[F.struct(F.lit(r.host).alias("host"), F.lit(r.path).alias("path"), F.lit(r.verdict).alias("verdict")) for r in rules])
+        rules = spark.range(1).select(F.inline(given.cast("array<struct<host:string,path:string,verdict:string>>")))
+    host, path = F.col("host"), F.col("path")
+    labels = F.char_length(host) - F.char_length(F.replace(host, F.lit("."), F.lit(""))) + 1
+    rows = rules.filter("host is not null and path is not null and verdict is not null")
+    rows = rows.select(F.concat(host, path).alias("key"), "verdict", labels.alias("labels"), F.char_length(path).alias("length"))
+    return materialize(rows.distinct(), "rules")
 
 
 def _match(key: Column, path_length: Column, verdict: Column) -> Column:
@@ -216,18 +226,18 @@ def _decide(df: DataFrame, kept: list[str], found: list[Column], default: str) -
     )
 
 
-def _judge_by_joins(parts: DataFrame, rules: Sequence[Rule], shapes: list[tuple[int, int]], default: str) -> DataFrame:
+def _judge_by_joins(parts: DataFrame, listed: DataFrame, shapes: list[tuple[int, int]], default: str) -> DataFrame:
     """For lists whose filters would be too large to ship: one equi-join per shape.
 
     The rules are a written table, so Spark splits the partitions of a hot host."""
     kept = [c for c in parts.columns if c not in ("host", "path")]
-    listed = materialize(_rows(parts.sparkSession, rules), "rules")
+    one = listed.groupBy("key", "labels", "length").agg(F.max("verdict").alias("verdict"))  # as of two verdicts for one rule the cascade decides
     df, found = parts, []
-    for n, s in enumerate(shapes):
+    for n, (labels, length) in enumerate(shapes):
         k, v = f"__k{n}", f"__v{n}"
-        df = df.join(listed.select(F.col("key").alias(k), F.col("verdict").alias(v)),
-                     candidate_key(F.col("host"), F.col("path"), s) == F.col(k), "left")
-        found.append(F.when(F.col(k).isNotNull(), _match(F.col(k), F.lit(s[1]), F.col(v))))
+        own = one.filter((F.col("labels") == labels) & (F.col("length") == length)).select(F.col("key").alias(k), F.col("verdict").alias(v))
+        df = df.join(own, candidate_key(F.col("host"), F.col("path"), (labels, length)) == F.col(k), "left")
+        found.append(F.when(F.col(k).isNotNull(), _match(F.col(k), F.lit(length), F.col(v))))
     return _decide(df, kept, found, default)
 
 

@@ -48,3 +48,19 @@ def test_empty_table_and_no_rules(spark):
     pages = spark.createDataFrame([(1, "http://x.com/")], "page_id long, url string")
     assert uf.judge_urls(pages.limit(0)).collect() == []
     assert [(r["rule"], r["verdict"]) for r in uf.judge_urls(pages, ()).collect()] == [(None, "allow")]
+
+
+@pytest.mark.parametrize("max_bytes", [uf.MAX_FILTER_BYTES, 0])
+def test_many_rules_from_a_table(spark, max_bytes):
+    from pyspark.sql import functions as F
+
+    n = 60_000
+    table = spark.range(n).select(F.concat(F.lit("h"), F.col("id").cast("string"), F.lit(".net")).alias("host"),
+                                  F.when(F.col("id") % 2 == 0, "/").otherwise("/a/").alias("path"),
+                                  F.when(F.col("id") % 5 == 0, "allow").otherwise("block").alias("verdict"))
+    table = table.unionByName(table.limit(9)).unionByName(spark.createDataFrame([(None, "/", "block"), ("x.net", None, "block")], "host string, path string, verdict string"))
+    urls = [f"http://{s}h{i}.net/{p}" for i in (0, 1, 2, 3, 5, 59_999, 60_000, 777) for s in ("", "www.") for p in ("", "a/b", "b")]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in uf.judge_urls(pages, table, "other", max_filter_bytes=max_bytes).collect()}
+    rules = [uf.Rule(f"h{i}.net", "/a/" if i % 2 else "/", "block" if i % 5 else "allow") for i in (0, 1, 2, 3, 5, 59_999, 777)]
+    assert got == {i: brute(u, rules, "other")[2:] for i, u in enumerate(urls)}
