@@ -57,12 +57,17 @@ def _versions(spark: SparkSession, name: str, path: str | None) -> str:
     return f"{location.rstrip('/')}/_versions/{table}"
 
 
+#: Names of version folders start so; nothing else is ever deleted beside a table.
+_VERSION = "v-"
+
+
 def _delete_but(spark: SparkSession, folder: str, kept: set[str]) -> None:
-    """Delete the folder's other entries."""
+    """Delete the folder's other versions."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     for status in fs.listStatus(path):
-        if status.getPath().getName() not in kept:
+        name = status.getPath().getName()
+        if name.startswith(_VERSION) and name not in kept:
             fs.delete(status.getPath(), True)
 
 
@@ -127,7 +132,7 @@ def write_table(
         if check:
             check(spark.table(name))
         return int(obs.get["rows"])
-    folder, version = _versions(spark, name, path), f"v-{uuid.uuid4().hex}"
+    folder, version = _versions(spark, name, path), f"{_VERSION}{uuid.uuid4().hex}"
     staged = f"{folder}/{version}"
     used = _location(spark, name).rstrip("/").rsplit("/", 1)[-1] if spark.catalog.tableExists(name) else version
     writer = observed.write.format(fmt)

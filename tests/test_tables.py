@@ -72,6 +72,19 @@ def test_refresh_from_the_table_itself_and_other_columns(spark, ns):
     assert spark.table(name).count() == 2
 
 
+def test_nothing_but_versions_is_deleted_beside_a_table(spark, ns):
+    import os
+
+    path = scratch_path(spark, "shared-folder")
+    os.makedirs(f"{path}/other_table")
+    open(f"{path}/other_table/part.txt", "w").close()
+    for n in (3, 4, 5):
+        catalog.write_table(spark.range(n).toDF("id"), f"{ns}.t", path=path)
+    kept = sorted(os.listdir(path))
+    assert os.path.exists(f"{path}/other_table/part.txt") and len(kept) == 3  # the version in use and the one before
+    assert spark.table(f"{ns}.t").count() == 5
+
+
 def test_partition_overwrite_keeps_the_others(spark, ns):
     name = f"{ns}.p"
     df = spark.range(60).selectExpr("id", "cast(id % 3 as int) AS part")
