@@ -41,7 +41,7 @@ from clinlake.llm.common import release_memory, table
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 #: Distinct words in a worker's newer cache before it becomes the older one.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 50_000
 #: Added to the lowest score for a character without a piece, as in the library.
 UNKNOWN_PENALTY = 10
 
