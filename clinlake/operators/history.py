@@ -14,10 +14,10 @@ which is one catalog change. Readers count a closed partition only up to the
 load that the open table is from, so a load that fails in between leaves the
 history as it was, and doing it again replaces the same partition.
 
-Rows are compared by a 128-bit hash of their values: the snapshot is reduced to
-distinct rows by one shuffle on the hash, and meets the open table by a full
-outer join on it. A row that a third of the snapshot repeats leaves each map
-task once.
+The snapshot and the open table meet in one aggregate by all columns of a row
+(NULLs are equal): one shuffle of distinct rows and numbers, no join, no sort. A
+row that a third of the snapshot repeats leaves each map task once. Tables and
+the scratch copy hold the rows' own columns and numbers, compressed by zstd.
 """
 
 from __future__ import annotations
@@ -29,21 +29,20 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from clinlake.session import delete_path, scratch_path
 from clinlake.sources import catalog
 
-DIGEST = ["row_hash_1", "row_hash_2"]
-OWN = [*DIGEST, "copies", "valid_from", "load", "valid_to"]
+OWN = ["copies", "valid_from", "load", "valid_to"]
+_NOW, _BEFORE, _SINCE = "__copies_now", "__copies_before", "__valid_from"
+_COMPRESSED = {"compression": "zstd"}
 
 
-def row_digest(columns: Sequence[str]) -> list[Column]:
-    """Two independent 64-bit hashes of a row's values; NULLs count with their place."""
-    nulls = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in columns])
-    return [F.xxhash64(F.lit(seed), nulls, *[F.col(c) for c in columns]).alias(name) for seed, name in enumerate(DIGEST)]
-
-
-def _distinct_rows(snapshot: DataFrame) -> DataFrame:
-    """The distinct rows of a snapshot: digest, row (a struct) and copies."""
-    columns = snapshot.columns
-    hashed = snapshot.select(*row_digest(columns), F.struct(*columns).alias("row"))
-    return hashed.groupBy(*DIGEST).agg(F.any_value("row").alias("row"), F.count(F.lit(1)).alias("copies"))
+def _met(snapshot: DataFrame, open_rows: DataFrame | None) -> DataFrame:
+    """Every distinct row of the snapshot and of the open table: its columns, its copies
+    now (0: none) and before (NULL: none), and since which load the open table has it."""
+    columns, none = snapshot.columns, F.lit(None).cast("bigint")
+    rows = snapshot.select(*columns, F.lit(1).cast("bigint").alias(_NOW), none.alias(_BEFORE), none.alias(_SINCE))
+    if open_rows is not None:
+        rows = rows.union(open_rows.select(*columns, F.lit(0).cast("bigint").alias(_NOW), F.col("copies").alias(_BEFORE),
+                                           F.col("valid_from").alias(_SINCE)))
+    return rows.groupBy(*columns).agg(F.sum(_NOW).alias(_NOW), F.max(_BEFORE).alias(_BEFORE), F.max(_SINCE).alias(_SINCE))
 
 
 def last_load(spark: SparkSession, name: str) -> int | None:
@@ -69,34 +68,31 @@ def record_load(snapshot: DataFrame, name: str, load: int, path: str | None = No
     if load <= (before or 0):
         raise ValueError(f"{name}: load {load} does not follow load {before}")
     opened, closed = f"{name}_open", f"{name}_closed"
-    now = _distinct_rows(snapshot)
-    if before is None:
-        old = spark.createDataFrame([], now.select(*DIGEST, F.col("row"), "copies").schema).withColumn("valid_from", F.lit(None).cast("bigint"))
-    else:
-        table = spark.table(opened)
-        if table.columns != [*columns, *DIGEST, "copies", "valid_from", "load"]:
-            raise ValueError(f"{name}: its columns are {table.columns}, not {columns}")
-        old = table.select(*DIGEST, F.struct(*columns).alias("row"), "copies", "valid_from")
-    n, o = now.alias("n"), old.alias("o")
-    same = F.col("n.copies").eqNullSafe(F.col("o.copies"))
-    met = n.join(o, DIGEST, "full").select(
-        *DIGEST, F.coalesce("n.row", "o.row").alias("row"), F.col("n.copies").alias("copies"), F.col("o.copies").alias("copies_before"),
-        F.col("o.valid_from").alias("valid_from"), same.alias("same"))
-    staged = scratch_path(spark, "history")  # both tables come from it: the join runs once
-    met.write.parquet(staged)
-    met = spark.read.schema(met.schema).parquet(staged)
-    ended = met.filter("copies_before is not null and not same").select(
-        "row.*", *DIGEST, F.col("copies_before").alias("copies"), "valid_from", F.lit(load).cast("bigint").alias("valid_to"))
-    current = met.filter("copies is not null").select(
-        "row.*", *DIGEST, "copies", F.when(F.col("same"), F.col("valid_from")).otherwise(F.lit(load)).cast("bigint").alias("valid_from"),
+    open_rows = None
+    if before is not None:
+        open_rows = spark.table(opened)
+        if open_rows.columns != [*columns, "copies", "valid_from", "load"]:
+            raise ValueError(f"{name}: its columns are {open_rows.columns}, not {columns}")
+    met, staged = _met(snapshot, open_rows), None
+    if open_rows is not None:  # both tables come from it: the rows meet once
+        staged = scratch_path(spark, "history")
+        met.write.options(**_COMPRESSED).parquet(staged)
+        met = spark.read.schema(met.schema).parquet(staged)
+    same = F.col(_NOW).eqNullSafe(F.col(_BEFORE))
+    ends = F.col(_BEFORE).isNotNull() & ~same
+    ended = met.filter(ends).select(*columns, F.col(_BEFORE).alias("copies"), F.col(_SINCE).alias("valid_from"), F.lit(load).cast("bigint").alias("valid_to"))
+    current = met.filter(F.col(_NOW) > 0).select(
+        *columns, F.col(_NOW).alias("copies"), F.when(same, F.col(_SINCE)).otherwise(F.lit(load)).cast("bigint").alias("valid_from"),
         F.lit(load).cast("bigint").alias("load"))
     if spark.catalog.tableExists(closed):  # what a failed attempt at this load may have left
         spark.sql(f"ALTER TABLE {closed} DROP IF EXISTS PARTITION (valid_to = {load})")
     folder = f"{path.rstrip('/')}/{name.rsplit('.', 1)[-1]}" if path else None
-    if not ended.isEmpty():
-        catalog.overwrite_partitions(ended, closed, ["valid_to"], path=folder and f"{folder}_closed")
-    rows = catalog.write_table(current, opened, path=folder and f"{folder}_open")
-    counts = met.agg(F.count_if(F.col("same")).alias("unchanged"), F.count_if(F.expr("copies_before is not null and not same")).alias("closed")).first()
+    if staged and not ended.isEmpty():
+        catalog.overwrite_partitions(ended, closed, ["valid_to"], path=folder and f"{folder}_closed", options=_COMPRESSED)
+    rows = catalog.write_table(current, opened, path=folder and f"{folder}_open", options=_COMPRESSED)
+    if not staged:
+        return {"opened": rows, "closed": 0, "unchanged": 0}
+    counts = met.agg(F.count_if(same).alias("unchanged"), F.count_if(ends).alias("closed")).first()
     delete_path(spark, staged)
     return {"opened": rows - counts["unchanged"], "closed": counts["closed"], "unchanged": counts["unchanged"]}
 
@@ -108,10 +104,10 @@ def lifetimes(spark: SparkSession, name: str) -> DataFrame:
         raise RuntimeError(f"{name} has no load")
     now = spark.table(f"{name}_open")
     columns = [c for c in now.columns if c not in OWN]
-    out = now.select(*columns, *DIGEST, "copies", "valid_from", F.lit(None).cast("bigint").alias("valid_to"))
+    out = now.select(*columns, "copies", "valid_from", F.lit(None).cast("bigint").alias("valid_to"))
     if spark.catalog.tableExists(f"{name}_closed"):
         ended = spark.table(f"{name}_closed").filter(F.col("valid_to") <= last)  # a partition filter
-        out = out.unionByName(ended.select(*columns, *DIGEST, "copies", "valid_from", "valid_to"))
+        out = out.unionByName(ended.select(*columns, "copies", "valid_from", "valid_to"))
     return out
 
 

@@ -557,6 +557,13 @@ def q_partition_overwrite(spark, sf_dir):
     return spark.table(f"{ns}.encounters")
 
 
+def _landed(spark, df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once under the shared checkpoint folder and read back, for several uses."""
+    path = scratch_path(spark, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _recorded(spark, ns: str, snapshots: list[DataFrame]) -> str:
     for load, snapshot in enumerate(snapshots, 1):
         history.record_load(snapshot, f"{ns}.bronze", load)
@@ -565,7 +572,7 @@ def _recorded(spark, ns: str, snapshots: list[DataFrame]) -> str:
 
 def q_bronze_as_of(spark, sf_dir):
     """Three loads of conditions, each snapshot as it was (E3): rows leave, change, return and repeat."""
-    c = standins.bronze_conditions(spark, sf_dir)
+    c = _landed(spark, standins.bronze_conditions(spark, sf_dir), "conditions")
     number = _id_number("encounter")
     second = c.filter(number % 7 != 0).withColumn("description", F.when(number % 3 == 0, F.upper("description")).otherwise(F.col("description")))
     name = _recorded(spark, _scratch_namespace(spark), [c.filter(number % 5 != 0), second, c.unionByName(c.filter(number % 11 == 0))])

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -104,6 +104,7 @@ def write_table(
     path: str | None = None,
     partition_by: list[str] | None = None,
     check: Callable[[DataFrame], None] | None = None,
+    options: Mapping[str, str] | None = None,
 ) -> int:
     """Full refresh of ``name`` with ``df``; returns the rows written.
 
@@ -117,15 +118,16 @@ def write_table(
     Where columns or partitioning change, the table is dropped and created
     again over the finished data. ``path`` makes it an external table whose
     versions lie under that folder; on a V2 catalog the catalog places its
-    tables, so a path is an error there. The row count is observed during the write.
+    tables, so a path is an error there. ``options`` go to the writer (compression,
+    say). The row count is observed during the write.
     """
-    spark, partition_by = df.sparkSession, list(partition_by or [])
+    spark, partition_by, options = df.sparkSession, list(partition_by or []), dict(options or {})
     obs = Observation(f"rows:{name}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     if not _is_session_catalog(spark, name):
         if path:
             raise ValueError(f"{name}: its catalog decides where the table lies, not {path}")
-        writer = observed.writeTo(name).using(fmt)
+        writer = observed.writeTo(name).using(fmt).options(**options)
         if partition_by:
             writer = writer.partitionedBy(*[F.col(c) for c in partition_by])
         writer.createOrReplace()
@@ -135,7 +137,7 @@ def write_table(
     folder, version = _versions(spark, name, path), f"{_VERSION}{uuid.uuid4().hex}"
     staged = f"{folder}/{version}"
     used = _location(spark, name).rstrip("/").rsplit("/", 1)[-1] if spark.catalog.tableExists(name) else version
-    writer = observed.write.format(fmt)
+    writer = observed.write.format(fmt).options(**options)
     (writer.partitionBy(*partition_by) if partition_by else writer).save(staged)
     try:
         if check:
@@ -149,7 +151,8 @@ def write_table(
     return int(obs.get["rows"])
 
 
-def overwrite_partitions(df: DataFrame, name: str, partition_by: list[str], fmt: str = "parquet", path: str | None = None) -> int:
+def overwrite_partitions(df: DataFrame, name: str, partition_by: list[str], fmt: str = "parquet", path: str | None = None,
+                         options: Mapping[str, str] | None = None) -> int:
     """Replace the partitions of ``name`` that ``df`` has rows for; returns the rows written.
 
     Other partitions keep their files. A table that does not exist is written as
@@ -157,9 +160,9 @@ def overwrite_partitions(df: DataFrame, name: str, partition_by: list[str], fmt:
     first (Spark's rebalance, which splits large ones), so that no task writes
     small files into all of them.
     """
-    spark = df.sparkSession
+    spark, options = df.sparkSession, dict(options or {})
     if not spark.catalog.tableExists(name):
-        return write_table(df, name, fmt, path, partition_by)
+        return write_table(df, name, fmt, path, partition_by, options=options)
     columns = spark.table(name).columns
     if sorted(columns) != sorted(df.columns):
         raise ValueError(f"{name} has the columns {columns}, not {df.columns}")
@@ -167,12 +170,12 @@ def overwrite_partitions(df: DataFrame, name: str, partition_by: list[str], fmt:
     dealt = df.select(*columns).hint("rebalance", *[F.col(c) for c in partition_by])
     observed = dealt.observe(obs, F.count(F.lit(1)).alias("rows"))
     if _is_session_catalog(spark, name):  # by its folder: inserts into these tables do not take the mode as an option
-        writer = observed.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer = observed.write.format(fmt).options(**options).mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(*partition_by).save(_location(spark, name))
         spark.catalog.recoverPartitions(name)
         spark.catalog.refreshTable(name)
     else:
-        observed.writeTo(name).overwritePartitions()
+        observed.writeTo(name).options(**options).overwritePartitions()
     return int(obs.get["rows"])
 
 

@@ -195,3 +195,14 @@ def test_a_load_that_fails_half_way_can_be_done_again(spark, ns, monkeypatch):
     history.record_load(second, name, 3)  # done again, with other rows: nothing of the failed attempt is left
     assert history.changes(spark, name, 3, ["k"]).count() == 0
     assert bag(history.as_of(spark, name, 3).collect()) == bag(LOADS[1])
+
+
+def test_a_load_is_one_aggregate_and_stores_no_hashes(spark, ns):
+    name, df = f"{ns}.h", spark.range(100).selectExpr("id AS k", "concat('v', id % 3) AS v")
+    history.record_load(df, name, 1)
+    history.record_load(df.filter("k > 9"), name, 2)
+    assert spark.table(f"{name}_open").columns == ["k", "v", "copies", "valid_from", "load"]
+    assert sorted(spark.table(f"{name}_closed").columns) == ["copies", "k", "v", "valid_from", "valid_to"]
+    plan = history._met(df, spark.table(f"{name}_open"))._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "SortAggregate" not in plan
+    assert plan.split("== Initial Plan ==")[-1].count("Exchange hashpartitioning") == 1
