@@ -1,9 +1,11 @@
 """Exact distinct counts that can be rolled up without reading the facts again.
 
 Keys are numbered once; a group's keys are then bitmaps, one for each
-2**15 numbers (Spark's ``bitmap_construct_agg``), that tasks build and Spark
-merges. Months become years, or a group all groups, by OR-ing bitmaps. A hot
-group leaves each map task as at most one bitmap for each bucket of numbers.
+2**15 numbers (Spark's ``bitmap_construct_agg``). A bitmap is built whole in one
+task from the distinct numbers of its group and bucket, 2**15 at most: facts are
+reduced to distinct (group, number) first, and what is moved are numbers, not a
+sparse bitmap from every task. Months become years, or a group all groups, by
+OR-ing bitmaps.
 """
 
 from __future__ import annotations
@@ -27,9 +29,10 @@ def numbered_keys(keys: DataFrame, key: str) -> DataFrame:
 
 def key_bitmaps(facts: DataFrame, numbers: DataFrame, key: str, by: Sequence[str], salt_by: Sequence[str] | None = None) -> DataFrame:
     """(by, bucket, bitmap): the keys of each group's facts. Facts without a numbered key are left out."""
-    joined = join_facts(facts, numbers, key, salt_by=salt_by)
-    return joined.groupBy(*by, F.bitmap_bucket_number("number").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bitmap"))
+    # no broadcast: Spark judges it by the file of numbers, which the join repeats for every salt
+    joined = join_facts(facts, numbers.hint("merge"), key, salt_by=salt_by)
+    distinct = joined.select(*by, F.bitmap_bucket_number("number").alias("bucket"), F.bitmap_bit_position("number").alias("__bit")).distinct()
+    return distinct.repartition(*by, "bucket").groupBy(*by, "bucket").agg(F.bitmap_construct_agg("__bit").alias("bitmap"))
 
 
 def distinct_from_bitmaps(bitmaps: DataFrame, by: Sequence[str], count_as: str = "distinct_keys") -> DataFrame:

@@ -506,9 +506,9 @@ def q_distinct_patients_rollup(spark, sf_dir):
     """Distinct patients by description and month, by description and year, and by year,
     from one state of bitmaps (A5)."""
     s = silver_tables(spark, sf_dir)
-    facts = s["encounters"].select("encounter_id", "patient_id", "encounter_description", F.year("encounter_start").alias("year"),
-                                   F.month("encounter_start").alias("month"))
-    numbers = numbered_keys(s["encounters"].select("patient_id"), "patient_id")
+    facts = _landed(spark, s["encounters"].select(
+        "encounter_id", "patient_id", "encounter_description", F.year("encounter_start").alias("year"), F.month("encounter_start").alias("month")), "facts")
+    numbers = numbered_keys(facts.select("patient_id"), "patient_id")
     state = key_bitmaps(facts, numbers, "patient_id", ["encounter_description", "year", "month"], salt_by=["encounter_id"])
     path = scratch_path(spark, "bitmaps")
     files.write_parquet(state, path)

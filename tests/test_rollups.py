@@ -53,3 +53,14 @@ def test_bitmap_counts_roll_up_exactly(spark):
         got = {tuple(r[c] for c in by): r["distinct_keys"] for r in distinct_from_bitmaps(state, by).collect()}
         assert got == {key: len(own) for key, own in sets.items()}
     state.unpersist()
+
+
+def test_a_bitmap_is_built_whole_in_one_task(spark):
+    """No sparse bitmap leaves a task to be merged: facts are reduced to distinct numbers first."""
+    facts = spark.range(2000).selectExpr("id", "cast(id % 500 as string) AS k", "id % 3 AS g")
+    state = key_bitmaps(facts, numbered_keys(facts, "k"), "k", ["g"], salt_by=["id"])
+    plan = state._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    built = plan.index("bitmap_construct_agg")
+    assert "Exchange" not in plan[built:plan.rindex("bitmap_construct_agg")]
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+    assert "partial_bitmap" in plan and plan.count("Exchange hashpartitioning(g") == 2
