@@ -29,6 +29,9 @@ def as_date(df: DataFrame, name: str) -> Column:
 # A time of day followed by an explicit zone offset at the end of the text.
 _OFFSET_SUFFIX = r"(?i)\d{1,2}:\d{2}(:\d{2}(\.\d*)?)?\s*(z|utc|gmt|[+-]\d{1,2}(:?\d{2})?)$"
 
+# What the last six characters of such a text must hold; far cheaper to look for.
+_OFFSET_SIGN = r"[-+A-Za-z]"
+
 
 def as_timestamp(df: DataFrame, name: str) -> Column:
     """Column ``name`` as TIMESTAMP_NTZ (session-zone wall clock).
@@ -44,8 +47,9 @@ def as_timestamp(df: DataFrame, name: str) -> Column:
     if isinstance(dtype, (T.TimestampType, T.DateType)):
         return col.cast("timestamp_ntz")
     text = F.trim(col.cast("string"))
+    zoned = F.substring(text, -6, 6).rlike(_OFFSET_SIGN) & text.rlike(_OFFSET_SUFFIX)
     return F.when(
-        text.rlike(_OFFSET_SUFFIX), F.try_to_timestamp(text).cast("timestamp_ntz")
+        zoned, F.try_to_timestamp(text).cast("timestamp_ntz")
     ).otherwise(text.try_cast("timestamp_ntz"))
 
 

@@ -65,16 +65,19 @@ def symptom_onsets(
     desc = F.col("condition_description")
     start = F.col("condition_start_date")
     coded = F.col("condition_code").isin(*cohort_spec.condition_codes)
-    keyword = desc.rlike(f"(?i)({symptom_spec.filter_pattern})")
+    keyword = F.coalesce(desc.rlike(f"(?i)({symptom_spec.filter_pattern})"), F.lit(False))
+    # each text is searched once: what a row is comes first, all else reads these columns
+    judged = conditions.select(
+        "patient_id", start.alias("__start"), coded.alias("__coded"),
+        F.when(keyword, F.struct(first_match_label(desc, symptom_spec.labels).alias("category"))).alias("__match"),
+    )
+    keyword = F.col("__match").isNotNull()
     per_group = (
-        conditions.filter(coded | keyword)
-        .groupBy(
-            "patient_id",
-            F.when(keyword, first_match_label(desc, symptom_spec.labels)).alias("condition_category"),
-        )
+        judged.filter(F.col("__coded") | keyword)
+        .groupBy("patient_id", F.col("__match.category").alias("condition_category"))
         .agg(
-            F.min(F.when(coded, start)).alias("first_coded"),
-            F.max(F.when(keyword, start)).alias("last_start"),
+            F.min(F.when(F.col("__coded"), F.col("__start"))).alias("first_coded"),
+            F.max(F.when(keyword, F.col("__start"))).alias("last_start"),
         )
     )
     by_patient = Window.partitionBy("patient_id")

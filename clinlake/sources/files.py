@@ -5,10 +5,10 @@ from __future__ import annotations
 import csv
 from collections.abc import Iterator, Mapping
 from functools import reduce
+from itertools import islice
 from urllib.parse import unquote
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from clinlake import schemas
@@ -31,17 +31,12 @@ def _headers(spark: SparkSession, path: str) -> dict[str, tuple[str, ...]]:
     own = spark.newSession()  # these settings are for this read only
     for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
         own.conf.set(key, _WHOLE_FILE)
-    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
 
-    def first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i, line in enumerate(batch.column(0).to_pylist()):
-                if line.strip("\ufeff \t\r"):
-                    yield batch.slice(i, 1)
-                    return
+    def first_line(rows: Iterator[Row]) -> Iterator[Row]:
+        return islice((row for row in rows if row["value"].strip("\ufeff \t\r")), 1)
 
     lines = own.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
-    found = lines.mapInArrow(first_line, "value string, file string").collect()  # a line for each file
+    found = lines.rdd.mapPartitions(first_line).collect()  # a line for each file
 
     def names(line: str) -> tuple[str, ...]:
         row = next(csv.reader([line.removeprefix("\ufeff")], escapechar="\\"))

@@ -22,6 +22,8 @@ rows: the ``%`` expressions below only decide which rows carry dirty values.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clinlake.specs import AnalysisSpec, CohortSpec, PathwaySpec, AdmissionSpec, SymptomSpec
@@ -287,14 +289,16 @@ def land_sources(spark: SparkSession, sf_dir: str, root: str) -> tuple[dict[str,
     Parquet. Returns (csv_paths by entity, observations path)."""
     from clinlake.sources import files
 
-    csv_paths = {}
-    for entity, df in (
-        ("patients", bronze_patients(spark, sf_dir)),
-        ("encounters", bronze_encounters(spark, sf_dir)),
-        ("conditions", bronze_conditions(spark, sf_dir)),
-    ):
-        csv_paths[entity] = f"{root}/landing/{entity}"
-        files.write_csv(df, csv_paths[entity], entity=entity)
+    entities = {
+        "conditions": bronze_conditions(spark, sf_dir),
+        "encounters": bronze_encounters(spark, sf_dir),
+        "patients": bronze_patients(spark, sf_dir),
+    }
+    csv_paths = {entity: f"{root}/landing/{entity}" for entity in entities}
     obs_path = f"{root}/landing/observations"
-    files.write_parquet(bronze_observations(spark, sf_dir), obs_path)
-    return csv_paths, obs_path
+    jobs = [lambda e=e, df=df: files.write_csv(df, csv_paths[e], entity=e) for e, df in entities.items()]
+    jobs.append(lambda: files.write_parquet(bronze_observations(spark, sf_dir), obs_path))
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:  # independent writes, so that no one's last tasks leave cores idle
+        for job in [pool.submit(job) for job in jobs]:
+            job.result()
+    return {e: csv_paths[e] for e in ("patients", "encounters", "conditions")}, obs_path

@@ -108,3 +108,13 @@ def test_timestamps_keep_wall_clock_in_any_session_zone(spark):
         dt.datetime(2020, 3, 1, 0, 0),
         None,
     ]
+
+
+def test_a_time_without_a_sign_at_its_end_is_not_searched_for_an_offset(spark):
+    from clinlake.functions import as_timestamp
+
+    texts = ["1994-01-02T00:00:00Z", "1994-01-02 10:00:00+02", "1994-01-02 10:00:00 -1", "1994-01-02 10:00:00", "1994-01-02", "soon", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    out = [str(r[0]) for r in df.select(as_timestamp(df, "t")).collect()]
+    assert out == ["1994-01-02 00:00:00", "1994-01-02 08:00:00", "1994-01-02 11:00:00", "1994-01-02 10:00:00", "1994-01-02 00:00:00", "None", "None", "None"]
+    assert "-6, 6" in df.select(as_timestamp(df, "t"))._jdf.queryExecution().analyzed().toString()

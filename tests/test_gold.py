@@ -2,6 +2,7 @@ import datetime as dt
 from decimal import Decimal
 
 from clinlake.plans import gold, silver
+from clinlake.specs import SymptomSpec
 
 from fixtures import small_world
 
@@ -97,3 +98,11 @@ def test_pathway_reads_bronze_facts(spark):
     row = gold.pathway_summary(m, enc, cond).collect()[0]
     # the condition has no encounter (Silver drops it) but still flags p3; the padded id still matches
     assert row["ventilation_cases"] == 2
+
+
+def test_symptom_onsets_searches_a_text_no_more_than_it_must(spark):
+    """The keyword pattern is met in the filter and once more for what it lets through."""
+    c = spark.createDataFrame([("p", None, None, "x", "Gizmo")], "patient_id string, encounter_id string, condition_start_date date, "
+                              "condition_code string, condition_description string")
+    plan = gold.symptom_onsets(c, symptom_spec=SymptomSpec(filter_pattern="gizmo|rod", labels=(("A", "gizmo"), ("B", "rod"))))
+    assert plan._jdf.queryExecution().optimizedPlan().toString().count("gizmo|rod") == 2
