@@ -10,6 +10,7 @@ combines the hashes of its words by random odd factors and the mixer.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import xxhash
@@ -17,6 +18,8 @@ import xxhash
 WORDS = 5
 #: Bytes hashed at once; longer texts are cut at white space, longer words hashed whole.
 PIECE = 1 << 20
+#: Bytes of texts that are hashed together: few calls for short texts, arrays that a core's cache holds.
+TOGETHER = 1 << 17
 
 _RNG = np.random.Generator(np.random.PCG64(77))
 _WORD_PLACE = _RNG.integers(1, 1 << 63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -31,38 +34,48 @@ _FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
-def _eights(data: bytes) -> np.ndarray:
-    """The eight bytes from every position on, as little-endian numbers (zeros beyond the end)."""
-    raw = data + bytes(15 - (len(data) + 7) % 8)
-    out = np.empty(len(raw) - 7, np.uint64)
-    for k in range(8):
-        part = np.frombuffer(raw, "<u8", count=(len(raw) - k) // 8, offset=k)
-        out[k::8] = part[:len(out[k::8])]
-    return out
+def _lane_keys(lane: np.ndarray) -> np.ndarray:
+    return _mix(lane.astype(np.uint64) * np.uint64(_STEP) + np.uint64(_KEY))
+
+
+_FIRST_KEY = _lane_keys(np.zeros(1, np.int64))
+
+
+def _hash_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of ``data`` start, and their hashes."""
+    space = np.ones(len(data) + 2, bool)
+    np.take(_SPACE, np.frombuffer(data, np.uint8), out=space[1:-1], mode="clip")
+    edge = np.flatnonzero(space[1:] != space[:-1])
+    starts, sizes = edge[::2], edge[1::2] - edge[::2]
+    # the eight bytes from every position on, as little-endian numbers (zeros beyond the end)
+    eights = np.ndarray((len(data),), "<u8", buffer=data + bytes(8), strides=(1,))
+    sums = _mix((eights[starts] & _FIRST[np.minimum(sizes, 8)]) ^ _FIRST_KEY)
+    long = np.flatnonzero(sizes > 8)
+    if len(long):  # their further lanes
+        lanes = (sizes[long] - 1) // 8
+        first = np.cumsum(lanes) - lanes
+        lane = 1 + np.arange(int(lanes.sum())) - np.repeat(first, lanes)
+        read = eights[np.repeat(starts[long], lanes) + 8 * lane] & _FIRST[np.minimum(np.repeat(sizes[long], lanes) - 8 * lane, 8)]
+        sums[long] += np.add.reduceat(_mix(read ^ _lane_keys(lane)), first)
+    return starts, _mix(sums ^ (sizes.astype(np.uint64) * np.uint64(_STEP)))
 
 
 def _hash_piece(data: bytes) -> np.ndarray:
-    b = np.frombuffer(data, np.uint8)
-    edge = np.diff(np.concatenate([[True], _SPACE[b], [True]]).astype(np.int8))
-    starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    sizes = ends - starts
-    lanes = (sizes + 7) // 8
-    first = np.cumsum(lanes) - lanes
-    lane = np.arange(int(lanes.sum())) - np.repeat(first, lanes)
-    read = _eights(data)[np.repeat(starts, lanes) + 8 * lane] & _FIRST[np.minimum(np.repeat(sizes, lanes) - 8 * lane, 8)]
-    key = _mix(lane.astype(np.uint64) * np.uint64(_STEP) + np.uint64(_KEY))
-    sums = np.add.reduceat(_mix(read ^ key), first)
-    return _mix(sums ^ (sizes.astype(np.uint64) * np.uint64(_STEP)))
+    return _hash_words(data)[1]
+
+
+def _lowered(text: str | None) -> bytes:
+    return (text or "").encode("utf-8", "surrogatepass").translate(_LOWER)
 
 
 def word_hashes(text: str | None) -> np.ndarray:
-    data = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER)
+    data = _lowered(text)
     if len(data) <= PIECE:
         return _hash_piece(data)
     out, at = [], 0
@@ -83,14 +96,54 @@ def word_hashes(text: str | None) -> np.ndarray:
     return np.concatenate(out)
 
 
+def _mixed_runs(w: np.ndarray, n: int) -> np.ndarray:
+    """The hashes of every run of ``n`` of the words with these hashes."""
+    total = np.full(len(w) - n + 1, n, np.uint64)
+    for i in range(n):
+        total += w[i:len(w) - n + 1 + i] * _WORD_PLACE[i]
+    return _mix(total)
+
+
+def _distinct(hashes: np.ndarray) -> np.ndarray:
+    hashes = np.sort(hashes)
+    new = np.ones(len(hashes), bool)
+    np.not_equal(hashes[1:], hashes[:-1], out=new[1:])
+    return hashes[new]
+
+
 def shingle_set(text: str | None, words: int = WORDS) -> np.ndarray:
     """Ascending distinct hashes (uint64) of the text's shingles: every run of
     ``words`` words, or all words as one where there are fewer; empty without words."""
     w = word_hashes(text)
     n = min(words, len(w))
-    if not n:
-        return np.zeros(0, np.uint64)
-    total = np.full(len(w) - n + 1, n, np.uint64)
-    for i in range(n):
-        total += w[i:len(w) - n + 1 + i] * _WORD_PLACE[i]
-    return np.unique(_mix(total))
+    return _distinct(_mixed_runs(w, n)) if n else np.zeros(0, np.uint64)
+
+
+def shingle_sets(texts: Iterable[str | None], words: int = WORDS) -> Iterator[np.ndarray]:
+    """``shingle_set`` of each text; short ones are hashed together."""
+    held: list[bytes] = []
+    size = 0
+    for text in texts:
+        data = _lowered(text)
+        if size + len(data) > TOGETHER and held:
+            yield from _sets_together(held, words)
+            held, size = [], 0
+        if len(data) > TOGETHER:
+            yield shingle_set(text, words)
+        else:
+            held.append(data)
+            size += len(data) + 1
+    yield from _sets_together(held, words)
+
+
+def _sets_together(texts: list[bytes], words: int) -> Iterator[np.ndarray]:
+    starts, w = _hash_words(b" ".join(texts))
+    ends = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts])).tolist()
+    runs = _mixed_runs(w, words) if len(w) >= words else None
+    for first, end in zip([0, *ends], ends):
+        if end - first >= words:
+            yield _distinct(runs[first:end - words + 1])
+        elif end > first:
+            yield _mixed_runs(w[first:end], end - first)
+        else:
+            yield np.zeros(0, np.uint64)

@@ -110,3 +110,58 @@ def test_components_of_chains_and_stars(spark):
     df = spark.createDataFrame(edges, "a long, b long")
     got = {r["node"]: r["root"] for r in components(df).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 140)}, 200: 200, 201: 200}
+
+
+def test_a_shingle_that_few_sets_of_a_portion_share_is_counted(spark):
+    """A shingle of one set in three hundred grows with the table, so it must be found and come last."""
+    passage = " ".join(f"common{i}" for i in range(5))
+    rows = [(i, " ".join(f"own{i}x{k}" for k in range(40)) + (f" {passage}" if i % 300 == 0 else "")) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    named = {r["token"]: r["count"] for r in jj.profile(docs).filter("token is not null").collect()}
+    token = int(shingles.shingle_set(passage).view("int64")[0])
+    assert named == {token: 3}
+    sets = {tuple(r["prefix"]) for r in jj._prefixes(docs, np.array([token], "int64").view("uint64")).collect()}
+    assert all(token not in prefix for prefix in sets)
+
+
+def test_frequent_shingles_come_last_in_their_order(spark):
+    text = " ".join(f"w{i}" for i in range(14))  # 10 shingles, a prefix of 3
+    tokens = shingles.shingle_set(text)
+    heavy = np.concatenate([tokens[5:], tokens[:4]])
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    prefix = jj._prefixes(docs, heavy).first()["prefix"]
+    assert np.array(prefix, "int64").view("uint64").tolist() == [tokens[4], tokens[5], tokens[6]]
+
+
+def test_partners_are_those_of_all_pairs():
+    rng = np.random.default_rng(5)
+    pool = rng.integers(0, 1 << 63, 900, dtype=np.uint64)
+    for share in (1.0, 0.3, 0.0):
+        sets = []
+        for _ in range(60):
+            base = pool[:int(rng.integers(1, 500))]
+            sets.append(np.unique(np.concatenate([base, rng.integers(0, 1 << 63, int(rng.integers(0, len(base) // 3 + 1)), dtype=np.uint64)])))
+        bits, probe = [jj.bitmap(s) for s in sets], rng.random(60) < share
+        if not share:
+            probe[0] = True
+        whole = [(int.from_bytes(b, "little"), 8 * len(b)) for b in bits]
+        want = [any(j != i and (probe[i] or probe[j]) and jj.may_link(len(sets[i]), *whole[i], len(sets[j]), *whole[j]) for j in range(60)) for i in range(60)]
+        assert jj.possible_partners(np.array([len(s) for s in sets]), bits, probe).tolist() == want and any(want)
+
+
+def test_a_group_of_copies_is_walked_once():
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
+    sets = [np.unique(np.append(base, rng.integers(0, 1 << 63, 3, dtype=np.uint64))) for _ in range(60)]
+    forest, asked, found = jj._Forest(len(sets)), [], []
+
+    def same(i, j):
+        asked.append(np.ndim(j))
+        return forest.same(i, j)
+
+    def link(i, j):
+        forest.join(i, j)
+        found.append((i, j))
+
+    jj.tree_links(sets, list(range(len(sets))), same, link)
+    assert len(found) == 59 and len(asked) <= 3 * len(sets)  # all pairs: 60 x 59

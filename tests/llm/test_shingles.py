@@ -4,7 +4,8 @@ import re
 import numpy as np
 
 from clinlake.llm import jaccard_join as jj
-from clinlake.llm.shingles import PIECE, shingle_set, word_hashes
+from clinlake.llm import shingles
+from clinlake.llm.shingles import PIECE, shingle_set, shingle_sets, word_hashes
 
 
 def complements(doublings):
@@ -53,3 +54,13 @@ def test_sets_that_share_a_class_name_are_told_apart(spark):
     assert named[1] == named[2] == 5 and named[3] not in (5, 6) and named[4] == 6
     first, second = jj.class_key(np.arange(5, dtype="uint64")), jj.class_key(np.arange(6, dtype="uint64"))
     assert first != second and all(-(2**63) <= half < 2**63 for half in (*first, *second))
+
+
+def test_texts_hashed_together_have_their_own_sets(monkeypatch):
+    rnd = random.Random(4)
+    texts = ["".join(rnd.choices("abcdÉ日 \t\n", weights=[9, 9, 9, 9, 2, 2, 9, 1, 1], k=rnd.choice([0, 1, 8, 60, 400]))) for _ in range(400)]
+    texts += [None, "", " ", "one two three four", "x" * 300, "same words same words same words same words"]
+    for together in (shingles.TOGETHER, 50, 500):
+        monkeypatch.setattr(shingles, "TOGETHER", together)
+        got = list(shingle_sets(texts))
+        assert len(got) == len(texts) and all(np.array_equal(s, shingle_set(t)) for s, t in zip(got, texts))
