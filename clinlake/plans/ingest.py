@@ -27,13 +27,13 @@ def rejected_path(raw_path: str) -> str:
     return f"{folder}/_rejected/{entity}"
 
 
-def csv_to_raw(spark: SparkSession, path: str, entity: str, raw_path: str) -> int:
-    """An entity CSV as Raw Parquet; returns the rows. Values that did not fit
+def csv_to_raw(spark: SparkSession, path: str, entity: str, raw_path: str, options: Mapping[str, str] | None = None) -> int:
+    """An entity CSV as Raw Parquet (``options`` go to its writer); returns the rows. Values that did not fit
     their column's type become NULL and are counted in the same pass. Only if
     there are any, the files are read again for their rows, which go to
     ``rejected_path`` as Parquet; what an earlier run left there goes."""
     seen = Observation(f"csv:{entity}")
-    rows = files.write_parquet(files.read_csv(spark, path, entity, seen), raw_path)
+    rows = files.write_parquet(files.read_csv(spark, path, entity, seen), raw_path, options=options)
     lost = {k: v for k, v in seen.get.items() if k.startswith("nullified_") and v}
     kept = rejected_path(raw_path)
     if lost:
@@ -70,9 +70,9 @@ def load_csv_to_db(
     return counts
 
 
-def land_raw(sources: Mapping[str, DataFrame], raw_dir: str) -> dict[str, int]:
+def land_raw(sources: Mapping[str, DataFrame], raw_dir: str, options: Mapping[str, str] | None = None) -> dict[str, int]:
     """Write each source DataFrame to ``raw_dir/<name>`` as Parquet (overwrite)."""
-    return {name: files.write_parquet(df, f"{raw_dir.rstrip('/')}/{name}") for name, df in sources.items()}
+    return {name: files.write_parquet(df, f"{raw_dir.rstrip('/')}/{name}", options=options) for name, df in sources.items()}
 
 
 # Column each entity table is split on for parallel hash-bucket reads.
@@ -85,6 +85,7 @@ def extract_db_to_raw(
     tables=ENTITIES,
     hash_buckets: int = jdbc.DEFAULT_BUCKETS,
     hash_columns: Mapping[str, str] | None = None,
+    options: Mapping[str, str] | None = None,
     **jdbc_kwargs,
 ) -> dict[str, int]:
     """DB tables -> Raw Parquet. Each table is read by ``hash_buckets`` parallel
@@ -99,4 +100,4 @@ def extract_db_to_raw(
         )
         for t in tables
     }
-    return land_raw(dfs, raw_dir)
+    return land_raw(dfs, raw_dir, options)

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clinlake.operators.checks import ContentCheck
 from clinlake.plans import gold, ingest, silver
+from clinlake.session import delete_path, freed_shuffles
 from clinlake.sources import catalog, files
 from clinlake.specs import AnalysisSpec
 
@@ -39,6 +40,14 @@ class PipelineConfig:
     reconcile: tuple[str, ...] = ("covid_clinical_master",)
     # independent tables of one stage written by concurrent Spark jobs
     concurrent_writes: int = 4
+    # codec of the Parquet or ORC files of all layers (None: the session's)
+    compression: str | None = "zstd"
+    # sources and Raw files go once the next layer is written: for runs on copies
+    drop_read: bool = False
+
+
+def _options(cfg: PipelineConfig, fmt: str) -> dict[str, str]:
+    return {"compression": cfg.compression} if cfg.compression and fmt in ("parquet", "orc") else {}
 
 
 def _loc(cfg: PipelineConfig, ns: str, name: str) -> str | None:
@@ -52,9 +61,10 @@ def _ns(spark: SparkSession, cfg: PipelineConfig, ns: str) -> None:
 
 def _write(spark: SparkSession, cfg: PipelineConfig, df: DataFrame, ns: str, name: str) -> int:
     if name not in cfg.reconcile:
-        return catalog.write_table(df, f"{ns}.{name}", fmt=cfg.fmt, path=_loc(cfg, ns, name))
+        return catalog.write_table(df, f"{ns}.{name}", fmt=cfg.fmt, path=_loc(cfg, ns, name), options=_options(cfg, cfg.fmt))
     content = ContentCheck(name, df.columns)
-    return catalog.write_table(content.observed(df), f"{ns}.{name}", fmt=cfg.fmt, path=_loc(cfg, ns, name), check=content.check)
+    return catalog.write_table(content.observed(df), f"{ns}.{name}", fmt=cfg.fmt, path=_loc(cfg, ns, name), check=content.check,
+                               options=_options(cfg, cfg.fmt))
 
 
 def _concurrently(cfg: PipelineConfig, jobs: dict[str, Callable[[], int]]) -> dict[str, int]:
@@ -71,12 +81,12 @@ def stage_raw(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
     raw = cfg.raw_dir.rstrip("/")
     if cfg.csv_paths:
         jobs = {
-            e: (lambda e=e, p=p: ingest.csv_to_raw(spark, p, e, f"{raw}/{e}"))
+            e: (lambda e=e, p=p: ingest.csv_to_raw(spark, p, e, f"{raw}/{e}", _options(cfg, "parquet")))
             for e, p in cfg.csv_paths.items()
         }
         return _concurrently(cfg, jobs)
     if cfg.jdbc:
-        return ingest.extract_db_to_raw(spark, cfg.raw_dir, **cfg.jdbc)
+        return ingest.extract_db_to_raw(spark, cfg.raw_dir, options=_options(cfg, "parquet"), **cfg.jdbc)
     raise ValueError("configure csv_paths or jdbc as the source")
 
 
@@ -153,14 +163,27 @@ def stage_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
 STAGES = (("raw", stage_raw), ("bronze", stage_bronze), ("silver", stage_silver), ("gold", stage_gold))
 
 
+def _drop_read(spark: SparkSession, cfg: PipelineConfig, stage: str) -> None:
+    """What a stage was the last to read; values that did not fit stay beside Raw."""
+    read = {"raw": list((cfg.csv_paths or {}).values()),
+            "bronze": [*[f"{cfg.raw_dir.rstrip('/')}/{t}" for t in ingest.ENTITIES], *[cfg.observations_raw] * bool(cfg.observations_raw)]}
+    for path in read.get(stage, ()):
+        delete_path(spark, path)
+
+
 def run_medallion(spark: SparkSession, cfg: PipelineConfig, stages=None) -> DataFrame:
-    """Run the stages in order; returns (stage, table_name, row_count) as a DataFrame."""
+    """Run the stages in order; returns (stage, table_name, row_count) as a DataFrame.
+
+    Every table is written by one execution, whose shuffle files go when it ends."""
     rows = []
-    for name, fn in STAGES:
-        if stages and name not in stages:
-            continue
-        for table, n in fn(spark, cfg).items():
-            rows.append((name, table, int(n)))
+    with freed_shuffles(spark):
+        for name, fn in STAGES:
+            if stages and name not in stages:
+                continue
+            for table, n in fn(spark, cfg).items():
+                rows.append((name, table, int(n)))
+            if cfg.drop_read:
+                _drop_read(spark, cfg, name)
     return spark.createDataFrame(rows, "stage string, table_name string, row_count bigint")
 
 
@@ -170,6 +193,16 @@ def drop_scratch(spark: SparkSession, cfg: PipelineConfig) -> None:
         spark.sql(f"DROP NAMESPACE IF EXISTS {ns} CASCADE")
 
 
+def keep_only(spark: SparkSession, cfg: PipelineConfig, ns: str, name: str) -> None:
+    """Drop all tables of a scratch configuration but one, with their files."""
+    for other in {cfg.bronze_ns, cfg.silver_ns, cfg.gold_ns} - {ns}:
+        spark.sql(f"DROP NAMESPACE IF EXISTS {other} CASCADE")
+    for table in [r["tableName"] for r in catalog.list_tables(spark, ns).collect()]:
+        if table != name:
+            catalog.drop_table(spark, f"{ns}.{table}")
+            delete_path(spark, _loc(cfg, ns, table))
+
+
 def scratch_config(spark: SparkSession, root: str, **kwargs) -> PipelineConfig:
     """A config whose namespaces and tables all live under ``root`` (a fresh
     folder under the shared checkpoint location), for isolated runs."""

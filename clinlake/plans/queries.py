@@ -678,7 +678,7 @@ def _medallion(spark, sf_dir, stages: tuple[str, ...], observations: bool = True
     root = scratch_path(spark, "q15")
     csv_paths, obs_path = standins.land_sources(spark, sf_dir, root)
     cfg = medallion.scratch_config(spark, root, csv_paths=csv_paths, observations_raw=obs_path if observations else None,
-                                   spec=STANDIN_SPEC, as_of=AS_OF)
+                                   spec=STANDIN_SPEC, as_of=AS_OF, drop_read=True)
     return cfg, medallion.run_medallion(spark, cfg, stages)
 
 
@@ -701,7 +701,8 @@ def _table_of_run(layer: str, name: str, observations: bool = True) -> Callable[
 
     def query(spark, sf_dir):
         cfg, _ = _medallion(spark, sf_dir, ("raw", "bronze", "silver", "gold")[:last], observations)
-        return spark.table(f"{getattr(cfg, f'{layer}_ns')}.{name}")
+        medallion.keep_only(spark, cfg, ns := getattr(cfg, f"{layer}_ns"), name)
+        return spark.table(f"{ns}.{name}")
 
     return query
 

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Iterator, Mapping
+from collections.abc import Mapping
 from functools import reduce
-from itertools import islice
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from clinlake import schemas
@@ -27,16 +26,14 @@ _WHOLE_FILE = str(1 << 59)
 
 def _headers(spark: SparkSession, path: str) -> dict[str, tuple[str, ...]]:
     """The header of every file under ``path``, in one job: a task for each file
-    takes its first line that is not blank and leaves the rest unread."""
+    gives its first line that is not blank (numbered 0 in its task)."""
     own = spark.newSession()  # these settings are for this read only
     for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
         own.conf.set(key, _WHOLE_FILE)
 
-    def first_line(rows: Iterator[Row]) -> Iterator[Row]:
-        return islice((row for row in rows if row["value"].strip("\ufeff \t\r")), 1)
-
-    lines = own.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
-    found = lines.rdd.mapPartitions(first_line).collect()  # a line for each file
+    lines = own.read.text(path).filter(F.btrim("value", F.lit("\ufeff \t\r")) != "")
+    lines = lines.select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"))
+    found = lines.filter(F.col("at").bitwiseAND((1 << 33) - 1) == 0).collect()  # a line for each file
 
     def names(line: str) -> tuple[str, ...]:
         row = next(csv.reader([line.removeprefix("\ufeff")], escapechar="\\"))
@@ -133,11 +130,12 @@ def read_csv(spark: SparkSession, path: str, entity: str, observation: Observati
     return both.drop(*[f"__text_{f.name}" for f in checked])
 
 
-def write_csv(df: DataFrame, path: str, entity: str | None = None, mode: str = "overwrite") -> None:
+def write_csv(df: DataFrame, path: str, entity: str | None = None, mode: str = "overwrite",
+              options: Mapping[str, str | int] | None = None) -> None:
     """Write CSV with a header; with ``entity``, source names become CSV headers.
 
     Leading/trailing spaces are kept (Spark trims them by default on write),
-    so padded identifiers survive a round trip.
+    so padded identifiers survive a round trip. ``options`` go to the writer.
     """
     if entity:
         df = rename_columns(df, {v: k for k, v in schemas.RENAME_MAPS[entity].items()})
@@ -146,6 +144,7 @@ def write_csv(df: DataFrame, path: str, entity: str | None = None, mode: str = "
         .option("header", True)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
+        .options(**(options or {}))
         .csv(path)
     )
 
@@ -154,13 +153,14 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> int:
-    """Overwrite a Parquet directory; returns the rows written.
+def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None,
+                  options: Mapping[str, str] | None = None) -> int:
+    """Overwrite a Parquet directory; returns the rows written. ``options`` go to the writer.
 
     The count is observed during the write (no second pass over the input).
     """
     obs = Observation("rows_written")
-    writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode)
+    writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).options(**(options or {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

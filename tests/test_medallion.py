@@ -87,3 +87,72 @@ def test_cli_runs_the_stages(spark):
     out = subprocess.run(args, cwd=repo, capture_output=True, text=True, timeout=600, env=env)
     assert out.returncode == 0, out.stderr[-2000:]
     assert "bronze" in out.stdout and "encounters" in out.stdout
+
+
+def _files_below(spark, path):
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found, out = fs.listFiles(root, True), []
+    while found.hasNext():
+        out.append(found.next().getPath().toString())
+    return [f for f in out if "/part-" in f]
+
+
+def test_a_run_for_one_table_leaves_no_other_files(spark, monkeypatch):
+    """Landing files, Raw, Bronze and the other tables of the run are gone; the result is whole."""
+    from clinlake.plans import queries
+
+    for name, table, same in (("run_silver_conditions", "conditions", "clean_conditions"), ("run_master", "covid_clinical_master", "clinical_master"),
+                              ("run_pathway_summary", "covid_pathway_summary", "pathway_summary")):
+        roots = []
+        monkeypatch.setattr(queries, "scratch_path", lambda s, n: roots.append(scratch_path(s, n)) or roots[-1])
+        result = queries.QUERIES[name](spark, SF_SMALL)
+        left = _files_below(spark, roots[0])
+        assert left and all(f"/{table}/" in f for f in left), left
+        want = queries.QUERIES[same](spark, SF_SMALL)
+        assert sorted(map(str, result.collect())) == sorted(map(str, want.select(*result.columns).collect()))
+
+
+def test_sources_and_raw_go_only_from_runs_on_copies(spark):
+    cfg = _setup(spark, SF_SMALL)
+    run_medallion(spark, cfg, stages=("raw", "bronze"))
+    assert all(_files_below(spark, p) for p in [*cfg.csv_paths.values(), cfg.raw_dir, cfg.observations_raw])
+    rejected = f"{cfg.raw_dir}/_rejected/patients"
+    spark.range(1).write.parquet(rejected)
+    cfg.drop_read = True
+    run_medallion(spark, cfg, stages=("bronze",))
+    assert _files_below(spark, cfg.raw_dir) == _files_below(spark, rejected) != []
+
+
+def test_shuffle_files_go_when_their_write_ends(spark):
+    from clinlake.session import freed_shuffles
+
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f for f in files.mkString("\n").split("\n") if "shuffle_" in f}
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = shuffles(), spark.conf.get(key)
+    with freed_shuffles(spark):
+        spark.range(100_000).repartition(4, "id").write.parquet(scratch_path(spark, "freed"))
+        assert not shuffles() - before
+    assert spark.conf.get(key) == setting
+    spark.conf.set(key, "true")
+    try:
+        with freed_shuffles(spark):
+            pass
+        assert spark.conf.get(key) == "true"
+    finally:
+        spark.conf.unset(key)
+
+
+def test_landing_files_are_packed_and_read_back_whole(spark):
+    from clinlake.sources import files
+
+    csv_paths, _ = standins.land_sources(spark, SF_SMALL, scratch_path(spark, "packed"))
+    for entity, source in (("conditions", standins.bronze_conditions), ("patients", standins.bronze_patients)):
+        assert all(f.endswith(".csv.gz") for f in _files_below(spark, csv_paths[entity]))
+        got, want = files.read_csv(spark, csv_paths[entity], entity), source(spark, SF_SMALL)
+        assert got.count() == want.count()
+        key = {"conditions": ("patient", "code", "description"), "patients": ("address", "first")}[entity]
+        assert got.select(*key).exceptAll(want.select(*key)).isEmpty()
