@@ -31,3 +31,11 @@ def test_standins_contain_edge_cases(spark):
     obs_only = o.filter(F.upper("value").rlike(standins.STANDIN_SPEC.cohort.value_pattern)).select("patient").distinct()
     assert obs_only.join(coded, "patient", "left_anti").count() > 0
     assert len(s) == 4
+
+
+def test_condition_lines_are_narrow_when_they_are_joined(spark):
+    """Lines are joined without their times and numbers, and repeated only afterwards."""
+    plan = standins.bronze_conditions(spark, SF_ORACLE)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("explode") < plan.index("Join")  # above it
+    below = plan[plan.index("Join"):]
+    assert "to_date" in below or "cast(l_shipdate" in below
